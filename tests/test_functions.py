@@ -1,0 +1,80 @@
+"""Scalar functions on hand-sized rows (expected values written out)."""
+
+from decimal import Decimal as D
+
+from pyspark.sql import functions as F
+
+from ledgerlens.functions import (
+    id_in_list,
+    lenient_timestamp,
+    live_alert_rule,
+    macro_alert_rule,
+    money_text,
+    org_filter,
+    pct_change,
+    percent_text,
+    to_usd,
+)
+
+
+def test_to_usd_fallthrough(spark):
+    rows = [(D("100"), D("0.8"), D("50"), D("1.25")),
+            (D("100"), D("0"), D("50"), D("1.25")),
+            (None, D("0.8"), D("50"), D("1.25")),
+            (D("100"), None, D("50"), D("0"))]
+    df = spark.createDataFrame(rows, "pa decimal(18,2), pr decimal(18,6), a decimal(18,2), r decimal(18,6)")
+    out = [r[0] for r in df.select(to_usd("a", "r", "pa", "pr")).collect()]
+    assert out == [D("125.00000000"), D("40.00000000"), D("40.00000000"), None]
+
+
+def test_pct_change_guard(spark):
+    df = spark.createDataFrame([(150.0, 100.0), (0.0, 150.0), (80.0, 0.0), (-40.0, 80.0), (-20.0, -40.0),
+                                (100.0, None)], "c double, p double")
+    out = [r[0] for r in df.select(pct_change("c", "p")).collect()]
+    assert out == [0.5, -1.0, None, -1.5, 0.5, None]
+
+
+def test_alert_rules_table(spark):
+    # cur, prev -> live (t=0.5, m=1000), macro (t=0.5, m=1000), macro with m=0
+    rows = [(3000.0, 2000.0, True, False, False),
+            (5000.0, None, True, False, False),
+            (5000.0, 0.0, True, False, False),
+            (500.0, 2000.0, True, True, True),
+            (1400.0, 1000.0, False, False, False),
+            (900.0, 100.0, False, False, True)]
+    df = spark.createDataFrame(rows, "c double, p double, live boolean, macro boolean, macro0 boolean")
+    df = df.withColumn("pct", pct_change("c", "p")).withColumn("d", F.col("c") - F.coalesce("p", F.lit(0.0)))
+    got = df.select(
+        live_alert_rule("d", "pct", 0.5, 1000).alias("live"),
+        macro_alert_rule("c", "p", "pct", 0.5, 1000).alias("macro"),
+        macro_alert_rule("c", "p", "pct", 0.5, 0).alias("macro0")).collect()
+    assert [tuple(r) for r in got] == [(r[2], r[3], r[4]) for r in rows]
+
+
+def test_live_rule_zero_change_with_zero_min(spark):
+    df = spark.createDataFrame([(0.0, None)], "d double, pct double")
+    assert df.select(live_alert_rule("d", "pct", 0.5, 0)).first()[0] is True
+
+
+def test_allow_deny_whole_tokens(spark):
+    df = spark.createDataFrame([(D(1),), (D(2),), (D(22),)], "id decimal(38,0)")
+    assert [r[0] for r in df.where(id_in_list("id", "1,22".split(","))).collect()] == [D(1), D(22)]
+    assert [r[0] for r in df.where(org_filter("id", allow="1,22", deny="22")).collect()] == [D(1)]
+    assert df.where(org_filter("id", allow="", deny="")).count() == 3
+    # Tokens are not trimmed: ' 22' does not match 22.
+    assert df.where(org_filter("id", allow="1, 22")).count() == 1
+
+
+def test_message_number_text(spark):
+    df = spark.createDataFrame([(D("1234.5625"), 0.123, None), (D("-1234.5"), -1.5, None)],
+                               "x decimal(38,8), p double, n double")
+    got = df.select(money_text("x"), percent_text("p"), percent_text("n")).collect()
+    assert [tuple(r) for r in got] == [("1,234.56", "12.3%", "n/a"), ("-1,234.50", "-150.0%", "n/a")]
+
+
+def test_lenient_timestamp(spark):
+    df = spark.createDataFrame([("2024-01-05",), ("2024-01-05T10:00:00",), ("2024-01-05 10:00:00.123",),
+                                ("",), ("01/05/2024",), ("2024-13-01",), ("n/a",), (None,)], "s string")
+    got = [r[0] for r in df.select(lenient_timestamp("s").cast("string")).collect()]
+    assert got == ["2024-01-05 00:00:00", "2024-01-05 10:00:00", "2024-01-05 10:00:00.123",
+                   None, None, None, None, None]
