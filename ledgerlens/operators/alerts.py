@@ -18,6 +18,8 @@ from ledgerlens.functions import (
     plain_text,
 )
 
+MONTH_COL = "MONTH"  # partition column of stored (org, day) tables
+
 # --- fixed values that must match the reference -------------------------------
 DEFAULT_THRESHOLD = 0.5          # fraction: 0.5 = 50 %
 SCRIPT_MIN_ABS = 1000.0          # min |change| of the standalone alert script
@@ -43,7 +45,13 @@ def on_date(mart: DataFrame, alert_date: str | _dt.date | None = None, date_col:
         day: Column = mart.agg(F.max(date_col)).scalar()
     else:
         day = F.lit(str(alert_date)).cast("date")
-    return mart.where(F.col(date_col) == day)
+    out = mart.where(F.col(date_col) == day)
+    if MONTH_COL in mart.columns:
+        # Stored month-partitioned: only the alert day's month is listed/read.
+        month = (mart.agg(F.trunc(F.max(date_col), "month")).scalar() if alert_date is None
+                 else F.trunc(day, "month"))
+        out = out.where(F.col(MONTH_COL) == month).drop(MONTH_COL)
+    return out
 
 
 def alerts(mart: DataFrame, alert_date: str | None = None, threshold: float = DEFAULT_THRESHOLD,

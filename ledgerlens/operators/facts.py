@@ -28,7 +28,10 @@ def lookback_start(target: DataFrame | None, days: int = LOOKBACK_DAYS, date_col
     floor = F.lit(LOOKBACK_FLOOR).cast("date")
     if target is None:
         return floor
-    return F.coalesce(F.date_sub(target.agg(F.max(date_col)).scalar(), days), floor)
+    # The whole start date is computed inside the subquery, so the source
+    # filter is a bare ``CREATED_DATE >= ScalarSubquery`` that Parquet takes
+    # as a pushed filter (row-group skipping on date-clustered files).
+    return target.agg(F.coalesce(F.date_sub(F.max(date_col), days), floor)).scalar()
 
 
 def lookback(stg: DataFrame, target: DataFrame | None, days: int = LOOKBACK_DAYS,

@@ -5,7 +5,10 @@ Layout of a warehouse (one Parquet directory per table):
     raw/organizations  raw/invoices
     curated/stg_organizations  curated/stg_invoices  curated/dim_organizations
     curated/fact_organizations_payment/MONTH=yyyy-mm-01/   (clustered by DATE, ORGANIZATION_ID)
-    marts/mart_daily_org_balance
+    marts/mart_daily_org_balance/MONTH=yyyy-mm-01/        (clustered by DATE, ORGANIZATION_ID)
+
+Staged invoices are sorted by CREATED_DATE inside each file, so the
+incremental lookback filter (pushed to Parquet) skips old row groups.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ from ledgerlens.operators.marts import mart_daily_balance
 from ledgerlens.operators.merge import upsert
 from ledgerlens.operators.quality import run_checks
 from ledgerlens.operators.staging import stage_invoices, stage_organizations
-from ledgerlens.plans.sinks import merge_partitions, replace_table, write_fact, write_table
+from ledgerlens.plans.sinks import merge_partitions, replace_table, write_fact, write_sorted, write_table
 from ledgerlens.sources.csv import INVOICES_GLOB, ORGANIZATIONS_GLOB, read_raw_csv
 from ledgerlens.sources.schemas import (
     FACT_KEY,
@@ -114,14 +117,14 @@ def build(spark: SparkSession, wh: Warehouse, full_refresh: bool = False, run_te
     raw_org = read_table(spark, wh.raw_organizations, RAW_ORGANIZATIONS)
     raw_inv = read_table(spark, wh.raw_invoices, RAW_INVOICES)
     write_table(stage_organizations(raw_org), wh.stg_organizations)
-    write_table(stage_invoices(raw_inv), wh.stg_invoices)
+    write_sorted(stage_invoices(raw_inv), wh.stg_invoices, ["CREATED_DATE"])
     stg_org = read_table(spark, wh.stg_organizations, STG_ORGANIZATIONS)
     stg_inv = read_table(spark, wh.stg_invoices, STG_INVOICES)
 
     write_table(dim_organizations(stg_org), wh.dim_organizations)
     refresh_fact(spark, wh, stg_inv, full_refresh, lookback_days)
     fact = read_table(spark, wh.fact, FACT_PAYMENTS)
-    write_table(mart_daily_balance(fact), wh.mart)
+    write_fact(mart_daily_balance(fact), wh.mart)
     if full_refresh or not run_tests:
         return None
     return run_checks(tables(spark, wh))

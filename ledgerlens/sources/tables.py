@@ -19,6 +19,12 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return df
 
 
+def read_partitioned(spark: SparkSession, path: str, schema: T.StructType,
+                     partition: T.StructField) -> DataFrame:
+    """Scan keeping the partition column, so filters on it prune directories."""
+    return read_table(spark, path, T.StructType(schema.fields + [partition]))
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.parquet(path).schema  # noqa: B018 - resolves the listing only
