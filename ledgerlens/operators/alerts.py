@@ -117,6 +117,43 @@ def alert_messages(alert_rows: DataFrame) -> DataFrame:
     return alert_rows.withColumn("MESSAGE_LINE", line).withColumn("MESSAGE_BLOCK", block)
 
 
+def alert_digest(mart: DataFrame, alert_date: str | None = None, threshold: float = DEFAULT_THRESHOLD,
+                 min_abs: float = SCRIPT_MIN_ABS, cap: int = MESSAGE_LINE_CAP) -> DataFrame:
+    """One row: the alert day, the number of alerts, and one message text —
+    a header line plus at most ``cap`` alert lines, biggest change first (or
+    an all-clear line when nothing fired).
+
+    The day's alerts are counted in one aggregate; only the ``cap`` top lines
+    (a top-k, bounded by ``cap``) are gathered into the text.
+    """
+    rows = alert_messages(alerts(mart, alert_date, threshold, min_abs))
+    day = (on_date(mart, alert_date).agg(F.max("DATE").alias("D")) if alert_date is None
+           else mart.sparkSession.range(1).select(F.lit(str(alert_date)).cast("date").alias("D")))
+    ranked = rows.select(F.abs("ABS_CHANGE").alias("_a"), "ORGANIZATION_ID", "MESSAGE_LINE")
+    top = ranked.orderBy(F.col("_a").desc(), F.col("ORGANIZATION_ID").asc()).limit(cap)
+    lines = top.agg(F.sort_array(F.collect_list(F.struct(-F.col("_a"), F.col("ORGANIZATION_ID"),
+                                                         F.col("MESSAGE_LINE")))).alias("L"))
+    n = rows.agg(F.count(F.lit(1)).alias("N_ALERTS"))
+    params = f"(threshold={threshold:.2f}, min_abs={min_abs:,.0f})"
+    date_txt = F.date_format("D", "yyyy-MM-dd")
+    header = F.concat(F.lit("*Daily Balance alerts* for `"), date_txt, F.lit(f"`  {params}"))
+    clear = F.concat(F.lit(":white_check_mark: No Daily Balance alerts for "), date_txt, F.lit(f" {params}."))
+    body = F.array_join(F.transform("L", lambda s: s["MESSAGE_LINE"]), "\n")
+    out = _one_row(day, n, lines)
+    return out.select(
+        F.col("D").alias("ALERT_DATE"), "N_ALERTS",
+        F.when(F.col("N_ALERTS") == 0, clear).otherwise(F.concat_ws("\n", header, body)).alias("MESSAGE"))
+
+
+def _one_row(*parts: DataFrame) -> DataFrame:
+    """Combine one-row relations column-wise (each side holds exactly one row)."""
+    tagged = [p.withColumn("_one", F.lit(1)) for p in parts]
+    out = tagged[0]
+    for p in tagged[1:]:
+        out = out.join(F.broadcast(p), "_one")
+    return out.drop("_one")
+
+
 def summary_header(alert_date: str, threshold: float = DEFAULT_THRESHOLD, min_abs: float = SCRIPT_MIN_ABS) -> str:
     """First line of the capped summary message (one value, no data)."""
     return f"*Daily Balance alerts* for `{alert_date}`  (threshold={threshold:.2f}, min_abs={min_abs:,.0f})"

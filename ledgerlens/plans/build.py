@@ -24,6 +24,7 @@ from ledgerlens.operators.marts import mart_daily_balance
 from ledgerlens.operators.merge import upsert
 from ledgerlens.operators.quality import run_checks
 from ledgerlens.operators.staging import stage_invoices, stage_organizations
+from ledgerlens.plans.docs import register_tables, with_comments
 from ledgerlens.plans.sinks import merge_partitions, replace_table, write_fact, write_sorted, write_table
 from ledgerlens.sources.csv import INVOICES_GLOB, ORGANIZATIONS_GLOB, read_raw_csv
 from ledgerlens.sources.schemas import (
@@ -124,7 +125,7 @@ def build(spark: SparkSession, wh: Warehouse, full_refresh: bool = False, run_te
     write_table(dim_organizations(stg_org), wh.dim_organizations)
     refresh_fact(spark, wh, stg_inv, full_refresh, lookback_days)
     fact = read_table(spark, wh.fact, FACT_PAYMENTS)
-    write_fact(mart_daily_balance(fact), wh.mart)
+    write_fact(with_comments(mart_daily_balance(fact), "mart_daily_org_balance"), wh.mart)
     if full_refresh or not run_tests:
         return None
     return run_checks(tables(spark, wh))
@@ -140,6 +141,20 @@ def refresh_fact(spark: SparkSession, wh: Warehouse, stg_inv: DataFrame, full_re
     merge_partitions(spark, delta, wh.fact, FACT_KEY, FACT_PAYMENTS)
 
 
+def table_paths(wh: Warehouse) -> dict[str, str]:
+    return {
+        "raw_organizations": wh.raw_organizations, "raw_invoices": wh.raw_invoices,
+        "stg_organizations": wh.stg_organizations, "stg_invoices": wh.stg_invoices,
+        "dim_organizations": wh.dim_organizations, "fact_organizations_payment": wh.fact,
+        "mart_daily_org_balance": wh.mart,
+    }
+
+
+def register(spark: SparkSession, wh: Warehouse, database: str | None = None) -> None:
+    """Expose every built table in the session catalog, with descriptions."""
+    register_tables(spark, table_paths(wh), database)
+
+
 def tables(spark: SparkSession, wh: Warehouse) -> dict[str, DataFrame]:
     """Scans of every built table, by model name."""
     return {

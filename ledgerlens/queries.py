@@ -19,7 +19,14 @@ from pyspark.sql import functions as F
 
 from ledgerlens import oracle
 from ledgerlens.functions import to_usd
-from ledgerlens.operators.alerts import alert_messages, alerts, alerts_macro, latest_day, top_alerts
+from ledgerlens.operators.alerts import (
+    alert_digest,
+    alert_messages,
+    alerts,
+    alerts_macro,
+    latest_day,
+    top_alerts,
+)
 from ledgerlens.operators.dims import dim_organizations
 from ledgerlens.operators.facts import fact_daily_payment, lookback, settled
 from ledgerlens.operators.marts import mart_daily_balance, with_prev
@@ -183,6 +190,10 @@ def q_alert_messages(spark, sf):
     return alert_messages(alerts(mart(spark, sf), min_abs=0.0)).select(_oid(), "MESSAGE_LINE", "MESSAGE_BLOCK")
 
 
+def q_alert_digest(spark, sf):
+    return alert_digest(mart(spark, sf), min_abs=1000.0)
+
+
 def q_check_not_null(spark, sf):
     return fact_view(check_not_null(fact(spark, sf), "DATE"))
 
@@ -308,6 +319,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "alerts_macro": q_alerts_macro,
     "alerts_allow_deny": q_alerts_allow_deny,
     "alert_messages": q_alert_messages,
+    "alert_digest": q_alert_digest,
     "check_not_null": q_check_not_null,
     "check_unique": q_check_unique,
     "check_unique_combo": q_check_unique_combo,

@@ -216,3 +216,17 @@ def test_freshness_levels(spark):
     assert got == [(12, "pass"), (48, "warn"), (240, "error"), (48, "pass")]
     empty = spark.createDataFrame([], T.StructType([T.StructField("ts", T.TimestampNTZType())]))
     assert freshness(empty, "ts", nows[0]).first().STATUS == "error"
+
+
+def test_alert_digest_caps_and_all_clear(spark):
+    from ledgerlens.operators.alerts import alert_digest
+    rows = [(i, d(2024, 1, 1), 100) for i in range(1, 61)] + [(i, d(2024, 1, 2), 100 + 10 * i) for i in range(1, 61)]
+    m = _mart(spark, rows)
+    r = alert_digest(m, threshold=0.5, min_abs=0, cap=50).first()
+    lines = r.MESSAGE.split("\n")
+    assert r.N_ALERTS == 56 and len(lines) == 51  # ids 5..60 rose >= 50 %; header + 50 lines
+    assert lines[0] == "*Daily Balance alerts* for `2024-01-02`  (threshold=0.50, min_abs=0)"
+    assert lines[1].startswith("• org `60` | Δ=600.00 (600.0%)")
+    quiet = alert_digest(m, threshold=100.0, min_abs=1000).first()
+    assert quiet.N_ALERTS == 0
+    assert quiet.MESSAGE == ":white_check_mark: No Daily Balance alerts for 2024-01-02 (threshold=100.00, min_abs=1,000)."

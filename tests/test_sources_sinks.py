@@ -113,3 +113,18 @@ def test_ingest_landing_upserts(spark, tmp_dir):
     got = sorted((r.INVOICE_ID, r.AMOUNT) for r in read_table(spark, wh.raw_invoices, RAW_INVOICES).collect())
     assert got == [("i1", 11.0), ("i2", 20.0), ("i3", 30.0)]
     assert read_table(spark, wh.raw_organizations, RAW_ORGANIZATIONS).count() == 1
+
+
+def test_comments_persist_and_tables_register(spark, tmp_dir):
+    from ledgerlens.plans.build import register
+    from ledgerlens.plans.docs import column_comments
+    wh = Warehouse(tmp_dir)
+    raw_organizations(spark, SF_SMALL).write.parquet(wh.raw_organizations)
+    raw_invoices(spark, SF_SMALL).write.parquet(wh.raw_invoices)
+    build(spark, wh, run_tests=False)
+    docs = column_comments(spark.read.parquet(wh.mart))
+    assert docs["DOD_CHANGE_PCT"].startswith("Percent change vs previous available day")
+    register(spark, wh)
+    assert spark.table("mart_daily_org_balance").count() == read_table(spark, wh.mart).count()
+    desc = {t.name: t.description for t in spark.catalog.listTables()}
+    assert desc["dim_organizations"] == "Organization dimension with key dates and metadata."
