@@ -144,8 +144,14 @@ def id_in_list(c: ColumnOrName, tokens: list[str]) -> Column:
     """Whole-token membership of ``cast(c as string)`` in ``tokens``.
 
     Equivalent to searching ``','||id||','`` inside ``','||list||','``; as an
-    ``IN`` list it plans as a hash-set lookup instead of a substring scan.
+    ``IN`` list it plans as a hash-set lookup (``InSet``) instead of a
+    substring scan. A long list of plain tokens on a named column is sent to
+    the JVM as one SQL expression rather than one literal per call.
     """
+    plain = all(t.isalnum() for t in tokens)
+    if isinstance(c, str) and len(tokens) > 64 and plain and c.replace("_", "").isalnum():
+        in_list = ", ".join(f"'{t}'" for t in tokens)
+        return F.expr(f"cast(`{c}` as string) IN ({in_list})")
     return _c(c).cast("string").isin(tokens)
 
 
