@@ -17,6 +17,7 @@ from ledgerlens.functions import (
     percent_text,
     plain_text,
 )
+from ledgerlens.sources.tables import high_water_mark
 
 MONTH_COL = "MONTH"  # partition column of stored (org, day) tables
 
@@ -42,13 +43,15 @@ def on_date(mart: DataFrame, alert_date: str | _dt.date | None = None, date_col:
     folded into the scan as a pushed filter / partition filter.
     """
     if alert_date is None:
-        day: Column = mart.agg(F.max(date_col)).scalar()
+        day: Column = high_water_mark(mart, date_col, partition_col=MONTH_COL)
     else:
         day = F.lit(str(alert_date)).cast("date")
     out = mart.where(F.col(date_col) == day)
     if MONTH_COL in mart.columns:
-        # Stored month-partitioned: only the alert day's month is listed/read.
-        month = (mart.agg(F.trunc(F.max(date_col), "month")).scalar() if alert_date is None
+        # Stored month-partitioned: only the alert day's month is listed and
+        # read. The newest month is found from the partition column alone;
+        # the same (reused) subquery also bounds the latest-day subquery.
+        month = (mart.agg(F.max(MONTH_COL)).scalar() if alert_date is None
                  else F.trunc(day, "month"))
         out = out.where(F.col(MONTH_COL) == month).drop(MONTH_COL)
     return out

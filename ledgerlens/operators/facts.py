@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import LOOKBACK_DAYS, LOOKBACK_FLOOR, SETTLED_STATUSES, to_usd
+from ledgerlens.sources.tables import high_water_mark
 
 
 def settled(stg: DataFrame, status_col: str = "STATUS", already_upper: bool = False) -> DataFrame:
@@ -30,8 +31,9 @@ def lookback_start(target: DataFrame | None, days: int = LOOKBACK_DAYS, date_col
         return floor
     # The whole start date is computed inside the subquery, so the source
     # filter is a bare ``CREATED_DATE >= ScalarSubquery`` that Parquet takes
-    # as a pushed filter (row-group skipping on date-clustered files).
-    return target.agg(F.coalesce(F.date_sub(F.max(date_col), days), floor)).scalar()
+    # as a pushed filter (row-group skipping on date-clustered files). On a
+    # stored, month-partitioned target only its newest month is read.
+    return high_water_mark(target, date_col, wrap=lambda mx: F.coalesce(F.date_sub(mx, days), floor))
 
 
 def lookback(stg: DataFrame, target: DataFrame | None, days: int = LOOKBACK_DAYS,

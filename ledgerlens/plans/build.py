@@ -25,7 +25,14 @@ from ledgerlens.operators.merge import upsert
 from ledgerlens.operators.quality import run_checks
 from ledgerlens.operators.staging import stage_invoices, stage_organizations
 from ledgerlens.plans.docs import register_tables, with_comments
-from ledgerlens.plans.sinks import merge_partitions, replace_table, write_fact, write_sorted, write_table
+from ledgerlens.plans.sinks import (
+    FACT_MONTH_FIELD,
+    merge_partitions,
+    replace_table,
+    write_fact,
+    write_sorted,
+    write_table,
+)
 from ledgerlens.sources.csv import INVOICES_GLOB, ORGANIZATIONS_GLOB, read_raw_csv
 from ledgerlens.sources.schemas import (
     FACT_KEY,
@@ -38,7 +45,7 @@ from ledgerlens.sources.schemas import (
     STG_INVOICES,
     STG_ORGANIZATIONS,
 )
-from ledgerlens.sources.tables import read_table, table_exists
+from ledgerlens.sources.tables import read_partitioned, read_table, table_exists
 
 
 @dataclass(frozen=True)
@@ -136,7 +143,9 @@ def refresh_fact(spark: SparkSession, wh: Warehouse, stg_inv: DataFrame, full_re
     if full_refresh or not table_exists(spark, wh.fact):
         write_fact(fact_daily_payment(stg_inv, already_upper=True), wh.fact)
         return
-    target = read_table(spark, wh.fact, FACT_PAYMENTS)
+    # The stored target keeps its month column: the high-water mark reads
+    # only the newest month.
+    target = read_partitioned(spark, wh.fact, FACT_PAYMENTS, FACT_MONTH_FIELD)
     delta = fact_daily_payment(stg_inv, target=target, days=lookback_days, already_upper=True)
     merge_partitions(spark, delta, wh.fact, FACT_KEY, FACT_PAYMENTS)
 

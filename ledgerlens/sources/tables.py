@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
+from ledgerlens.sources.schemas import FACT_PARTITION
+
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Scan a Parquet table; a declared schema also types the partition columns."""
@@ -33,9 +35,21 @@ def table_exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def high_water_mark(df: DataFrame, column: str = "DATE"):
+def high_water_mark(df: DataFrame, column: str = "DATE", wrap=None,
+                    partition_col: str = FACT_PARTITION) -> Column:
     """Scalar ``max(column)`` of a relation, as a ``Column`` (scalar subquery).
 
-    Evaluated once by Catalyst; it never pulls rows to the driver.
+    ``wrap`` is applied to the maximum inside the subquery (so a derived
+    bound is still one scalar). When ``df`` carries the month partition
+    column (``trunc(column, 'month')``), the newest month is found first from
+    the partition column alone (a scan that reads no data columns, only file
+    footers), and ``max(column)`` then reads that one month: the cost does
+    not grow with the table's history. Evaluated once; nothing reaches the
+    driver.
     """
-    return df.agg(F.max(column)).scalar()
+    src = df
+    if partition_col in df.columns:
+        newest = df.agg(F.max(partition_col)).scalar()
+        src = df.where(F.col(partition_col) == newest)
+    mx = F.max(column)
+    return src.agg(wrap(mx) if wrap is not None else mx).scalar()
