@@ -13,7 +13,8 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
 
     Columns not named in ``keys``/``order`` are appended to the ordering as
     tie-breakers, so the result is deterministic. Expressed as ``max`` of a
-    struct, it is an ordinary partial + final hash aggregate: a key holding a
+    struct, it is a partial + final aggregate (sort-based, as the struct
+    buffer is not fixed-width): a key holding a
     third of all rows is reduced to one row per task before the shuffle, and
     no task ever sorts a whole group. (Struct ``max`` ranks null fields
     lowest, i.e. descending with nulls last.)

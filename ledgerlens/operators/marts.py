@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import pct_change
+from ledgerlens.sources.schemas import FACT_PARTITION
 
 
 def with_prev(df: DataFrame, key: str, date: str, value: str, prev_name: str | None = None,
@@ -23,10 +24,7 @@ def with_prev(df: DataFrame, key: str, date: str, value: str, prev_name: str | N
     return out
 
 
-def mart_daily_balance(fact: DataFrame) -> DataFrame:
-    """ORGANIZATION_ID, DATE, DAILY_PAYMENT_AMOUNT (null -> 0),
-    PREV_DAILY_PAYMENT_AMOUNT, DOD_CHANGE_PCT (fraction, null if prev null or 0)."""
-    f = fact.select("ORGANIZATION_ID", "DATE", F.col("PAYMENT_AMOUNT_USD").alias("DAILY_PAYMENT_AMOUNT"))
+def _mart_rows(f: DataFrame, keep: list[str] | None = None) -> DataFrame:
     w = with_prev(f, "ORGANIZATION_ID", "DATE", "DAILY_PAYMENT_AMOUNT", "PREV_DAILY_PAYMENT_AMOUNT")
     return w.select(
         "ORGANIZATION_ID",
@@ -34,4 +32,41 @@ def mart_daily_balance(fact: DataFrame) -> DataFrame:
         F.coalesce(F.col("DAILY_PAYMENT_AMOUNT"), F.lit(0)).cast("decimal(38,8)").alias("DAILY_PAYMENT_AMOUNT"),
         F.col("PREV_DAILY_PAYMENT_AMOUNT").cast("decimal(38,8)").alias("PREV_DAILY_PAYMENT_AMOUNT"),
         pct_change("DAILY_PAYMENT_AMOUNT", "PREV_DAILY_PAYMENT_AMOUNT").alias("DOD_CHANGE_PCT"),
+        *(keep or []),
     )
+
+
+def _amounts(fact: DataFrame) -> DataFrame:
+    return fact.select("ORGANIZATION_ID", "DATE", F.col("PAYMENT_AMOUNT_USD").alias("DAILY_PAYMENT_AMOUNT"))
+
+
+def mart_daily_balance(fact: DataFrame) -> DataFrame:
+    """ORGANIZATION_ID, DATE, DAILY_PAYMENT_AMOUNT (null -> 0),
+    PREV_DAILY_PAYMENT_AMOUNT, DOD_CHANGE_PCT (fraction, null if prev null or 0)."""
+    return _mart_rows(_amounts(fact))
+
+
+def mart_daily_balance_since(fact: DataFrame, start: Column) -> DataFrame:
+    """The rows of :func:`mart_daily_balance` with ``DATE >= start`` or a null
+    DATE (which sorts after every day), computed without the older history.
+
+    Each organization's last day before ``start`` enters as a *seed* row,
+    found by a partial + final ``max(struct(DATE, amount))`` aggregate (one
+    row per organization and task before the shuffle); the seed supplies the
+    previous amount of the first recomputed day and is then dropped. When
+    ``fact`` carries the month partition column, both reads are pruned by it.
+    """
+    if FACT_PARTITION in fact.columns:
+        month = F.trunc(start, "month")
+        recent_src = fact.where((F.col(FACT_PARTITION) >= month) | F.col(FACT_PARTITION).isNull())
+        before_src = fact.where(F.col(FACT_PARTITION) <= month)
+    else:
+        recent_src = before_src = fact
+    date = F.col("DATE")
+    recent = _amounts(recent_src).where((date >= start) | date.isNull()).withColumn("_SEED", F.lit(False))
+    seeds = (_amounts(before_src).where(date < start)
+             .groupBy("ORGANIZATION_ID")
+             .agg(F.max(F.struct("DATE", "DAILY_PAYMENT_AMOUNT")).alias("_LAST"))
+             .select("ORGANIZATION_ID", "_LAST.DATE", "_LAST.DAILY_PAYMENT_AMOUNT", F.lit(True).alias("_SEED")))
+    rows = _mart_rows(recent.unionByName(seeds), keep=["_SEED"])
+    return rows.where(~F.col("_SEED")).drop("_SEED")

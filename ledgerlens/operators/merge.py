@@ -42,10 +42,13 @@ def assert_unique_keys(updates: DataFrame, keys: Sequence[str], null_as: str | N
 
 
 def upsert(base: DataFrame, updates: DataFrame, keys: Sequence[str], null_as: str | None = None,
-           order_by: Sequence[str] | None = None, check_duplicates: bool = True) -> DataFrame:
+           order_by: Sequence[str] | None = None, check_duplicates: bool = True,
+           null_safe: bool = False) -> DataFrame:
     """Rows of ``base`` updated or inserted from ``updates`` by ``keys``.
 
-    ``null_as=''`` makes a null key equal to ``''`` (and to another null).
+    ``null_as=''`` makes a null key equal to ``''`` (and to another null);
+    ``null_safe=True`` makes a null key equal to another null only (``<=>``,
+    still an equi-join).
     Matched base rows are replaced wholesale; unmatched update rows are
     inserted. Duplicate update keys raise, unless ``order_by`` names columns
     whose greatest value (descending, nulls last) picks the surviving row.
@@ -62,13 +65,14 @@ def upsert(base: DataFrame, updates: DataFrame, keys: Sequence[str], null_as: st
         assert_unique_keys(updates, keys, null_as)
     upd_keys = updates.select(*_key_cols(updates, keys, null_as, "_uk"))
     b = base.select("*", *_key_cols(base, keys, null_as, "_bk"))
-    cond = [F.col(f"_bk{i}") == F.col(f"_uk{i}") for i in range(len(keys))]
+    cond = [F.col(f"_bk{i}").eqNullSafe(F.col(f"_uk{i}")) if null_safe else F.col(f"_bk{i}") == F.col(f"_uk{i}")
+            for i in range(len(keys))]
     kept = b.join(upd_keys, cond, "left_anti").select(*base.columns)
     return kept.unionByName(updates.select(*base.columns))
 
 
 def merge_incremental(target: DataFrame, delta: DataFrame, keys: Sequence[str],
-                      schema: T.StructType | None = None) -> DataFrame:
+                      schema: T.StructType | None = None, null_safe: bool = False) -> DataFrame:
     """Merge semantics of an incremental model: delta rows replace target rows
     with the same key, other target rows stay (a merge never deletes).
 
@@ -78,7 +82,7 @@ def merge_incremental(target: DataFrame, delta: DataFrame, keys: Sequence[str],
     schema = schema or delta.schema
     old = align_to(target, schema)
     new = delta.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-    return upsert(old, new, keys, check_duplicates=False)
+    return upsert(old, new, keys, check_duplicates=False, null_safe=null_safe)
 
 
 def sync_schema(target: DataFrame, new_schema: T.StructType) -> DataFrame:

@@ -16,11 +16,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlens.functions import LOOKBACK_DAYS
 from ledgerlens.operators.dims import dim_organizations
 from ledgerlens.operators.facts import fact_daily_payment
-from ledgerlens.operators.marts import mart_daily_balance
+from ledgerlens.operators.marts import mart_daily_balance, mart_daily_balance_since
 from ledgerlens.operators.merge import upsert
 from ledgerlens.operators.quality import run_checks
 from ledgerlens.operators.staging import stage_invoices, stage_organizations
@@ -38,6 +39,7 @@ from ledgerlens.sources.schemas import (
     FACT_KEY,
     FACT_PAYMENTS,
     MART_DAILY_BALANCE,
+    MART_KEY,
     RAW_INVOICES,
     RAW_INVOICES_KEY,
     RAW_ORGANIZATIONS,
@@ -45,7 +47,7 @@ from ledgerlens.sources.schemas import (
     STG_INVOICES,
     STG_ORGANIZATIONS,
 )
-from ledgerlens.sources.tables import read_partitioned, read_table, table_exists
+from ledgerlens.sources.tables import high_water_mark, read_partitioned, read_table, table_exists
 
 
 @dataclass(frozen=True)
@@ -130,24 +132,62 @@ def build(spark: SparkSession, wh: Warehouse, full_refresh: bool = False, run_te
     stg_inv = read_table(spark, wh.stg_invoices, STG_INVOICES)
 
     write_table(dim_organizations(stg_org), wh.dim_organizations)
-    refresh_fact(spark, wh, stg_inv, full_refresh, lookback_days)
-    fact = read_table(spark, wh.fact, FACT_PAYMENTS)
-    write_fact(with_comments(mart_daily_balance(fact), "mart_daily_org_balance"), wh.mart)
+    delta = refresh_fact(spark, wh, stg_inv, full_refresh, lookback_days)
+    refresh_mart(spark, wh, delta, lookback_days)
     if full_refresh or not run_tests:
         return None
     return run_checks(tables(spark, wh))
 
 
 def refresh_fact(spark: SparkSession, wh: Warehouse, stg_inv: DataFrame, full_refresh: bool = False,
-                 lookback_days: int = LOOKBACK_DAYS) -> None:
+                 lookback_days: int = LOOKBACK_DAYS) -> DataFrame | None:
+    """Rebuild the fact, or merge the lookback window into it.
+
+    Returns the staged delta of a merge (``None`` after a rebuild).
+    """
     if full_refresh or not table_exists(spark, wh.fact):
         write_fact(fact_daily_payment(stg_inv, already_upper=True), wh.fact)
-        return
+        return None
     # The stored target keeps its month column: the high-water mark reads
     # only the newest month.
     target = read_partitioned(spark, wh.fact, FACT_PAYMENTS, FACT_MONTH_FIELD)
     delta = fact_daily_payment(stg_inv, target=target, days=lookback_days, already_upper=True)
-    merge_partitions(spark, delta, wh.fact, FACT_KEY, FACT_PAYMENTS)
+    return merge_partitions(spark, delta, wh.fact, FACT_KEY, FACT_PAYMENTS)
+
+
+def mart_start(mart: DataFrame, delta: DataFrame, lookback_days: int = LOOKBACK_DAYS):
+    """First mart day to recompute after a fact merge, as a date (or None).
+
+    The earlier of the first day the delta changed and the mart's own newest
+    day minus the lookback: a run that stopped after merging the fact but
+    before the mart is caught up by the next run. Two scalars; each reads
+    only the delta or the newest mart month.
+    """
+    hwm = high_water_mark(mart, "DATE", wrap=lambda mx: F.date_sub(mx, lookback_days))
+    return delta.agg(F.least(F.min("DATE"), hwm).alias("START")).first().START
+
+
+def refresh_mart(spark: SparkSession, wh: Warehouse, delta: DataFrame | None = None,
+                 lookback_days: int = LOOKBACK_DAYS) -> None:
+    """Rebuild the mart, or restate only its days from the first changed one.
+
+    After a fact merge (``delta``), only mart rows dated on or after
+    :func:`mart_start` (and null-dated rows) can change; they are recomputed
+    from the fact plus one seed row per organization and merged into their
+    month partitions. The result equals a full rebuild.
+    """
+    model = "mart_daily_org_balance"
+    start = None
+    if delta is not None and table_exists(spark, wh.mart):
+        start = mart_start(read_partitioned(spark, wh.mart, MART_DAILY_BALANCE, FACT_MONTH_FIELD), delta,
+                           lookback_days)
+    if start is None:
+        fact = read_table(spark, wh.fact, FACT_PAYMENTS)
+        write_fact(with_comments(mart_daily_balance(fact), model), wh.mart)
+        return
+    fact = read_partitioned(spark, wh.fact, FACT_PAYMENTS, FACT_MONTH_FIELD)
+    rows = mart_daily_balance_since(fact, F.lit(start).cast("date"))
+    merge_partitions(spark, rows, wh.mart, MART_KEY, MART_DAILY_BALANCE, model=model)
 
 
 def table_paths(wh: Warehouse) -> dict[str, str]:

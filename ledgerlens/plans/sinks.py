@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.operators.merge import merge_incremental
+from ledgerlens.plans.docs import with_comments
 from ledgerlens.session import new_scratch
 from ledgerlens.sources.schemas import FACT_PARTITION
 from ledgerlens.sources.tables import read_table
@@ -92,7 +93,8 @@ def write_fact(df: DataFrame, path: str, cluster_by: Sequence[str] = ("DATE", "O
 
 
 def merge_partitions(spark: SparkSession, delta: DataFrame, path: str, keys: Sequence[str],
-                     schema: T.StructType, cluster_by: Sequence[str] = ("DATE", "ORGANIZATION_ID")) -> None:
+                     schema: T.StructType, cluster_by: Sequence[str] = ("DATE", "ORGANIZATION_ID"),
+                     model: str | None = None) -> DataFrame:
     """Merge ``delta`` into the month-partitioned table at ``path`` by ``keys``.
 
     Only the months holding a delta row are read (a scalar-subquery range
@@ -101,15 +103,26 @@ def merge_partitions(spark: SparkSession, delta: DataFrame, path: str, keys: Seq
     cost follows the delta, not the table. The merged months are staged in
     the shared scratch folder first, then swapped in with a dynamic partition
     overwrite. A merge never deletes: a target row whose key is absent from
-    the delta survives.
+    the delta survives. Keys match null-safely, and a delta row with a null
+    DATE also reads back the null-month partition.
+
+    ``model`` names the column descriptions to keep in the rewritten files.
+    Returns the staged delta (a scan of its files), for callers that need
+    its bounds.
     """
     delta = delta.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
     delta = stage(spark, with_month(delta), "delta", T.StructType(schema.fields + [FACT_MONTH_FIELD]))
     target = read_table(spark, path, T.StructType(schema.fields + [FACT_MONTH_FIELD]))
-    touched = delta.select(FACT_PARTITION).distinct()
+    month = F.col(FACT_PARTITION)
+    touched = delta.select(month.alias("_TOUCHED")).distinct()
     first = delta.agg(F.min(FACT_PARTITION)).scalar()
-    old = target.where(F.col(FACT_PARTITION) >= first).join(touched, FACT_PARTITION, "left_semi")
-    merged = merge_incremental(old.select(*schema.fieldNames()), delta.select(*schema.fieldNames()), keys, schema)
+    has_null = delta.agg(F.max(month.isNull())).scalar()
+    old = (target.where((month >= first) | (month.isNull() & has_null))
+                 .join(touched, month.eqNullSafe(F.col("_TOUCHED")), "left_semi"))
+    merged = merge_incremental(old.select(*schema.fieldNames()), delta.select(*schema.fieldNames()), keys, schema,
+                               null_safe=True)
     staged = stage(spark, with_month(merged), "merged", T.StructType(schema.fields + [FACT_MONTH_FIELD]),
                    [FACT_PARTITION])
-    write_fact(staged.select(*schema.fieldNames()), path, cluster_by, dynamic=True)
+    out = staged.select(*schema.fieldNames())
+    write_fact(with_comments(out, model) if model else out, path, cluster_by, dynamic=True)
+    return delta

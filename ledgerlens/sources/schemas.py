@@ -88,3 +88,4 @@ MART_DAILY_BALANCE = T.StructType([
     T.StructField("PREV_DAILY_PAYMENT_AMOUNT", T.DecimalType(38, 8)),
     T.StructField("DOD_CHANGE_PCT", T.DoubleType()),
 ])
+MART_KEY = ("ORGANIZATION_ID", "DATE")
