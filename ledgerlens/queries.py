@@ -41,12 +41,12 @@ from ledgerlens.operators.quality import (
     run_checks,
 )
 from ledgerlens.operators.staging import stage_invoices, stage_organizations
-from ledgerlens.plans.build import Warehouse, build, load_raw, refresh_fact
+from ledgerlens.plans.build import Warehouse, build, load_raw, refresh_fact, refresh_mart
 from ledgerlens.plans.sinks import write_fact, write_table
 from ledgerlens.session import new_scratch
 from ledgerlens.sources.csv import INVOICES_GLOB, read_raw_csv, write_csv
 from ledgerlens.sources.fixtures import raw_invoices, raw_organizations, read_test_table
-from ledgerlens.sources.schemas import FACT_PAYMENTS, RAW_INVOICES, STG_INVOICES
+from ledgerlens.sources.schemas import FACT_PAYMENTS, MART_DAILY_BALANCE, RAW_INVOICES, STG_INVOICES
 from ledgerlens.sources.tables import read_table
 
 
@@ -289,6 +289,16 @@ def q_incremental_merge(spark, sf):
     return fact_view(read_table(spark, wh.fact, FACT_PAYMENTS))
 
 
+def q_incremental_mart(spark, sf):
+    wh = Warehouse(new_scratch(spark, "incremental_mart"))
+    s = stg_inv(spark, sf)
+    created = F.col("CREATED_DATE")
+    write_fact(fact_daily_payment(s.where((created <= _cutoff()) | created.isNull())), wh.fact)
+    refresh_mart(spark, wh)                              # mart built on the cut-off fact
+    refresh_mart(spark, wh, refresh_fact(spark, wh, s))  # fact merged, mart restated from the window
+    return mart_view(read_table(spark, wh.mart, MART_DAILY_BALANCE))
+
+
 def q_full_refresh(spark, sf):
     wh = Warehouse(new_scratch(spark, "full_refresh"))
     raw = raw_invoices(spark, sf)
@@ -333,5 +343,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_organizations": q_upsert_organizations,
     "incremental_window": q_incremental_window,
     "incremental_merge": q_incremental_merge,
+    "incremental_mart": q_incremental_mart,
     "full_refresh": q_full_refresh,
 }
