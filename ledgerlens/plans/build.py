@@ -29,6 +29,7 @@ from ledgerlens.plans.docs import register_tables, with_comments
 from ledgerlens.plans.sinks import (
     FACT_MONTH_FIELD,
     merge_partitions,
+    recover,
     replace_table,
     write_fact,
     write_sorted,
@@ -93,6 +94,7 @@ def load_raw(spark: SparkSession, wh: Warehouse, organizations: DataFrame | None
     Organizations match on ORGANIZATION_ID; invoices on (INVOICE_ID,
     TRANSACTION_ID) with null equal to ''.
     """
+    recover_tables(spark, wh)
     for df, path, schema, keys, null_as in (
         (organizations, wh.raw_organizations, RAW_ORGANIZATIONS, RAW_ORGANIZATIONS_KEY, None),
         (invoices, wh.raw_invoices, RAW_INVOICES, RAW_INVOICES_KEY, ""),
@@ -124,6 +126,7 @@ def build(spark: SparkSession, wh: Warehouse, full_refresh: bool = False, run_te
     fact from all invoices (dropping rows a merge would have kept) and the
     mart after it, and skips the checks, like a refresh run.
     """
+    recover_tables(spark, wh)
     raw_org = read_table(spark, wh.raw_organizations, RAW_ORGANIZATIONS)
     raw_inv = read_table(spark, wh.raw_invoices, RAW_INVOICES)
     write_table(stage_organizations(raw_org), wh.stg_organizations)
@@ -199,6 +202,12 @@ def table_paths(wh: Warehouse) -> dict[str, str]:
     }
 
 
+def recover_tables(spark: SparkSession, wh: Warehouse) -> list[str]:
+    """Finish any table swap a lost driver left half done; names of the
+    tables that were repaired."""
+    return [name for name, path in table_paths(wh).items() if recover(spark, path)]
+
+
 def register(spark: SparkSession, wh: Warehouse, database: str | None = None) -> None:
     """Expose every built table in the session catalog, with descriptions."""
     register_tables(spark, table_paths(wh), database)

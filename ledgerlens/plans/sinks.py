@@ -7,12 +7,22 @@
 * :func:`write_fact` / :func:`merge_partitions` — the month-partitioned,
   (DATE, ORGANIZATION_ID)-clustered fact and its incremental merge, which
   rewrites only the month partitions the delta touches.
+
+Both rewrites end with a *swap*: a copy from the staged result over the
+target. Spark's overwrite removes the old files before its job writes the
+new ones, so a driver lost during the copy would leave the target empty or
+partial. Each swap therefore first records the staged copy in a one-row
+marker next to the table and clears it when done; :func:`recover` redoes a
+recorded swap before the next run reads the table. The staged copy is never
+removed by the library (the shared scratch folder is expired by retention).
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,11 +66,64 @@ def stage(spark: SparkSession, df: DataFrame, label: str, schema: T.StructType |
     return read_table(spark, path, schema or df.schema)
 
 
-def replace_table(spark: SparkSession, df: DataFrame, path: str, schema: T.StructType | None = None,
-                  partition_by: Sequence[str] | None = None) -> None:
+def replace_table(spark: SparkSession, df: DataFrame, path: str, schema: T.StructType | None = None) -> None:
     """Overwrite ``path`` with ``df`` even when ``df`` reads ``path``."""
-    staged = stage(spark, df, "replace", schema, partition_by)
-    write_table(staged, path, partition_by)
+    staged_path = new_scratch(spark, "replace")
+    write_table(df, staged_path)
+    _swap(spark, path, staged_path, "table", schema or df.schema)
+
+
+# --- crash-safe swaps -------------------------------------------------------------
+PENDING_SUFFIX = "__pending"
+_PENDING = T.StructType([
+    T.StructField("STAGED", T.StringType()),
+    T.StructField("KIND", T.StringType()),         # "table": whole table; "months": partitions
+    T.StructField("SCHEMA", T.StringType()),       # JSON of the target schema
+    T.StructField("CLUSTER_BY", T.StringType()),   # comma-separated ("months" only)
+    T.StructField("MODEL", T.StringType()),        # column descriptions to keep, or null
+])
+
+
+def _pending_path(path: str) -> str:
+    return path.rstrip("/") + PENDING_SUFFIX
+
+
+def _write_marker(spark: SparkSession, path: str, rows: list[tuple]) -> None:
+    spark.createDataFrame(rows, _PENDING).coalesce(1).write.mode("overwrite").json(_pending_path(path))
+
+
+def _copy(spark: SparkSession, path: str, staged: str, kind: str, schema: T.StructType,
+          cluster_by: Sequence[str] = (), model: str | None = None) -> None:
+    if kind == "table":
+        write_table(read_table(spark, staged, schema), path)
+        return
+    out = read_table(spark, staged, T.StructType(schema.fields + [FACT_MONTH_FIELD])).select(*schema.fieldNames())
+    write_fact(with_comments(out, model) if model else out, path, cluster_by, dynamic=True)
+
+
+def _swap(spark: SparkSession, path: str, staged: str, kind: str, schema: T.StructType,
+          cluster_by: Sequence[str] = (), model: str | None = None) -> None:
+    _write_marker(spark, path, [(staged, kind, schema.json(), ",".join(cluster_by), model)])
+    _copy(spark, path, staged, kind, schema, cluster_by, model)
+    _write_marker(spark, path, [])
+
+
+def recover(spark: SparkSession, path: str) -> bool:
+    """Redo a swap into ``path`` that did not finish; True if one was redone.
+
+    The copy is idempotent (a whole-table overwrite, or a dynamic overwrite
+    of the staged months), so redoing it after any partial attempt yields
+    the intended table.
+    """
+    try:
+        pending = spark.read.schema(_PENDING).json(_pending_path(path)).collect()  # at most one row
+    except AnalysisException:
+        return False
+    for r in pending:
+        cluster_by = tuple(c for c in (r.CLUSTER_BY or "").split(",") if c)
+        _copy(spark, path, r.STAGED, r.KIND, T.StructType.fromJson(json.loads(r.SCHEMA)), cluster_by, r.MODEL)
+        _write_marker(spark, path, [])
+    return bool(pending)
 
 
 def cluster(df: DataFrame, by: Sequence[str], partitions: int | None = None) -> DataFrame:
@@ -121,8 +184,7 @@ def merge_partitions(spark: SparkSession, delta: DataFrame, path: str, keys: Seq
                  .join(touched, month.eqNullSafe(F.col("_TOUCHED")), "left_semi"))
     merged = merge_incremental(old.select(*schema.fieldNames()), delta.select(*schema.fieldNames()), keys, schema,
                                null_safe=True)
-    staged = stage(spark, with_month(merged), "merged", T.StructType(schema.fields + [FACT_MONTH_FIELD]),
-                   [FACT_PARTITION])
-    out = staged.select(*schema.fieldNames())
-    write_fact(with_comments(out, model) if model else out, path, cluster_by, dynamic=True)
+    staged_path = new_scratch(spark, "merged")
+    write_table(with_month(merged), staged_path, [FACT_PARTITION])
+    _swap(spark, path, staged_path, "months", schema, cluster_by, model)
     return delta

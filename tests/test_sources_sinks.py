@@ -61,7 +61,8 @@ def test_csv_failfast_on_bad_number(spark, tmp_dir):
 
 
 def _fact_rows(df):
-    return sorted((int(r.ORGANIZATION_ID), r.DATE, r.PAYMENT_AMOUNT_USD) for r in df.collect())
+    return sorted(((int(r.ORGANIZATION_ID), r.DATE, r.PAYMENT_AMOUNT_USD) for r in df.collect()),
+                  key=lambda t: (t[0], t[1] is None, t[1] or 0))
 
 
 def test_incremental_equals_full_over_window(spark, tmp_dir):
@@ -160,3 +161,44 @@ def test_comments_persist_and_tables_register(spark, tmp_dir):
     assert spark.table("mart_daily_org_balance").count() == read_table(spark, wh.mart).count()
     desc = {t.name: t.description for t in spark.catalog.listTables()}
     assert desc["dim_organizations"] == "Organization dimension with key dates and metadata."
+
+
+def test_swap_lost_mid_copy_is_redone(spark, tmp_dir):
+    """A driver lost between the marker and the end of a swap: the next run
+    finishes the copy from the staged result, for a whole table and for months."""
+    from ledgerlens.plans.build import recover_tables
+    from ledgerlens.plans.sinks import _write_marker, recover, with_month
+    from ledgerlens.session import new_scratch
+
+    wh = Warehouse(tmp_dir)
+    raw = raw_invoices(spark, SF_SMALL)
+    load_raw(spark, wh, invoices=raw)
+    n = raw.count()
+    # RAW: the staged upsert is complete, the overwrite has wiped the target.
+    staged = new_scratch(spark, "test-replace")
+    raw.withColumn("STATUS", F.lit("open")).write.parquet(staged)
+    _write_marker(spark, wh.raw_invoices, [(staged, "table", RAW_INVOICES.json(), "", None)])
+    spark.createDataFrame([], RAW_INVOICES).write.mode("overwrite").parquet(wh.raw_invoices)
+    assert read_table(spark, wh.raw_invoices, RAW_INVOICES).count() == 0
+    assert recover_tables(spark, wh) == ["raw_invoices"]
+    got = read_table(spark, wh.raw_invoices, RAW_INVOICES)
+    assert got.count() == n and got.where("STATUS <> 'open'").count() == 0
+    assert not recover(spark, wh.raw_invoices)          # marker cleared
+
+    # Fact months: the staged merge of one month was never copied.
+    stg = stage_invoices(raw)
+    write_fact(fact_daily_payment(stg), wh.fact)
+    fact = read_table(spark, wh.fact, FACT_PAYMENTS)
+    month = fact.where("DATE is not null").agg(F.max("DATE")).first()[0].replace(day=1)
+    in_month = F.trunc("DATE", "month") == F.lit(month)
+    staged = new_scratch(spark, "test-months")
+    changed = fact.where(in_month).withColumn(
+        "PAYMENT_AMOUNT_USD", (F.col("PAYMENT_AMOUNT_USD") + 1).cast(FACT_PAYMENTS["PAYMENT_AMOUNT_USD"].dataType))
+    with_month(changed).write.partitionBy("MONTH").parquet(staged)
+    others = ~in_month | F.col("DATE").isNull()
+    want_others, want_month = _fact_rows(fact.where(others)), _fact_rows(changed)
+    _write_marker(spark, wh.fact, [(staged, "months", FACT_PAYMENTS.json(), "DATE,ORGANIZATION_ID", None)])
+    assert recover(spark, wh.fact)
+    after = read_table(spark, wh.fact, FACT_PAYMENTS)
+    assert _fact_rows(after.where(others)) == want_others
+    assert _fact_rows(after.where(in_month)) == want_month
