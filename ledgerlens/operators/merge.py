@@ -23,7 +23,7 @@ class DuplicateKeyError(ValueError):
     """The update side holds a key more than once and no ordering was given."""
 
 
-def _key_cols(df: DataFrame, keys: Sequence[str], null_as: str | None, prefix: str) -> list[Column]:
+def key_columns(df: DataFrame, keys: Sequence[str], null_as: str | None, prefix: str) -> list[Column]:
     if null_as is None:
         return [F.col(k).alias(f"{prefix}{i}") for i, k in enumerate(keys)]
     return [F.coalesce(F.col(k), F.lit(null_as)).alias(f"{prefix}{i}") for i, k in enumerate(keys)]
@@ -35,7 +35,7 @@ def assert_unique_keys(updates: DataFrame, keys: Sequence[str], null_as: str | N
 
     One aggregate over the update side; only up to ``sample`` keys return.
     """
-    k = updates.select(*_key_cols(updates, keys, null_as, "_k"))
+    k = updates.select(*key_columns(updates, keys, null_as, "_k"))
     dups = check_unique(k, k.columns, ignore_nulls=False).limit(sample).collect()
     if dups:
         raise DuplicateKeyError(f"update keys {list(keys)} not unique, e.g. {[tuple(r)[:-1] for r in dups]}")
@@ -58,13 +58,13 @@ def upsert(base: DataFrame, updates: DataFrame, keys: Sequence[str], null_as: st
         if null_as is None:
             updates = latest_per_key(updates, keys, order_by)
         else:
-            norm = updates.select("*", *_key_cols(updates, keys, null_as, "_uk"))
+            norm = updates.select("*", *key_columns(updates, keys, null_as, "_uk"))
             uk = [f"_uk{i}" for i in range(len(keys))]
             updates = latest_per_key(norm, uk, order_by).drop(*uk)
     elif check_duplicates:
         assert_unique_keys(updates, keys, null_as)
-    upd_keys = updates.select(*_key_cols(updates, keys, null_as, "_uk"))
-    b = base.select("*", *_key_cols(base, keys, null_as, "_bk"))
+    upd_keys = updates.select(*key_columns(updates, keys, null_as, "_uk"))
+    b = base.select("*", *key_columns(base, keys, null_as, "_bk"))
     cond = [F.col(f"_bk{i}").eqNullSafe(F.col(f"_uk{i}")) if null_safe else F.col(f"_bk{i}") == F.col(f"_uk{i}")
             for i in range(len(keys))]
     kept = b.join(upd_keys, cond, "left_anti").select(*base.columns)

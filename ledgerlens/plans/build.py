@@ -15,10 +15,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.functions import LOOKBACK_DAYS
+from ledgerlens.functions import LOOKBACK_DAYS, lenient_timestamp
 from ledgerlens.operators.dims import dim_organizations
 from ledgerlens.operators.facts import fact_daily_payment
 from ledgerlens.operators.marts import mart_daily_balance, mart_daily_balance_since
@@ -31,6 +31,7 @@ from ledgerlens.plans.sinks import (
     merge_partitions,
     recover,
     replace_table,
+    upsert_months,
     write_fact,
     write_sorted,
     write_table,
@@ -43,6 +44,7 @@ from ledgerlens.sources.schemas import (
     MART_KEY,
     RAW_INVOICES,
     RAW_INVOICES_KEY,
+    RAW_INVOICES_PARTITION,
     RAW_ORGANIZATIONS,
     RAW_ORGANIZATIONS_KEY,
     STG_INVOICES,
@@ -87,25 +89,39 @@ class Warehouse:
         return self.path("marts/mart_daily_org_balance")
 
 
+def raw_invoice_month() -> Column:
+    """Partition value of a RAW invoice: the month of its (leniently parsed)
+    CREATED_AT; null when it does not parse."""
+    return F.trunc(F.to_date(lenient_timestamp("CREATED_AT")), "month")
+
+
 def load_raw(spark: SparkSession, wh: Warehouse, organizations: DataFrame | None = None,
              invoices: DataFrame | None = None) -> None:
     """Upsert landing rows into the RAW tables (insert-only on first load).
 
     Organizations match on ORGANIZATION_ID; invoices on (INVOICE_ID,
-    TRANSACTION_ID) with null equal to ''.
+    TRANSACTION_ID) with null equal to ''. RAW invoices are stored by the
+    month of CREATED_AT, so a load rewrites only the months it touches (new
+    invoices land in recent months); organizations, one snapshot row per
+    organization and load, are replaced whole.
     """
     recover_tables(spark, wh)
-    for df, path, schema, keys, null_as in (
-        (organizations, wh.raw_organizations, RAW_ORGANIZATIONS, RAW_ORGANIZATIONS_KEY, None),
-        (invoices, wh.raw_invoices, RAW_INVOICES, RAW_INVOICES_KEY, ""),
-    ):
-        if df is None:
-            continue
-        df = df.select(*[f.name for f in schema.fields])
+    if organizations is not None:
+        df = organizations.select(*RAW_ORGANIZATIONS.fieldNames())
+        path, keys = wh.raw_organizations, RAW_ORGANIZATIONS_KEY
+        if table_exists(spark, path):
+            replace_table(spark, upsert(read_table(spark, path, RAW_ORGANIZATIONS), df, keys), path, RAW_ORGANIZATIONS)
+        else:
+            write_table(upsert(df.limit(0), df, keys), path)
+    if invoices is not None:
+        df = invoices.select(*RAW_INVOICES.fieldNames())
+        path, keys = wh.raw_invoices, RAW_INVOICES_KEY
         if table_exists(spark, path):
-            replace_table(spark, upsert(read_table(spark, path, schema), df, keys, null_as=null_as), path, schema)
+            upsert_months(spark, df, path, RAW_INVOICES, keys, raw_invoice_month(), RAW_INVOICES_PARTITION,
+                          null_as="")
         else:
-            write_table(upsert(df.limit(0), df, keys, null_as=null_as), path)
+            first = upsert(df.limit(0), df, keys, null_as="")
+            write_table(first.withColumn(RAW_INVOICES_PARTITION, raw_invoice_month()), path, [RAW_INVOICES_PARTITION])
 
 
 def ingest_landing(spark: SparkSession, wh: Warehouse, landing_dir: str) -> None:

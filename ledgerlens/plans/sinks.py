@@ -23,11 +23,11 @@ import json
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlens.operators.merge import merge_incremental
+from ledgerlens.operators.merge import key_columns, assert_unique_keys, merge_incremental, upsert
 from ledgerlens.plans.docs import with_comments
 from ledgerlens.session import new_scratch
 from ledgerlens.sources.schemas import FACT_PARTITION
@@ -66,11 +66,64 @@ def stage(spark: SparkSession, df: DataFrame, label: str, schema: T.StructType |
     return read_table(spark, path, schema or df.schema)
 
 
-def replace_table(spark: SparkSession, df: DataFrame, path: str, schema: T.StructType | None = None) -> None:
-    """Overwrite ``path`` with ``df`` even when ``df`` reads ``path``."""
+def replace_table(spark: SparkSession, df: DataFrame, path: str, schema: T.StructType | None = None,
+                  partition_by: Sequence[str] = ()) -> None:
+    """Overwrite ``path`` with ``df`` even when ``df`` reads ``path``.
+
+    ``schema`` describes ``df`` including any ``partition_by`` columns.
+    """
     staged_path = new_scratch(spark, "replace")
-    write_table(df, staged_path)
-    _swap(spark, path, staged_path, "table", schema or df.schema)
+    write_table(df, staged_path, partition_by)
+    _swap(spark, path, staged_path, "table", schema or df.schema, partition_by=partition_by)
+
+
+def upsert_months(spark: SparkSession, updates: DataFrame, path: str, schema: T.StructType,
+                  keys: Sequence[str], month: Column, month_col: str, null_as: str | None = None) -> None:
+    """Upsert ``updates`` into a table partitioned by ``month_col`` (computed
+    by ``month`` from each row), rewriting only the months involved.
+
+    A month is involved when it receives an update row or holds a row whose
+    key is updated. An update may move a row to another month, so the
+    months holding updated keys are found by a semi join of the table's key
+    columns alone (a narrow scan) with the staged update keys. Only involved
+    months are read (an equi semi join on the partition column, so dynamic
+    partition pruning applies), merged, staged and swapped in with a dynamic
+    partition overwrite. If a merge would leave an involved month empty,
+    which a dynamic overwrite cannot express, the whole table is replaced
+    instead. Duplicate update keys raise, as in :func:`upsert`.
+    """
+    full = T.StructType(schema.fields + [T.StructField(month_col, T.DateType())])
+    m = F.col(month_col)
+    upd = stage(spark, updates.select(*schema.fieldNames()).withColumn(month_col, month), "upsert", full)
+    assert_unique_keys(upd, keys, null_as)
+    if month_col not in spark.read.parquet(path).columns:
+        # Stored without month partitions (e.g. written by another tool):
+        # one whole replace also moves it to the partitioned layout.
+        everything = upsert(read_table(spark, path, schema), upd.select(*schema.fieldNames()), keys,
+                            null_as=null_as, check_duplicates=False)
+        replace_table(spark, everything.withColumn(month_col, month), path, full, [month_col])
+        return
+    base = read_table(spark, path, full)
+    upd_keys = upd.select(*key_columns(upd, keys, null_as, "_uk"))
+    holders = base.select(m, *key_columns(base, keys, null_as, "_bk")).join(
+        upd_keys, [F.col(f"_bk{i}") == F.col(f"_uk{i}") for i in range(len(keys))], "left_semi")
+    touched = stage(spark, holders.select(m).unionByName(upd.select(m)).distinct(), "months",
+                    T.StructType([full[month_col]]))
+    has_null = touched.agg(F.max(m.isNull())).scalar()
+    old = (base.join(touched.where(m.isNotNull()), month_col, "left_semi")
+               .unionByName(base.where(m.isNull() & has_null)))
+    merged = upsert(old.select(*schema.fieldNames()), upd.select(*schema.fieldNames()), keys,
+                    null_as=null_as, check_duplicates=False)
+    staged_path = new_scratch(spark, "upserted")
+    write_table(merged.withColumn(month_col, month), staged_path, [month_col])
+    staged = read_table(spark, staged_path, full)
+    emptied = touched.join(staged.select(m.alias("_M")).distinct(), m.eqNullSafe(F.col("_M")), "left_anti")
+    if emptied.limit(1).count():
+        everything = upsert(base.select(*schema.fieldNames()), upd.select(*schema.fieldNames()), keys,
+                            null_as=null_as, check_duplicates=False)
+        replace_table(spark, everything.withColumn(month_col, month), path, full, [month_col])
+        return
+    _swap(spark, path, staged_path, "parts", full, partition_by=(month_col,))
 
 
 # --- crash-safe swaps -------------------------------------------------------------
@@ -81,6 +134,7 @@ _PENDING = T.StructType([
     T.StructField("SCHEMA", T.StringType()),       # JSON of the target schema
     T.StructField("CLUSTER_BY", T.StringType()),   # comma-separated ("months" only)
     T.StructField("MODEL", T.StringType()),        # column descriptions to keep, or null
+    T.StructField("PARTITION_BY", T.StringType()), # comma-separated ("table" / "parts")
 ])
 
 
@@ -93,18 +147,22 @@ def _write_marker(spark: SparkSession, path: str, rows: list[tuple]) -> None:
 
 
 def _copy(spark: SparkSession, path: str, staged: str, kind: str, schema: T.StructType,
-          cluster_by: Sequence[str] = (), model: str | None = None) -> None:
+          cluster_by: Sequence[str] = (), model: str | None = None, partition_by: Sequence[str] = ()) -> None:
     if kind == "table":
-        write_table(read_table(spark, staged, schema), path)
+        write_table(read_table(spark, staged, schema), path, partition_by)
+        return
+    if kind == "parts":
+        (read_table(spark, staged, schema).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*partition_by).parquet(path))
         return
     out = read_table(spark, staged, T.StructType(schema.fields + [FACT_MONTH_FIELD])).select(*schema.fieldNames())
     write_fact(with_comments(out, model) if model else out, path, cluster_by, dynamic=True)
 
 
 def _swap(spark: SparkSession, path: str, staged: str, kind: str, schema: T.StructType,
-          cluster_by: Sequence[str] = (), model: str | None = None) -> None:
-    _write_marker(spark, path, [(staged, kind, schema.json(), ",".join(cluster_by), model)])
-    _copy(spark, path, staged, kind, schema, cluster_by, model)
+          cluster_by: Sequence[str] = (), model: str | None = None, partition_by: Sequence[str] = ()) -> None:
+    _write_marker(spark, path, [(staged, kind, schema.json(), ",".join(cluster_by), model, ",".join(partition_by))])
+    _copy(spark, path, staged, kind, schema, cluster_by, model, partition_by)
     _write_marker(spark, path, [])
 
 
@@ -121,7 +179,9 @@ def recover(spark: SparkSession, path: str) -> bool:
         return False
     for r in pending:
         cluster_by = tuple(c for c in (r.CLUSTER_BY or "").split(",") if c)
-        _copy(spark, path, r.STAGED, r.KIND, T.StructType.fromJson(json.loads(r.SCHEMA)), cluster_by, r.MODEL)
+        partition_by = tuple(c for c in (r.PARTITION_BY or "").split(",") if c)
+        _copy(spark, path, r.STAGED, r.KIND, T.StructType.fromJson(json.loads(r.SCHEMA)), cluster_by, r.MODEL,
+              partition_by)
         _write_marker(spark, path, [])
     return bool(pending)
 

@@ -39,6 +39,8 @@ RAW_INVOICES = T.StructType([
 # Keys of the RAW upserts.
 RAW_ORGANIZATIONS_KEY = ("ORGANIZATION_ID",)
 RAW_INVOICES_KEY = ("INVOICE_ID", "TRANSACTION_ID")
+# Stored layout of RAW invoices: partitioned by the month of CREATED_AT.
+RAW_INVOICES_PARTITION = "CREATED_MONTH"
 
 STG_ORGANIZATIONS = T.StructType([
     T.StructField("ORGANIZATION_ID", ID),

@@ -177,7 +177,7 @@ def test_swap_lost_mid_copy_is_redone(spark, tmp_dir):
     # RAW: the staged upsert is complete, the overwrite has wiped the target.
     staged = new_scratch(spark, "test-replace")
     raw.withColumn("STATUS", F.lit("open")).write.parquet(staged)
-    _write_marker(spark, wh.raw_invoices, [(staged, "table", RAW_INVOICES.json(), "", None)])
+    _write_marker(spark, wh.raw_invoices, [(staged, "table", RAW_INVOICES.json(), "", None, "")])
     spark.createDataFrame([], RAW_INVOICES).write.mode("overwrite").parquet(wh.raw_invoices)
     assert read_table(spark, wh.raw_invoices, RAW_INVOICES).count() == 0
     assert recover_tables(spark, wh) == ["raw_invoices"]
@@ -197,8 +197,56 @@ def test_swap_lost_mid_copy_is_redone(spark, tmp_dir):
     with_month(changed).write.partitionBy("MONTH").parquet(staged)
     others = ~in_month | F.col("DATE").isNull()
     want_others, want_month = _fact_rows(fact.where(others)), _fact_rows(changed)
-    _write_marker(spark, wh.fact, [(staged, "months", FACT_PAYMENTS.json(), "DATE,ORGANIZATION_ID", None)])
+    _write_marker(spark, wh.fact, [(staged, "months", FACT_PAYMENTS.json(), "DATE,ORGANIZATION_ID", None, "")])
     assert recover(spark, wh.fact)
     after = read_table(spark, wh.fact, FACT_PAYMENTS)
     assert _fact_rows(after.where(others)) == want_others
     assert _fact_rows(after.where(in_month)) == want_month
+
+
+def _raw_rows(df):
+    return sorted(tuple("" if v is None else str(v) for v in r) for r in df.select(*RAW_INVOICES.fieldNames()).collect())
+
+
+def _month_files(path):
+    out = {}
+    for d, _, fs in os.walk(path):
+        for f in fs:
+            if f.endswith(".parquet"):
+                p = os.path.join(d, f)
+                out[os.path.relpath(p, path)] = os.stat(p).st_mtime_ns
+    return out
+
+
+def test_raw_invoice_upsert_rewrites_only_involved_months(spark, tmp_dir):
+    from ledgerlens.operators import upsert
+    wh = Warehouse(tmp_dir)
+    raw = raw_invoices(spark, SF_SMALL)
+    load_raw(spark, wh, invoices=raw)
+    before = _month_files(wh.raw_invoices)
+    assert len({os.path.dirname(p) for p in before}) > 40      # stored by month of CREATED_AT
+    k = F.substring("INVOICE_ID", 4, 32).cast("bigint")
+    in_month = raw.where(F.col("CREATED_AT").startswith("1996-03"))
+    moved_key = in_month.orderBy("INVOICE_ID").first().INVOICE_ID
+    upd = (in_month.where(k % 2 == 0).withColumn("STATUS", F.lit("open"))             # same month
+           .unionByName(raw.where(F.col("INVOICE_ID") == moved_key)
+                        .withColumn("CREATED_AT", F.lit("1998-07-01 00:00:00")))      # moves month
+           .unionByName(raw.where(k < 40).withColumn("INVOICE_ID", F.concat(F.lit("NEW"), "INVOICE_ID"))
+                        .withColumn("CREATED_AT", F.lit("1998-07-02 00:00:00"))))     # inserts
+    upd = upd.dropDuplicates(["INVOICE_ID", "TRANSACTION_ID"])
+    want = _raw_rows(upsert(raw, upd, ["INVOICE_ID", "TRANSACTION_ID"], null_as=""))
+    load_raw(spark, wh, invoices=upd)
+    got = read_table(spark, wh.raw_invoices, RAW_INVOICES)
+    assert _raw_rows(got) == want
+    after = _month_files(wh.raw_invoices)
+    rewritten = {os.path.dirname(p) for p in before if after.get(p) != before[p]}
+    assert rewritten == {"CREATED_MONTH=1996-03-01", "CREATED_MONTH=1998-07-01"}
+
+    # An update that moves every invoice out of a month falls back to one
+    # whole replace (a dynamic overwrite cannot empty a partition).
+    cur = read_table(spark, wh.raw_invoices, RAW_INVOICES)
+    upd2 = cur.where(F.col("CREATED_AT").startswith("1996-03")).withColumn("CREATED_AT", F.lit("1996-04-15 00:00:00"))
+    want2 = _raw_rows(upsert(cur, upd2, ["INVOICE_ID", "TRANSACTION_ID"], null_as=""))
+    load_raw(spark, wh, invoices=upd2)
+    assert _raw_rows(read_table(spark, wh.raw_invoices, RAW_INVOICES)) == want2
+    assert not os.path.isdir(os.path.join(wh.raw_invoices, "CREATED_MONTH=1996-03-01"))
