@@ -85,12 +85,14 @@ def upsert_months(spark: SparkSession, updates: DataFrame, path: str, schema: T.
     A month is involved when it receives an update row or holds a row whose
     key is updated. An update may move a row to another month, so the
     months holding updated keys are found by a semi join of the table's key
-    columns alone (a narrow scan) with the staged update keys. Only involved
-    months are read (an equi semi join on the partition column, so dynamic
-    partition pruning applies), merged, staged and swapped in with a dynamic
-    partition overwrite. If a merge would leave an involved month empty,
-    which a dynamic overwrite cannot express, the whole table is replaced
-    instead. Duplicate update keys raise, as in :func:`upsert`.
+    columns alone (a narrow scan) with the staged update keys. The involved
+    months are collected: at most one value per calendar month of history,
+    a size bounded by the calendar, not by the data. They become a literal
+    partition filter, so only their directories are listed and read. Those
+    months are merged, staged and swapped in with a dynamic partition
+    overwrite. If a merge would leave an involved month empty, which a
+    dynamic overwrite cannot express, the whole table is replaced instead.
+    Duplicate update keys raise, as in :func:`upsert`.
     """
     full = T.StructType(schema.fields + [T.StructField(month_col, T.DateType())])
     m = F.col(month_col)
@@ -107,18 +109,16 @@ def upsert_months(spark: SparkSession, updates: DataFrame, path: str, schema: T.
     upd_keys = upd.select(*key_columns(upd, keys, null_as, "_uk"))
     holders = base.select(m, *key_columns(base, keys, null_as, "_bk")).join(
         upd_keys, [F.col(f"_bk{i}") == F.col(f"_uk{i}") for i in range(len(keys))], "left_semi")
-    touched = stage(spark, holders.select(m).unionByName(upd.select(m)).distinct(), "months",
-                    T.StructType([full[month_col]]))
-    has_null = touched.agg(F.max(m.isNull())).scalar()
-    old = (base.join(touched.where(m.isNotNull()), month_col, "left_semi")
-               .unionByName(base.where(m.isNull() & has_null)))
+    involved = {r[0] for r in holders.select(m).unionByName(upd.select(m)).distinct().collect()}
+    dated = sorted(d for d in involved if d is not None)
+    in_months = m.isin(dated) if dated else F.lit(False)
+    old = base.where(in_months | m.isNull() if None in involved else in_months)
     merged = upsert(old.select(*schema.fieldNames()), upd.select(*schema.fieldNames()), keys,
                     null_as=null_as, check_duplicates=False)
     staged_path = new_scratch(spark, "upserted")
     write_table(merged.withColumn(month_col, month), staged_path, [month_col])
-    staged = read_table(spark, staged_path, full)
-    emptied = touched.join(staged.select(m.alias("_M")).distinct(), m.eqNullSafe(F.col("_M")), "left_anti")
-    if emptied.limit(1).count():
+    written = {r[0] for r in read_table(spark, staged_path, full).select(m).distinct().collect()}
+    if involved - written:
         everything = upsert(base.select(*schema.fieldNames()), upd.select(*schema.fieldNames()), keys,
                             null_as=null_as, check_duplicates=False)
         replace_table(spark, everything.withColumn(month_col, month), path, full, [month_col])
