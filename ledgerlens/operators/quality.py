@@ -174,14 +174,30 @@ def reference_checks(tables: dict[str, DataFrame]) -> list[Check]:
     return out
 
 
-def run_checks(tables: dict[str, DataFrame], checks: list[Check] | None = None) -> DataFrame:
+def failing_rows(tables: dict[str, DataFrame], check: Check) -> DataFrame:
+    """The rows that make ``check`` fail (empty when it passes)."""
+    if check.kind == "not_null":
+        return check_not_null(tables[check.model], check.columns[0])
+    if check.kind == "unique":
+        return check_unique(tables[check.model], check.columns)
+    return check.rows
+
+
+def run_checks(tables: dict[str, DataFrame], checks: list[Check] | None = None,
+               store_failures: str | None = None) -> DataFrame:
     """Summary with one row per check: CHECK_NAME, MODEL, FAILURES, STATUS.
 
     All not-null checks of a model share a single aggregate pass over it;
-    each uniqueness or singular check is one more aggregate. Failing rows are
-    not stored (call the ``check_*`` function to see them).
+    each uniqueness or singular check is one more aggregate. By default
+    failing rows are not stored (call :func:`failing_rows` to see them);
+    ``store_failures`` names a folder that receives, per check, a Parquet
+    table ``<folder>/<check name>`` of its failing rows (empty when it
+    passes), written by the executors.
     """
     checks = reference_checks(tables) if checks is None else checks
+    if store_failures:
+        for c in checks:
+            failing_rows(tables, c).write.mode("overwrite").parquet(f"{store_failures.rstrip('/')}/{c.name}")
     parts: list[DataFrame] = []
     by_model: dict[str, list[Check]] = {}
     for c in checks:

@@ -133,7 +133,7 @@ def ingest_landing(spark: SparkSession, wh: Warehouse, landing_dir: str) -> None
 
 
 def build(spark: SparkSession, wh: Warehouse, full_refresh: bool = False, run_tests: bool = True,
-          lookback_days: int = LOOKBACK_DAYS) -> DataFrame | None:
+          lookback_days: int = LOOKBACK_DAYS, store_failures: bool = False) -> DataFrame | None:
     """Build staging -> dimension / fact -> mart; return the check summary.
 
     The fact is incremental: when it exists and ``full_refresh`` is off, only
@@ -141,6 +141,8 @@ def build(spark: SparkSession, wh: Warehouse, full_refresh: bool = False, run_te
     merged into their month partitions. ``full_refresh=True`` rebuilds the
     fact from all invoices (dropping rows a merge would have kept) and the
     mart after it, and skips the checks, like a refresh run.
+    ``store_failures=True`` also writes each check's failing rows below the
+    warehouse's ``audit/`` folder.
     """
     recover_tables(spark, wh)
     raw_org = read_table(spark, wh.raw_organizations, RAW_ORGANIZATIONS)
@@ -155,7 +157,7 @@ def build(spark: SparkSession, wh: Warehouse, full_refresh: bool = False, run_te
     refresh_mart(spark, wh, delta, lookback_days)
     if full_refresh or not run_tests:
         return None
-    return run_checks(tables(spark, wh))
+    return run_checks(tables(spark, wh), store_failures=wh.path("audit") if store_failures else None)
 
 
 def refresh_fact(spark: SparkSession, wh: Warehouse, stg_inv: DataFrame, full_refresh: bool = False,

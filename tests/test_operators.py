@@ -208,6 +208,16 @@ def test_run_checks_summary(spark):
     assert len(s) == 9
 
 
+def test_run_checks_stores_failures(spark, tmp_path):
+    f = fact_df(spark, [(1, d(2024, 1, 1), 1), (1, d(2024, 1, 1), 2), (1, None, 3)])
+    out = str(tmp_path / "audit")
+    s = {r.CHECK_NAME: r.FAILURES for r in run_checks({"fact_organizations_payment": f}, store_failures=out).collect()}
+    stored = {name: spark.read.parquet(f"{out}/{name}").count() for name in s}
+    assert stored["not_null_fact_organizations_payment_date"] == 1
+    assert stored["unique_combination_fact_organizations_payment_organization_id_date"] == 1
+    assert stored["not_null_fact_organizations_payment_organization_id"] == 0
+
+
 def test_freshness_levels(spark):
     ev = spark.createDataFrame([(dt.datetime(2024, 1, 30, 23, 57, 12),)], "ts timestamp_ntz")
     nows = [dt.datetime(2024, 1, 31, 12), dt.datetime(2024, 2, 2, 0, 30), dt.datetime(2024, 2, 10),
