@@ -77,6 +77,14 @@ def replace_table(spark: SparkSession, df: DataFrame, path: str, schema: T.Struc
     _swap(spark, path, staged_path, "table", schema or df.schema, partition_by=partition_by)
 
 
+def month_filter(m: Column, months: set) -> Column:
+    """Literal predicate selecting ``months`` of the partition column ``m``
+    (``None`` selects the null partition); it prunes directories statically."""
+    dated = sorted(d for d in months if d is not None)
+    in_months = m.isin(dated) if dated else F.lit(False)
+    return in_months | m.isNull() if None in months else in_months
+
+
 def upsert_months(spark: SparkSession, updates: DataFrame, path: str, schema: T.StructType,
                   keys: Sequence[str], month: Column, month_col: str, null_as: str | None = None) -> None:
     """Upsert ``updates`` into a table partitioned by ``month_col`` (computed
@@ -110,9 +118,7 @@ def upsert_months(spark: SparkSession, updates: DataFrame, path: str, schema: T.
     holders = base.select(m, *key_columns(base, keys, null_as, "_bk")).join(
         upd_keys, [F.col(f"_bk{i}") == F.col(f"_uk{i}") for i in range(len(keys))], "left_semi")
     involved = {r[0] for r in holders.select(m).unionByName(upd.select(m)).distinct().collect()}
-    dated = sorted(d for d in involved if d is not None)
-    in_months = m.isin(dated) if dated else F.lit(False)
-    old = base.where(in_months | m.isNull() if None in involved else in_months)
+    old = base.where(month_filter(m, involved))
     merged = upsert(old.select(*schema.fieldNames()), upd.select(*schema.fieldNames()), keys,
                     null_as=null_as, check_duplicates=False)
     staged_path = new_scratch(spark, "upserted")

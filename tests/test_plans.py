@@ -176,3 +176,20 @@ def test_hot_organization_with_a_third_of_all_invoices(spark):
     days = mart[mart.DATE.notna()]
     assert days.PREV_DAILY_PAYMENT_AMOUNT.iloc[1:].tolist() == days.DAILY_PAYMENT_AMOUNT.iloc[:-1].tolist()
     assert pd.isna(days.PREV_DAILY_PAYMENT_AMOUNT.iloc[0])
+
+
+def test_raw_month_filter_prunes_partitions(spark, tmp_path):
+    import datetime as dt
+    from ledgerlens.plans.build import load_raw
+    from ledgerlens.plans.sinks import month_filter
+    from ledgerlens.sources.schemas import RAW_INVOICES, RAW_INVOICES_PARTITION
+    from pyspark.sql import types as T
+    w = Warehouse(str(tmp_path))
+    load_raw(spark, w, invoices=raw_invoices(spark, SF_SMALL))
+    full = T.StructType(RAW_INVOICES.fields + [T.StructField(RAW_INVOICES_PARTITION, T.DateType())])
+    base = read_table(spark, w.raw_invoices, full)
+    m = F.col(RAW_INVOICES_PARTITION)
+    p = plan(base.where(month_filter(m, {dt.date(1996, 3, 1), None})))
+    assert "PartitionFilters: [((CREATED_MONTH#" in p and "= 1996-03-01) OR isnull(CREATED_MONTH" in p
+    got = base.where(month_filter(m, {dt.date(1996, 3, 1)})).count()
+    assert got == base.where(F.col("CREATED_AT").startswith("1996-03")).count() > 0
