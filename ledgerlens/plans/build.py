@@ -2,13 +2,15 @@
 
 Layout of a warehouse (one Parquet directory per table):
 
-    raw/organizations  raw/invoices
+    raw/organizations  raw/invoices/CREATED_MONTH=yyyy-mm-01/   (month of CREATED_AT)
     curated/stg_organizations  curated/stg_invoices  curated/dim_organizations
     curated/fact_organizations_payment/MONTH=yyyy-mm-01/   (clustered by DATE, ORGANIZATION_ID)
     marts/mart_daily_org_balance/MONTH=yyyy-mm-01/        (clustered by DATE, ORGANIZATION_ID)
 
 Staged invoices are sorted by CREATED_DATE inside each file, so the
 incremental lookback filter (pushed to Parquet) skips old row groups.
+A table being swapped has a ``<table>__pending`` marker beside it until
+the swap completes (see :func:`ledgerlens.plans.sinks.recover`).
 """
 
 from __future__ import annotations
