@@ -155,8 +155,3 @@ def _one_row(*parts: DataFrame) -> DataFrame:
     for p in tagged[1:]:
         out = out.join(F.broadcast(p), "_one")
     return out.drop("_one")
-
-
-def summary_header(alert_date: str, threshold: float = DEFAULT_THRESHOLD, min_abs: float = SCRIPT_MIN_ABS) -> str:
-    """First line of the capped summary message (one value, no data)."""
-    return f"*Daily Balance alerts* for `{alert_date}`  (threshold={threshold:.2f}, min_abs={min_abs:,.0f})"
