@@ -5,6 +5,8 @@ from __future__ import annotations
 
 from ledgerlens.llm.bpe import op2_byte_level_bpe
 from ledgerlens.llm.common import documents
+from ledgerlens.llm.fingerprints import op9_document_fingerprints
+from ledgerlens.llm.mixing import op1_mixing_sources
 from ledgerlens.llm.quality import op6_quality_rules
 from ledgerlens.llm.token_files import op8_token_files
 
@@ -14,9 +16,11 @@ def _over_documents(op):
 
 
 QUERIES = {f.__name__: _over_documents(f) for f in (
+    op1_mixing_sources,
     op2_byte_level_bpe,
     op6_quality_rules,
     op8_token_files,
+    op9_document_fingerprints,
 )}
 
 # op6: the same rules, spelled out over lists.
