@@ -8,6 +8,8 @@ from ledgerlens.llm.common import documents
 from ledgerlens.llm.fingerprints import op9_document_fingerprints
 from ledgerlens.llm.mixing import op1_mixing_sources
 from ledgerlens.llm.quality import op6_quality_rules
+from ledgerlens.llm.substrings import op10_substring_dedup
+from ledgerlens.llm.suffixes import op5_suffix_array_dedup
 from ledgerlens.llm.token_files import op8_token_files
 
 
@@ -18,9 +20,11 @@ def _over_documents(op):
 QUERIES = {f.__name__: _over_documents(f) for f in (
     op1_mixing_sources,
     op2_byte_level_bpe,
+    op5_suffix_array_dedup,
     op6_quality_rules,
     op8_token_files,
     op9_document_fingerprints,
+    op10_substring_dedup,
 )}
 
 # op6: the same rules, spelled out over lists.
