@@ -6,6 +6,7 @@ from __future__ import annotations
 from ledgerlens.llm.bpe import op2_byte_level_bpe
 from ledgerlens.llm.common import documents
 from ledgerlens.llm.fingerprints import op9_document_fingerprints
+from ledgerlens.llm.jaccard import op3_ngram_jaccard_join
 from ledgerlens.llm.mixing import op1_mixing_sources
 from ledgerlens.llm.quality import op6_quality_rules
 from ledgerlens.llm.substrings import op10_substring_dedup
@@ -20,6 +21,7 @@ def _over_documents(op):
 QUERIES = {f.__name__: _over_documents(f) for f in (
     op1_mixing_sources,
     op2_byte_level_bpe,
+    op3_ngram_jaccard_join,
     op5_suffix_array_dedup,
     op6_quality_rules,
     op8_token_files,
