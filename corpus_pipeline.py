@@ -1,27 +1,55 @@
-"""Corpus pipeline: the training-data stages applied one after another to
-``documents``, each stage's rows written as Parquet and reread by the next."""
+"""Corpus pipeline: five training-data stages applied one after another to
+``documents``. Each stage works on all rows its predecessor kept; its output
+is written as Parquet and reread as the next stage's input. All but the last
+return the columns of ``documents``; the last adds each text's token ids.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlens.llm.bpe import encode_decode
 from ledgerlens.llm.common import documents, stored
+from ledgerlens.llm.jaccard import keep_one
+from ledgerlens.llm.mixing import mix
 from ledgerlens.llm.quality import quality_filter
+from ledgerlens.llm.suffixes import remove_repeats
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that every quality rule accepts."""
+    """Documents that every quality rule accepts; the others go."""
     return quality_filter(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest doc_id, of each group linked by
+    n-gram Jaccard similarity."""
+    return keep_one(docs)
+
+
+def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the bytes covered by strings that occur elsewhere."""
+    return remove_repeats(docs)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mixed corpus: a row for each time a document is taken, its text cut
+    to the words taken."""
+    return mix(docs).select(*docs.columns).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def byte_level_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every remaining document with its token ids."""
+    """Every row with its token ids, their count, and the hashes that show
+    that decoding gives the text back."""
     return encode_decode(docs, with_ids=True).drop("decoded")
 
 
 STAGES = [
     ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("suffix_array_dedup", suffix_array_dedup),
+    ("source_mix", source_mix),
     ("byte_level_bpe", byte_level_bpe),
 ]
 
