@@ -7,7 +7,9 @@ from ledgerlens.llm.bpe import op2_byte_level_bpe
 from ledgerlens.llm.common import documents
 from ledgerlens.llm.fingerprints import op9_document_fingerprints
 from ledgerlens.llm.jaccard import op3_ngram_jaccard_join
+from ledgerlens.llm.languages import op4_language_id
 from ledgerlens.llm.mixing import op1_mixing_sources
+from ledgerlens.llm.pseudo_likelihood import op7_lm_scoring
 from ledgerlens.llm.quality import op6_quality_rules
 from ledgerlens.llm.substrings import op10_substring_dedup
 from ledgerlens.llm.suffixes import op5_suffix_array_dedup
@@ -22,8 +24,10 @@ QUERIES = {f.__name__: _over_documents(f) for f in (
     op1_mixing_sources,
     op2_byte_level_bpe,
     op3_ngram_jaccard_join,
+    op4_language_id,
     op5_suffix_array_dedup,
     op6_quality_rules,
+    op7_lm_scoring,
     op8_token_files,
     op9_document_fingerprints,
     op10_substring_dedup,
