@@ -30,7 +30,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import stored, word_count, words
+from ledgerlens.llm.common import stored, unpacked, whole_row, word_count, words
 
 SEED = 20240
 BLOCK_ROWS = 32
@@ -209,13 +209,16 @@ def mix(docs: DataFrame, shards: int = SHARDS, **plan_args) -> DataFrame:
     ``epoch`` and ``words`` added, in shuffled order inside each shard. A
     document taken in part keeps its first ``words`` words."""
     plan = make_plan(_narrow(docs), shards=shards, **plan_args)
-    own = [c for c in docs.columns if c not in ("shard", "epoch", "words")]
-    out = with_draws(_hashed(docs.select(*own), word_count(F.col("text"))), plan)
-    out = out.select("*", F.explode("draws").alias("_d")).withColumn("text", F.when(
-        F.col("_d.words") < F.col("_size"), F.array_join(F.slice(words(F.col("text")), F.lit(1), F.col("_d.words").cast("int")), " "))
-        .otherwise(F.col("text")))
-    return out.select(*own, "_d.shard", "_d.epoch", "_d.words", "_h").repartition("shard").sortWithinPartitions(
-        "shard", F.xxhash64(F.lit(SEED), "_h", "epoch")).drop("_h")
+    made = ("shard", "epoch", "words")  # own columns of these names give way
+    rows = docs.select(whole_row(docs, made), "doc_id", "text", "source")
+    out = with_draws(_hashed(rows, word_count(F.col("text"))), plan).withColumn("_d", F.explode("draws"))
+    text = F.when(F.col("_d.words") < F.col("_size"), F.array_join(
+        F.slice(words(F.col("text")), F.lit(1), F.col("_d.words").cast("int")), " ")).otherwise(F.col("text"))
+    own = [text.alias("text") if c == "text" else col for c, col in zip(
+        [c for c in docs.columns if c not in made], unpacked(docs, made), strict=True)]
+    order = F.xxhash64(F.lit(SEED), "_h", "_d.epoch")
+    out = out.withColumn("_o", order).repartition("_d.shard").sortWithinPartitions("_d.shard", "_o")
+    return out.select(*own, "_d.shard", "_d.epoch", "_d.words")
 
 
 def op1_mixing_sources(docs: DataFrame) -> DataFrame:

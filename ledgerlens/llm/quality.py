@@ -19,9 +19,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import SPACE, stored, words
+from ledgerlens.llm.common import SPACE, stored, unpacked, whole_row, words
 
 WINDOW = 8
+FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 SYMBOLS = r"[#*$%&|<>]"
 
 
@@ -32,9 +33,10 @@ class Rule:
     reject: Callable[[], Column]
 
 
-def _prepared(df: DataFrame, text_col: str) -> DataFrame:
-    """The words of each text as ``_w``, their count as ``_n``, joined as ``_c``."""
-    out = df.withColumn("_w", words(F.col(text_col)))
+def _prepared(df: DataFrame, text: Column, without: tuple[str, ...] = ()) -> DataFrame:
+    """The row, its text, its words as ``_w``, their count as ``_n``, and the
+    words joined as ``_c``."""
+    out = df.select(whole_row(df, without), text.alias("_text"), words(text).alias("_w"))
     return out.withColumn("_n", F.size("_w").cast("long")).withColumn("_c", F.array_join("_w", ""))
 
 
@@ -127,7 +129,8 @@ def plan_cascade(df: DataFrame, rules: tuple[Rule, ...], text_col: str = "text",
     if not n:
         return list(rules)
     keep = min(1.0, sample_rows / n)
-    sample = stored(_prepared(df.select(F.col(text_col).alias("_text")).sample(keep, seed=7), "_text"), "quality-sample")
+    some = df.select(F.col(text_col).alias("text")).sample(keep, seed=7)
+    sample = stored(_prepared(some, F.col("text")).drop("_row"), "quality-sample")
     ranked = []
     for i, r in enumerate(rules):
         t = time.perf_counter()
@@ -145,16 +148,16 @@ def rejected(order: list[Rule]) -> Column:
 
 
 def quality_features(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """``df`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    base_failed and kept, the verdict of the ordered cascade."""
+    """``df`` with the columns FEATURES (own columns of these names give way);
+    ``kept`` is the verdict of the ordered cascade."""
     order = plan_cascade(df, EXTRA, text_col)
-    out = _prepared(df.withColumn("_text", F.col(text_col)), text_col).select(
+    out = _prepared(df, F.col(text_col), FEATURES).select(
         "*", F.col("_n").alias("n_words"), F.length("_c").cast("long").alias("word_chars"),
         n_symbols().alias("n_symbols"), n_dup_lines(F.col("_text")).alias("n_dup_lines"),
         n_repeat_words().alias("n_repeat_words"))
     out = out.withColumn("base_failed", (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")))
-    return out.withColumn("kept", F.when(F.col("base_failed"), F.lit(False)).otherwise(~rejected(order))).drop(
-        "_w", "_n", "_c", "_text")
+    out = out.withColumn("kept", F.when(F.col("base_failed"), F.lit(False)).otherwise(~rejected(order)))
+    return out.select(*unpacked(df, FEATURES), *FEATURES)
 
 
 def quality_filter(df: DataFrame, text_col: str = "text") -> DataFrame:
@@ -164,10 +167,8 @@ def quality_filter(df: DataFrame, text_col: str = "text") -> DataFrame:
     count is made only for texts that the rules before it let pass.
     """
     order = plan_cascade(df, BASE + EXTRA, text_col)
-    out = _prepared(df.withColumn("_text", F.col(text_col)), text_col)
-    return out.where(~rejected(order)).select(*df.columns)
+    return _prepared(df, F.col(text_col)).where(~rejected(order)).select(*unpacked(df))
 
 
 def op6_quality_rules(docs: DataFrame) -> DataFrame:
-    return quality_features(docs.select("doc_id", "text")).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return quality_features(docs.select("doc_id", "text")).drop("text")

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.anchors import classes, representatives, runs, shared_anchors, with_class
-from ledgerlens.llm.common import GOLD, U, mix, slices, stored, utf8, window_min
+from ledgerlens.llm.common import GOLD, U, mix, slices, stored, unpacked, utf8, whole_row, window_min
 
 LENGTH = 200
 #: Bytes of the grams whose hashes serve as anchors (a multiple of 8).
@@ -241,15 +241,13 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     per_class = classes(rows)
     done = repeated_spans(rows, per_class, length).select("cls", "cls2", F.try_validate_utf8(F.decode("kept", "utf-8")).alias("left"))
     text = F.coalesce("text", F.lit(""))
-    own = [c for c in docs.columns if c not in ("cls", "cls2")]
-    out = docs.select(*own, F.xxhash64(text).alias("cls"), F.xxhash64(F.lit(1), text).alias("cls2"))
+    out = docs.select(whole_row(docs), text.alias("text"), F.xxhash64(text).alias("cls"), F.xxhash64(F.lit(1), text).alias("cls2"))
     out = out.join(per_class.where("copies > 1").select("cls", "cls2", "copies"), ["cls", "cls2"], "left").join(
         done, ["cls", "cls2"], "left")
     whole = F.col("copies").isNotNull() & (F.octet_length("text") >= length)
-    out = out.withColumn("text", F.when(whole, F.lit("")).otherwise(F.coalesce("left", "text")))
-    if "n_chars" in own:
-        out = out.withColumn("n_chars", F.length("text").cast("long"))
-    return out.select(*own)
+    kept = F.when(whole, F.lit("")).otherwise(F.coalesce(F.col("left"), F.col("_row.text")))
+    changed = {"text": kept.alias("text"), "n_chars": F.length(kept).cast("long").alias("n_chars")}
+    return out.select(*[changed.get(c, col) for c, col in zip(docs.columns, unpacked(docs), strict=True)])
 
 
 def op5_suffix_array_dedup(docs: DataFrame) -> DataFrame:
