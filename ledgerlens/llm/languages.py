@@ -140,12 +140,12 @@ def viterbi(scores: np.ndarray, begin: np.ndarray, size: np.ndarray, prior: np.n
     order = np.argsort(-size, kind="stable")
     begin, size = begin[order], size[order]
     active = np.searchsorted(-size, -np.arange(1, (size[0] if len(size) else 0) + 1), side="right")
-    value, steps = np.repeat(prior[:, None], len(size), 1), []
+    value, steps = np.repeat(prior[:, None], len(size), 1), []  # the first word changes from nothing
     for t, k in enumerate(active.tolist()):
         v = value[:, :k]
         best = v.argmax(0)
         change = v[best, np.arange(k)] - switch
-        stay = v >= change
+        stay = (v >= change) | (t == 0)
         value = np.where(stay, v, change) + scores[:, begin[:k] + t]
         steps.append((stay, best))
         if t + 1 < len(active) and active[t + 1] < k or t + 1 == len(active):

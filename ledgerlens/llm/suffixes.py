@@ -214,13 +214,14 @@ def _removed(length: int):
                 kept.append(raw[~gone].tobytes())
             yield pa.RecordBatch.from_arrays(
                 [b.column("cls"), b.column("cls2"), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                 pa.array(kept, pa.binary())], ["cls", "cls2", "spans", "kept"])
+                 pa.array(kept, pa.binary()), pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string())],
+                ["cls", "cls2", "spans", "kept", "kept_text"])
     return run
 
 
 def repeated_spans(rows: DataFrame, per_class: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(cls, cls2, spans, kept) of every text without copies that has bytes
-    covered by repeated strings: byte spans removed and the bytes left."""
+    """(cls, cls2, spans, kept, kept_text) of every text without copies that has
+    bytes covered by repeated strings: byte spans removed and the bytes left."""
     shared = shared_anchors(rows, byte_anchors(length), within=True)
     reps = stored(representatives(rows, per_class, shared, ["copies"]), "suffix-texts")
     total = reps.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -231,7 +232,7 @@ def repeated_spans(rows: DataFrame, per_class: DataFrame, length: int = LENGTH)
         _matches(length), "cls long, low long, high long")
     found = found.groupBy("cls").agg(F.collect_list(F.struct("low", "high")).alias("found"))  # bounded by the text
     return (reps.where("copies < 2").select("cls", "cls2", "text").join(found, "cls")
-            .mapInArrow(_removed(length), "cls long, cls2 long, spans array<struct<start:long,end:long>>, kept binary"))
+            .mapInArrow(_removed(length), "cls long, cls2 long, spans array<struct<start:long,end:long>>, kept binary, kept_text string"))
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -239,7 +240,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     texts; a text left empty stays, as an empty one, and n_chars follows."""
     rows = with_class(docs)
     per_class = classes(rows)
-    done = repeated_spans(rows, per_class, length).select("cls", "cls2", F.try_validate_utf8(F.decode("kept", "utf-8")).alias("left"))
+    done = repeated_spans(rows, per_class, length).select("cls", "cls2", F.col("kept_text").alias("left"))
     text = F.coalesce("text", F.lit(""))
     out = docs.select(whole_row(docs), text.alias("text"), F.xxhash64(text).alias("cls"), F.xxhash64(F.lit(1), text).alias("cls2"))
     out = out.join(per_class.where("copies > 1").select("cls", "cls2", "copies"), ["cls", "cls2"], "left").join(

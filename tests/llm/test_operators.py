@@ -1,0 +1,414 @@
+"""Each operator against a brute-force version on a small fixture with nulls,
+empty and long texts, ties, repeated rows, hot groups and clashing columns;
+and over an empty table."""
+
+import hashlib
+import re
+import zlib
+from collections import Counter, defaultdict
+from itertools import combinations
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerlens.llm import (
+    bpe, fingerprints, jaccard, languages, mixing, pseudo_likelihood, quality, substrings, suffixes, token_files)
+from ledgerlens.llm.queries import QUERIES
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, cls long, _w string, token string, draws int"
+SYLLABLES = "an be co du er fi go ha in ju ka lo mé ñu ör pi".split()
+
+
+def sha(data):
+    return hashlib.sha256(data.encode("utf-8") if isinstance(data, str) else data).hexdigest()
+
+
+def prose(rng, n):
+    made = ["".join(rng.choice(SYLLABLES, rng.integers(1, 5))) for _ in range(n)]
+    return " ".join(w + ("\n" if rng.random() < 0.05 else "") for w in made)
+
+
+def fixture_rows():
+    rng = np.random.default_rng(5)
+    base, passage = prose(rng, 260), prose(rng, 70)
+    texts = [None, "", " \n\t ", "one", "one two three", "ONE Two three", "a" * 900, "ab" * 450, "x " * 300]
+    texts += [prose(rng, int(rng.integers(5, 400))) for _ in range(30)]
+    texts += [base] * 5 + [base.replace(base.split()[i], "zz", 1) for i in range(10, 200, 16)]
+    texts += [base.upper(), base + " tail of it", " ".join(base.split()[:130])]
+    texts += [f"{prose(rng, 30)} {passage} {prose(rng, 40)}" for _ in range(6)] + [passage]
+    texts += [prose(rng, 25000), "日本語 のテキスト 123 !! ñandú", "### &&& *** " * 30, "line of words here\n" * 12, "\x85\x1c q r ½²"]
+    rows = [(i * 7 % 1000, t) for i, t in enumerate(texts)]
+    rows += [rows[12], rows[40], (None, base), (None, texts[12]), (None, None)]
+    out = []
+    for i, (d, t) in enumerate(rows):
+        lang = ["en", "fr", None][i % 3]
+        source = [None, "hot", "hot", "é", "b", ""][i % 6]
+        out.append((d, t, lang, source, len(t or ""), 1, "w", "t", 3))
+    return out
+
+
+ROWS = fixture_rows()
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(ROWS, SCHEMA).repartition(5)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def texts_by_id():
+    return [(d, t or "") for d, t, *_ in ROWS]
+
+
+def same(got, expected):
+    key = repr
+    assert sorted(map(tuple, got), key=key) == sorted(expected, key=key)
+
+
+# --- op1 -----------------------------------------------------------------------------
+def test_mixing(docs):
+    got = mixing.op1_mixing_sources(docs).collect()
+    again = mixing.op1_mixing_sources(docs.repartition(3)).collect()
+    same(again, [tuple(r) for r in got])
+    sizes = defaultdict(int)
+    for _, t, _, s, *_ in ROWS:
+        sizes[s] += len(WORD.findall(t or ""))
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    goal = dict(zip(order, mixing.targets([sizes[s] for s in order], [1.0, 2.0, 3.0] * 5, sum(sizes.values()))))
+    assert len(got) == len(ROWS)
+    taken = defaultdict(int)
+    for r in got:
+        assert 0 <= r.taken <= 3 * r.size
+        taken[round(r.target, 6)] += r.taken
+    assert sum(r["size"] for r in got) == sum(sizes.values())
+    wanted = defaultdict(float)  # sources with equal targets together
+    for g in goal.values():
+        wanted[round(g, 6)] += g
+    for g, total in wanted.items():
+        assert abs(taken[g] - total) <= 2 * len(goal)
+
+
+def test_targets_cap_and_reshare():
+    got = mixing.targets([10, 1000, 1000], [3, 1, 1], 2010)
+    assert got == [30, 990, 990]
+    assert mixing.targets([0, 0], [1, 2], 0) == [0, 0]
+    assert mixing.targets([], [], 0) == []
+
+
+def test_splitting_tree_is_exact_and_disjoint():
+    quotas = [7, 0, 10_000, 333]
+    dealt = mixing.split_quotas(quotas, 13)
+    assert (dealt >= 0).all() and dealt.sum(0).tolist() == quotas
+    assert dealt.sum(1).max() - dealt.sum(1).min() <= 4
+
+
+def test_mix_rows(docs):
+    got = mixing.mix(docs, shards=4)
+    assert got.columns == docs.columns + ["shard", "epoch", "words"]
+    rows = got.collect()
+    for r in rows:
+        assert len(WORD.findall(r.text)) == r.words and r._w == "w" and r.draws == 3
+    per_doc = mixing.op1_mixing_sources(docs).agg(F.sum("taken")).first()[0]
+    assert sum(r.words for r in rows) == per_doc
+
+
+# --- op2 -----------------------------------------------------------------------------
+def tiktoken_encoding():
+    import base64
+
+    import public_tokenizers as P
+    import tiktoken
+
+    with open(bpe.RANKS, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    return tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_byte_level_bpe(docs):
+    enc = tiktoken_encoding()
+    expected = []
+    for d, t in texts_by_id():
+        ids = np.array(enc.encode_ordinary(t), "<u4")
+        expected.append((d, len(ids), sha(ids.tobytes()), sha(t)))
+    same(bpe.op2_byte_level_bpe(docs).collect(), expected)
+
+
+def test_prefix_table_append_and_edit():
+    table, coder, rng = bpe.PrefixTable(bpe.PrefixBpe()), bpe.PrefixBpe(), np.random.default_rng(2)
+    enc = tiktoken_encoding()
+    for _ in range(60):
+        piece = "".join(rng.choice(list("abehinorstñ"), 6)).encode()
+        if rng.random() < 0.5 or len(table.data) < 12:
+            table.append(piece)
+        else:
+            at = int(rng.integers(0, len(table.data) - 3))
+            table.edit(at, 2, piece[:3])
+        assert table.ids() == coder.read(coder.extend(table.data, [], 0))
+        word = table.data.decode("utf-8", "ignore")
+        if word.encode() == table.data and word.isalpha():
+            assert coder.encode_word(table.data) == enc.encode_ordinary(word)
+        assert coder.decode(table.ids()) == table.data
+
+
+# --- op3 -----------------------------------------------------------------------------
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def shingles(t):
+    w = WORD.findall(t.translate(LOWER))
+    return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
+
+
+def brute_components(pairs_of):
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for (a, x), (b, y) in combinations(pairs_of, 2):
+        if a is not None and b is not None and x and y and 100 * len(x & y) >= 80 * len(x | y):
+            a, b = root(a), root(b)
+            parent[max(a, b)] = min(a, b)
+    return root
+
+
+def test_ngram_jaccard(docs):
+    sets = [(d, shingles(t)) for d, t in texts_by_id()]
+    root = brute_components(sets)
+    same(jaccard.op3_ngram_jaccard_join(docs).collect(), [(d, len(s), None if d is None else root(d)) for d, s in sets])
+    kept = jaccard.keep_one(docs)
+    assert kept.columns == docs.columns
+    ids = Counter(r.doc_id for r in kept.collect())
+    assert set(ids) == {None} | {root(d) for d, _ in sets if d is not None}
+
+
+def test_prefix_filter_bound():
+    rng = np.random.default_rng(9)
+    for _ in range(300):
+        x = set(rng.integers(0, 60, rng.integers(1, 50)).tolist())
+        y = set(list(x)[: rng.integers(1, len(x) + 1)]) | set(rng.integers(0, 60, rng.integers(0, 5)).tolist())
+        if 5 * len(x & y) >= 4 * len(x | y):
+            for order in (lambda v: v, lambda v: v * 37 % 61):
+                a, b = sorted(x, key=order), sorted(y, key=order)
+                assert set(a[:jaccard.prefix_size(len(a))]) & set(b[:jaccard.prefix_size(len(b))])
+
+
+# --- op4 -----------------------------------------------------------------------------
+def test_language_id_edges(docs):
+    got = languages.op4_language_id(docs).collect()
+    assert len(got) == len(ROWS)
+    by_id = defaultdict(list)
+    for d, t, *_ in ROWS:
+        by_id[d].append(any(c.isalpha() for c in t or ""))
+    for r in got:
+        assert 0 <= r.score <= 1
+        assert r.held_out == (zlib.crc32(str("" if r.doc_id is None else r.doc_id).encode()) % 5 == 0)
+        if len(set(by_id[r.doc_id])) == 1:
+            assert (r.lang_pred in ("en", "fr")) == by_id[r.doc_id][0]
+
+
+def test_language_spans_of_a_mixed_text(spark):
+    en, de, ru = "the house with whom they think", "der große garten schön über nichts", "мир труд май над нами всегда"
+    rows = [(i, t * 3, lang) for i in range(1, 90) for t, lang in ((en, "en"), (de, "de"), (ru, "ru"))]
+    train = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    mixed = spark.createDataFrame([(1, f"{en} {de} {ru}"), (2, "123 !?"), (3, None), (4, "日本")], "doc_id long, text string")
+    out = {r.doc_id: r for r in languages.predict(mixed, languages.fit(train), spans=True).collect()}
+    assert [s.lang for s in out[1].spans] == ["en", "de", "ru"]
+    assert out[1].spans[1].start == len(en) + 1
+    assert out[2].lang_pred == out[3].lang_pred == "und" and out[4].lang_pred in ("en", "de", "ru")
+
+
+def test_viterbi_matches_brute_force():
+    rng = np.random.default_rng(4)
+    for n in (1, 2, 6):
+        s, prior = rng.normal(size=(3, n)), rng.normal(size=3)
+
+        def value(path):
+            return prior[path[0]] + sum(s[p, i] for i, p in enumerate(path)) - 0.7 * sum(a != b for a, b in zip(path, path[1:]))
+
+        paths = [()]
+        for _ in range(n):
+            paths = [p + (k,) for p in paths for k in range(3)]
+        got = languages.viterbi(s, np.array([0]), np.array([n]), prior, 0.7)
+        assert value(tuple(got.tolist())) == pytest.approx(max(map(value, paths)))
+
+
+# --- op5 -----------------------------------------------------------------------------
+def test_suffix_array_dedup(docs):
+    raw = [(d, t.encode()) for d, t in texts_by_id()]
+    seen = Counter(b[i:i + 200] for _, b in raw for i in range(len(b) - 199))
+    expected, left = [], []
+    for d, b in raw:
+        gone = bytearray(len(b))
+        for i in range(len(b) - 199):
+            if seen[b[i:i + 200]] > 1:
+                gone[i:i + 200] = b"\x01" * 200
+        kept = bytes(c for c, g in zip(b, gone) if not g)
+        expected.append((d, len(b), sum(gone), len(re.findall(rb"\x01+", bytes(gone))), sha(kept)))
+        left.append((d, kept.decode("utf-8", "ignore")))
+    same(suffixes.op5_suffix_array_dedup(docs).collect(), expected)
+    cleaned = suffixes.remove_repeats(docs)
+    assert cleaned.columns == docs.columns
+    for r in cleaned.collect():
+        assert r.text is None or r.n_chars == len(r.text)
+    same([(r.doc_id, (r.text or "").replace("�", "")) for r in cleaned.select("doc_id", "text").collect()], left)
+
+
+def test_suffix_family_finds_every_repeat():
+    rng = np.random.default_rng(1)
+    family, found, seen = suffixes.SuffixFamily(), set(), Counter()
+    for b in range(40):
+        keys = rng.integers(97, 100, (int(rng.integers(1, 60)), 5)).astype(np.uint8).view("S5").ravel()
+        ids = np.arange(len(keys)) + 1000 * b
+        seen.update(zip(keys.tolist(), ids.tolist()))
+        found |= set(family.add(keys, ids).tolist())
+    by_key = defaultdict(list)
+    for k, i in seen:
+        by_key[k].append(i)
+    repeated = {k: v for k, v in by_key.items() if len(v) > 1}
+    assert len(family.levels) <= 10
+    assert found == {i for v in repeated.values() for i in v}
+
+
+# --- op6 -----------------------------------------------------------------------------
+def test_quality_features(docs):
+    expected = []
+    for d, t in texts_by_id():
+        w = WORD.findall(t)
+        at = defaultdict(list)
+        for i in range(len(w) - 7):
+            at[tuple(w[i:i + 8])].append(i)
+        repeat = {p for v in at.values() if len(v) > 1 for i in v for p in range(i, i + 8)}
+        lines = [x for x in t.split("\n") if WORD.search(x)]
+        chars, marks = sum(map(len, w)), t.count("!")
+        symbols, dup = len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines))
+        failed = len(w) < 20 or 100 * len(repeat) > 30 * len(w)
+        bad = 20 * symbols > chars or 20 * marks > chars or chars > 20 * len(w) or chars < 2 * len(w) or 2 * dup > len(lines)
+        expected.append((d, len(w), chars, symbols, dup, len(repeat), failed, not failed and not bad))
+    same(quality.op6_quality_rules(docs).collect(), expected)
+    kept = quality.quality_filter(docs)
+    assert kept.columns == docs.columns
+    same([(r.doc_id,) for r in kept.select("doc_id").collect()], [(e[0],) for e in expected if e[-1]])
+
+
+def test_cascade_orders_by_rejection_per_cost(docs):
+    order = quality.plan_cascade(docs, quality.BASE + quality.EXTRA)
+    assert {r.name for r in order} == {r.name for r in quality.BASE + quality.EXTRA}
+
+
+# --- op7 -----------------------------------------------------------------------------
+def test_pseudo_likelihood(docs):
+    common, values = pseudo_likelihood.train(docs)
+    got = pseudo_likelihood.score(docs, common, values).collect()
+    assert len(got) == len(ROWS)
+    same([(r.doc_id, r.n_tokens) for r in got], [(d, len(WORD.findall(t))) for d, t in texts_by_id()])
+    for r in got:
+        assert (r.mean_log_prob is None) == (r.n_tokens == 0) and r.pseudo_log_likelihood <= 0
+    start = pseudo_likelihood.score(docs, common, pseudo_likelihood.flat(pseudo_likelihood.start_parameters())).collect()
+    assert sum(r.pseudo_log_likelihood for r in got) > sum(r.pseudo_log_likelihood for r in start)
+
+
+def test_gradient_step_lowers_the_loss_and_sums_to_one():
+    rng = np.random.default_rng(0)
+    p = pseudo_likelihood.start_parameters()
+    context = rng.integers(0, 5, (64, 4))
+    token = context[:, 1]
+    before = pseudo_likelihood.log_probability(p, context, token).sum()
+    for _ in range(50):
+        pseudo_likelihood.step(p, context, token, 0.5)
+    assert pseudo_likelihood.log_probability(p, context, token).sum() > before
+    every = [pseudo_likelihood.log_probability(p, context[:1], np.array([k])) for k in range(pseudo_likelihood.VOCABULARY)]
+    assert np.exp(np.concatenate(every)).sum() == pytest.approx(1, abs=1e-4)
+
+
+# --- op8 -----------------------------------------------------------------------------
+def test_token_files(docs, spark, tmp_dir):
+    from tokenizers import Tokenizer
+
+    tk = Tokenizer.from_file(token_files.TOKENIZER)
+    tk.encode_special_tokens = True
+    rows = sorted(texts_by_id(), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    expected, start = [], 0
+    for d, t in rows:
+        ids = tk.encode(t, add_special_tokens=False).ids + [0]
+        expected.append((d, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    same(token_files.op8_token_files(docs).collect(), expected)
+    path = f"{tmp_dir}/tokens"
+    token_files.write_token_files(docs, path)
+    back = token_files.read_token_files(spark, path).collect()
+    same([(r.doc_id, r.start, r.n_tokens, zlib.crc32(np.array(r.ids, "<u4").tobytes())) for r in back], expected)
+
+
+# --- op9 -----------------------------------------------------------------------------
+def test_fingerprints(docs):
+    got = fingerprints.op9_document_fingerprints(docs).collect()
+    rows = sorted(texts_by_id(), key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    made = fingerprints._Fingerprinter()
+    expected = []
+    for i, (d, t) in enumerate(rows):
+        nxt = rows[(i + 1) % len(rows)][1]
+        half = len(t) // 2
+        edited = t[:len(t) - half] + nxt[:half]
+        expected.append((d, len(t), sha(edited), made.text(t)[3], made.text(edited)[3]))
+    same([(r.doc_id, r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint) for r in got], expected)
+    assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in got)
+
+
+def test_prefix_hashes_spans_and_extensions():
+    powers = [fingerprints.Powers(b, p) for b, p in zip(fingerprints.BASES, fingerprints.PRIMES)]
+    a, b = "the quick brown fox jumps", "a quick brown fox naps"
+    x, y = (fingerprints.PrefixHashes(np.frombuffer(s.encode("utf-32-le"), "<u4"), powers) for s in (a, b))
+    assert x.lce(4, y, 2) == len("quick brown fox ") and x.lce(0, y, 0) == 0
+    assert x.equal(4, y, 2, 5) and not x.equal(4, y, 3, 5) and x.span(3, 3) == y.span(0, 0)
+
+
+def test_single_document_follows_itself(spark):
+    one = spark.createDataFrame([(3, "abcd")], "doc_id long, text string")
+    r = fingerprints.op9_document_fingerprints(one).first()
+    assert r.edited_sha256 == sha("abab") and r.near_next == 1.0
+
+
+# --- op10 ----------------------------------------------------------------------------
+def test_substring_dedup(docs):
+    rows = texts_by_id()
+    place = [float("inf") if d is None else d for d, _ in rows]
+    first = {}
+    for p, (_, t) in zip(place, rows):
+        w = WORD.findall(t)
+        for i in range(len(w) - 49):
+            key = tuple(w[i:i + 50])
+            first[key] = min(first.get(key, p), p)
+    expected = []
+    for p, (d, t) in zip(place, rows):
+        w = WORD.findall(t)
+        gone = [False] * len(w)
+        for i in range(len(w) - 49):
+            if first[tuple(w[i:i + 50])] < p:
+                gone[i:i + 50] = [True] * 50
+        expected.append((d, len(w), sum(gone), sha(" ".join(x for x, g in zip(w, gone) if not g))))
+    same(substrings.op10_substring_dedup(docs).collect(), expected)
+
+
+# --- all -----------------------------------------------------------------------------
+OPERATORS = [mixing.op1_mixing_sources, bpe.op2_byte_level_bpe, jaccard.op3_ngram_jaccard_join, languages.op4_language_id,
+             suffixes.op5_suffix_array_dedup, quality.op6_quality_rules, pseudo_likelihood.op7_lm_scoring,
+             token_files.op8_token_files, fingerprints.op9_document_fingerprints, substrings.op10_substring_dedup]
+
+
+@pytest.mark.parametrize("op", OPERATORS, ids=lambda f: f.__name__)
+def test_empty_table(empty, op):
+    out = op(empty)
+    assert out.columns[0] == "doc_id" and out.count() == 0
+
+
+def test_all_operators_are_registered():
+    assert set(QUERIES) == {f.__name__ for f in OPERATORS}
