@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,12 +27,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import slices
+from ledgerlens.llm.common import Splitter, per_worker, slices
 from ledgerlens.session import new_scratch
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 0
-#: Distinct words whose ids a task keeps (two generations of this size).
+#: Distinct words whose ids a Python worker keeps (two generations of this size).
 MEMO = 250_000
 ROW_GROUP_BYTES = 8 << 20
 PAGE_BYTES = 128 << 10
@@ -46,12 +47,11 @@ class _Words:
     """
 
     def __init__(self, path: str):
-        import regex
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.model = Tokenizer.from_file(path).model
-        self.find = regex.compile(public_tokenizers.PATTERN).findall
+        self.find = Splitter()
         # The byte-level alphabet: printable Latin-1 bytes stand for
         # themselves, the others for the code points from 256 on.
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -61,7 +61,7 @@ class _Words:
 
     def _ids(self, word: str) -> bytes:
         shown = word.encode("utf-8").decode("latin-1").translate(self.table)
-        return np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
+        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
 
     def encode(self, text: str) -> bytes:
         found = self.find(text)
@@ -80,7 +80,7 @@ def encode(df: DataFrame, tokenizer: str = TOKENIZER, end_id: int | None = END_I
     end = b"" if end_id is None else np.uint32(end_id).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = _Words(tokenizer)
+        enc = per_worker(f"token words {tokenizer}", lambda: _Words(tokenizer))
         for b in slices(batches, "text"):
             blobs = [(enc.encode(t) if t else b"") + end for t in b.column("text").to_pylist()]
             n = np.fromiter((len(x) // 4 for x in blobs), np.int64, len(blobs))
