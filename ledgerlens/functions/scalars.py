@@ -145,13 +145,8 @@ def id_in_list(c: ColumnOrName, tokens: list[str]) -> Column:
 
     Equivalent to searching ``','||id||','`` inside ``','||list||','``; as an
     ``IN`` list it plans as a hash-set lookup (``InSet``) instead of a
-    substring scan. A long list of plain tokens on a named column is sent to
-    the JVM as one SQL expression rather than one literal per call.
+    substring scan.
     """
-    plain = all(t.isalnum() for t in tokens)
-    if isinstance(c, str) and len(tokens) > 64 and plain and c.replace("_", "").isalnum():
-        in_list = ", ".join(f"'{t}'" for t in tokens)
-        return F.expr(f"cast(`{c}` as string) IN ({in_list})")
     return _c(c).cast("string").isin(tokens)
 
 
@@ -167,27 +162,31 @@ def org_filter(c: ColumnOrName, allow: str | Iterable[str] | None = None,
     return rule
 
 
-def money_text(c: ColumnOrName, decimals: int = 2) -> Column:
-    """``f"{x:,.2f}"`` of a decimal: half-even on the exact value, grouped thousands.
+def _signed(value: Column, rounded: Column, text: Column) -> Column:
+    """``text`` of ``rounded``; a negative value that rounds to zero keeps its sign."""
+    return F.when((rounded == 0) & (value < 0), F.concat(F.lit("-"), text)).otherwise(text)
 
-    Rounding happens on the decimal (``bround``), so formatting the double
-    afterwards never has to round again.
-    """
-    rounded = F.bround(_c(c), decimals).cast("double")
-    return F.format_string(f"%,.{decimals}f", rounded)
+
+def money_text(c: ColumnOrName, decimals: int = 2, grouped: bool = True) -> Column:
+    """``f"{x:,.2f}"`` (or ``f"{x:.2f}"``) of a decimal: half-even on the exact
+    value, so no digit of a large amount is lost."""
+    rounded = F.bround(_c(c), decimals)
+    text = F.format_number(rounded, decimals)
+    return _signed(_c(c), rounded, text if grouped else F.replace(text, F.lit(",")))
 
 
 def percent_text(pct: ColumnOrName, decimals: int = 1) -> Column:
     """``"n/a"`` for null, otherwise the fraction times 100 with a ``%`` sign.
 
-    The null guard is explicit: ``format_string('%.1f%%', null)`` yields a
-    text (not a null), so a ``coalesce(..., 'n/a')`` would never fire.
+    Rounded half to even on the decimal the fraction prints as (0.1225 is
+    ``12.2%``); a fraction too large for that decimal is formatted as it is.
     """
     p = _c(pct)
-    scaled = F.round(p * F.lit(100.0), decimals)
+    exact = p.cast("double").try_cast("decimal(30,12)") * F.lit(100)
+    rounded = F.bround(exact, decimals)
+    text = _signed(exact, rounded, F.replace(F.format_number(rounded, decimals), F.lit(",")))
     return F.when(p.isNull(), F.lit("n/a")).otherwise(
-        F.concat(F.format_string(f"%.{decimals}f", scaled), F.lit("%"))
-    )
+        F.concat(F.coalesce(text, F.format_string(f"%.{decimals}f", p.cast("double") * 100)), F.lit("%")))
 
 
 def plain_text(c: ColumnOrName, none_text: str = "None") -> Column:

@@ -27,12 +27,20 @@ SCRIPT_MIN_ABS = 1000.0          # min |change| of the standalone alert script
 DAILY_JOB_MIN_ABS = 0.0          # min |change| of the scheduled daily job
 MESSAGE_LINE_CAP = 50            # alert lines per posted message
 BLOCK_HEADER = ":rotating_light: *Balance Change Alert*"
+BLOCK_ORG, BLOCK_DATE = "• Org: `", "• Date: "
+BLOCK_TODAY, BLOCK_PREVIOUS, BLOCK_CHANGE = "• Today's Amount: ", "• Previous Day: ", "• DoD Change: *"
+LINE_ORG, LINE_TODAY, LINE_PREVIOUS = "• org `", ") | today=", " prev="
+DIGEST_HEADER = "*Daily Balance alerts* for `"
+DIGEST_CLEAR = ":white_check_mark: No Daily Balance alerts for "
+TABLE_HEADER = "ORGANIZATION_ID\tDATE\tDAILY_PAYMENT_AMOUNT\tPREV_DAILY_PAYMENT_AMOUNT\tPCT_CHANGE\tABS_CHANGE"
 # ------------------------------------------------------------------------------
 
 
 def latest_day(mart: DataFrame, date_col: str = "DATE") -> DataFrame:
-    """One row: ``LATEST_DATE`` and its ``yyyy-MM-dd`` text ``ALERT_DATE``."""
-    return mart.agg(F.max(date_col).alias("LATEST_DATE")).select(
+    """One row: ``LATEST_DATE`` and its ``yyyy-MM-dd`` text ``ALERT_DATE``; of a
+    stored mart, only the newest month is read."""
+    newest = high_water_mark(mart, date_col, partition_col=MONTH_COL)
+    return mart.sparkSession.range(1).select(newest.alias("LATEST_DATE")).select(
         "LATEST_DATE", F.date_format("LATEST_DATE", "yyyy-MM-dd").alias("ALERT_DATE"))
 
 
@@ -94,30 +102,34 @@ def alerts_macro(mart: DataFrame, alert_date: str | None = None, threshold: floa
 
 
 def alert_messages(alert_rows: DataFrame) -> DataFrame:
-    """Add both message layouts as columns (text built JVM-side per row).
+    """Add the three message layouts as columns (text built JVM-side per row).
 
     * ``MESSAGE_LINE`` — one line per organization for the capped summary:
       ``• org `ID` | Δ=1,234.50 (12.3%) | today=2,000.00 prev=765.50``
     * ``MESSAGE_BLOCK`` — one multi-line message per alert (daily job); amounts
       are printed as stored, a missing previous day as ``None``.
+    * ``MESSAGE_TABLE`` — one tab-separated console line (header:
+      :data:`TABLE_HEADER`), amounts with two decimals.
     """
-    pct_line = percent_text("PCT_CHANGE")
+    pct, org = percent_text("PCT_CHANGE"), F.col("ORGANIZATION_ID").cast("string")
+    day = F.date_format("DATE", "yyyy-MM-dd")
+    prev = F.coalesce(F.col("PREV_DAILY_PAYMENT_AMOUNT"), F.lit(0))
     line = F.concat(
-        F.lit("• org `"), F.col("ORGANIZATION_ID").cast("string"), F.lit("` | Δ="),
-        money_text("ABS_CHANGE"), F.lit(" ("), pct_line, F.lit(") | today="),
-        money_text("DAILY_PAYMENT_AMOUNT"), F.lit(" prev="),
-        money_text(F.coalesce(F.col("PREV_DAILY_PAYMENT_AMOUNT"), F.lit(0))),
-    )
+        F.lit(LINE_ORG), org, F.lit("` | Δ="), money_text("ABS_CHANGE"), F.lit(" ("), pct, F.lit(LINE_TODAY),
+        money_text("DAILY_PAYMENT_AMOUNT"), F.lit(LINE_PREVIOUS), money_text(prev))
     block = F.concat_ws(
         "\n",
         F.lit(BLOCK_HEADER),
-        F.concat(F.lit("• Org: `"), F.col("ORGANIZATION_ID").cast("string"), F.lit("`")),
-        F.concat(F.lit("• Date: "), F.date_format("DATE", "yyyy-MM-dd")),
-        F.concat(F.lit("• Today's Amount: "), plain_text("DAILY_PAYMENT_AMOUNT")),
-        F.concat(F.lit("• Previous Day: "), plain_text("PREV_DAILY_PAYMENT_AMOUNT")),
-        F.concat(F.lit("• DoD Change: *"), pct_line, F.lit("* (Δ="), money_text("ABS_CHANGE"), F.lit(")")),
-    )
-    return alert_rows.withColumn("MESSAGE_LINE", line).withColumn("MESSAGE_BLOCK", block)
+        F.concat(F.lit(BLOCK_ORG), org, F.lit("`")),
+        F.concat(F.lit(BLOCK_DATE), day),
+        F.concat(F.lit(BLOCK_TODAY), plain_text("DAILY_PAYMENT_AMOUNT")),
+        F.concat(F.lit(BLOCK_PREVIOUS), plain_text("PREV_DAILY_PAYMENT_AMOUNT")),
+        F.concat(F.lit(BLOCK_CHANGE), pct, F.lit("* (Δ="), money_text("ABS_CHANGE"), F.lit(")")))
+    table = F.concat_ws(
+        "\t", org, day, money_text("DAILY_PAYMENT_AMOUNT", grouped=False), money_text(prev, grouped=False), pct,
+        money_text("ABS_CHANGE", grouped=False))
+    return (alert_rows.withColumn("MESSAGE_LINE", line).withColumn("MESSAGE_BLOCK", block)
+            .withColumn("MESSAGE_TABLE", table))
 
 
 def alert_digest(mart: DataFrame, alert_date: str | None = None, threshold: float = DEFAULT_THRESHOLD,
@@ -127,31 +139,25 @@ def alert_digest(mart: DataFrame, alert_date: str | None = None, threshold: floa
     an all-clear line when nothing fired).
 
     The day's alerts are counted in one aggregate; only the ``cap`` top lines
-    (a top-k, bounded by ``cap``) are gathered into the text.
+    (a top-k, bounded by ``cap``) are gathered into the text. A mart without
+    any dated row has no alert day: reading the result then raises.
     """
     rows = alert_messages(alerts(mart, alert_date, threshold, min_abs))
-    day = (on_date(mart, alert_date).agg(F.max("DATE").alias("D")) if alert_date is None
-           else mart.sparkSession.range(1).select(F.lit(str(alert_date)).cast("date").alias("D")))
+    day = mart.sparkSession.range(1).select(
+        (high_water_mark(mart, "DATE", partition_col=MONTH_COL) if alert_date is None
+         else F.lit(str(alert_date)).cast("date")).alias("D"))
     ranked = rows.select(F.abs("ABS_CHANGE").alias("_a"), "ORGANIZATION_ID", "MESSAGE_LINE")
     top = ranked.orderBy(F.col("_a").desc(), F.col("ORGANIZATION_ID").asc()).limit(cap)
     lines = top.agg(F.sort_array(F.collect_list(F.struct(-F.col("_a"), F.col("ORGANIZATION_ID"),
                                                          F.col("MESSAGE_LINE")))).alias("L"))
-    n = rows.agg(F.count(F.lit(1)).alias("N_ALERTS"))
+    n = rows.agg(F.count(F.lit(1))).scalar()
     params = f"(threshold={threshold:.2f}, min_abs={min_abs:,.0f})"
     date_txt = F.date_format("D", "yyyy-MM-dd")
-    header = F.concat(F.lit("*Daily Balance alerts* for `"), date_txt, F.lit(f"`  {params}"))
-    clear = F.concat(F.lit(":white_check_mark: No Daily Balance alerts for "), date_txt, F.lit(f" {params}."))
+    header = F.concat(F.lit(DIGEST_HEADER), date_txt, F.lit(f"`  {params}"))
+    clear = F.concat(F.lit(DIGEST_CLEAR), date_txt, F.lit(f" {params}."))
     body = F.array_join(F.transform("L", lambda s: s["MESSAGE_LINE"]), "\n")
-    out = _one_row(day, n, lines)
+    out = day.select("D", n.alias("N_ALERTS"), lines.scalar().alias("L"))
+    none = F.raise_error(F.lit("no alert day: the mart holds no dated row"))
     return out.select(
-        F.col("D").alias("ALERT_DATE"), "N_ALERTS",
+        F.when(F.col("D").isNull(), none.cast("date")).otherwise(F.col("D")).alias("ALERT_DATE"), "N_ALERTS",
         F.when(F.col("N_ALERTS") == 0, clear).otherwise(F.concat_ws("\n", header, body)).alias("MESSAGE"))
-
-
-def _one_row(*parts: DataFrame) -> DataFrame:
-    """Combine one-row relations column-wise (each side holds exactly one row)."""
-    tagged = [p.withColumn("_one", F.lit(1)) for p in parts]
-    out = tagged[0]
-    for p in tagged[1:]:
-        out = out.join(F.broadcast(p), "_one")
-    return out.drop("_one")

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from ledgerlens.functions import LOOKBACK_DAYS, LOOKBACK_FLOOR, SETTLED_STATUSES, to_usd
 from ledgerlens.sources.tables import high_water_mark
 
+# Partition column of stored staged invoices: month of CREATED_DATE.
+STAGED_MONTH = "CREATED_MONTH"
+
 
 def settled(stg: DataFrame, status_col: str = "STATUS", already_upper: bool = False) -> DataFrame:
     """Invoices whose status (case-insensitive) is CREDITED, REFUNDED or PAID.
@@ -20,8 +23,10 @@ def settled(stg: DataFrame, status_col: str = "STATUS", already_upper: bool = Fa
     return stg.where(c.isin(*SETTLED_STATUSES))
 
 
-def lookback_start(target: DataFrame | None, days: int = LOOKBACK_DAYS, date_col: str = "DATE") -> Column:
-    """First day to recompute: ``max(target.DATE) - days``, or 1900-01-01.
+def lookback_start(target: DataFrame | None, days: int = LOOKBACK_DAYS, date_col: str = "DATE",
+                   first_of_month: bool = False) -> Column:
+    """First day to recompute: ``max(target.DATE) - days``, or 1900-01-01;
+    with ``first_of_month`` the first day of its month.
 
     A scalar subquery: Catalyst evaluates it once and the comparison reaches
     the scan of the source as a pushed filter.
@@ -33,13 +38,23 @@ def lookback_start(target: DataFrame | None, days: int = LOOKBACK_DAYS, date_col
     # filter is a bare ``CREATED_DATE >= ScalarSubquery`` that Parquet takes
     # as a pushed filter (row-group skipping on date-clustered files). On a
     # stored, month-partitioned target only its newest month is read.
-    return high_water_mark(target, date_col, wrap=lambda mx: F.coalesce(F.date_sub(mx, days), floor))
+    def start(mx: Column) -> Column:
+        day = F.coalesce(F.date_sub(mx, days), floor)
+        return F.trunc(day, "month") if first_of_month else day
+
+    return high_water_mark(target, date_col, wrap=start)
 
 
 def lookback(stg: DataFrame, target: DataFrame | None, days: int = LOOKBACK_DAYS,
              created_col: str = "CREATED_DATE") -> DataFrame:
-    """Rows on or after ``lookback_start``; null dates never pass (null >= x)."""
-    return stg.where(F.col(created_col) >= lookback_start(target, days))
+    """Rows on or after ``lookback_start``; null dates never pass (null >= x).
+
+    Of stored staged invoices only the months from the start's on are listed.
+    """
+    out = stg.where(F.col(created_col) >= lookback_start(target, days))
+    if STAGED_MONTH in stg.columns:
+        out = out.where(F.col(STAGED_MONTH) >= lookback_start(target, days, first_of_month=True)).drop(STAGED_MONTH)
+    return out
 
 
 def usd_rows(stg: DataFrame) -> DataFrame:

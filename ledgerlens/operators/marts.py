@@ -46,15 +46,26 @@ def mart_daily_balance(fact: DataFrame) -> DataFrame:
     return _mart_rows(_amounts(fact))
 
 
-def mart_daily_balance_since(fact: DataFrame, start: Column) -> DataFrame:
+def last_days(fact: DataFrame, start: Column, kept: DataFrame | None = None) -> DataFrame:
+    """Each organization's last day before ``start`` and its amount, of
+    ``fact`` and the earlier last days ``kept``: ORGANIZATION_ID, DATE,
+    DAILY_PAYMENT_AMOUNT. One row per organization and task before the shuffle."""
+    rows = _amounts(fact)
+    if kept is not None:
+        rows = rows.unionByName(kept)
+    return (rows.where(F.col("DATE") < start).groupBy("ORGANIZATION_ID")
+            .agg(F.max(F.struct("DATE", "DAILY_PAYMENT_AMOUNT")).alias("_LAST"))
+            .select("ORGANIZATION_ID", "_LAST.DATE", "_LAST.DAILY_PAYMENT_AMOUNT"))
+
+
+def mart_daily_balance_since(fact: DataFrame, start: Column, seeds: DataFrame | None = None) -> DataFrame:
     """The rows of :func:`mart_daily_balance` with ``DATE >= start`` or a null
     DATE (which sorts after every day), computed without the older history.
 
-    Each organization's last day before ``start`` enters as a *seed* row,
-    found by a partial + final ``max(struct(DATE, amount))`` aggregate (one
-    row per organization and task before the shuffle); the seed supplies the
-    previous amount of the first recomputed day and is then dropped. When
-    ``fact`` carries the month partition column, both reads are pruned by it.
+    Each organization's last day before ``start`` (``seeds``, or found here by
+    :func:`last_days`) supplies the previous amount of the first recomputed
+    day and is then dropped. When ``fact`` carries the month partition
+    column, its reads are pruned by it.
     """
     if FACT_PARTITION in fact.columns:
         month = F.trunc(start, "month")
@@ -64,9 +75,6 @@ def mart_daily_balance_since(fact: DataFrame, start: Column) -> DataFrame:
         recent_src = before_src = fact
     date = F.col("DATE")
     recent = _amounts(recent_src).where((date >= start) | date.isNull()).withColumn("_SEED", F.lit(False))
-    seeds = (_amounts(before_src).where(date < start)
-             .groupBy("ORGANIZATION_ID")
-             .agg(F.max(F.struct("DATE", "DAILY_PAYMENT_AMOUNT")).alias("_LAST"))
-             .select("ORGANIZATION_ID", "_LAST.DATE", "_LAST.DAILY_PAYMENT_AMOUNT", F.lit(True).alias("_SEED")))
-    rows = _mart_rows(recent.unionByName(seeds), keep=["_SEED"])
+    seeds = last_days(before_src, start) if seeds is None else seeds
+    rows = _mart_rows(recent.unionByName(seeds.withColumn("_SEED", F.lit(True))), keep=["_SEED"])
     return rows.where(~F.col("_SEED")).drop("_SEED")

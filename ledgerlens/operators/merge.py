@@ -84,7 +84,3 @@ def merge_incremental(target: DataFrame, delta: DataFrame, keys: Sequence[str],
     new = delta.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
     return upsert(old, new, keys, check_duplicates=False, null_safe=null_safe)
 
-
-def sync_schema(target: DataFrame, new_schema: T.StructType) -> DataFrame:
-    """Old rows in the new shape ('sync'): added columns null, removed ones dropped."""
-    return align_to(target, new_schema)

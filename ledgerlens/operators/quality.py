@@ -15,9 +15,28 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlens.functions import lenient_timestamp
+
 # --- fixed values that must match the reference -------------------------------
 FRESHNESS_WARN_HOURS = 48
 FRESHNESS_ERROR_HOURS = 168
+# Column checks of the models: model, kind, columns.
+COLUMN_CHECKS = (
+    ("raw_organizations", "not_null", ("ORGANIZATION_ID",)),
+    ("raw_invoices", "not_null", ("ORGANIZATION_ID",)),
+    ("stg_organizations", "not_null", ("ORGANIZATION_ID",)),
+    ("stg_organizations", "unique", ("ORGANIZATION_ID",)),
+    ("dim_organizations", "not_null", ("ORGANIZATION_ID",)),
+    ("dim_organizations", "unique", ("ORGANIZATION_ID",)),
+    ("dim_organizations", "not_null", ("LEGAL_ENTITY_COUNTRY_CODE",)),
+    ("fact_organizations_payment", "not_null", ("ORGANIZATION_ID",)),
+    ("fact_organizations_payment", "not_null", ("DATE",)),
+    ("fact_organizations_payment", "not_null", ("PAYMENT_AMOUNT_USD",)),
+    ("fact_organizations_payment", "unique", ("ORGANIZATION_ID", "DATE")),
+    ("mart_daily_org_balance", "not_null", ("ORGANIZATION_ID",)),
+    ("mart_daily_org_balance", "not_null", ("DATE",)),
+    ("mart_daily_org_balance", "not_null", ("DAILY_PAYMENT_AMOUNT",)),
+)
 # ------------------------------------------------------------------------------
 
 
@@ -115,12 +134,15 @@ def freshness(df: DataFrame, ts_col: str, now: Sequence[_dt.datetime] | _dt.date
     One row per ``now``: MAX_LOADED_AT, SNAPSHOTTED_AT, AGE_HOURS (whole hours,
     truncated) and STATUS ``pass`` / ``warn`` / ``error``. An age exactly at a
     limit passes it. ``now`` is a parameter so the check is repeatable; the
-    source is scanned once (one partial max per task).
+    source is scanned once (one partial max per task). A text column is parsed
+    leniently: values that are no timestamps do not count.
     """
     nows = [now] if isinstance(now, _dt.datetime) else list(now)
-    mx = df.agg(F.max(F.col(ts_col).cast("timestamp_ntz")).alias("MAX_LOADED_AT"))
+    text = isinstance(df.schema[ts_col].dataType, T.StringType)
+    loaded = lenient_timestamp(ts_col) if text else F.col(ts_col).cast("timestamp_ntz")
+    mx = df.agg(F.max(loaded).alias("MAX_LOADED_AT"))
     at = mx.select("MAX_LOADED_AT", F.explode(F.array(*[
-        F.lit(n.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz") for n in nows])).alias("SNAPSHOTTED_AT"))
+        F.lit(n.replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz") for n in nows])).alias("SNAPSHOTTED_AT"))
     mx_c, now_c = F.col("MAX_LOADED_AT"), F.col("SNAPSHOTTED_AT")
     status = (F.when(mx_c.isNull(), F.lit("error"))
                .when(mx_c < now_c - F.make_dt_interval(hours=F.lit(error_hours)), F.lit("error"))
@@ -144,24 +166,8 @@ class Check:
 def reference_checks(tables: dict[str, DataFrame]) -> list[Check]:
     """The sixteen column, combination and singular checks of the reference,
     restricted to the models present in ``tables``."""
-    spec = [
-        ("raw_organizations", "not_null", ("ORGANIZATION_ID",)),
-        ("raw_invoices", "not_null", ("ORGANIZATION_ID",)),
-        ("stg_organizations", "not_null", ("ORGANIZATION_ID",)),
-        ("stg_organizations", "unique", ("ORGANIZATION_ID",)),
-        ("dim_organizations", "not_null", ("ORGANIZATION_ID",)),
-        ("dim_organizations", "unique", ("ORGANIZATION_ID",)),
-        ("dim_organizations", "not_null", ("LEGAL_ENTITY_COUNTRY_CODE",)),
-        ("fact_organizations_payment", "not_null", ("ORGANIZATION_ID",)),
-        ("fact_organizations_payment", "not_null", ("DATE",)),
-        ("fact_organizations_payment", "not_null", ("PAYMENT_AMOUNT_USD",)),
-        ("fact_organizations_payment", "unique", ("ORGANIZATION_ID", "DATE")),
-        ("mart_daily_org_balance", "not_null", ("ORGANIZATION_ID",)),
-        ("mart_daily_org_balance", "not_null", ("DATE",)),
-        ("mart_daily_org_balance", "not_null", ("DAILY_PAYMENT_AMOUNT",)),
-    ]
     out = []
-    for model, kind, cols in spec:
+    for model, kind, cols in COLUMN_CHECKS:
         if model in tables:
             label = "unique_combination" if kind == "unique" and len(cols) > 1 else kind
             out.append(Check(f"{label}_{model}_{'_'.join(cols)}".lower(), model, kind, cols))

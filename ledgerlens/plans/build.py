@@ -1,43 +1,36 @@
-"""End-to-end runs: ingest landing files into RAW, build every layer, alert.
+"""End-to-end runs: ingest landing files into RAW, build every layer, check, alert.
 
-Layout of a warehouse (one Parquet directory per table):
+Layout of a warehouse (one versioned table per folder, see
+:mod:`ledgerlens.sources.versions`):
 
-    raw/organizations  raw/invoices/CREATED_MONTH=yyyy-mm-01/   (month of CREATED_AT)
-    curated/stg_organizations  curated/stg_invoices  curated/dim_organizations
-    curated/fact_organizations_payment/MONTH=yyyy-mm-01/   (clustered by DATE, ORGANIZATION_ID)
-    marts/mart_daily_org_balance/MONTH=yyyy-mm-01/        (clustered by DATE, ORGANIZATION_ID)
-
-Staged invoices are sorted by CREATED_DATE inside each file, so the
-incremental lookback filter (pushed to Parquet) skips old row groups.
-A table being swapped has a ``<table>__pending`` marker beside it until
-the swap completes (see :func:`ledgerlens.plans.sinks.recover`).
+    raw/organizations  raw/invoices (by month of CREATED_AT)
+    curated/stg_organizations  curated/stg_invoices (by month of CREATED_DATE)
+    curated/dim_organizations
+    curated/fact_organizations_payment  marts/mart_daily_org_balance
+        (by month of DATE, clustered by DATE, ORGANIZATION_ID)
+    marts/seeds_daily_org_balance (one row per organization)
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlens.functions import LOOKBACK_DAYS, lenient_timestamp
+from ledgerlens.operators.alerts import alert_messages, alerts
 from ledgerlens.operators.dims import dim_organizations
-from ledgerlens.operators.facts import fact_daily_payment
-from ledgerlens.operators.marts import mart_daily_balance, mart_daily_balance_since
+from ledgerlens.operators.facts import STAGED_MONTH, fact_daily_payment
+from ledgerlens.operators.marts import last_days, mart_daily_balance, mart_daily_balance_since
 from ledgerlens.operators.merge import upsert
 from ledgerlens.operators.quality import run_checks
 from ledgerlens.operators.staging import stage_invoices, stage_organizations
-from ledgerlens.plans.docs import register_tables, with_comments
-from ledgerlens.plans.sinks import (
-    FACT_MONTH_FIELD,
-    merge_partitions,
-    recover,
-    replace_table,
-    upsert_months,
-    write_fact,
-    write_sorted,
-    write_table,
-)
+from ledgerlens.plans.docs import register_views, with_comments
+from ledgerlens.plans.sinks import FACT_MONTH_FIELD, merge_partitions, replace_table, upsert_months, write_fact
+from ledgerlens.sources import versions
 from ledgerlens.sources.csv import INVOICES_GLOB, ORGANIZATIONS_GLOB, read_raw_csv
 from ledgerlens.sources.schemas import (
     FACT_KEY,
@@ -54,6 +47,17 @@ from ledgerlens.sources.schemas import (
 )
 from ledgerlens.sources.tables import high_water_mark, read_partitioned, read_table, table_exists
 
+RAW_MONTH_FIELD = T.StructField(RAW_INVOICES_PARTITION, T.DateType())
+STAGED_MONTH_FIELD = T.StructField(STAGED_MONTH, T.DateType())
+
+
+class ChecksFailed(RuntimeError):
+    """Raised by a gated build; ``failures`` holds (check, rows) pairs."""
+
+    def __init__(self, failures: list[tuple[str, int]]):
+        super().__init__("checks failed: " + ", ".join(f"{name} ({n})" for name, n in failures))
+        self.failures = failures
+
 
 @dataclass(frozen=True)
 class Warehouse:
@@ -90,6 +94,10 @@ class Warehouse:
     def mart(self) -> str:
         return self.path("marts/mart_daily_org_balance")
 
+    @property
+    def seeds(self) -> str:
+        return self.path("marts/seeds_daily_org_balance")
+
 
 def raw_invoice_month() -> Column:
     """Partition value of a RAW invoice: the month of its (leniently parsed)
@@ -98,44 +106,65 @@ def raw_invoice_month() -> Column:
 
 
 def load_raw(spark: SparkSession, wh: Warehouse, organizations: DataFrame | None = None,
-             invoices: DataFrame | None = None) -> None:
+             invoices: DataFrame | None = None, order_by: Sequence[str] | None = None) -> None:
     """Upsert landing rows into the RAW tables (insert-only on first load).
 
     Organizations match on ORGANIZATION_ID; invoices on (INVOICE_ID,
-    TRANSACTION_ID) with null equal to ''. RAW invoices are stored by the
-    month of CREATED_AT, so a load rewrites only the months it touches (new
-    invoices land in recent months); organizations, one snapshot row per
-    organization and load, are replaced whole.
+    TRANSACTION_ID) with null equal to ''. Duplicate update keys raise, unless
+    ``order_by`` names columns whose greatest value picks the surviving row.
+    RAW invoices are stored by the month of CREATED_AT, so a load writes only
+    the months it involves; organizations, one snapshot row per organization
+    and load, are replaced whole.
     """
-    recover_tables(spark, wh)
     if organizations is not None:
-        df = organizations.select(*RAW_ORGANIZATIONS.fieldNames())
-        path, keys = wh.raw_organizations, RAW_ORGANIZATIONS_KEY
-        if table_exists(spark, path):
-            replace_table(spark, upsert(read_table(spark, path, RAW_ORGANIZATIONS), df, keys), path, RAW_ORGANIZATIONS)
-        else:
-            write_table(upsert(df.limit(0), df, keys), path)
+        path, keys, names = wh.raw_organizations, RAW_ORGANIZATIONS_KEY, RAW_ORGANIZATIONS.fieldNames()
+        base = read_table(spark, path, RAW_ORGANIZATIONS) if table_exists(spark, path) else organizations.select(*names).limit(0)
+        replace_table(spark, upsert(base, organizations.select(*names), keys, order_by=order_by), path)
     if invoices is not None:
-        df = invoices.select(*RAW_INVOICES.fieldNames())
-        path, keys = wh.raw_invoices, RAW_INVOICES_KEY
-        if table_exists(spark, path):
-            upsert_months(spark, df, path, RAW_INVOICES, keys, raw_invoice_month(), RAW_INVOICES_PARTITION,
-                          null_as="")
-        else:
-            first = upsert(df.limit(0), df, keys, null_as="")
-            write_table(first.withColumn(RAW_INVOICES_PARTITION, raw_invoice_month()), path, [RAW_INVOICES_PARTITION])
+        upsert_months(spark, invoices, wh.raw_invoices, RAW_INVOICES, RAW_INVOICES_KEY, raw_invoice_month(),
+                      RAW_MONTH_FIELD, null_as="", order_by=order_by)
 
 
-def ingest_landing(spark: SparkSession, wh: Warehouse, landing_dir: str) -> None:
+def ingest_landing(spark: SparkSession, wh: Warehouse, landing_dir: str, multi_line: bool = True,
+                   order_by: Sequence[str] | None = None) -> None:
     """Read every ``*organizations*`` / ``*invoices*`` CSV (or .csv.gz) of a
-    landing folder and upsert it into RAW."""
+    landing folder and upsert it into RAW. ``multi_line=False`` lets Spark
+    split large files that have no line ends inside fields."""
     load_raw(spark, wh,
-             read_raw_csv(spark, landing_dir, RAW_ORGANIZATIONS, ORGANIZATIONS_GLOB),
-             read_raw_csv(spark, landing_dir, RAW_INVOICES, INVOICES_GLOB))
+             read_raw_csv(spark, landing_dir, RAW_ORGANIZATIONS, ORGANIZATIONS_GLOB, multi_line),
+             read_raw_csv(spark, landing_dir, RAW_INVOICES, INVOICES_GLOB, multi_line), order_by)
+
+
+def stage_layer(spark: SparkSession, wh: Warehouse, full: bool = False) -> list[str] | None:
+    """Type RAW into the staged tables.
+
+    Staged invoices are stored by month like RAW. The staged table records
+    which RAW version each month came from, so only months that a load
+    changed since are read and staged again; ``full``, or a RAW table without
+    months, stages all. Returns the months staged (None: all of them).
+    """
+    replace_table(spark, stage_organizations(read_table(spark, wh.raw_organizations, RAW_ORGANIZATIONS)), wh.stg_organizations)
+    raw, staged = versions.current(spark, wh.raw_invoices), versions.current(spark, wh.stg_invoices)
+    month = F.trunc("CREATED_DATE", "month")
+    if full or raw is None or raw.partition is None or staged is None or staged.partition is None:
+        df = stage_invoices(read_table(spark, wh.raw_invoices, RAW_INVOICES)).withColumn(STAGED_MONTH, month)
+        replace_table(spark, df, wh.stg_invoices, STAGED_MONTH_FIELD, ["CREATED_DATE", "INVOICE_ID"],
+                      source=raw.files if raw else None)
+        return None
+    changed = sorted(k for k in raw.files.keys() | staged.source.keys() if raw.files.get(k) != staged.source.get(k))
+    if changed:
+        rows = versions.read_version(spark, wh.raw_invoices, raw)
+        rows = rows.where(versions.partition_filter(F.col(RAW_INVOICES_PARTITION), changed)).drop(RAW_INVOICES_PARTITION)
+        df = stage_invoices(rows).withColumn(STAGED_MONTH, month)
+        df = df.repartitionByRange(STAGED_MONTH, "CREATED_DATE", "INVOICE_ID").sortWithinPartitions(
+            STAGED_MONTH, "CREATED_DATE", "INVOICE_ID")
+        versions.replace_partitions(spark, df, wh.stg_invoices, changed, source=raw.files)
+    return changed
 
 
 def build(spark: SparkSession, wh: Warehouse, full_refresh: bool = False, run_tests: bool = True,
-          lookback_days: int = LOOKBACK_DAYS, store_failures: bool = False) -> DataFrame | None:
+          lookback_days: int = LOOKBACK_DAYS, store_failures: bool = False,
+          on_failure: str = "report") -> DataFrame | None:
     """Build staging -> dimension / fact -> mart; return the check summary.
 
     The fact is incremental: when it exists and ``full_refresh`` is off, only
@@ -143,23 +172,44 @@ def build(spark: SparkSession, wh: Warehouse, full_refresh: bool = False, run_te
     merged into their month partitions. ``full_refresh=True`` rebuilds the
     fact from all invoices (dropping rows a merge would have kept) and the
     mart after it, and skips the checks, like a refresh run.
+
+    The checks are evaluated before this returns. With ``on_failure='raise'``
+    a failing check raises :class:`ChecksFailed`, so nothing that comes after
+    the build is reached; ``'report'`` leaves the verdict to the caller.
     ``store_failures=True`` also writes each check's failing rows below the
     warehouse's ``audit/`` folder.
     """
-    recover_tables(spark, wh)
-    raw_org = read_table(spark, wh.raw_organizations, RAW_ORGANIZATIONS)
-    raw_inv = read_table(spark, wh.raw_invoices, RAW_INVOICES)
-    write_table(stage_organizations(raw_org), wh.stg_organizations)
-    write_sorted(stage_invoices(raw_inv), wh.stg_invoices, ["CREATED_DATE"])
-    stg_org = read_table(spark, wh.stg_organizations, STG_ORGANIZATIONS)
-    stg_inv = read_table(spark, wh.stg_invoices, STG_INVOICES)
-
-    write_table(dim_organizations(stg_org), wh.dim_organizations)
+    if on_failure not in ("raise", "report"):
+        raise ValueError("on_failure must be 'raise' or 'report'")
+    stage_layer(spark, wh, full_refresh)
+    replace_table(spark, dim_organizations(read_table(spark, wh.stg_organizations, STG_ORGANIZATIONS)), wh.dim_organizations)
+    stg_inv = read_partitioned(spark, wh.stg_invoices, STG_INVOICES, STAGED_MONTH_FIELD)
     delta = refresh_fact(spark, wh, stg_inv, full_refresh, lookback_days)
     refresh_mart(spark, wh, delta, lookback_days)
     if full_refresh or not run_tests:
         return None
-    return run_checks(tables(spark, wh), store_failures=wh.path("audit") if store_failures else None)
+    summary = run_checks(tables(spark, wh), store_failures=wh.path("audit") if store_failures else None)
+    rows = summary.collect()  # one row per check
+    failed = [(r.CHECK_NAME, r.FAILURES) for r in rows if r.STATUS != "pass"]
+    if failed and on_failure == "raise":
+        raise ChecksFailed(failed)
+    return spark.createDataFrame(rows, summary.schema)
+
+
+def refresh_downstream(spark: SparkSession, wh: Warehouse) -> None:
+    """Rebuild the fact from the staged invoices and everything that reads it
+    (the mart), leaving staging and the dimension as they are."""
+    stg_inv = read_partitioned(spark, wh.stg_invoices, STG_INVOICES, STAGED_MONTH_FIELD)
+    refresh_fact(spark, wh, stg_inv, full_refresh=True)
+    refresh_mart(spark, wh)
+
+
+def daily_run(spark: SparkSession, wh: Warehouse, on_failure: str = "raise", **alert_args) -> DataFrame:
+    """Build, check, then the alert messages of the newest day; a failing
+    check ends the run before any alert (unless ``on_failure='report'``)."""
+    build(spark, wh, on_failure=on_failure)
+    mart = read_partitioned(spark, wh.mart, MART_DAILY_BALANCE, FACT_MONTH_FIELD)
+    return alert_messages(alerts(mart, **alert_args))
 
 
 def refresh_fact(spark: SparkSession, wh: Warehouse, stg_inv: DataFrame, full_refresh: bool = False,
@@ -175,7 +225,7 @@ def refresh_fact(spark: SparkSession, wh: Warehouse, stg_inv: DataFrame, full_re
     # only the newest month.
     target = read_partitioned(spark, wh.fact, FACT_PAYMENTS, FACT_MONTH_FIELD)
     delta = fact_daily_payment(stg_inv, target=target, days=lookback_days, already_upper=True)
-    return merge_partitions(spark, delta, wh.fact, FACT_KEY, FACT_PAYMENTS)
+    return merge_partitions(spark, delta, wh.fact, FACT_KEY)
 
 
 def mart_start(mart: DataFrame, delta: DataFrame, lookback_days: int = LOOKBACK_DAYS):
@@ -209,8 +259,35 @@ def refresh_mart(spark: SparkSession, wh: Warehouse, delta: DataFrame | None = N
         write_fact(with_comments(mart_daily_balance(fact), model), wh.mart)
         return
     fact = read_partitioned(spark, wh.fact, FACT_PAYMENTS, FACT_MONTH_FIELD)
-    rows = mart_daily_balance_since(fact, F.lit(start).cast("date"))
-    merge_partitions(spark, rows, wh.mart, MART_KEY, MART_DAILY_BALANCE, model=model)
+    first = F.lit(start).cast("date")
+    rows = mart_daily_balance_since(fact, first, refresh_seeds(spark, wh, fact, start))
+    merge_partitions(spark, rows, wh.mart, MART_KEY, model=model)
+
+
+def refresh_seeds(spark: SparkSession, wh: Warehouse, fact: DataFrame, start) -> DataFrame:
+    """Each organization's last fact day before ``start``, kept as a small table.
+
+    A run brings the kept rows forward: together with the fact days from the
+    kept start to the new one they give the new last days, so a daily run
+    reads the months in between, not the history. A start before the kept one
+    (late rows), a fact that was rebuilt, or no kept table: all older days are read.
+    """
+    kept, base = versions.current(spark, wh.seeds), versions.current(spark, wh.fact)
+    first = F.lit(start).cast("date")
+    # the fact versions of months before the kept start; if one was replaced,
+    # a late row may have changed an older day
+    since = kept.note if kept else None
+    month = start.replace(day=1).isoformat()
+    older = {k: v for k, v in base.files.items() if k < (since or "")[:8] + "01" and k != versions.NULL} if since else {}
+    if since and since <= start.isoformat() and all(kept.source.get(k) == v for k, v in older.items()):
+        between = fact.where((F.col(FACT_MONTH_FIELD.name) >= F.lit(since[:8] + "01").cast("date"))
+                             & (F.col(FACT_MONTH_FIELD.name) <= F.lit(month).cast("date"))
+                             & (F.col("DATE") >= F.lit(since).cast("date")))
+        seeds = last_days(between, first, versions.read_version(spark, wh.seeds, kept))
+    else:
+        seeds = last_days(fact.where(F.col(FACT_MONTH_FIELD.name) <= F.lit(month).cast("date")), first)
+    now = versions.replace(spark, seeds, wh.seeds, source=base.files, note=start.isoformat())
+    return versions.read_version(spark, wh.seeds, now)
 
 
 def table_paths(wh: Warehouse) -> dict[str, str]:
@@ -222,15 +299,11 @@ def table_paths(wh: Warehouse) -> dict[str, str]:
     }
 
 
-def recover_tables(spark: SparkSession, wh: Warehouse) -> list[str]:
-    """Finish any table swap a lost driver left half done; names of the
-    tables that were repaired."""
-    return [name for name, path in table_paths(wh).items() if recover(spark, path)]
-
-
 def register(spark: SparkSession, wh: Warehouse, database: str | None = None) -> None:
-    """Expose every built table in the session catalog, with descriptions."""
-    register_tables(spark, table_paths(wh), database)
+    """Expose every built table as a view over its newest published state: a
+    temporary one, or, with ``database``, one of that database, with the
+    table's and columns' descriptions."""
+    register_views(spark, {name: path for name, path in table_paths(wh).items() if table_exists(spark, path)}, database)
 
 
 def tables(spark: SparkSession, wh: Warehouse) -> dict[str, DataFrame]:

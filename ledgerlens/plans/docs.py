@@ -2,8 +2,8 @@
 
 Column descriptions travel as Spark field metadata (``comment``), which
 Spark writes into each Parquet footer with the schema, so any reader of the
-files sees them. Table descriptions are attached when a table is registered
-in the session catalog.
+files sees them. Table descriptions are attached when a table is registered as
+a view of a database.
 """
 
 from __future__ import annotations
@@ -11,6 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlens.sources import versions
+from ledgerlens.sources.tables import read_table
+
 # --- fixed values: descriptions of the reference's models ----------------------
 TABLE_DOCS = {
     "stg_organizations": "Staging: organizations from RAW, typed & cleaned.",
@@ -44,12 +47,58 @@ def column_comments(df: DataFrame) -> dict[str, str]:
     return {f.name: f.metadata["comment"] for f in df.schema.fields if "comment" in f.metadata}
 
 
-def register_tables(spark: SparkSession, paths: dict[str, str], database: str | None = None) -> None:
-    """Register each Parquet directory as an external catalog table with its description."""
+VIEW_PROPERTY = "ledgerlens.path"
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _version_sql(spark: SparkSession, path: str) -> tuple[str, list[str]]:
+    """SELECT over the published files of a table, and its columns."""
+    now = versions.current(spark, path)
+    if now is None or not now.files:
+        return f"SELECT * FROM parquet.{_quoted(path)}", read_table(spark, path).columns
+    names = now.schema.fieldNames() + ([now.partition.name] if now.partition else [])
+    by_version: dict[str, list[str]] = {}
+    for key, v in now.files.items():
+        by_version.setdefault(v, []).append(key)
+    parts = []
+    for v, keys in sorted(by_version.items()):
+        where = ""
+        if now.partition and len(by_version) > 1:
+            m = _quoted(now.partition.name)
+            dated = ", ".join(f"DATE'{k}'" for k in sorted(keys) if k != versions.NULL)
+            tests = ([f"{m} IN ({dated})"] if dated else []) + ([f"{m} IS NULL"] if versions.NULL in keys else [])
+            where = f" WHERE {' OR '.join(tests)}"
+        cols = ", ".join(_quoted(n) for n in names)
+        parts.append(f"SELECT {cols} FROM parquet.{_quoted(f'{path}/{versions.VERSION}={v}')}{where}")
+    return " UNION ALL ".join(parts), names
+
+
+def register_views(spark: SparkSession, paths: dict[str, str], database: str | None = None) -> None:
+    """Register each table as a view of its newest published state.
+
+    Without ``database`` the views are temporary. In a database they carry the
+    descriptions and are marked as ours; a table or view of the same name that
+    is not marked is left alone and raises.
+    """
     for name, path in paths.items():
-        full = f"{database}.{name}" if database else name
+        if database is None:
+            df = read_table(spark, path)
+            df.createOrReplaceTempView(_quoted(name))
+            continue
+        full = f"{_quoted(database)}.{_quoted(name)}"
         if spark.catalog.tableExists(full):
-            spark.sql(f"DROP TABLE {full}")
-        spark.catalog.createTable(full, path=path, source="parquet", description=TABLE_DOCS.get(name, ""))
-        if spark.catalog.listColumns(full) and any(c.isPartition for c in spark.catalog.listColumns(full)):
-            spark.sql(f"MSCK REPAIR TABLE {full}")
+            props = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {full}").collect()}
+            if props.get(VIEW_PROPERTY) != path:
+                raise ValueError(f"{database}.{name} exists and is not a view of {path}; it is left as it is")
+        body, names = _version_sql(spark, path)
+        docs = COLUMN_DOCS.get(name, {})
+        cols = ", ".join(_quoted(c) + (f" COMMENT {_text(docs[c])}" if c in docs else "") for c in names)
+        spark.sql(f"CREATE OR REPLACE VIEW {full} ({cols}) COMMENT {_text(TABLE_DOCS.get(name, ''))} "
+                  f"TBLPROPERTIES ({_text(VIEW_PROPERTY)} = {_text(path)}) AS {body}")

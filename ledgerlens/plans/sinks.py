@@ -1,256 +1,157 @@
-"""Table sinks over Parquet directories.
-
-* :func:`write_table` — full-rebuild materialization.
-* :func:`replace_table` — rebuild of a table from a plan that reads the same
-  table: the result is first written to the shared scratch folder (cutting
-  the lineage to the old files), then copied over the target.
-* :func:`write_fact` / :func:`merge_partitions` — the month-partitioned,
-  (DATE, ORGANIZATION_ID)-clustered fact and its incremental merge, which
-  rewrites only the month partitions the delta touches.
-
-Both rewrites end with a *swap*: a copy from the staged result over the
-target. Spark's overwrite removes the old files before its job writes the
-new ones, so a driver lost during the copy would leave the target empty or
-partial. Each swap therefore first records the staged copy in a one-row
-marker next to the table and clears it when done; :func:`recover` redoes a
-recorded swap before the next run reads the table. The staged copy is never
-removed by the library (the shared scratch folder is expired by retention).
+"""Table sinks over versioned Parquet folders (:mod:`ledgerlens.sources.versions`).
+
+Every rewrite writes its rows once, clustered, into a new version and then
+publishes it by one log row. Nothing is overwritten in place: a run that is
+lost at any point leaves the last published table as it was, and a rebuild
+that stopped half way is never read.
+
+* :func:`replace_table` — whole-table rebuild, from a plan that may read it;
+* :func:`write_fact` — month-partitioned, (DATE, ORGANIZATION_ID)-clustered;
+* :func:`merge_partitions` — merge of a delta into its months;
+* :func:`upsert_months` — keyed upsert into a table stored by month.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlens.operators.merge import key_columns, assert_unique_keys, merge_incremental, upsert
+from ledgerlens.operators.merge import assert_unique_keys, key_columns, merge_incremental, upsert
 from ledgerlens.plans.docs import with_comments
 from ledgerlens.session import new_scratch
+from ledgerlens.sources import versions
 from ledgerlens.sources.schemas import FACT_PARTITION
-from ledgerlens.sources.tables import read_table
+from ledgerlens.sources.tables import read_table, table_exists
 
 FACT_MONTH_FIELD = T.StructField(FACT_PARTITION, T.DateType())
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] | None = None,
                 mode: str = "overwrite") -> None:
+    """Plain Parquet folder (exports, staged copies); no version, no log."""
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
 
 
-def write_sorted(df: DataFrame, path: str, sort_by: Sequence[str]) -> None:
-    """Write with each task's rows sorted by ``sort_by`` (no shuffle).
-
-    Row groups then span narrow ranges of the leading column, so a pushed
-    filter on it skips most of them; cheaper than a global range sort.
-    """
-    df.sortWithinPartitions(*sort_by).write.mode("overwrite").parquet(path)
-
-
-def stage(spark: SparkSession, df: DataFrame, label: str, schema: T.StructType | None = None,
-          partition_by: Sequence[str] | None = None) -> DataFrame:
+def stage(spark: SparkSession, df: DataFrame, label: str, schema: T.StructType | None = None) -> DataFrame:
     """Materialize ``df`` under the shared scratch folder and scan it back.
 
-    The returned plan starts at those files: lineage is cut, a lost executor
-    re-reads files instead of recomputing, and the plan no longer reads the
-    table it is about to replace.
+    The returned plan starts at those files: lineage is cut, and a lost
+    executor re-reads files instead of recomputing.
     """
     path = new_scratch(spark, label)
-    write_table(df, path, partition_by)
+    write_table(df, path)
     return read_table(spark, path, schema or df.schema)
 
 
-def replace_table(spark: SparkSession, df: DataFrame, path: str, schema: T.StructType | None = None,
-                  partition_by: Sequence[str] = ()) -> None:
-    """Overwrite ``path`` with ``df`` even when ``df`` reads ``path``.
-
-    ``schema`` describes ``df`` including any ``partition_by`` columns.
-    """
-    staged_path = new_scratch(spark, "replace")
-    write_table(df, staged_path, partition_by)
-    _swap(spark, path, staged_path, "table", schema or df.schema, partition_by=partition_by)
-
-
-def month_filter(m: Column, months: set) -> Column:
-    """Literal predicate selecting ``months`` of the partition column ``m``
-    (``None`` selects the null partition); it prunes directories statically."""
-    dated = sorted(d for d in months if d is not None)
-    in_months = m.isin(dated) if dated else F.lit(False)
-    return in_months | m.isNull() if None in months else in_months
-
-
-def upsert_months(spark: SparkSession, updates: DataFrame, path: str, schema: T.StructType,
-                  keys: Sequence[str], month: Column, month_col: str, null_as: str | None = None) -> None:
-    """Upsert ``updates`` into a table partitioned by ``month_col`` (computed
-    by ``month`` from each row), rewriting only the months involved.
-
-    A month is involved when it receives an update row or holds a row whose
-    key is updated. An update may move a row to another month, so the
-    months holding updated keys are found by a semi join of the table's key
-    columns alone (a narrow scan) with the staged update keys. The involved
-    months are collected: at most one value per calendar month of history,
-    a size bounded by the calendar, not by the data. They become a literal
-    partition filter, so only their directories are listed and read. Those
-    months are merged, staged and swapped in with a dynamic partition
-    overwrite. If a merge would leave an involved month empty, which a
-    dynamic overwrite cannot express, the whole table is replaced instead.
-    Duplicate update keys raise, as in :func:`upsert`.
-    """
-    full = T.StructType(schema.fields + [T.StructField(month_col, T.DateType())])
-    m = F.col(month_col)
-    upd = stage(spark, updates.select(*schema.fieldNames()).withColumn(month_col, month), "upsert", full)
-    assert_unique_keys(upd, keys, null_as)
-    if month_col not in spark.read.parquet(path).columns:
-        # Stored without month partitions (e.g. written by another tool):
-        # one whole replace also moves it to the partitioned layout.
-        everything = upsert(read_table(spark, path, schema), upd.select(*schema.fieldNames()), keys,
-                            null_as=null_as, check_duplicates=False)
-        replace_table(spark, everything.withColumn(month_col, month), path, full, [month_col])
-        return
-    base = read_table(spark, path, full)
-    upd_keys = upd.select(*key_columns(upd, keys, null_as, "_uk"))
-    holders = base.select(m, *key_columns(base, keys, null_as, "_bk")).join(
-        upd_keys, [F.col(f"_bk{i}") == F.col(f"_uk{i}") for i in range(len(keys))], "left_semi")
-    involved = {r[0] for r in holders.select(m).unionByName(upd.select(m)).distinct().collect()}
-    old = base.where(month_filter(m, involved))
-    merged = upsert(old.select(*schema.fieldNames()), upd.select(*schema.fieldNames()), keys,
-                    null_as=null_as, check_duplicates=False)
-    staged_path = new_scratch(spark, "upserted")
-    write_table(merged.withColumn(month_col, month), staged_path, [month_col])
-    written = {r[0] for r in read_table(spark, staged_path, full).select(m).distinct().collect()}
-    if involved - written:
-        everything = upsert(base.select(*schema.fieldNames()), upd.select(*schema.fieldNames()), keys,
-                            null_as=null_as, check_duplicates=False)
-        replace_table(spark, everything.withColumn(month_col, month), path, full, [month_col])
-        return
-    _swap(spark, path, staged_path, "parts", full, partition_by=(month_col,))
-
-
-# --- crash-safe swaps -------------------------------------------------------------
-PENDING_SUFFIX = "__pending"
-_PENDING = T.StructType([
-    T.StructField("STAGED", T.StringType()),
-    T.StructField("KIND", T.StringType()),         # "table": whole table; "months": partitions
-    T.StructField("SCHEMA", T.StringType()),       # JSON of the target schema
-    T.StructField("CLUSTER_BY", T.StringType()),   # comma-separated ("months" only)
-    T.StructField("MODEL", T.StringType()),        # column descriptions to keep, or null
-    T.StructField("PARTITION_BY", T.StringType()), # comma-separated ("table" / "parts")
-])
-
-
-def _pending_path(path: str) -> str:
-    return path.rstrip("/") + PENDING_SUFFIX
-
-
-def _write_marker(spark: SparkSession, path: str, rows: list[tuple]) -> None:
-    spark.createDataFrame(rows, _PENDING).coalesce(1).write.mode("overwrite").json(_pending_path(path))
-
-
-def _copy(spark: SparkSession, path: str, staged: str, kind: str, schema: T.StructType,
-          cluster_by: Sequence[str] = (), model: str | None = None, partition_by: Sequence[str] = ()) -> None:
-    if kind == "table":
-        write_table(read_table(spark, staged, schema), path, partition_by)
-        return
-    if kind == "parts":
-        (read_table(spark, staged, schema).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*partition_by).parquet(path))
-        return
-    out = read_table(spark, staged, T.StructType(schema.fields + [FACT_MONTH_FIELD])).select(*schema.fieldNames())
-    write_fact(with_comments(out, model) if model else out, path, cluster_by, dynamic=True)
-
-
-def _swap(spark: SparkSession, path: str, staged: str, kind: str, schema: T.StructType,
-          cluster_by: Sequence[str] = (), model: str | None = None, partition_by: Sequence[str] = ()) -> None:
-    _write_marker(spark, path, [(staged, kind, schema.json(), ",".join(cluster_by), model, ",".join(partition_by))])
-    _copy(spark, path, staged, kind, schema, cluster_by, model, partition_by)
-    _write_marker(spark, path, [])
-
-
-def recover(spark: SparkSession, path: str) -> bool:
-    """Redo a swap into ``path`` that did not finish; True if one was redone.
-
-    The copy is idempotent (a whole-table overwrite, or a dynamic overwrite
-    of the staged months), so redoing it after any partial attempt yields
-    the intended table.
-    """
-    try:
-        pending = spark.read.schema(_PENDING).json(_pending_path(path)).collect()  # at most one row
-    except AnalysisException:
-        return False
-    for r in pending:
-        cluster_by = tuple(c for c in (r.CLUSTER_BY or "").split(",") if c)
-        partition_by = tuple(c for c in (r.PARTITION_BY or "").split(",") if c)
-        _copy(spark, path, r.STAGED, r.KIND, T.StructType.fromJson(json.loads(r.SCHEMA)), cluster_by, r.MODEL,
-              partition_by)
-        _write_marker(spark, path, [])
-    return bool(pending)
-
-
 def cluster(df: DataFrame, by: Sequence[str], partitions: int | None = None) -> DataFrame:
     """Range-partition by ``by`` and sort inside each task.
 
-    Range (not hash) partitioning splits a hot leading value (one DATE with a
-    third of all rows) over several tasks by the next column, and the sort
-    gives tight Parquet row-group min/max for skipping.
+    Range (not hash) partitioning splits a hot leading value (one month with a
+    third of all rows) over several tasks by the next column, keeps the files
+    of a month few, and gives tight Parquet row-group min/max for skipping.
     """
     r = df.repartitionByRange(partitions, *by) if partitions else df.repartitionByRange(*by)
     return r.sortWithinPartitions(*by)
 
 
+def replace_table(spark: SparkSession, df: DataFrame, path: str, month: T.StructField | None = None,
+                  cluster_by: Sequence[str] = (), source: dict[str, str] | None = None,
+                  note: str | None = None) -> versions.Version:
+    """Rebuild ``path`` as ``df``, which may read the same table. ``month`` is
+    the partition column (in ``df``); ``cluster_by`` the order inside."""
+    by = ([month.name] if month else []) + list(cluster_by)
+    return versions.replace(spark, cluster(df, by) if by else df, path, month, source, note)
+
+
 def with_month(df: DataFrame, date_col: str = "DATE", month_col: str = FACT_PARTITION) -> DataFrame:
     """Add the partition column: first day of the month of ``date_col``."""
     return df.withColumn(month_col, F.trunc(F.col(date_col), "month"))
 
 
 def write_fact(df: DataFrame, path: str, cluster_by: Sequence[str] = ("DATE", "ORGANIZATION_ID"),
-               partitions: int | None = None, dynamic: bool = False) -> None:
-    """Write a (ORGANIZATION_ID, DATE)-grain table (fact or mart) partitioned
-    by month and range-clustered by ``cluster_by``.
+               partitions: int | None = None) -> versions.Version:
+    """Rebuild a (ORGANIZATION_ID, DATE)-grain table (fact or mart), partitioned
+    by month and range-clustered by ``cluster_by``."""
+    return versions.replace(df.sparkSession, cluster(with_month(df), cluster_by, partitions), path, FACT_MONTH_FIELD)
 
-    ``dynamic=True`` replaces only the month partitions present in ``df``.
-    """
-    w = cluster(with_month(df), cluster_by, partitions).write.mode("overwrite").partitionBy(FACT_PARTITION)
-    if dynamic:
-        w = w.option("partitionOverwriteMode", "dynamic")
-    w.parquet(path)
+
+def _months(df: DataFrame, month: str) -> list[str]:
+    """Distinct months of ``df`` as keys: at most one per calendar month."""
+    return [versions.key_of(r[0]) for r in df.select(month).distinct().collect()]
 
 
 def merge_partitions(spark: SparkSession, delta: DataFrame, path: str, keys: Sequence[str],
-                     schema: T.StructType, cluster_by: Sequence[str] = ("DATE", "ORGANIZATION_ID"),
-                     model: str | None = None) -> DataFrame:
+                     cluster_by: Sequence[str] = ("DATE", "ORGANIZATION_ID"), model: str | None = None) -> DataFrame:
     """Merge ``delta`` into the month-partitioned table at ``path`` by ``keys``.
 
-    Only the months holding a delta row are read (a scalar-subquery range
-    filter on the partition column prunes the listing, a semi join keeps the
-    exact months) and rewritten; all other partitions are untouched, so the
-    cost follows the delta, not the table. The merged months are staged in
-    the shared scratch folder first, then swapped in with a dynamic partition
-    overwrite. A merge never deletes: a target row whose key is absent from
-    the delta survives. Keys match null-safely, and a delta row with a null
-    DATE also reads back the null-month partition.
-
-    ``model`` names the column descriptions to keep in the rewritten files.
-    Returns the staged delta (a scan of its files), for callers that need
-    its bounds.
+    Only the months holding a delta row are read (a literal predicate on the
+    partition column) and written, once, clustered; the others keep their
+    files, so the cost follows the delta, not the table. A merge never
+    deletes: a target row whose key is absent from the delta survives. Keys
+    match null-safely, and a delta row with a null DATE involves the null month.
+
+    The table takes the delta's columns (schema sync): old rows get nulls for
+    a new column and lose one that the delta no longer has. ``model`` names
+    the column descriptions to keep in the files. Returns the staged delta
+    (a scan of its files), for callers that need its bounds.
     """
-    delta = delta.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-    delta = stage(spark, with_month(delta), "delta", T.StructType(schema.fields + [FACT_MONTH_FIELD]))
-    target = read_table(spark, path, T.StructType(schema.fields + [FACT_MONTH_FIELD]))
-    month = F.col(FACT_PARTITION)
-    touched = delta.select(month.alias("_TOUCHED")).distinct()
-    first = delta.agg(F.min(FACT_PARTITION)).scalar()
-    has_null = delta.agg(F.max(month.isNull())).scalar()
-    old = (target.where((month >= first) | (month.isNull() & has_null))
-                 .join(touched, month.eqNullSafe(F.col("_TOUCHED")), "left_semi"))
-    merged = merge_incremental(old.select(*schema.fieldNames()), delta.select(*schema.fieldNames()), keys, schema,
-                               null_safe=True)
-    staged_path = new_scratch(spark, "merged")
-    write_table(with_month(merged), staged_path, [FACT_PARTITION])
-    _swap(spark, path, staged_path, "months", schema, cluster_by, model)
+    now = versions.current(spark, path)
+    types = {f.name: f.dataType for f in now.schema.fields}
+    delta = delta.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in delta.columns])
+    delta = stage(spark, with_month(delta), "delta")
+    schema = T.StructType([f for f in delta.schema.fields if f.name != FACT_PARTITION])
+    involved = _months(delta, FACT_PARTITION)
+    target = versions.read_version(spark, path, now)
+    old = target.where(versions.partition_filter(F.col(FACT_PARTITION), involved))
+    merged = merge_incremental(old, delta.select(*schema.fieldNames()), keys, schema, null_safe=True)
+    out = cluster(with_month(with_comments(merged, model) if model else merged), cluster_by)
+    versions.replace_partitions(spark, out, path, involved)
     return delta
+
+
+def upsert_months(spark: SparkSession, updates: DataFrame, path: str, schema: T.StructType,
+                  keys: Sequence[str], month: Column, month_field: T.StructField, null_as: str | None = None,
+                  order_by: Sequence[str] | None = None) -> versions.Version:
+    """Upsert ``updates`` into a table partitioned by ``month_field`` (computed
+    by ``month`` from each row), writing only the months involved.
+
+    A month is involved when it receives an update row or holds a row whose
+    key is updated. An update may move a row to another month, so the months
+    holding updated keys are found by a semi join of the table's key columns
+    alone with the staged update keys: the one cost that grows with the table
+    (a scan and shuffle of two columns). The involved months are collected,
+    at most one value per calendar month, and become a literal partition
+    filter. Those months are merged and written once, range-clustered by
+    (month, first key), so a month has few files and a hot month many tasks; a
+    month that is left empty just drops out.
+
+    Duplicate update keys raise, unless ``order_by`` picks the newest.
+    """
+    m = month_field.name
+    names = schema.fieldNames()
+    upd = upsert(updates.select(*names).limit(0), updates.select(*names), keys, null_as=null_as, order_by=order_by,
+                 check_duplicates=False) if order_by else updates.select(*names)
+    upd = stage(spark, upd.withColumn(m, month), "upsert")
+    assert_unique_keys(upd, keys, null_as)
+    now = versions.current(spark, path)
+    if now is None or now.partition is None:
+        # Absent, or written by another tool without months: one whole
+        # replace also moves it to the partitioned layout.
+        old = read_table(spark, path, schema) if table_exists(spark, path) else upd.select(*names).limit(0)
+        everything = upsert(old, upd.select(*names), keys, null_as=null_as, check_duplicates=False)
+        return replace_table(spark, everything.withColumn(m, month), path, month_field, [keys[0]])
+    base = versions.read_version(spark, path, now)
+    upd_keys = upd.select(*key_columns(upd, keys, null_as, "_uk"))
+    holders = base.select(m, *key_columns(base, keys, null_as, "_bk")).join(
+        upd_keys, [F.col(f"_bk{i}") == F.col(f"_uk{i}") for i in range(len(keys))], "left_semi")
+    involved = _months(holders.select(m).unionByName(upd.select(m)), m)
+    old = base.where(versions.partition_filter(F.col(m), involved)).select(*names)
+    merged = upsert(old, upd.select(*names), keys, null_as=null_as, check_duplicates=False).withColumn(m, month)
+    return versions.replace_partitions(spark, cluster(merged, [m, keys[0]]), path, involved)
+

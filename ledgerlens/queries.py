@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens import oracle
-from ledgerlens.functions import to_usd
+from ledgerlens.functions import money_text, percent_text, to_usd
 from ledgerlens.operators.alerts import (
     alert_digest,
     alert_messages,
@@ -42,11 +42,11 @@ from ledgerlens.operators.quality import (
 )
 from ledgerlens.operators.staging import stage_invoices, stage_organizations
 from ledgerlens.plans.build import Warehouse, build, load_raw, refresh_fact, refresh_mart
-from ledgerlens.plans.sinks import write_fact, write_table
+from ledgerlens.plans.sinks import merge_partitions, replace_table, stage, write_fact
 from ledgerlens.session import new_scratch
 from ledgerlens.sources.csv import INVOICES_GLOB, read_raw_csv, write_csv
 from ledgerlens.sources.fixtures import raw_invoices, raw_organizations, read_test_table
-from ledgerlens.sources.schemas import FACT_PAYMENTS, MART_DAILY_BALANCE, RAW_INVOICES, STG_INVOICES
+from ledgerlens.sources.schemas import FACT_KEY, FACT_PAYMENTS, MART_DAILY_BALANCE, RAW_INVOICES, STG_INVOICES
 from ledgerlens.sources.tables import read_table
 
 
@@ -187,11 +187,102 @@ def q_alerts_allow_deny(spark, sf):
 
 
 def q_alert_messages(spark, sf):
-    return alert_messages(alerts(mart(spark, sf), min_abs=0.0)).select(_oid(), "MESSAGE_LINE", "MESSAGE_BLOCK")
+    return alert_messages(alerts(mart(spark, sf), min_abs=0.0)).select(
+        _oid(), "MESSAGE_LINE", "MESSAGE_BLOCK", "MESSAGE_TABLE")
 
 
 def q_alert_digest(spark, sf):
-    return alert_digest(mart(spark, sf), min_abs=1000.0)
+    return alert_digest(stage(spark, mart(spark, sf), "digest-mart"), min_abs=1000.0)
+
+
+def monthly_mart(spark: SparkSession, sf: str) -> DataFrame:
+    """The mart at month grain (every invoice moved to the first of its month):
+    its newest day has a row for a large part of all organizations."""
+    return mart_daily_balance(fact_daily_payment(stg_inv(spark, sf).withColumn(
+        "CREATED_DATE", F.trunc("CREATED_DATE", "month"))))
+
+
+def busy_day(m: DataFrame) -> DataFrame:
+    """``m`` up to the newest of its days with the most rows."""
+    per_day = m.where("DATE is not null").groupBy("DATE").agg(F.count(F.lit(1)).alias("N"))
+    return m.where(F.col("DATE") <= per_day.agg(F.max(F.struct("N", "DATE"))["DATE"]).scalar())
+
+
+def q_alerts_monthly(spark, sf):
+    return alert_view(alerts(busy_day(monthly_mart(spark, sf)), min_abs=1000.0))
+
+
+def q_alerts_top50_monthly(spark, sf):
+    return alert_view(top_alerts(busy_day(monthly_mart(spark, sf)), 50, min_abs=0.0))
+
+
+def q_alerts_macro_monthly(spark, sf):
+    return mart_view(alerts_macro(busy_day(monthly_mart(spark, sf)), threshold=0.25, min_abs=50000.0))
+
+
+def q_alerts_allow_deny_monthly(spark, sf):
+    return mart_view(alerts_macro(busy_day(monthly_mart(spark, sf)), allow=oracle.SHORT_ALLOW_IDS, deny=oracle.SHORT_DENY_IDS))
+
+
+def q_alert_messages_monthly(spark, sf):
+    return alert_messages(alerts(busy_day(monthly_mart(spark, sf)), min_abs=0.0)).select(
+        _oid(), "MESSAGE_LINE", "MESSAGE_BLOCK", "MESSAGE_TABLE")
+
+
+def q_message_numbers(spark, sf):
+    """Number texts over every invoice: percents that tie, and amounts far
+    beyond what a double holds exactly."""
+    raw = raw_invoices(spark, sf)
+    k = _order_key(raw).cast("decimal(38,0)")
+    pct = ((k % 2001 - 1000) / 800).cast("double")
+    big = (k * F.lit("1000000000000").cast("decimal(13,0)") + F.col("AMOUNT").cast("decimal(18,2)") / 8).cast("decimal(38,8)")
+    return raw.select("INVOICE_ID", percent_text(pct).alias("PCT_TEXT"), money_text(big).alias("MONEY_TEXT"),
+                      money_text(-big, grouped=False).alias("PLAIN_TEXT"))
+
+
+def _corrupt(m: DataFrame) -> DataFrame:
+    """Some rows with a percentage they must not have, some with a wrong
+    previous amount."""
+    c = F.col("ORGANIZATION_ID").cast("bigint")
+    prev = F.col("PREV_DAILY_PAYMENT_AMOUNT")
+    return m.withColumn("DOD_CHANGE_PCT", F.when(c % 3 == 0, F.coalesce("DOD_CHANGE_PCT", F.lit(0.25))).otherwise(
+        F.col("DOD_CHANGE_PCT"))).withColumn("PREV_DAILY_PAYMENT_AMOUNT", F.when(c % 5 == 0, prev + 1).otherwise(prev).cast("decimal(38,8)"))
+
+
+def q_check_pct_guard_violations(spark, sf):
+    return mart_view(check_pct_guard(_corrupt(mart(spark, sf))))
+
+
+def q_check_prev_violations(spark, sf):
+    return check_prev(_corrupt(mart(spark, sf))).select(
+        _oid(), "DATE", _m4("DAILY_PAYMENT_AMOUNT").alias("DAILY_PAYMENT_AMOUNT"),
+        _m4("PREV_DAILY_PAYMENT_AMOUNT").alias("PREV_DAILY_PAYMENT_AMOUNT"), _m4("PREV_CALC").alias("PREV_CALC"))
+
+
+def q_freshness_raw_invoices(spark, sf):
+    nows = [_dt.datetime.fromisoformat(n) for n in oracle.INVOICE_NOWS]
+    return freshness(raw_invoices(spark, sf), "CREATED_AT", nows)
+
+
+def q_upsert_newest(spark, sf):
+    """All later snapshots of every organization, the newest of each winning."""
+    raw = raw_organizations(spark, sf)
+    c = F.col("ORGANIZATION_ID").cast("bigint")
+    v = F.col("COUNT_TOTAL_CONTRACTS_ACTIVE").cast("bigint") - c % 50
+    return org_view(upsert(raw.where(v == 0), raw.where(v > 0), ["ORGANIZATION_ID"], order_by=["COUNT_TOTAL_CONTRACTS_ACTIVE"]))
+
+
+def q_schema_sync(spark, sf):
+    """A stored merge whose delta has a new column and lacks another."""
+    path = new_scratch(spark, "schema_sync") + "/fact"
+    s = stg_inv(spark, sf)
+    old = fact_daily_payment(s.where(F.col("CREATED_DATE") <= _cutoff())).withColumn("OLD_NOTE", F.lit("old"))
+    write_fact(old, path)
+    delta = fact_daily_payment(s.where(F.col("CREATED_DATE") > F.date_sub(_cutoff(), 30)))
+    delta = delta.withColumn("N_DIGITS", F.length(F.col("PAYMENT_AMOUNT_USD").cast("bigint").cast("string")))
+    merge_partitions(spark, delta, path, FACT_KEY)
+    out = read_table(spark, path)
+    return out.select(_oid(), "DATE", _m4("PAYMENT_AMOUNT_USD").alias("PAYMENT_AMOUNT_USD"), *out.columns[3:])
 
 
 def q_check_not_null(spark, sf):
@@ -218,15 +309,16 @@ def q_check_prev_matches_lag(spark, sf):
 
 
 def q_check_summary(spark, sf):
-    so = stg_org(spark, sf)
-    f = fact(spark, sf)
+    # As in a build, the layers are made once and the checks read them back.
+    f = stage(spark, fact(spark, sf), "checked-fact")
+    so = stage(spark, stg_org(spark, sf), "checked-organizations")
     return run_checks({
         "raw_organizations": raw_organizations(spark, sf),
         "raw_invoices": raw_invoices(spark, sf),
         "stg_organizations": so,
-        "dim_organizations": dim_organizations(so),
+        "dim_organizations": stage(spark, dim_organizations(so), "checked-dimension"),
         "fact_organizations_payment": f,
-        "mart_daily_org_balance": mart_daily_balance(f),
+        "mart_daily_org_balance": stage(spark, mart_daily_balance(f), "checked-mart"),
     })
 
 
@@ -302,7 +394,7 @@ def q_incremental_mart(spark, sf):
 def q_full_refresh(spark, sf):
     wh = Warehouse(new_scratch(spark, "full_refresh"))
     raw = raw_invoices(spark, sf)
-    write_table(raw_organizations(spark, sf), wh.raw_organizations)   # snapshots, several per organization
+    replace_table(spark, raw_organizations(spark, sf), wh.raw_organizations)   # snapshots, several per organization
     load_raw(spark, wh, invoices=raw)
     build(spark, wh, run_tests=False)
     # Later load: some invoices leave the settled statuses.
@@ -345,4 +437,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incremental_merge": q_incremental_merge,
     "incremental_mart": q_incremental_mart,
     "full_refresh": q_full_refresh,
+    "alerts_monthly": q_alerts_monthly,
+    "alerts_top50_monthly": q_alerts_top50_monthly,
+    "alerts_macro_monthly": q_alerts_macro_monthly,
+    "alerts_allow_deny_monthly": q_alerts_allow_deny_monthly,
+    "alert_messages_monthly": q_alert_messages_monthly,
+    "message_numbers": q_message_numbers,
+    "check_pct_guard_violations": q_check_pct_guard_violations,
+    "check_prev_violations": q_check_prev_violations,
+    "freshness_raw_invoices": q_freshness_raw_invoices,
+    "upsert_newest": q_upsert_newest,
+    "schema_sync": q_schema_sync,
 }

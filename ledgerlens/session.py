@@ -46,28 +46,28 @@ def get_session(master: str | None = None, app: str = "ledgerlens",
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the deployment and must be shared storage.
-    Only when it is unset (local tests) a temporary folder is created and
-    registered as the checkpoint directory.
+    On a cluster the deployment sets it, to shared storage; without it this
+    raises there, since every executor would write to a disk of its own. Only
+    in local mode (tests) a temporary folder is made and registered.
     """
-    root = None
-    try:
-        root = spark.conf.get("spark.checkpoint.dir", None)
-    except Exception:  # noqa: BLE001 - some session types refuse unknown keys
-        root = None
+    root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
         if root:
             root = root.rsplit("/", 1)[0]
+    local = spark.sparkContext.master.startswith("local") and not spark.sparkContext.master.startswith("local-cluster")
     if not root:
+        if not local:
+            raise RuntimeError("spark.checkpoint.dir is not set; name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="ledgerlens-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
+    if "://" not in root and not root.startswith(("/", "file:")):
+        if not local:
+            raise RuntimeError(f"spark.checkpoint.dir is the relative path {root!r}; name a shared folder in full")
+        root = os.path.abspath(root)
     return root.rstrip("/")
 
 
 def new_scratch(spark: SparkSession, label: str) -> str:
     """A fresh, unique folder below the shared scratch root."""
-    root = scratch_root(spark)
-    if "://" not in root and not root.startswith("/"):
-        root = os.path.abspath(root)
-    return f"{root}/ledgerlens/{label}-{uuid.uuid4().hex[:12]}"
+    return f"{scratch_root(spark)}/ledgerlens/{label}-{uuid.uuid4().hex[:12]}"

@@ -81,7 +81,6 @@ FACT_PAYMENTS = T.StructType([
 # and day), so monthly directories keep files large while an incremental
 # merge rewrites at most the two months its 8-day window touches.
 FACT_PARTITION = "MONTH"
-FACT_STORED = T.StructType(FACT_PAYMENTS.fields + [T.StructField(FACT_PARTITION, T.DateType())])
 
 MART_DAILY_BALANCE = T.StructType([
     T.StructField("ORGANIZATION_ID", ID),

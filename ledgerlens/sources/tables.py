@@ -1,4 +1,4 @@
-"""Scans of materialized layers (Parquet directories)."""
+"""Scans of materialized layers (versioned or plain Parquet folders)."""
 
 from __future__ import annotations
 
@@ -7,18 +7,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
+from ledgerlens.sources import versions
 from ledgerlens.sources.schemas import FACT_PARTITION
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Scan a Parquet table; a declared schema also types the partition columns."""
-    r = spark.read
-    if schema is not None:
-        r = r.schema(schema)
-    df = r.parquet(path)
-    if schema is not None:
-        df = df.select(*[F.col(f.name) for f in schema.fields])
-    return df
+    """Scan a table: a versioned one (its newest published state), or a plain
+    Parquet folder written by another tool. A declared schema selects the
+    columns, and may name the partition column too."""
+    version = versions.current(spark, path)
+    if version is not None:
+        df = versions.read_version(spark, path, version)
+        if schema is None:
+            return df.drop(version.partition.name) if version.partition else df
+    else:
+        df = (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
+    return df if schema is None else df.select(*[F.col(f.name) for f in schema.fields])
 
 
 def read_partitioned(spark: SparkSession, path: str, schema: T.StructType,
@@ -28,9 +32,12 @@ def read_partitioned(spark: SparkSession, path: str, schema: T.StructType,
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # noqa: B018 - resolves the listing only
+    """Whether ``path`` holds a published table or a plain Parquet folder;
+    version folders that were never published do not count."""
+    if versions.current(spark, path) is not None:
         return True
+    try:
+        return versions.VERSION not in spark.read.parquet(path).columns
     except AnalysisException:
         return False
 

@@ -72,6 +72,23 @@ def test_message_number_text(spark):
     assert [tuple(r) for r in got] == [("1,234.56", "12.3%", "n/a"), ("-1,234.50", "-150.0%", "n/a")]
 
 
+def test_message_numbers_round_half_even_on_exact_values(spark):
+    """Ties, sums beyond 2^53 cents, and negatives that round to zero."""
+    rows = [(D("90071992547409931.13000000"), 0.1225), (D("0.12500000"), 0.0025), (D("-0.00100000"), -0.0004),
+            (D("1000.00500000"), 0.4025), (D("2.67500000"), 12345.67895)]
+    got = spark.createDataFrame(rows, "x decimal(38,8), p double").select(
+        money_text("x"), money_text("x", grouped=False), percent_text("p")).collect()
+    assert [tuple(r) for r in got] == [
+        (f"{x:,.2f}", f"{x:.2f}", f"{D(repr(p)) * 100:.1f}%") for x, p in rows]
+
+
+def test_long_and_short_id_lists_agree(spark):
+    df = spark.range(300).select(F.col("id").cast("decimal(38,0)").alias("id"))
+    long = [str(i) for i in range(0, 300, 2)] + ["it's", "a\\b", " 7"]
+    assert df.where(id_in_list("id", long)).count() == 150
+    assert df.where(id_in_list("id", ["7", "it's"])).count() == 1
+
+
 def test_lenient_timestamp(spark):
     df = spark.createDataFrame([("2024-01-05",), ("2024-01-05T10:00:00",), ("2024-01-05 10:00:00.123",),
                                 ("",), ("01/05/2024",), ("2024-13-01",), ("n/a",), (None,)], "s string")

@@ -28,7 +28,6 @@ from ledgerlens.operators import (
     run_checks,
     stage_invoices,
     stage_organizations,
-    sync_schema,
     top_alerts,
     upsert,
 )
@@ -166,7 +165,7 @@ def test_merge_never_deletes_and_syncs_schema(spark):
     wider = delta.withColumn("NOTE", F.lit("x"))
     synced = merge_incremental(target, wider.drop("PAYMENT_AMOUNT_USD"), ["ORGANIZATION_ID", "DATE"])
     assert synced.columns == ["ORGANIZATION_ID", "DATE", "NOTE"]
-    assert sync_schema(target, wider.schema).where("NOTE is null").count() == 2
+    assert merge_incremental(target, wider, ["ORGANIZATION_ID", "DATE"]).where("NOTE is null").count() == 1
 
 
 def test_contract(spark):
@@ -240,3 +239,18 @@ def test_alert_digest_caps_and_all_clear(spark):
     quiet = alert_digest(m, threshold=100.0, min_abs=1000).first()
     assert quiet.N_ALERTS == 0
     assert quiet.MESSAGE == ":white_check_mark: No Daily Balance alerts for 2024-01-02 (threshold=100.00, min_abs=1,000)."
+
+
+def test_digest_without_an_alert_day_raises(spark):
+    from ledgerlens.operators.alerts import alert_digest
+    from ledgerlens.sources.schemas import MART_DAILY_BALANCE
+    with pytest.raises(Exception, match="no alert day"):
+        alert_digest(spark.createDataFrame([], MART_DAILY_BALANCE)).collect()
+
+
+def test_freshness_of_text_timestamps_and_fractions(spark):
+    from ledgerlens.operators import freshness
+    df = spark.createDataFrame([("n/a",), ("2024-01-01T10:00:00",), (None,), ("",)], "CREATED_AT string")
+    r = freshness(df, "CREATED_AT", dt.datetime(2024, 1, 3, 10, 0, 0, 1)).first()
+    assert str(r.MAX_LOADED_AT) == "2024-01-01 10:00:00" and r.STATUS == "warn" and r.AGE_HOURS == 48
+    assert freshness(df.where("CREATED_AT = 'n/a'"), "CREATED_AT", dt.datetime(2024, 1, 3)).first().STATUS == "error"

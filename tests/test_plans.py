@@ -23,6 +23,7 @@ from ledgerlens.operators import (
 )
 from ledgerlens.plans.build import Warehouse, build, refresh_fact
 from ledgerlens.plans.sinks import FACT_MONTH_FIELD, write_fact, write_table
+from ledgerlens.sources import versions
 from ledgerlens.sources.fixtures import raw_invoices, raw_organizations
 from ledgerlens.sources.schemas import FACT_PAYMENTS, MART_DAILY_BALANCE, STG_INVOICES, STG_ORGANIZATIONS
 from ledgerlens.sources.tables import high_water_mark, read_partitioned, read_table
@@ -134,10 +135,14 @@ def test_merge_rewrites_only_touched_months(spark, tmp_path):
     # Window = max(DATE) - 7 days: of the months that existed, only those
     # overlapping the window are rewritten; later months are new.
     rewritten = {os.path.dirname(p) for p in before if after.get(p) != before[p]}
-    assert rewritten == {"MONTH=1998-06-01"}
-    old_months = {os.path.dirname(p) for p in before}
-    assert len(old_months) > 40
-    assert {os.path.dirname(p) for p in after} > old_months
+    assert not rewritten                                    # old files stay as they are
+    now = versions.current(spark, wh.fact)
+    first = {os.path.dirname(p).split("/")[0] for p in before}
+    assert len(first) == 1 and len({p.split("/")[1] for p in before}) > 40
+    superseded = {k for k in now.files if f"_version={now.files[k]}" not in first}
+    assert min(superseded) == "1998-06-01" and "1998-05-01" not in superseded
+    read = plan(read_table(spark, wh.fact, FACT_PAYMENTS).where("DATE = date'1998-06-15'"))
+    assert "PartitionFilters" in read and "_version" in read
 
 
 def test_hot_organization_with_a_third_of_all_invoices(spark):
@@ -179,17 +184,92 @@ def test_hot_organization_with_a_third_of_all_invoices(spark):
 
 
 def test_raw_month_filter_prunes_partitions(spark, tmp_path):
-    import datetime as dt
     from ledgerlens.plans.build import load_raw
-    from ledgerlens.plans.sinks import month_filter
-    from ledgerlens.sources.schemas import RAW_INVOICES, RAW_INVOICES_PARTITION
-    from pyspark.sql import types as T
+    from ledgerlens.sources.schemas import RAW_INVOICES_PARTITION
     w = Warehouse(str(tmp_path))
     load_raw(spark, w, invoices=raw_invoices(spark, SF_SMALL))
-    full = T.StructType(RAW_INVOICES.fields + [T.StructField(RAW_INVOICES_PARTITION, T.DateType())])
-    base = read_table(spark, w.raw_invoices, full)
+    base = versions.read_version(spark, w.raw_invoices, versions.current(spark, w.raw_invoices))
     m = F.col(RAW_INVOICES_PARTITION)
-    p = plan(base.where(month_filter(m, {dt.date(1996, 3, 1), None})))
+    p = plan(base.where(versions.partition_filter(m, ["1996-03-01", versions.NULL])))
     assert "PartitionFilters: [((CREATED_MONTH#" in p and "= 1996-03-01) OR isnull(CREATED_MONTH" in p
-    got = base.where(month_filter(m, {dt.date(1996, 3, 1)})).count()
+    got = base.where(versions.partition_filter(m, ["1996-03-01"])).count()
     assert got == base.where(F.col("CREATED_AT").startswith("1996-03")).count() > 0
+
+
+def test_raw_load_keeps_files_per_month_few(spark, tmp_path):
+    """Many input tasks still write about one file for each month."""
+    from ledgerlens.plans.build import load_raw
+    w = Warehouse(str(tmp_path))
+    load_raw(spark, w, invoices=raw_invoices(spark, SF_SMALL).repartition(16))
+    months = versions.current(spark, w.raw_invoices).files
+    assert len(_files(w.raw_invoices)) <= len(months) + 16
+
+
+def test_daily_build_stages_only_changed_months(spark, tmp_path):
+    from ledgerlens.plans.build import load_raw, stage_layer
+    w = Warehouse(str(tmp_path))
+    raw = raw_invoices(spark, SF_SMALL)
+    write_table(raw_organizations(spark, SF_SMALL), w.raw_organizations)
+    load_raw(spark, w, invoices=raw)
+    assert stage_layer(spark, w) is None
+    before = versions.current(spark, w.stg_invoices).files
+    load_raw(spark, w, invoices=raw.where(F.col("CREATED_AT").startswith("1996-03")).withColumn("STATUS", F.lit("open")))
+    assert stage_layer(spark, w) == ["1996-03-01"]
+    after = versions.current(spark, w.stg_invoices).files
+    assert {k for k in after if after[k] != before[k]} == {"1996-03-01"} and after.keys() == before.keys()
+    assert stage_layer(spark, w) == []
+    stg = read_table(spark, w.stg_invoices, STG_INVOICES)
+    assert stg.count() == raw.count() and stg.where("STATUS <> 'OPEN' and CREATED_DATE >= '1996-03-01' and CREATED_DATE < '1996-04-01'").count() == 0
+
+
+def test_lookback_lists_only_recent_staged_months(spark, wh):
+    from ledgerlens.plans.build import STAGED_MONTH_FIELD
+    stg = read_partitioned(spark, wh.stg_invoices, STG_INVOICES, STAGED_MONTH_FIELD)
+    target = read_partitioned(spark, wh.fact, FACT_PAYMENTS, FACT_MONTH_FIELD)
+    p = plan(fact_daily_payment(stg, target=target, already_upper=True))
+    assert re.search(r"PartitionFilters: \[isnotnull\(CREATED_MONTH#\d+\), .*CREATED_MONTH#\d+ >= ", p)
+
+
+def test_seeds_read_months_since_the_kept_start(spark, tmp_path):
+    """A daily restatement finds previous days from the kept seeds and the
+    months since; the result equals the one from the whole history."""
+    import datetime as dt
+    from ledgerlens.plans.build import refresh_seeds
+    w = Warehouse(str(tmp_path))
+    stg = stage_invoices(raw_invoices(spark, SF_SMALL))
+    write_fact(fact_daily_payment(stg), w.fact)
+    fact = read_partitioned(spark, w.fact, FACT_PAYMENTS, FACT_MONTH_FIELD)
+
+    def want(day):
+        return {(int(r.ORGANIZATION_ID), r.DATE) for r in fact.where(F.col("DATE") < F.lit(day)).groupBy(
+            "ORGANIZATION_ID").agg(F.max("DATE").alias("DATE")).collect()}
+
+    for day in (dt.date(1996, 5, 10), dt.date(1996, 7, 3), dt.date(1995, 2, 2)):   # first, later, earlier start
+        got = refresh_seeds(spark, w, fact, day)
+        assert {(int(r.ORGANIZATION_ID), r.DATE) for r in got.collect()} == want(day)
+    assert versions.current(spark, w.seeds).note == "1995-02-02"
+    write_fact(fact_daily_payment(stg.where("INVOICE_ID <> 'x'")), w.fact)          # rebuilt: seeds start over
+    fact = read_partitioned(spark, w.fact, FACT_PAYMENTS, FACT_MONTH_FIELD)
+    got = refresh_seeds(spark, w, fact, dt.date(1996, 8, 1))
+    assert {(int(r.ORGANIZATION_ID), r.DATE) for r in got.collect()} == want(dt.date(1996, 8, 1))
+
+
+def test_scratch_folder_must_be_shared_off_local_mode(spark, monkeypatch):
+    from ledgerlens import session
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        def __init__(self, folder):
+            self.conf = {"spark.checkpoint.dir": folder}
+
+    for folder in (None, "relative/folder"):
+        with pytest.raises(RuntimeError, match="checkpoint.dir"):
+            session.scratch_root(Session(folder))
+    assert session.scratch_root(Session("hdfs://x/y/")) == "hdfs://x/y"

@@ -20,6 +20,7 @@ from ledgerlens.plans.sinks import write_fact
 from ledgerlens.sources.csv import INVOICES_GLOB, read_raw_csv
 from ledgerlens.sources.fixtures import raw_invoices, raw_organizations
 from ledgerlens.sources.schemas import FACT_PAYMENTS, MART_DAILY_BALANCE, RAW_INVOICES, RAW_ORGANIZATIONS
+from ledgerlens.sources import versions
 from ledgerlens.sources.tables import read_table
 
 from conftest import SF_SMALL
@@ -148,7 +149,7 @@ def test_ingest_landing_upserts(spark, tmp_dir):
     assert read_table(spark, wh.raw_organizations, RAW_ORGANIZATIONS).count() == 1
 
 
-def test_comments_persist_and_tables_register(spark, tmp_dir):
+def test_comments_persist_and_views_register(spark, tmp_dir):
     from ledgerlens.plans.build import register
     from ledgerlens.plans.docs import column_comments
     wh = Warehouse(tmp_dir)
@@ -157,51 +158,117 @@ def test_comments_persist_and_tables_register(spark, tmp_dir):
     build(spark, wh, run_tests=False)
     docs = column_comments(spark.read.parquet(wh.mart))
     assert docs["DOD_CHANGE_PCT"].startswith("Percent change vs previous available day")
-    register(spark, wh)
-    assert spark.table("mart_daily_org_balance").count() == read_table(spark, wh.mart).count()
-    desc = {t.name: t.description for t in spark.catalog.listTables()}
+    register(spark, wh)                                    # temporary views
+    rows = read_table(spark, wh.mart, MART_DAILY_BALANCE).count()
+    assert spark.table("mart_daily_org_balance").count() == rows
+    assert {t.name for t in spark.catalog.listTables() if t.isTemporary} >= {"mart_daily_org_balance", "stg_invoices"}
+    spark.sql("CREATE DATABASE IF NOT EXISTS reg_test")
+    register(spark, wh, "reg_test")
+    register(spark, wh, "reg_test")                        # our own views are replaced
+    assert spark.table("reg_test.mart_daily_org_balance").count() == rows
+    desc = {t.name: t.description for t in spark.catalog.listTables("reg_test") if not t.isTemporary}
     assert desc["dim_organizations"] == "Organization dimension with key dates and metadata."
+    cols = {c.name: c.description for c in spark.catalog.listColumns("reg_test.mart_daily_org_balance")}
+    assert cols["DAILY_PAYMENT_AMOUNT"] == "USD payment amount for the day"
+    for t in spark.catalog.listTables():
+        if t.isTemporary:
+            spark.catalog.dropTempView(t.name)
 
 
-def test_swap_lost_mid_copy_is_redone(spark, tmp_dir):
-    """A driver lost between the marker and the end of a swap: the next run
-    finishes the copy from the staged result, for a whole table and for months."""
-    from ledgerlens.plans.build import recover_tables
-    from ledgerlens.plans.sinks import _write_marker, recover, with_month
-    from ledgerlens.session import new_scratch
+def test_register_leaves_foreign_tables_alone(spark, tmp_dir):
+    from ledgerlens.plans.build import register
+    wh = Warehouse(os.path.join(tmp_dir, "wh"))
+    raw_organizations(spark, SF_SMALL).write.parquet(wh.raw_organizations)
+    spark.sql("CREATE DATABASE IF NOT EXISTS foreign_test")
+    spark.createDataFrame([(1,)], "x int").write.option("path", os.path.join(tmp_dir, "foreign")).saveAsTable(
+        "foreign_test.raw_organizations")
+    with pytest.raises(ValueError, match="left as it is"):
+        register(spark, wh, "foreign_test")
+    assert spark.table("foreign_test.raw_organizations").columns == ["x"]
+
+
+class Lost(RuntimeError):
+    """A driver that goes away."""
+
 
+def test_interrupted_rebuild_is_never_read(spark, tmp_dir, monkeypatch):
+    """A rebuild lost after its files were written but before they were
+    published leaves the last complete table; one lost in the middle of the
+    first build leaves no table."""
+    from ledgerlens.sources import versions
+    from ledgerlens.sources.tables import table_exists
     wh = Warehouse(tmp_dir)
     raw = raw_invoices(spark, SF_SMALL)
+    stg = stage_invoices(raw)
+
+    def lost(*a, **k):
+        raise Lost()
+
+    with monkeypatch.context() as m:
+        m.setattr(versions, "publish", lost)
+        with pytest.raises(Lost):
+            write_fact(fact_daily_payment(stg), wh.fact)
+        assert os.path.isdir(wh.fact) and not table_exists(spark, wh.fact)
+        with pytest.raises(Lost):
+            load_raw(spark, wh, invoices=raw)
+        assert not table_exists(spark, wh.raw_invoices)
     load_raw(spark, wh, invoices=raw)
-    n = raw.count()
-    # RAW: the staged upsert is complete, the overwrite has wiped the target.
-    staged = new_scratch(spark, "test-replace")
-    raw.withColumn("STATUS", F.lit("open")).write.parquet(staged)
-    _write_marker(spark, wh.raw_invoices, [(staged, "table", RAW_INVOICES.json(), "", None, "")])
-    spark.createDataFrame([], RAW_INVOICES).write.mode("overwrite").parquet(wh.raw_invoices)
-    assert read_table(spark, wh.raw_invoices, RAW_INVOICES).count() == 0
-    assert recover_tables(spark, wh) == ["raw_invoices"]
-    got = read_table(spark, wh.raw_invoices, RAW_INVOICES)
-    assert got.count() == n and got.where("STATUS <> 'open'").count() == 0
-    assert not recover(spark, wh.raw_invoices)          # marker cleared
+    raw_organizations(spark, SF_SMALL).write.parquet(wh.raw_organizations)
+    build(spark, wh, run_tests=False)
+    n = read_table(spark, wh.fact, FACT_PAYMENTS).count()
+    with monkeypatch.context() as m:
+        m.setattr(versions, "publish", lost)
+        with pytest.raises(Lost):
+            build(spark, wh, full_refresh=True)
+        assert read_table(spark, wh.fact, FACT_PAYMENTS).count() == n
+    # files of an unpublished version may even be half gone
+    lone = [d for d in os.listdir(wh.stg_organizations) if d.startswith("_version=")]
+    assert len(lone) == 2
+    build(spark, wh, run_tests=False)
+    assert _fact_rows(read_table(spark, wh.fact, FACT_PAYMENTS)) == _fact_rows(fact_daily_payment(stg))
 
-    # Fact months: the staged merge of one month was never copied.
-    stg = stage_invoices(raw)
-    write_fact(fact_daily_payment(stg), wh.fact)
-    fact = read_table(spark, wh.fact, FACT_PAYMENTS)
-    month = fact.where("DATE is not null").agg(F.max("DATE")).first()[0].replace(day=1)
-    in_month = F.trunc("DATE", "month") == F.lit(month)
-    staged = new_scratch(spark, "test-months")
-    changed = fact.where(in_month).withColumn(
-        "PAYMENT_AMOUNT_USD", (F.col("PAYMENT_AMOUNT_USD") + 1).cast(FACT_PAYMENTS["PAYMENT_AMOUNT_USD"].dataType))
-    with_month(changed).write.partitionBy("MONTH").parquet(staged)
-    others = ~in_month | F.col("DATE").isNull()
-    want_others, want_month = _fact_rows(fact.where(others)), _fact_rows(changed)
-    _write_marker(spark, wh.fact, [(staged, "months", FACT_PAYMENTS.json(), "DATE,ORGANIZATION_ID", None, "")])
-    assert recover(spark, wh.fact)
-    after = read_table(spark, wh.fact, FACT_PAYMENTS)
-    assert _fact_rows(after.where(others)) == want_others
-    assert _fact_rows(after.where(in_month)) == want_month
+
+def test_failing_checks_gate_the_alerts(spark, tmp_dir):
+    from ledgerlens.plans.build import ChecksFailed, daily_run
+    wh = Warehouse(tmp_dir)
+    load_raw(spark, wh, invoices=raw_invoices(spark, SF_SMALL).where("CREATED_AT <> 'n/a'"))
+    orgs = raw_organizations(spark, SF_SMALL).dropDuplicates(["ORGANIZATION_ID"]).withColumn(
+        "LEGAL_ENTITY_COUNTRY_CODE", F.lit("de"))
+    orgs.write.parquet(wh.raw_organizations)
+    assert "MESSAGE_LINE" in daily_run(spark, wh, min_abs=0.0).columns
+    bad = orgs.withColumn("ORGANIZATION_ID", F.lit(None).cast("decimal(38,0)")).limit(1)
+    orgs.unionByName(bad).write.mode("overwrite").parquet(wh.raw_organizations)
+    with pytest.raises(ChecksFailed) as e:
+        daily_run(spark, wh)
+    assert ("not_null_raw_organizations_organization_id", 1) in e.value.failures
+    summary = {r.CHECK_NAME: r.STATUS for r in build(spark, wh, on_failure="report").collect()}
+    assert summary["not_null_raw_organizations_organization_id"] == "fail"
+
+
+def test_fact_and_downstream_refresh_leaves_staging_alone(spark, tmp_dir):
+    from ledgerlens.plans.build import refresh_downstream
+    from ledgerlens.sources import versions
+    wh = Warehouse(tmp_dir)
+    load_raw(spark, wh, invoices=raw_invoices(spark, SF_SMALL))
+    raw_organizations(spark, SF_SMALL).write.parquet(wh.raw_organizations)
+    build(spark, wh, run_tests=False)
+    seq = {p: versions.current(spark, p).seq for p in (wh.stg_invoices, wh.dim_organizations, wh.fact, wh.mart)}
+    refresh_downstream(spark, wh)
+    now = {p: versions.current(spark, p).seq for p in seq}
+    assert [now[p] - seq[p] for p in seq] == [0, 0, 1, 1]
+
+
+def test_stored_merge_syncs_added_and_dropped_columns(spark, tmp_dir):
+    from ledgerlens.plans.sinks import merge_partitions
+    path = os.path.join(tmp_dir, "t")
+    old = spark.sql("select cast(1 as decimal(38,0)) ORGANIZATION_ID, date'2024-01-01' DATE, 1 A, 2 B union all "
+                    "select 2, date'2024-02-01', 3, 4")
+    write_fact(old, path)
+    merge_partitions(spark, spark.sql("select cast(2 as decimal(38,0)) ORGANIZATION_ID, date'2024-02-01' DATE, 5 A, 'n' C"),
+                     path, ["ORGANIZATION_ID", "DATE"])
+    got = read_table(spark, path)
+    assert got.columns == ["ORGANIZATION_ID", "DATE", "A", "C"]
+    assert sorted((int(r[0]), r.A, r.C) for r in got.collect()) == [(1, 1, None), (2, 5, "n")]
 
 
 def _raw_rows(df):
@@ -223,8 +290,9 @@ def test_raw_invoice_upsert_rewrites_only_involved_months(spark, tmp_dir):
     wh = Warehouse(tmp_dir)
     raw = raw_invoices(spark, SF_SMALL)
     load_raw(spark, wh, invoices=raw)
-    before = _month_files(wh.raw_invoices)
-    assert len({os.path.dirname(p) for p in before}) > 40      # stored by month of CREATED_AT
+    before = versions.current(spark, wh.raw_invoices).files
+    files = _month_files(wh.raw_invoices)
+    assert len(before) > 40      # stored by month of CREATED_AT
     k = F.substring("INVOICE_ID", 4, 32).cast("bigint")
     in_month = raw.where(F.col("CREATED_AT").startswith("1996-03"))
     moved_key = in_month.orderBy("INVOICE_ID").first().INVOICE_ID
@@ -238,15 +306,42 @@ def test_raw_invoice_upsert_rewrites_only_involved_months(spark, tmp_dir):
     load_raw(spark, wh, invoices=upd)
     got = read_table(spark, wh.raw_invoices, RAW_INVOICES)
     assert _raw_rows(got) == want
-    after = _month_files(wh.raw_invoices)
-    rewritten = {os.path.dirname(p) for p in before if after.get(p) != before[p]}
-    assert rewritten == {"CREATED_MONTH=1996-03-01", "CREATED_MONTH=1998-07-01"}
+    after = versions.current(spark, wh.raw_invoices).files
+    assert {k for k in after if after[k] != before.get(k)} == {"1996-03-01", "1998-07-01"}
+    assert all(_month_files(wh.raw_invoices)[p] == t for p, t in files.items())
 
-    # An update that moves every invoice out of a month falls back to one
-    # whole replace (a dynamic overwrite cannot empty a partition).
+    # An update that moves every invoice out of a month: the month drops out,
+    # the others but the receiving one keep their files.
     cur = read_table(spark, wh.raw_invoices, RAW_INVOICES)
     upd2 = cur.where(F.col("CREATED_AT").startswith("1996-03")).withColumn("CREATED_AT", F.lit("1996-04-15 00:00:00"))
     want2 = _raw_rows(upsert(cur, upd2, ["INVOICE_ID", "TRANSACTION_ID"], null_as=""))
     load_raw(spark, wh, invoices=upd2)
     assert _raw_rows(read_table(spark, wh.raw_invoices, RAW_INVOICES)) == want2
-    assert not os.path.isdir(os.path.join(wh.raw_invoices, "CREATED_MONTH=1996-03-01"))
+    last = versions.current(spark, wh.raw_invoices).files
+    assert after.keys() - last.keys() == {"1996-03-01"}
+    assert {k for k in last if last[k] != after[k]} == {"1996-04-01"}
+
+
+def test_newest_update_wins_when_asked(spark, tmp_dir):
+    from ledgerlens.operators import DuplicateKeyError
+    wh = Warehouse(tmp_dir)
+    raw = raw_invoices(spark, SF_SMALL).limit(20)
+    twice = raw.unionByName(raw.withColumn("AMOUNT", F.col("AMOUNT") + 1))
+    with pytest.raises(DuplicateKeyError):
+        load_raw(spark, wh, invoices=twice)
+    load_raw(spark, wh, invoices=twice, order_by=["AMOUNT"])
+    want = {r.INVOICE_ID: r.AMOUNT + 1 for r in raw.collect()}
+    assert {r.INVOICE_ID: r.AMOUNT for r in read_table(spark, wh.raw_invoices, RAW_INVOICES).collect()} == want
+
+
+def test_large_csv_files_are_split_without_multi_line(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "invoices.csv")
+    _write(path, HEADER + "".join(f"i{i},,t{i},1,x,paid,usd,usd,wire,{i},1,1,1,2024-01-01\n" for i in range(4000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
+    try:
+        parts = [read_raw_csv(spark, path, RAW_INVOICES, multi_line=m).rdd.getNumPartitions() for m in (True, False)]
+        assert parts[0] == 1 and parts[1] > 4
+        assert read_raw_csv(spark, path, RAW_INVOICES, multi_line=False).count() == 4000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)

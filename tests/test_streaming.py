@@ -27,3 +27,27 @@ def test_each_file_loaded_once(spark, tmp_dir):
     ingest_available(spark, land, wh, kinds=("invoices",))
     got = sorted((r.INVOICE_ID, r.AMOUNT) for r in read_table(spark, wh.raw_invoices, RAW_INVOICES).collect())
     assert got == [("i1", 11.0), ("i2", 20.0), ("i3", 30.0)]
+
+
+def test_backlog_with_one_key_in_two_files(spark, tmp_dir):
+    """The newest file's row is loaded; a key repeated inside a file, or any
+    duplicate when the rule is off, is refused."""
+    import time
+
+    import pytest
+    from ledgerlens.streaming.landing import start_landing_ingest
+    land = os.path.join(tmp_dir, "landing")
+    os.makedirs(land)
+    for name, amount in (("invoices_a.csv", 10), ("invoices_b.csv", 20)):
+        p = os.path.join(land, name)
+        with open(p, "w") as f:
+            f.write(HEADER + f"i1,,,1,x,paid,usd,usd,wire,{amount},,1,,2024-01-01\ni{amount},,,1,x,paid,usd,usd,wire,1,,1,,2024-01-01\n")
+        when = time.time() - (50 if amount == 20 else 0)       # b is the older file
+        os.utime(p, (when, when))
+    strict = Warehouse(os.path.join(tmp_dir, "strict"))
+    with pytest.raises(Exception, match="not unique"):
+        start_landing_ingest(spark, land, strict, newest_file_wins=False).awaitTermination()
+    wh = Warehouse(os.path.join(tmp_dir, "wh"))
+    ingest_available(spark, land, wh, kinds=("invoices",))
+    got = sorted((r.INVOICE_ID, r.AMOUNT) for r in read_table(spark, wh.raw_invoices, RAW_INVOICES).collect())
+    assert got == [("i1", 10.0), ("i10", 1.0), ("i20", 1.0)]
