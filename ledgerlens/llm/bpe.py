@@ -27,10 +27,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlens.llm.common import slices
+from ledgerlens.llm.common import Splitter, per_worker, slices, whole_row
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-#: Distinct words and token pairs a task remembers (words: two generations).
+#: Distinct words and token pairs a Python worker remembers (words: two generations).
 MEMO = 200_000
 #: Longer words are encoded each time, so the memory of words stays small.
 MEMO_CHARS = 64
@@ -157,10 +157,8 @@ class _Texts:
     """Ids of whole texts as little-endian bytes; recent words remembered."""
 
     def __init__(self, path: str):
-        import regex
-
         self.bpe = PrefixBpe(path)
-        self.find = regex.compile(public_tokenizers.PATTERN).findall
+        self.find = Splitter()
         self.new, self.old = {}, {}
 
     def encode(self, text: str) -> bytes:
@@ -187,13 +185,12 @@ def encode_decode(df: DataFrame, ranks: str = RANKS, text_col: str = "text", wit
     made = {"n_tokens": pa.int64(), "ids_sha256": pa.string(), "decoded_sha256": pa.string()}
     if with_ids:
         made |= {"ids": pa.list_(pa.int32()), "decoded": pa.string()}
-    kept = [f for f in df.schema.fields if f.name not in made]
+    kept = T.StructType([f for f in df.schema.fields if f.name not in made])
     spark_type = {"n_tokens": T.LongType(), "ids": T.ArrayType(T.IntegerType())}
-    schema = T.StructType(kept + [T.StructField(c, spark_type.get(c, T.StringType())) for c in made])
-    names = [f.name for f in kept]
+    schema = T.StructType([T.StructField("_row", kept), *(T.StructField(c, spark_type.get(c, T.StringType())) for c in made)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = _Texts(ranks)
+        enc = per_worker(f"prefix words {ranks}", lambda: _Texts(ranks))
         vocabulary = [enc.bpe.token.get(i, b"") for i in range(max(enc.bpe.token) + 1)]
         for b in slices(batches, "_text"):
             out = {c: [] for c in made}
@@ -207,10 +204,10 @@ def encode_decode(df: DataFrame, ranks: str = RANKS, text_col: str = "text", wit
                 if with_ids:
                     out["ids"].append(ids.astype(np.int32))
                     out["decoded"].append(decoded.decode("utf-8"))
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), *(pa.array(out[c], k) for c, k in made.items())],
-                                             [*names, *made])
+            yield pa.RecordBatch.from_arrays([b.column("_row"), *(pa.array(out[c], k) for c, k in made.items())], ["_row", *made])
 
-    return df.select(*names, F.col(text_col).alias("_text")).mapInArrow(run, schema)
+    rows = df.select(whole_row(df, tuple(made)), F.col(text_col).alias("_text"))
+    return rows.mapInArrow(run, schema).select("_row.*", *made)
 
 
 def op2_byte_level_bpe(docs: DataFrame) -> DataFrame:
