@@ -161,7 +161,7 @@ def viterbi(scores: np.ndarray, begin: np.ndarray, size: np.ndarray, prior: np.n
 
 def _predict(model, spans: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, reader = model.value, _Letters()
+        m, reader = Model(*model.value), _Letters()
         for b in slices(batches, "text"):
             tri, first, script, text, at, letters = reader.read(b.column("text").to_pylist())
             n = b.num_rows
@@ -201,7 +201,8 @@ def predict(docs: DataFrame, model: Model, spans: bool = False) -> DataFrame:
     out = "doc_id long, held_out boolean, lang_pred string, score double, n_spans long"
     if spans:
         out += ", spans array<struct<start:long,end:long,lang:string>>"
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # languages x BUCKETS numbers
+    # languages x BUCKETS numbers; as a plain tuple, which a task can read without this package
+    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.logp, model.prior, model.scripts))
     return docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out")).mapInArrow(_predict(shared, spans), out)
 
 

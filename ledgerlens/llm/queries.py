@@ -65,4 +65,77 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
 FROM g
 """
 
-ORACLE_SQL = {"op6_quality_rules": _OP6}
+# op3: all pairs that share a shingle, then everything reachable.
+_OP3 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i+4], ' ') AS sh
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+  FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM pairs JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id
+  WHERE 100 * common >= 80 * (x.n + y.n - common)),
+reach AS (
+  SELECT a, b FROM links
+  UNION
+  SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, least(d.doc_id, coalesce(r.low, d.doc_id)) AS component_id
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a, min(b) AS low FROM reach GROUP BY a) r ON d.doc_id = r.a
+"""
+
+# op5: every 200-byte string as hexadecimal text.
+_OP5 = r"""
+WITH h AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS hx, strlen(coalesce(text, '')) AS n FROM documents),
+win AS (
+  SELECT doc_id, i, md5(substr(hx, 2 * i + 1, 400)) AS k
+  FROM (SELECT doc_id, hx, unnest(range(0, n - 199)) AS i FROM h WHERE n >= 200)),
+hit AS (
+  SELECT doc_id, i FROM win JOIN (SELECT k FROM win GROUP BY k HAVING count(*) > 1) USING (k)),
+cut AS (
+  SELECT doc_id, i, coalesce(i > lag(i) OVER w + 200, true) AS fresh FROM hit WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+span AS (
+  SELECT doc_id, min(i) AS lo, max(i) + 200 AS hi
+  FROM (SELECT *, sum(fresh::int) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM cut) GROUP BY doc_id, g),
+piece AS (
+  SELECT doc_id, lo, hi, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS since FROM span),
+kept AS (
+  SELECT doc_id, sum(hi - lo) AS gone, count(*) AS cuts,
+         string_agg(substr(hx, 2 * since + 1, 2 * (lo - since)), '' ORDER BY lo) || substr(any_value(hx), 2 * max(hi) + 1) AS hx
+  FROM piece JOIN h USING (doc_id) GROUP BY doc_id)
+SELECT h.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(cuts, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept.hx, h.hx))) AS kept_sha256
+FROM h LEFT JOIN kept USING (doc_id)
+"""
+
+# op10: every 50-word window as text.
+_OP10 = r"""
+WITH w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents),
+win AS (
+  SELECT doc_id, i, md5(array_to_string(ws[i:i+49], ' ')) AS k
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM w WHERE len(ws) >= 50)),
+gone AS (
+  SELECT doc_id, list(DISTINCT p) AS ps
+  FROM (SELECT doc_id, unnest(range(i, i + 50)) AS p
+        FROM (SELECT *, min(doc_id) OVER (PARTITION BY k) AS lo FROM win) WHERE lo < doc_id)
+  GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(len(ps), 0) AS BIGINT) AS n_removed,
+       sha256(array_to_string(CASE WHEN ps IS NULL THEN ws ELSE
+         list_filter(ws, lambda x, i: NOT list_contains(ps, i)) END, ' ')) AS kept_sha256
+FROM w LEFT JOIN gone USING (doc_id)
+"""
+
+ORACLE_SQL = {
+    "op3_ngram_jaccard_join": _OP3,
+    "op5_suffix_array_dedup": _OP5,
+    "op6_quality_rules": _OP6,
+    "op10_substring_dedup": _OP10,
+}
