@@ -29,7 +29,7 @@ from ledgerlens.operators.merge import upsert
 from ledgerlens.operators.quality import run_checks
 from ledgerlens.operators.staging import stage_invoices, stage_organizations
 from ledgerlens.plans.docs import register_views, with_comments
-from ledgerlens.plans.sinks import FACT_MONTH_FIELD, merge_partitions, replace_table, upsert_months, write_fact
+from ledgerlens.plans.sinks import FACT_MONTH_FIELD, merge_partitions, replace_table, stage, upsert_months, write_fact
 from ledgerlens.sources import versions
 from ledgerlens.sources.csv import INVOICES_GLOB, ORGANIZATIONS_GLOB, read_raw_csv
 from ledgerlens.sources.schemas import (
@@ -118,8 +118,9 @@ def load_raw(spark: SparkSession, wh: Warehouse, organizations: DataFrame | None
     """
     if organizations is not None:
         path, keys, names = wh.raw_organizations, RAW_ORGANIZATIONS_KEY, RAW_ORGANIZATIONS.fieldNames()
-        base = read_table(spark, path, RAW_ORGANIZATIONS) if table_exists(spark, path) else organizations.select(*names).limit(0)
-        replace_table(spark, upsert(base, organizations.select(*names), keys, order_by=order_by), path)
+        new = stage(spark, organizations.select(*names), "organizations")  # read by the key check and by the upsert
+        base = read_table(spark, path, RAW_ORGANIZATIONS) if table_exists(spark, path) else new.limit(0)
+        replace_table(spark, upsert(base, new, keys, order_by=order_by), path)
     if invoices is not None:
         upsert_months(spark, invoices, wh.raw_invoices, RAW_INVOICES, RAW_INVOICES_KEY, raw_invoice_month(),
                       RAW_MONTH_FIELD, null_as="", order_by=order_by)
