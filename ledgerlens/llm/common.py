@@ -37,6 +37,20 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Ids broadcast at most (8 bytes each); beyond, they are joined by a shuffle.
+BROADCAST_IDS = 1 << 20
+
+
+def among(df: DataFrame, column: str, ids: DataFrame, how: str = "left_semi") -> DataFrame:
+    """The rows of ``df`` whose long ``column`` is in ``ids`` (one column, each
+    value once, stored), or is not (``left_anti``). Up to :data:`BROADCAST_IDS`
+    counted ids are broadcast, so that ``df``'s texts or sets stay where they
+    are; more are joined by a shuffle."""
+    few = ids.count() <= BROADCAST_IDS
+    ids = ids.toDF("_id")
+    return df.join(F.broadcast(ids) if few else ids, F.col(column) == F.col("_id"), how)
+
+
 def whole_row(df: DataFrame, without: tuple[str, ...] = ()) -> Column:
     """All columns of ``df`` in one struct ``_row``, so that an operator's own
     columns cannot clash with them; :func:`unpacked` names them again."""
@@ -48,6 +62,16 @@ def unpacked(df: DataFrame, without: tuple[str, ...] = ()) -> list[Column]:
     return [F.col("_row").getField(c).alias(c) for c in df.columns if c not in without]
 
 
+def release(*tables: DataFrame) -> None:
+    """Free stored tables whose readers have all been stored themselves: each is
+    overwritten by an empty one, so its files do not outlive their use."""
+    for t in tables:
+        files = t.inputFiles()
+        folder = files[0].rsplit("/", 1)[0] if files else ""
+        if "/ledgerlens/" in folder:  # only what stored() wrote
+            t.sparkSession.createDataFrame([], t.schema).coalesce(1).write.mode("overwrite").parquet(folder)
+
+
 def words(text: Column) -> Column:
     """Array of the words ``[^\\x20\\x09-\\x0D]+`` of a text (null: none)."""
     parts = F.split(F.coalesce(text, F.lit("")), WORD_BREAK)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import stored
+from ledgerlens.llm.common import release, stored
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -25,6 +25,9 @@ def components(links: DataFrame) -> DataFrame:
         roots = labels.select(F.col("node").alias("r"), F.col("label").alias("up"))
         new = stored(low.join(roots, F.col("low") == F.col("r"), "left").select(
             "node", F.least("low", F.coalesce("up", "low")).alias("label"), F.col("label").alias("was")), "labels")
+        done = new.where("label < was").isEmpty()
+        release(labels)
         labels = new.select("node", "label")
-        if new.where("label < was").isEmpty():
+        if done:
+            release(both)
             return labels.withColumnRenamed("label", "component")

@@ -4,8 +4,9 @@ A document's tokens are its distinct word shingles. Two sets whose Jaccard
 similarity reaches the threshold share a token among the first
 ``n - ceil(t n) + 1`` of each, under *any* one order of all tokens. Pairs are
 generated by the prefixes of a first order, which puts frequent tokens last;
-they must also share prefix tokens under two further, hashed orders (small
-signatures decide that), and what is left is verified on the whole sets.
+enough tokens must follow their first common one in both sets. They must also
+share prefix tokens under two further, hashed orders (small signatures decide
+that), and what is left is verified on the whole sets.
 
 Only links between different sets matter, and only components are asked
 for, so pairs inside a component already found are not looked at: documents
@@ -34,7 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import U, gram_hashes, mix, slices, stored, utf8, word_hashes
+from ledgerlens.llm.anchors import PIECE
+from ledgerlens.llm.common import U, among, gram_hashes, mix, release, slices, stored, utf8, word_hashes
 from ledgerlens.llm.components import components
 from ledgerlens.llm.substrings import spaced
 
@@ -44,8 +46,10 @@ NUM, DEN = 4, 5
 #: Size of the broadcast table of frequent tokens.
 FREQUENT = 1 << 20
 #: Times one task must meet a token, and all tasks, to call it frequent.
-LOCAL, GLOBAL = 3, 16
-STAR_ROUNDS = 2
+LOCAL, GLOBAL = 2, 2
+STAR_ROUNDS = 1
+#: Tokens whose documents a task groups at a time.
+HELD = 5 << 19
 ORDERS = (0x5851F42D4C957F2D, 0x14057B7EF767814F)
 
 
@@ -74,63 +78,93 @@ def set_hash(s: np.ndarray) -> tuple[int, int]:
     return int(a[0].view(np.int64)), int(a[1].view(np.int64))
 
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+    """Small record batches with the sets of their texts."""
+    for b in slices(batches, "text", PIECE):
+        yield b, shingle_sets(b.column("text"))
+
+
+def _often(tokens: list[np.ndarray]) -> pa.RecordBatch:
+    """Tokens of at least LOCAL of the sets, in the columns of the profile."""
+    every = np.concatenate([np.empty(0, U), *tokens])
+    tokens.clear()
+    every.sort()
+    first = np.flatnonzero(np.concatenate((every[:1] == every[:1], every[1:] != every[:-1])))
+    met = np.diff(np.append(first, len(every)))
+    token, met = every[first[met >= LOCAL]], met[met >= LOCAL]
+    none = pa.nulls(len(token), pa.int64())
+    return pa.RecordBatch.from_arrays([none, none, pa.array(token.view(np.int64)), none, pa.array(met.astype(np.int64))],
+                                      ["doc_id", "n", "s1", "s2", "met"])
+
+
 def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Size and hash of every set; then, with a null size, the tokens that
-    this piece of the task met at least LOCAL times."""
-    names = ["doc_id", "n", "s1", "s2", "met"]
-    for b in slices(batches, "text", 16 << 20):
-        sets = shingle_sets(b.column("text"))
+    """Size and hash of every set; also, with a null size, the tokens that
+    LOCAL of a task's sets (about 2 HELD tokens at a time) have in common."""
+    seen, held, size = set(), [], 0
+    for b, sets in _pieces(batches):
         hashes = [set_hash(s) for s in sets]
         n = pa.array([len(s) for s in sets], pa.int64())
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), n, *(pa.array([h[i] for h in hashes], pa.int64()) for i in (0, 1)),
-                                          pa.nulls(len(sets), pa.int64())], names)
-        distinct = {h: s for h, s in zip(hashes, sets, strict=True)}
-        token, met = np.unique(np.concatenate(list(distinct.values())), return_counts=True) if distinct else (np.empty(0, U), np.empty(0, int))
-        often = met >= LOCAL
-        if often.any():
-            k = int(often.sum())
-            yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.array(token[often].view(np.int64)),
-                                              pa.nulls(k, pa.int64()), pa.array(met[often].astype(np.int64))], names)
+                                          pa.nulls(len(sets), pa.int64())], ["doc_id", "n", "s1", "s2", "met"])
+        for h, s in zip(hashes, sets, strict=True):
+            if h not in seen:
+                seen.add(h)
+                held.append(s)
+                size += len(s)
+        if size > 2 * HELD:
+            yield _often(held)
+            size = 0
+    yield _often(held)
+
+
+def _grouped(tokens: list[np.ndarray], docs: list[int], sizes: list[int]) -> pa.RecordBatch:
+    """Rows (token, doc, n, pos, w) of the prefixes held; ``pos`` is the place in
+    the prefix. Of each token, the first row stands for all of them (``w``
+    counts them); the others, known to be shared, have w = 0."""
+    many = np.array([len(t) for t in tokens])
+    token = np.concatenate(tokens)
+    order = np.argsort(token, kind="stable")
+    pos = (np.arange(len(token)) - np.repeat(np.cumsum(many) - many, many))[order].astype(np.int32)
+    token, doc, size = token[order], np.repeat(docs, many)[order], np.repeat(sizes, many)[order].astype(np.int32)
+    first = np.concatenate(([True], token[1:] != token[:-1]))
+    w = np.zeros(len(token), np.int32)
+    w[first] = np.diff(np.append(np.flatnonzero(first), len(token)))
+    return pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(doc), pa.array(size), pa.array(pos), pa.array(w)],
+                                      ["token", "doc", "n", "pos", "w"])
 
 
 def _prefixes(frequent):
-    """Prefix tokens under the first order, of each set of a task once. The
-    first row of a token in a piece stands for all of the piece (``w`` counts
-    them); the others, known to be shared, have w = 0."""
+    """Prefix tokens under the first order, of each set of a task once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common, counts = frequent.value
-        seen = set()
-        for b in slices(batches, "text", 16 << 20):
-            tokens, docs, sizes = [np.empty(0, U)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-            for doc, s in zip(b.column("doc_id").to_pylist(), shingle_sets(b.column("text")), strict=True):
+        seen, tokens, docs, sizes, held = set(), [], [], [], 0
+        for b, sets in _pieces(batches):
+            for doc, s in zip(b.column("doc_id").to_pylist(), sets, strict=True):
                 key = set_hash(s)
                 if not len(s) or key in seen:
                     continue
                 seen.add(key)
+                n = len(s)
                 if len(common):
                     at = np.minimum(np.searchsorted(common, s), len(common) - 1)
                     known = common[at] == s
                     late = s[known]
                     s = np.concatenate((s[~known], late[np.lexsort((late, counts[at[known]]))]))
-                p = s[:prefix_size(len(s))]
-                tokens.append(p)
-                docs.append(np.full(len(p), doc))
-                sizes.append(np.full(len(p), len(s)))
-            token, doc, size = map(np.concatenate, (tokens, docs, sizes))
-            order = np.argsort(token, kind="stable")
-            token, doc, size = token[order], doc[order], size[order]
-            first = np.concatenate(([True], token[1:] != token[:-1])) if len(token) else np.empty(0, bool)
-            w = np.zeros(len(token), np.int64)
-            w[first] = np.diff(np.append(np.flatnonzero(first), len(token)))
-            yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(doc), pa.array(size), pa.array(w)],
-                                             ["token", "doc", "n", "w"])
+                tokens.append(s[:prefix_size(n)])
+                docs.append(doc)
+                sizes.append(n)
+                held += len(tokens[-1])
+            if held > HELD:
+                yield _grouped(tokens, docs, sizes)
+                tokens, docs, sizes, held = [], [], [], 0
+        if tokens:
+            yield _grouped(tokens, docs, sizes)
     return run
 
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The whole set, and its prefixes (32 bits a token) under ORDERS."""
-    for b in slices(batches, "text", 16 << 20):
-        sets = shingle_sets(b.column("text"))
+    for b, sets in _pieces(batches):
         cols = [[s.tobytes() for s in sets]]
         for seed in ORDERS:
             cols.append([np.sort(np.sort(mix(s ^ U(seed)))[:prefix_size(len(s))] >> U(16)).astype(np.uint32).tobytes() for s in sets])
@@ -158,45 +192,61 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield b.select(["a", "b"]).filter(pa.array(ok))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that pass the further orders and are similar."""
-    narrow = [sets.select(F.col("doc").alias(d), F.col("p1").alias(x), F.col("p2").alias(y))
-              for d, x, y in (("a", "p1", "p2"), ("b", "q1", "q2"))]
-    left = pairs.select("a", "b").join(narrow[0], "a").join(narrow[1], "b").select("a", "b", "p1", "p2", "q1", "q2")
-    left = left.mapInArrow(_share, "a long, b long")
-    whole = [sets.select(F.col("doc").alias(d), F.col("tokens").alias(x)) for d, x in (("a", "x"), ("b", "y"))]
-    return left.join(whole[0], "a").join(whole[1], "b").select("a", "b", "x", "y").mapInArrow(_similar, "a long, b long").distinct()
+def _verified(pairs: DataFrame, text: DataFrame) -> DataFrame:
+    """The pairs (a, b) that pass the further orders and are similar, stored.
+
+    Only the texts of documents in a pair are turned into sets, only the sets
+    of documents in a pair that passed the further orders are joined to it.
+    """
+    def joined(pairs: DataFrame, sets: DataFrame, a: dict[str, str], b: dict[str, str], test) -> DataFrame:
+        left, right = (sets.select(F.col("doc").alias(d), *[F.col(c).alias(x) for c, x in names.items()])
+                       for d, names in (("a", a), ("b", b)))
+        both = pairs.select("a", "b").join(left, "a").join(right, "b")
+        return both.select("a", "b", *a.values(), *b.values()).mapInArrow(test, "a long, b long")
 
+    def ends(pairs: DataFrame) -> DataFrame:
+        return stored(pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct(), "jaccard-ends")
 
-def _near_size(x: str, y: str):
-    return DEN * F.least(x, y) >= NUM * F.greatest(x, y)
+    pairs = stored(pairs, "jaccard-pairs")
+    sets = stored(among(text, "doc_id", ends(pairs)).mapInArrow(
+        _signatures, "doc long, tokens binary, p1 binary, p2 binary"), "jaccard-sets")
+    near = stored(joined(pairs, sets, {"p1": "p1", "p2": "p2"}, {"p1": "q1", "p2": "q2"}, _share), "jaccard-pairs")
+    whole = among(sets.select("doc", "tokens"), "doc", ends(near))
+    links = stored(joined(near, whole, {"tokens": "x"}, {"tokens": "y"}, _similar).distinct(), "jaccard-links")
+    release(pairs, sets, near)
+    return links
+
+
+def _may_reach(n: str, pos: str, other_n: str, other_pos: str):
+    """Whether two sets whose first common token stands at these places can
+    still be similar: no more tokens can be common than follow in either."""
+    common = F.least(F.col(n) - F.col(pos), F.col(other_n) - F.col(other_pos))
+    return (NUM + DEN) * common >= NUM * (F.col(n) + F.col(other_n))
 
 
 def _star(tokens: DataFrame) -> DataFrame:
     """For each document, of the hubs (a token's smallest document) in other
     components the one it shares most tokens with."""
-    hub = tokens.groupBy("token").agg(F.min(F.struct("doc", "n", "component")).alias("h"))
-    met = tokens.join(hub, "token").where((F.col("component") != F.col("h.component")) & _near_size("n", "h.n"))
+    hub = tokens.groupBy("token").agg(F.min(F.struct("doc", "n", "pos", "component")).alias("h"))
+    met = tokens.join(hub, "token").where((F.col("component") != F.col("h.component")) & _may_reach("n", "pos", "h.n", "h.pos"))
     shared = met.groupBy("doc", F.col("h.doc").alias("hub")).agg(F.count(F.lit(1)).alias("k"))
     return shared.groupBy("doc").agg(F.max_by("hub", F.struct("k", "hub")).alias("hub")).select(
         F.col("doc").alias("a"), F.col("hub").alias("b"))
 
 
 def _across(tokens: DataFrame) -> DataFrame:
-    """All pairs of a token's documents in different components."""
-    x = tokens.select("token", F.col("doc").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    y = tokens.select("token", F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    return x.join(y, "token").where((F.col("ca") < F.col("cb")) & _near_size("na", "nb")).select("a", "b").distinct()
-
-
-def _open(tokens: DataFrame, found: DataFrame | None) -> DataFrame:
-    """``tokens`` (token, doc, n) with current components, without the tokens
-    whose documents are all in one."""
-    if found is None:
-        out = tokens.withColumn("component", F.col("doc"))
-    else:
-        out = tokens.join(found, tokens["doc"] == found["node"], "left").select(
-            "token", "doc", "n", F.coalesce("component", "doc").alias("component"))
+    """All pairs of a token's documents in different components (a pair that
+    passes the test of places does so at its first common token)."""
+    x = tokens.select("token", F.col("doc").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("component").alias("ca"))
+    y = tokens.select("token", F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("component").alias("cb"))
+    return x.join(y, "token").where((F.col("ca") < F.col("cb")) & _may_reach("na", "pa", "nb", "pb")).select("a", "b").distinct()
+
+
+def _open(tokens: DataFrame, found: DataFrame) -> DataFrame:
+    """``tokens`` (token, doc, n, pos) with current components, without the
+    tokens whose documents are all in one; stored."""
+    out = tokens.join(found, tokens["doc"] == found["node"], "left").select(
+        "token", "doc", "n", "pos", F.coalesce("component", "doc").alias("component"))
     several = out.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
     return stored(out.join(several.select("token"), "token"), "jaccard-open")
 
@@ -216,30 +266,26 @@ def near_components(docs: DataFrame) -> DataFrame:
     sets = every.where("n > 0 and doc_id is not null")
     first = sets.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("first"))
     members = stored(sets.join(first, ["n", "s1", "s2"]).select("doc_id", "first").distinct(), "jaccard-members")
-    found = text.where("doc_id is not null").mapInArrow(_prefixes(frequent), "token long, doc long, n long, w long")
+    others = stored(members.groupBy("doc_id").agg(F.max(F.col("first") == F.col("doc_id")).alias("own")).where("not own")
+                    .select("doc_id"), "jaccard-copies")  # no set of theirs is its class's first
+    text = among(text.where("doc_id is not null"), "doc_id", others, "left_anti")
+    found = text.mapInArrow(_prefixes(frequent), "token long, doc long, n int, pos int, w int")
     salt = F.when(F.col("w") > 0, F.lit(0)).otherwise(F.col("doc"))
     total = F.sum("w").over(Window.partitionBy("token", salt))
-    shared = stored(found.withColumn("total", total).where("w = 0 or total > 1").select("token", "doc", "n"), "jaccard-tokens")
-    tokens = shared.join(members, shared["doc"] == members["doc_id"]).select("token", F.col("first").alias("doc"), "n").distinct()
-    tokens = _open(tokens, None)
-
-    wanted = tokens.select(F.col("doc").alias("doc_id")).distinct()
-    signatures = stored(text.join(wanted, "doc_id", "left_semi").mapInArrow(
-        _signatures, "doc long, tokens binary, p1 binary, p2 binary"), "jaccard-sets")
-    links = []
-    group = None
+    tokens = stored(found.withColumn("total", total).where("w = 0 or total > 1").select(
+        "token", "doc", "n", "pos", F.col("doc").alias("component")), "jaccard-tokens")
+    links = None
     for step in range(STAR_ROUNDS + 1):
-        pairs = _star(tokens) if step < STAR_ROUNDS else _across(tokens)
-        links.append(stored(_verified(pairs, signatures), "jaccard-links"))
-        every_link = links[0]
-        for x in links[1:]:
-            every_link = every_link.unionByName(x)
-        if step == STAR_ROUNDS:
-            # copies of several sets under one doc_id join their components
-            every_link = every_link.unionByName(members.where("doc_id <> first").select(F.col("doc_id").alias("a"), F.col("first").alias("b")))
-        group = components(every_link)
+        new = _verified(_star(tokens) if step < STAR_ROUNDS else _across(tokens), text)
+        links = new if links is None else links.unionByName(new)
         if step < STAR_ROUNDS:
-            tokens = _open(tokens.drop("component"), group)
+            still = _open(tokens.drop("component"), components(links))
+            release(tokens)
+            tokens = still
+    # the documents of a set, and the sets under one doc_id, are one component
+    copies = members.where("doc_id <> first").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
+    group = components(links.unionByName(copies))
+    release(tokens)
     return every.select("doc_id", F.col("n").alias("n_shingles")).join(group, every["doc_id"] == group["node"], "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
