@@ -204,10 +204,12 @@ def _narrow(docs: DataFrame) -> DataFrame:
     return stored(_hashed(docs, word_count(F.col("text"))).select("doc_id", "source", "_size", "_h"), "mix-sizes")
 
 
-def mix(docs: DataFrame, shards: int = SHARDS, **plan_args) -> DataFrame:
+def mix(docs: DataFrame, shards: int | None = None, **plan_args) -> DataFrame:
     """The mixed corpus: a row per time a document is taken, with ``shard``,
     ``epoch`` and ``words`` added, in shuffled order inside each shard. A
-    document taken in part keeps its first ``words`` words."""
+    document taken in part keeps its first ``words`` words. A shard is written
+    by one task, so by default there are as many as shuffle partitions."""
+    shards = shards or max(SHARDS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     plan = make_plan(_narrow(docs), shards=shards, **plan_args)
     made = ("shard", "epoch", "words")  # own columns of these names give way
     rows = docs.select(whole_row(docs, made), "doc_id", "text", "source")
