@@ -89,9 +89,9 @@ def _often(tokens: list[np.ndarray]) -> pa.RecordBatch:
     every = np.concatenate([np.empty(0, U), *tokens])
     tokens.clear()
     every.sort()
-    first = np.flatnonzero(np.concatenate((every[:1] == every[:1], every[1:] != every[:-1])))
-    met = np.diff(np.append(first, len(every)))
-    token, met = every[first[met >= LOCAL]], met[met >= LOCAL]
+    token, met = np.unique(every[1:][every[1:] == every[:-1]], return_counts=True)  # of tokens met again
+    met = met + 1
+    token, met = token[met >= LOCAL], met[met >= LOCAL]
     none = pa.nulls(len(token), pa.int64())
     return pa.RecordBatch.from_arrays([none, none, pa.array(token.view(np.int64)), none, pa.array(met.astype(np.int64))],
                                       ["doc_id", "n", "s1", "s2", "met"])
