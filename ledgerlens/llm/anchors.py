@@ -19,8 +19,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import slices, stored, utf8
+from ledgerlens.llm.common import among, release, slices, stored, utf8
 
+#: Bytes of text whose arrays a task holds at a time.
+PIECE = 1 << 19
 #: (bytes, offsets of the texts) -> (anchor, number of its text, times it
 #: occurs there), each pair once; a module function of the operator.
 Anchors = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]
@@ -40,8 +42,8 @@ def classes(rows: DataFrame) -> DataFrame:
 
 
 def shared_anchors(rows: DataFrame, anchors: Anchors, within: bool) -> DataFrame:
-    """(cls, shared array<long>): each text's anchors that occur in another
-    text too or, if ``within``, more than once in one text.
+    """(cls, shared array<long>), stored: each text's anchors that occur in
+    another text too or, if ``within``, more than once in one text.
 
     Of a hot anchor, each task sends one partial row; the join back is an
     inner join whose hot keys Spark splits. A text's list is bounded by the
@@ -49,7 +51,7 @@ def shared_anchors(rows: DataFrame, anchors: Anchors, within: bool) -> DataFrame
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # texts of this task that were sent already
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", PIECE):
             cls = b.column("cls").to_numpy()
             fresh = np.fromiter((not (c in seen or seen.add(c)) for c in cls.tolist()), bool, len(cls))
             b = b.filter(pa.array(fresh))
@@ -64,7 +66,10 @@ def shared_anchors(rows: DataFrame, anchors: Anchors, within: bool) -> DataFrame
     if within:
         hit = hit | F.max("twice")
     counted = found.groupBy("anchor").agg(hit.alias("hit")).where("hit").select("anchor")
-    return found.select("anchor", "cls").join(counted, "anchor").groupBy("cls").agg(F.collect_set("anchor").alias("shared"))
+    lists = found.select("anchor", "cls").join(counted, "anchor").groupBy("cls").agg(F.collect_set("anchor").alias("shared"))
+    out = stored(lists, "shared-anchors")
+    release(found)
+    return out
 
 
 def representatives(rows: DataFrame, per_class: DataFrame, shared: DataFrame, columns: list[str]) -> DataFrame:
@@ -77,7 +82,8 @@ def representatives(rows: DataFrame, per_class: DataFrame, shared: DataFrame, co
     wanted = shared.join(per_class, "cls").select(
         F.col("cls").alias("_c"), F.col("cls2").alias("_c2"), "shared", "first_id", *columns)
     on = (F.col("cls") == F.col("_c")) & (F.col("cls2") == F.col("_c2")) & F.col("doc_id").eqNullSafe(F.col("first_id"))
-    return rows.join(wanted, on).select("cls", "cls2", "text", "shared", "first_id", *columns)
+    some = among(rows, "cls", shared.select("cls"))  # the other texts stay out of the shuffle
+    return some.join(wanted, on).select("cls", "cls2", "text", "shared", "first_id", *columns)
 
 
 def runs(flag: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.anchors import classes, representatives, runs, shared_anchors, with_class
+from ledgerlens.llm.anchors import PIECE, classes, representatives, runs, shared_anchors, with_class
 from ledgerlens.llm.common import U, gram_hashes, mix, powers, slices, stored, utf8, window_min, word_hashes, words
 
 WINDOW = 50
@@ -72,27 +72,34 @@ def rabin_karp(h: np.ndarray, window: int, base: int) -> np.ndarray:
 
 def _windows(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", PIECE):
             data, off = spaced(*utf8(b.column("text")))
             h, start, _ = word_hashes(data, 1)
             first = np.searchsorted(start, off)
             cls, place, shared = b.column("cls").to_numpy(), b.column("place").to_numpy(), b.column("shared")
-            out = [[np.empty(0, np.int64)] for _ in range(5)]
+            out, places, sizes = [[np.empty(0, np.int64)] for _ in range(4)], [np.empty(0, np.int64)], [np.zeros(1, np.int64)]
             for i in range(b.num_rows):
                 own = h[first[i]:first[i + 1]]
                 at = np.flatnonzero(np.isin(_anchor_of_windows(own, window), shared[i].values.to_numpy().view(U)))
                 if len(at):
-                    for k, v in enumerate((rabin_karp(own, window, _BASES[0])[at].view(np.int64),
-                                           rabin_karp(mix(own + U(9)), window, _BASES[1])[at].view(np.int64),
-                                           np.full(len(at), place[i]), np.full(len(at), cls[i]), at)):
+                    h1 = rabin_karp(own, window, _BASES[0])[at].view(np.int64)
+                    h2 = rabin_karp(mix(own + U(9)), window, _BASES[1])[at].view(np.int64)
+                    order = np.lexsort((at, h2, h1))   # a window that repeats in its text is one row
+                    h1, h2, at = h1[order], h2[order], at[order]
+                    cut = np.flatnonzero(np.concatenate(([True], (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1]))))
+                    for k, v in enumerate((h1[cut], h2[cut], np.full(len(cut), place[i]), np.full(len(cut), cls[i]))):
                         out[k].append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in out], ["h1", "h2", "place", "cls", "at"])
+                    places.append(at)
+                    sizes.append(np.diff(np.append(cut, len(at))))
+            offsets = pa.array(np.cumsum(np.concatenate(sizes)).astype(np.int32))
+            at = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(places).astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(v)) for v in out), at], ["h1", "h2", "place", "cls", "at"])
     return run
 
 
 def _spans(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", PIECE):
             texts, at = b.column("text").to_pylist(), b.column("at")
             spans, kept = [], []
             for i, t in enumerate(texts):
@@ -126,10 +133,10 @@ def repeated_spans(rows: DataFrame, per_class: DataFrame, window: int = WINDOW)
     shared = shared_anchors(rows, word_anchors(window), within=False)
     reps = stored(representatives(rows, per_class, shared, []).withColumn("place", _place("first_id")), "substring-texts")
     wins = reps.select("text", "cls", "place", "shared").mapInArrow(
-        _windows(window), "h1 long, h2 long, place long, cls long, at long")
+        _windows(window), "h1 long, h2 long, place long, cls long, at array<int>")
     first = wins.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first < last")
     hits = wins.join(first.select("h1", "h2", "first"), ["h1", "h2"]).where("place > first")
-    at = hits.groupBy("cls").agg(F.collect_set("at").alias("at"))  # at most one entry for each word of the text
+    at = hits.groupBy("cls").agg(F.flatten(F.collect_list("at")).alias("at"))  # at most one entry for each word of a text
     return (reps.select("cls", "cls2", "text").dropDuplicates(["cls", "cls2"]).join(at, "cls")
             .mapInArrow(_spans(window), "cls long, cls2 long, spans array<struct<start:long,end:long>>, kept_text string"))
 
