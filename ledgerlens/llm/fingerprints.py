@@ -32,6 +32,9 @@ from ledgerlens.llm.common import U, mix
 
 SPAN = 16
 KEPT = 32
+#: Blocks of the document order for each shuffle partition: several, so that the
+#: hash that deals blocks to tasks leaves none with much more than its share.
+BLOCKS = 8
 PRIMES = (2147483647, 2147483629)
 BASES = (1103515245, 1664525)
 
@@ -189,8 +192,8 @@ def _block_of(place: Column, bounds: list[int]) -> Column:
 def fingerprint_edits(docs: DataFrame) -> DataFrame:
     """Fingerprints of each document, its edit and its next one; see above.
 
-    The order is split into as many blocks of doc_ids as there are shuffle
-    partitions, by quantiles of the ids. Each block also gets a copy of the
+    The order is split into blocks of doc_ids, a few for each shuffle
+    partition, by quantiles of the ids. Each block also gets a copy of the
     row after it (one per block), so the one shuffle of the texts is enough
     and no task sees more than its block.
     """
@@ -198,8 +201,9 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"),
                        F.coalesce("doc_id", F.lit(-(1 << 63))).alias("place"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks = BLOCKS * parts
     cuts = docs.select(F.col("doc_id").cast("double").alias("d")).where("d is not null").approxQuantile(
-        "d", [i / parts for i in range(1, parts)], 0.2 / parts) if parts > 1 else []
+        "d", [i / blocks for i in range(1, blocks)], 0.2 / blocks)
     rows = rows.withColumn("block", _block_of(F.col("place"), sorted({int(c) for c in cuts}, reverse=True)))
     heads = {r.block: r.place for r in rows.groupBy("block").agg(F.max("place").alias("place")).collect()}
     order = sorted(heads)
