@@ -329,6 +329,27 @@ def test_gradient_step_lowers_the_loss_and_sums_to_one():
     assert np.exp(np.concatenate(every)).sum() == pytest.approx(1, abs=1e-4)
 
 
+def test_every_word_has_its_own_share_of_its_class(spark):
+    from ledgerlens.llm.common import word_hashes
+
+    def cls(w):
+        return int(pseudo_likelihood.hash_class(word_hashes(np.frombuffer(w.encode(), np.uint8), 5)[0])[0])
+
+    common = " ".join(f"c{i}" for i in range(pseudo_likelihood.WORDS))
+    often, once, unseen = [w for w in (f"r{i}" for i in range(400)) if cls(w) == 3][:3]
+    rows = [(1, " ".join([common] * 9)), (2, " ".join([often] * 5)), (3, once), (None, None)]
+    corpus = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    counts = pseudo_likelihood.word_counts(pseudo_likelihood.blocked(corpus))
+    shared, values = pseudo_likelihood.train(corpus, counts)
+    probe = spark.createDataFrame([(i, f"c1 c2 {w} c3 c4") for i, w in enumerate((often, once, unseen))], "doc_id long, text string")
+    got = {r.doc_id: r.pseudo_log_likelihood for r in pseudo_likelihood.score(probe, shared, values, counts).collect()}
+    a = pseudo_likelihood.A
+    assert got[0] - got[1] == pytest.approx(np.log((5 + a) / (1 + a))) and got[1] - got[2] == pytest.approx(np.log((1 + a) / a))
+    tokens, words = pseudo_likelihood.class_sizes(counts, shared)[:, 3]
+    assert (tokens, words) == (6, 2)
+    assert (5 + a + 1 + a + a) / (tokens + a * (words + 1)) == pytest.approx(1)
+
+
 # --- op8 -----------------------------------------------------------------------------
 def test_token_files(docs, spark, tmp_dir):
     from tokenizers import Tokenizer
