@@ -15,7 +15,8 @@ task and no broadcast holds the table.
 
 Training is distributed: in each of :data:`ROUNDS` rounds every task goes on
 from the last parameters with minibatch steps over its own documents (every
-:data:`STRIDE`-th position of each, from another start each round), and the
+:data:`ROUNDS`-th position, from the next start each round, so each position
+is a target in exactly one round), and the
 tasks' parameters are averaged, weighted by positions, in two levels. The
 parameters are of fixed size (a few 100 KB).
 
@@ -42,7 +43,7 @@ from ledgerlens.llm.substrings import spaced
 WORDS, CLASSES = 224, 31
 SIDE = 2
 WIDTH, HIDDEN = 16, 32
-ROUNDS, STRIDE = 2, 8
+ROUNDS = 2
 BATCH, RATE = 512, 0.25
 MERGERS = 32
 #: Bytes of text whose distinct words a task counts at a time and whose counts
@@ -80,24 +81,30 @@ def _hidden(p: list[np.ndarray], context: np.ndarray) -> tuple[np.ndarray, np.nd
 def log_probability(p: list[np.ndarray], context: np.ndarray, token: np.ndarray) -> np.ndarray:
     """Log-probability of each token given the ids on both its sides."""
     _, h = _hidden(p, context)
-    z = h @ p[3] + p[4]
+    z = h @ p[3]
+    z += p[4]
     z -= z.max(1, keepdims=True)
-    return z[np.arange(len(token)), token] - np.log(np.exp(z).sum(1))
+    own = z[np.arange(len(token)), token]
+    return own - np.log(np.exp(z, out=z).sum(1))
 
 
 def step(p: list[np.ndarray], context: np.ndarray, token: np.ndarray, rate: float) -> None:
     """One gradient step on the mean loss of a batch, in place."""
     x, h = _hidden(p, context)
-    z = h @ p[3] + p[4]
-    z = np.exp(z - z.max(1, keepdims=True))
-    z /= z.sum(1, keepdims=True)
+    z = h @ p[3]
+    z += p[4]
+    z -= z.max(1, keepdims=True)
+    np.exp(z, out=z)
+    z *= 1 / z.sum(1, keepdims=True)
     z[np.arange(len(token)), token] -= 1
-    z /= len(token)
-    dh = (z @ p[3].T) * (1 - h * h)
-    dx = (dh @ p[1].T).reshape(len(token), -1, WIDTH)
+    by = np.float32(rate / len(token))
+    dh = z @ p[3].T
+    dh *= 1 - h * h
+    dx = dh @ p[1].T
     for value, grad in ((p[3], h.T @ z), (p[4], z.sum(0)), (p[1], x.T @ dh), (p[2], dh.sum(0))):
-        value -= (rate * grad).astype(np.float32)
-    np.subtract.at(p[0], context.ravel(), (rate * dx).reshape(-1, WIDTH).astype(np.float32))
+        value -= by * grad
+    cell = context[:, :, None] * WIDTH + np.arange(WIDTH)
+    np.subtract.at(p[0].reshape(-1), cell.ravel(), (by * dx).ravel())
 
 
 def hash_class(h: np.ndarray) -> np.ndarray:
@@ -177,9 +184,9 @@ def class_sizes(counts: DataFrame, common: np.ndarray) -> np.ndarray:
 def _train(common, parameters, turn: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, p, seen = Ids(common.value), shaped(parameters.value), 0
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", PIECE):
             padded, place, _, _ = ids.read(b.column("text"))
-            chosen = np.random.default_rng([turn, seen]).permutation(place[turn * (STRIDE // ROUNDS)::STRIDE])
+            chosen = np.random.default_rng([turn, seen]).permutation(place[turn::ROUNDS])
             context, token = contexts(padded, chosen), padded[chosen]
             for s in range(0, len(token), BATCH):
                 step(p, context[s:s + BATCH], token[s:s + BATCH], RATE)

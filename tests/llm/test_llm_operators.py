@@ -350,6 +350,24 @@ def test_every_word_has_its_own_share_of_its_class(spark):
     assert (5 + a + 1 + a + a) / (tokens + a * (words + 1)) == pytest.approx(1)
 
 
+def test_every_position_is_a_training_target_once(monkeypatch):
+    import pyarrow as pa
+    from types import SimpleNamespace as Shared
+
+    targets = Counter()
+    monkeypatch.setattr(pseudo_likelihood, "step", lambda p, context, token, rate: targets.update(token.tolist()))
+    texts = pa.array(["one", None, "two three", "four five six " * 40, "", "seven"])
+    batch = pa.RecordBatch.from_arrays([texts], ["text"])
+    common = np.empty(0, np.uint64)
+    values = Shared(value=pseudo_likelihood.flat(pseudo_likelihood.start_parameters()))
+    seen = 0
+    for turn in range(pseudo_likelihood.ROUNDS):
+        out = pseudo_likelihood._train(Shared(value=common), values, turn)(iter([batch]))
+        seen += sum(b.column("seen").to_pylist()[0] for b in out)
+    padded, place, *_ = pseudo_likelihood.Ids(common).read(texts)
+    assert seen == len(place) == 124 and targets == Counter(padded[place].tolist())
+
+
 # --- op8 -----------------------------------------------------------------------------
 def test_token_files(docs, spark, tmp_dir):
     from tokenizers import Tokenizer
