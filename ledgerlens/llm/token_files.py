@@ -42,15 +42,17 @@ class _Words:
     """ids of a word as little-endian bytes, remembered for recent words.
 
     The tokenizer's model is applied to each match of its byte-level
-    pattern, which is what encoding a whole text does; strings of special
-    tokens count as ordinary text.
+    pattern, which is what encoding a whole text does if no added token of
+    the file is in it; a text with one is encoded by the library as a whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.model = Tokenizer.from_file(path).model
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.find = Splitter()
         # The byte-level alphabet: printable Latin-1 bytes stand for
         # themselves, the others for the code points from 256 on.
@@ -64,6 +66,8 @@ class _Words:
         return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
 
     def encode(self, text: str) -> bytes:
+        if any(t in text for t in self.added):
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         found = self.find(text)
         new = self.new
         for w in set(found).difference(new):

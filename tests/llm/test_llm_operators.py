@@ -387,6 +387,21 @@ def test_token_files(docs, spark, tmp_dir):
     same([(r.doc_id, r.start, r.n_tokens, zlib.crc32(np.array(r.ids, "<u4").tobytes())) for r in back], expected)
 
 
+def test_added_tokens_of_the_file_keep_their_ids(spark):
+    from tokenizers import Tokenizer
+
+    tk = Tokenizer.from_file(token_files.TOKENIZER)
+    texts = ["a <|endoftext|> b", "<|endoftext|><|endoftext|>", "<|endoftext", "plain words", None, "ñ\n<|endoftext|>\t日本"]
+    expected, start = [], 0
+    for d, t in enumerate(texts):
+        ids = tk.encode(t or "", add_special_tokens=False).ids + [0]
+        assert (50256 in ids) == ("<|endoftext|>" in (t or ""))
+        expected.append((d, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    same(token_files.op8_token_files(docs).collect(), expected)
+
+
 # --- op9 -----------------------------------------------------------------------------
 def test_fingerprints(docs):
     got = fingerprints.op9_document_fingerprints(docs).collect()
