@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.anchors import PIECE
-from ledgerlens.llm.common import U, among, gram_hashes, mix, release, slices, stored, utf8, word_hashes
+from ledgerlens.llm.common import U, among, gram_hashes, mix, release, slices, stored, unpacked, utf8, whole_row, word_hashes
 from ledgerlens.llm.components import components
 from ledgerlens.llm.substrings import spaced
 
@@ -291,10 +291,17 @@ def near_components(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each component: the one of its smallest
-    doc_id (one row of it). Rows with a null doc_id stay."""
-    near = near_components(docs).where("doc_id is not null and component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(near, "doc_id", "left_anti")
+    """``docs`` with exactly one row of each component of similar rows: that of
+    the smallest doc_id (null ids last). Every row is a node for itself, under a
+    stored key, so repeated rows and copies with a null doc_id go too."""
+    rows = stored(docs.select(F.monotonically_increasing_id().alias("key"), whole_row(docs)), "jaccard-rows")
+    near = near_components(rows.select(F.col("key").alias("doc_id"), F.col("_row.text").alias("text")))
+    ids = rows.select("key", F.col("_row.doc_id").alias("id"))
+    group = stored(near.select(F.col("doc_id").alias("key"), F.col("component_id").alias("component")).join(ids, "key"), "jaccard-groups")
+    first = group.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("first"),
+                                           F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    gone = stored(group.join(first, "component").where(F.col("key") != F.col("first.key")).select("key"), "jaccard-gone")
+    return among(rows, "key", gone, "left_anti").select(*unpacked(docs))
 
 
 def op3_ngram_jaccard_join(docs: DataFrame) -> DataFrame:

@@ -70,6 +70,18 @@ def test_near_duplicate_stage(steps):
     same(rows[2], [r for r in rows[1] if r[0] is None or root(r[0]) == r[0]])
 
 
+def test_near_duplicates_leave_one_row_of_each_group(spark):
+    rng = np.random.default_rng(8)
+    a, b, c, d, e = (" ".join("".join(rng.choice(list("abcdefgh"), 7)) for _ in range(80)) for _ in range(5))
+    rows = [(4, a), (4, a), (None, a), (9, a + " end"), (None, b), (None, b), (6, c), (6, d), (None, e), (2, e), (None, None), (7, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], SCHEMA).repartition(3)
+    kept = corpus_pipeline.near_duplicates(spark, docs, "")
+    expected = [(4, a), (None, b), (6, c), (6, d), (2, e), (None, None), (7, "")]
+    same([(r.doc_id, r.text) for r in kept.collect()], expected)
+    left = corpus_pipeline.suffix_array_dedup(spark, kept, "")
+    same([(r.doc_id, r.text) for r in left.collect()], expected)
+
+
 def test_suffix_stage(steps):
     rows, _ = steps
     same([(r[0], r[1], r[4]) for r in rows[3]],
