@@ -48,7 +48,7 @@ BATCH, RATE = 512, 0.25
 MERGERS = 32
 #: Bytes of text whose distinct words a task counts at a time and whose counts
 #: another holds, and what is added to each count.
-BLOCK = 8 << 20
+BLOCK = 32 << 20
 A = 0.5
 #: Ids: the words, the classes, and one for the places outside a text.
 VOCABULARY = WORDS + CLASSES + 1
