@@ -1,14 +1,17 @@
 """Registered queries of the training-data operators, one per operator, each
-over the whole ``documents`` table, and the DuckDB SQL of those SQL can say."""
+over the whole ``documents`` (12: ``embeddings``) table, and the DuckDB SQL of those SQL can say."""
 
 from __future__ import annotations
 
 from ledgerlens.llm.bpe import op2_byte_level_bpe
+from ledgerlens.llm.centroids import op12_centroid_clustering
 from ledgerlens.llm.common import documents
+from ledgerlens.llm.divergence import op13_source_divergence
 from ledgerlens.llm.fingerprints import op9_document_fingerprints
 from ledgerlens.llm.jaccard import op3_ngram_jaccard_join
 from ledgerlens.llm.languages import op4_language_id
 from ledgerlens.llm.mixing import op1_mixing_sources
+from ledgerlens.llm.pieces import op11_sentencepiece
 from ledgerlens.llm.pseudo_likelihood import op7_lm_scoring
 from ledgerlens.llm.quality import op6_quality_rules
 from ledgerlens.llm.substrings import op10_substring_dedup
@@ -31,7 +34,11 @@ QUERIES = {f.__name__: _over_documents(f) for f in (
     op8_token_files,
     op9_document_fingerprints,
     op10_substring_dedup,
+    op11_sentencepiece,
+    op13_source_divergence,
 )}
+QUERIES["op12_centroid_clustering"] = lambda spark, sf_dir: op12_centroid_clustering(
+    spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 # op6: the same rules, spelled out over lists.
 _OP6 = r"""
@@ -133,9 +140,82 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(len(ps), 0) AS
 FROM w LEFT JOIN gone USING (doc_id)
 """
 
+# op12: the rounds one after another, every distance computed.
+def _op12(rounds: int = 10, k: int = 8) -> str:
+    nearest = """
+a{r} AS MATERIALIZED (
+  SELECT i, vec_id, v, num, d FROM (
+    SELECT vec.i, vec.vec_id, vec.v, c.num, list_sum(list_transform(range(1, 65), lambda j: (vec.v[j] - c.v[j]) * (vec.v[j] - c.v[j]))) AS d
+    FROM vec, c{r} c)
+  QUALIFY row_number() OVER (PARTITION BY i ORDER BY d, num) = 1)"""
+    moved = """
+c{n} AS MATERIALIZED (
+  SELECT c.num, coalesce(m.v, c.v) AS v
+  FROM c{r} c LEFT JOIN (
+    SELECT num, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY j) AS v
+    FROM (SELECT num, j, sum(x) AS s, count(*) AS n FROM (SELECT num, unnest(range(1, 65)) AS j, unnest(v) AS x FROM a{r}) GROUP BY num, j)
+    GROUP BY num) m USING (num))"""
+    steps = [(nearest + "," + moved).format(r=r, n=r + 1) for r in range(rounds)]
+    return rf"""
+WITH vec AS MATERIALIZED (
+  SELECT row_number() OVER () AS i, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, v) - 1 AS num, v
+  FROM (SELECT sha256('3:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h, v FROM vec ORDER BY h, v LIMIT {k})),
+{",".join(steps)},
+{nearest.format(r=rounds)}
+SELECT vec_id, CAST(num AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+       CAST(sum(d) OVER (PARTITION BY num) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c{rounds}.v, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} USING (num)
+"""
+
+
+# op13: every kept term of a language for every source of it.
+_OP13 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents),
+w AS (
+  SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+n AS (SELECT lang, source, term, count(*) AS n FROM w JOIN kept USING (lang, term) GROUP BY ALL),
+size AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+grp AS (
+  SELECT g.lang, g.source, coalesce(size.v, 0) AS v, coalesce(t.total, 0) AS total
+  FROM (SELECT DISTINCT lang, source FROM d) g LEFT JOIN size USING (lang)
+  LEFT JOIN (SELECT lang, source, sum(n) AS total FROM n GROUP BY lang, source) t USING (lang, source)),
+p AS (
+  SELECT grp.lang, grp.source, term, coalesce(n.n, 0) AS n,
+         1 + (1000000000 * CAST(coalesce(n.n, 0) + 2 AS HUGEINT)) // (total + 2 * v) AS p
+  FROM grp JOIN kept USING (lang) LEFT JOIN n USING (lang, source, term)),
+q AS (
+  SELECT lang, term, 1 + (1000000000 * CAST(sum(n) + 2 AS HUGEINT)) // (any_value(total) + 2 * any_value(v)) AS q
+  FROM n JOIN (SELECT lang, sum(total) AS total, any_value(v) AS v FROM grp GROUP BY lang) l USING (lang) GROUP BY lang, term),
+pair AS (
+  SELECT x.lang, x.source, y.source AS item, coalesce(s.value, 0) AS value
+  FROM grp x JOIN grp y ON x.lang = y.lang AND x.source <> y.source
+  LEFT JOIN (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+             FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL) s
+    ON s.lang = x.lang AND s.source = x.source AND s.item = y.source),
+term AS (
+  SELECT lang, source, term AS item, ((p - q) * (p - q)) // (p + q) AS value
+  FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+every AS (
+  SELECT *, 'pair' AS part, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM pair
+  UNION ALL
+  SELECT *, 'term', row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) FROM term)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM every WHERE part = 'pair' OR rank <= 10
+"""
+
 ORACLE_SQL = {
     "op3_ngram_jaccard_join": _OP3,
     "op5_suffix_array_dedup": _OP5,
     "op6_quality_rules": _OP6,
     "op10_substring_dedup": _OP10,
+    "op12_centroid_clustering": _op12(),
+    "op13_source_divergence": _OP13,
 }
