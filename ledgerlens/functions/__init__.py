@@ -7,14 +7,12 @@ from ledgerlens.functions.scalars import (  # noqa: F401
     abs_change,
     blank_to_null,
     clean_code,
-    id_in_list,
+    id_tokens,
     lenient_date,
     lenient_timestamp,
     live_alert_rule,
     macro_alert_rule,
     money_text,
-    org_filter,
-    parse_id_list,
     pct_change,
     percent_text,
     plain_text,

@@ -131,35 +131,16 @@ def macro_alert_rule(
     return rule
 
 
-def parse_id_list(text: str | Iterable[str] | None) -> list[str]:
-    """Comma-separated id list as tokens; tokens are not trimmed, empty = off."""
-    if text is None:
-        return []
-    if isinstance(text, str):
-        return [] if text == "" else text.split(",")
-    return [str(t) for t in text]
-
-
-def id_in_list(c: ColumnOrName, tokens: list[str]) -> Column:
-    """Whole-token membership of ``cast(c as string)`` in ``tokens``.
-
-    Equivalent to searching ``','||id||','`` inside ``','||list||','``; as an
-    ``IN`` list it plans as a hash-set lookup (``InSet``) instead of a
-    substring scan.
-    """
-    return _c(c).cast("string").isin(tokens)
-
-
-def org_filter(c: ColumnOrName, allow: str | Iterable[str] | None = None,
-               deny: str | Iterable[str] | None = None) -> Column:
-    """Allow-list / deny-list predicate; an empty list switches its test off."""
-    allow_t, deny_t = parse_id_list(allow), parse_id_list(deny)
-    rule = F.lit(True)
-    if allow_t:
-        rule = rule & id_in_list(c, allow_t)
-    if deny_t:
-        rule = rule & ~id_in_list(c, deny_t)
-    return rule
+def id_tokens(ids: str | Iterable[str] | None) -> Column | None:
+    """A comma-separated id list (or an iterable of ids) as an array column of
+    its tokens, which are not trimmed; None for an empty list, which means off.
+    The list is one literal, however long it is."""
+    if ids is None or ids == "":
+        return None
+    if isinstance(ids, str):
+        return F.split(F.lit(ids), ",")
+    tokens = [str(t) for t in ids]
+    return F.split(F.lit("\x00".join(tokens)), "\x00") if tokens else None
 
 
 def _signed(value: Column, rounded: Column, text: Column) -> Column:

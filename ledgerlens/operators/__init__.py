@@ -4,6 +4,7 @@ from ledgerlens.operators.alerts import (  # noqa: F401
     alert_messages,
     alerts,
     alerts_macro,
+    filter_ids,
     latest_day,
     on_date,
     top_alerts,

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions import (
     abs_change,
+    id_tokens,
     live_alert_rule,
     macro_alert_rule,
     money_text,
-    org_filter,
     percent_text,
     plain_text,
 )
@@ -98,7 +98,23 @@ def alerts_macro(mart: DataFrame, alert_date: str | None = None, threshold: floa
     day = on_date(mart, alert_date)
     rule = macro_alert_rule("DAILY_PAYMENT_AMOUNT", "PREV_DAILY_PAYMENT_AMOUNT", "DOD_CHANGE_PCT",
                             threshold, min_abs)
-    return day.where(rule & org_filter("ORGANIZATION_ID", allow, deny)).orderBy("ORGANIZATION_ID")
+    return filter_ids(day.where(rule), "ORGANIZATION_ID", allow, deny).orderBy("ORGANIZATION_ID")
+
+
+def filter_ids(df: DataFrame, column: str, allow: str | Iterable[str] | None = None,
+               deny: str | Iterable[str] | None = None) -> DataFrame:
+    """The rows of ``df`` whose id, as text, is a token of ``allow`` and none of
+    ``deny``; an empty list is off, and a null id is in no list and passes none.
+
+    A list is one literal that the executors split; the rows are
+    semi- or anti-joined with it, so a list of many thousand ids costs a hash
+    lookup a row. It is broadcast: it came from the driver to begin with.
+    """
+    for ids, how in ((id_tokens(allow), "left_semi"), (id_tokens(deny), "left_anti")):
+        if ids is not None:
+            tokens = df.sparkSession.range(1).select(F.explode(ids).alias("_id"))
+            df = df.where(F.col(column).isNotNull()).join(F.broadcast(tokens), F.col(column).cast("string") == F.col("_id"), how)
+    return df
 
 
 def alert_messages(alert_rows: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ one summary row each. Nothing is collected except the final counts.
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Window
@@ -108,8 +108,7 @@ def check_unique(df: DataFrame, columns: Sequence[str], ignore_nulls: bool | Non
 
 def check_pct_guard(mart: DataFrame) -> DataFrame:
     """Rows whose DOD_CHANGE_PCT is set although the previous amount is null or 0."""
-    prev = F.col("PREV_DAILY_PAYMENT_AMOUNT")
-    return mart.where((prev.isNull() | (prev == 0)) & F.col("DOD_CHANGE_PCT").isNotNull())
+    return mart.where(F.expr(PCT_GUARD_TEST))
 
 
 def check_prev(mart: DataFrame, strict: bool = False) -> DataFrame:
@@ -169,17 +168,33 @@ def reference_checks(tables: dict[str, DataFrame]) -> list[Check]:
     out = []
     for model, kind, cols in COLUMN_CHECKS:
         if model in tables:
-            label = "unique_combination" if kind == "unique" and len(cols) > 1 else kind
-            out.append(Check(f"{label}_{model}_{'_'.join(cols)}".lower(), model, kind, cols))
+            out.append(Check(_check_name(model, kind, cols), model, kind, cols))
     if "mart_daily_org_balance" in tables:
         mart = tables["mart_daily_org_balance"]
-        out.append(Check("mart_dod_null_when_prev_zero_or_null", "mart_daily_org_balance", "rows",
+        out.append(Check(PCT_GUARD, "mart_daily_org_balance", "rows",
                          rows=check_pct_guard(mart)))
         out.append(Check("mart_prev_matches_window", "mart_daily_org_balance", "rows",
                          rows=check_prev(mart)))
     return out
 
 
+#: The singular check that tests single rows: a percentage although there is no previous amount.
+PCT_GUARD = "mart_dod_null_when_prev_zero_or_null"
+PCT_GUARD_TEST = ("(PREV_DAILY_PAYMENT_AMOUNT IS NULL OR PREV_DAILY_PAYMENT_AMOUNT = 0) AND DOD_CHANGE_PCT IS NOT NULL")
+
+
+def _check_name(model: str, kind: str, cols: Sequence[str]) -> str:
+    label = "unique_combination" if kind == "unique" and len(cols) > 1 else kind
+    return f"{label}_{model}_{'_'.join(cols)}".lower()
+
+
+def row_rules(model: str) -> dict[str, str]:
+    """The checks of a model that look at one row at a time: name -> SQL test
+    of a row that breaks it. They can be counted while the rows are written."""
+    out = {_check_name(m, kind, cols): f"{cols[0]} IS NULL" for m, kind, cols in COLUMN_CHECKS if m == model and kind == "not_null"}
+    return out | ({PCT_GUARD: PCT_GUARD_TEST} if model == "mart_daily_org_balance" else {})
+
+
 def failing_rows(tables: dict[str, DataFrame], check: Check) -> DataFrame:
     """The rows that make ``check`` fail (empty when it passes)."""
     if check.kind == "not_null":
@@ -190,10 +205,12 @@ def failing_rows(tables: dict[str, DataFrame], check: Check) -> DataFrame:
 
 
 def run_checks(tables: dict[str, DataFrame], checks: list[Check] | None = None,
-               store_failures: str | None = None) -> DataFrame:
+               store_failures: str | None = None, counted: Mapping[str, int] | None = None) -> DataFrame:
     """Summary with one row per check: CHECK_NAME, MODEL, FAILURES, STATUS.
 
-    All not-null checks of a model share a single aggregate pass over it;
+    ``counted`` holds the failures of checks that were counted as the rows
+    were written (:func:`row_rules`); these read nothing. The other
+    not-null checks of a model share a single aggregate pass over it;
     each uniqueness or singular check is one more aggregate. By default
     failing rows are not stored (call :func:`failing_rows` to see them);
     ``store_failures`` names a folder that receives, per check, a Parquet
@@ -206,6 +223,12 @@ def run_checks(tables: dict[str, DataFrame], checks: list[Check] | None = None,
             failing_rows(tables, c).write.mode("overwrite").parquet(f"{store_failures.rstrip('/')}/{c.name}")
     parts: list[DataFrame] = []
     by_model: dict[str, list[Check]] = {}
+    counted = counted or {}
+    known = [c for c in checks if c.name in counted]
+    if known:
+        rows = ", ".join(f"('{c.name}', {int(counted[c.name])}L, '{c.model}')" for c in known)
+        parts.append(next(iter(tables.values())).sparkSession.sql(f"SELECT * FROM VALUES {rows} AS t(CHECK_NAME, FAILURES, MODEL)"))
+    checks = [c for c in checks if c.name not in counted]
     for c in checks:
         if c.kind == "not_null":
             by_model.setdefault(c.model, []).append(c)

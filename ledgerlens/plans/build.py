@@ -1,18 +1,20 @@
 """End-to-end runs: ingest landing files into RAW, build every layer, check, alert.
 
-Layout of a warehouse (one versioned table per folder, see
-:mod:`ledgerlens.sources.versions`):
-
-    raw/organizations  raw/invoices (by month of CREATED_AT)
-    curated/stg_organizations  curated/stg_invoices (by month of CREATED_DATE)
-    curated/dim_organizations
-    curated/fact_organizations_payment  marts/mart_daily_org_balance
+A warehouse is a database of the catalog; its external tables lie below one
+root folder (see :mod:`ledgerlens.sources.versions`):
+
+    raw_organizations  raw_invoices (by month of CREATED_AT)
+    raw_invoices_keys (which months may hold an invoice, by hash bucket)
+    stg_organizations  stg_invoices (by month of CREATED_DATE)
+    dim_organizations
+    fact_organizations_payment  mart_daily_org_balance
         (by month of DATE, clustered by DATE, ORGANIZATION_ID)
-    marts/seeds_daily_org_balance (one row per organization)
+    seeds_daily_org_balance (one row per organization)
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -26,14 +28,17 @@ from ledgerlens.operators.dims import dim_organizations
 from ledgerlens.operators.facts import STAGED_MONTH, fact_daily_payment
 from ledgerlens.operators.marts import last_days, mart_daily_balance, mart_daily_balance_since
 from ledgerlens.operators.merge import upsert
-from ledgerlens.operators.quality import run_checks
+from ledgerlens.operators.quality import row_rules, run_checks
 from ledgerlens.operators.staging import stage_invoices, stage_organizations
-from ledgerlens.plans.docs import register_views, with_comments
-from ledgerlens.plans.sinks import FACT_MONTH_FIELD, merge_partitions, replace_table, stage, upsert_months, write_fact
+from ledgerlens.plans import key_index
+from ledgerlens.plans.docs import COLUMN_DOCS, TABLE_DOCS, persist_comments, register_views
+from ledgerlens.plans.sinks import (
+    ALL, UNSTAGED, cluster, merge_partitions, replace_table, stage, stage_delta, upsert_months, write_fact)
 from ledgerlens.sources import versions
 from ledgerlens.sources.csv import INVOICES_GLOB, ORGANIZATIONS_GLOB, read_raw_csv
 from ledgerlens.sources.schemas import (
     FACT_KEY,
+    FACT_PARTITION,
     FACT_PAYMENTS,
     MART_DAILY_BALANCE,
     MART_KEY,
@@ -46,9 +51,13 @@ from ledgerlens.sources.schemas import (
     STG_ORGANIZATIONS,
 )
 from ledgerlens.sources.tables import high_water_mark, read_partitioned, read_table, table_exists
+from ledgerlens.sources.versions import Table
 
+FACT_MONTH_FIELD = T.StructField(FACT_PARTITION, T.DateType())
 RAW_MONTH_FIELD = T.StructField(RAW_INVOICES_PARTITION, T.DateType())
 STAGED_MONTH_FIELD = T.StructField(STAGED_MONTH, T.DateType())
+#: Table property of the seeds: the day before which they are the last days.
+SINCE = "ledgerlens.since"
 
 
 class ChecksFailed(RuntimeError):
@@ -61,42 +70,65 @@ class ChecksFailed(RuntimeError):
 
 @dataclass(frozen=True)
 class Warehouse:
+    """The tables below ``root``. ``database`` names their database in the
+    catalog; by default it follows from the root."""
     root: str
+    database: str = ""
 
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
+    def table(self, layer: str, model: str, partition: T.StructField | None = None) -> Table:
+        database = self.database or "ledgerlens_" + hashlib.sha256(self.root.rstrip("/").encode()).hexdigest()[:16]
+        return Table(database, model, self.path(f"{layer}/{model}"), partition, TABLE_DOCS.get(model, ""),
+                     COLUMN_DOCS.get(model, {}), row_rules(model))
+
+    @property
+    def raw_organizations(self) -> Table:
+        return self.table("raw", "raw_organizations")
+
     @property
-    def raw_organizations(self) -> str:
-        return self.path("raw/organizations")
+    def raw_invoices(self) -> Table:
+        return self.table("raw", "raw_invoices", RAW_MONTH_FIELD)
 
     @property
-    def raw_invoices(self) -> str:
-        return self.path("raw/invoices")
+    def raw_invoices_keys(self) -> Table:
+        return self.table("raw", "raw_invoices_keys", key_index.BUCKET)
 
     @property
-    def stg_organizations(self) -> str:
-        return self.path("curated/stg_organizations")
+    def stg_organizations(self) -> Table:
+        return self.table("curated", "stg_organizations")
 
     @property
-    def stg_invoices(self) -> str:
-        return self.path("curated/stg_invoices")
+    def stg_invoices(self) -> Table:
+        return self.table("curated", "stg_invoices", STAGED_MONTH_FIELD)
 
     @property
-    def dim_organizations(self) -> str:
-        return self.path("curated/dim_organizations")
+    def dim_organizations(self) -> Table:
+        return self.table("curated", "dim_organizations")
 
     @property
-    def fact(self) -> str:
-        return self.path("curated/fact_organizations_payment")
+    def fact(self) -> Table:
+        return self.table("curated", "fact_organizations_payment", FACT_MONTH_FIELD)
 
     @property
-    def mart(self) -> str:
-        return self.path("marts/mart_daily_org_balance")
+    def mart(self) -> Table:
+        return self.table("marts", "mart_daily_org_balance", FACT_MONTH_FIELD)
 
     @property
-    def seeds(self) -> str:
-        return self.path("marts/seeds_daily_org_balance")
+    def seeds(self) -> Table:
+        return self.table("marts", "seeds_daily_org_balance")
+
+    def models(self) -> list[Table]:
+        """The tables a user reads, in the order in which they are built."""
+        return [self.raw_organizations, self.raw_invoices, self.stg_organizations, self.stg_invoices,
+                self.dim_organizations, self.fact, self.mart]
+
+
+def settle(spark: SparkSession, wh: Warehouse) -> None:
+    """Finish what a run that was lost left half switched."""
+    for t in [*wh.models(), wh.raw_invoices_keys, wh.seeds]:
+        versions.settle(spark, t)
 
 
 def raw_invoice_month() -> Column:
@@ -117,13 +149,14 @@ def load_raw(spark: SparkSession, wh: Warehouse, organizations: DataFrame | None
     and load, are replaced whole.
     """
     if organizations is not None:
-        path, keys, names = wh.raw_organizations, RAW_ORGANIZATIONS_KEY, RAW_ORGANIZATIONS.fieldNames()
+        table, keys, names = wh.raw_organizations, RAW_ORGANIZATIONS_KEY, RAW_ORGANIZATIONS.fieldNames()
+        versions.settle(spark, table)
         new = stage(spark, organizations.select(*names), "organizations")  # read by the key check and by the upsert
-        base = read_table(spark, path, RAW_ORGANIZATIONS) if table_exists(spark, path) else new.limit(0)
-        replace_table(spark, upsert(base, new, keys, order_by=order_by), path)
+        base = read_table(spark, table, RAW_ORGANIZATIONS) if table_exists(spark, table) else new.limit(0)
+        replace_table(spark, upsert(base, new, keys, order_by=order_by), table)
     if invoices is not None:
-        upsert_months(spark, invoices, wh.raw_invoices, RAW_INVOICES, RAW_INVOICES_KEY, raw_invoice_month(),
-                      RAW_MONTH_FIELD, null_as="", order_by=order_by)
+        upsert_months(spark, invoices, wh.raw_invoices, wh.raw_invoices_keys, RAW_INVOICES, RAW_INVOICES_KEY,
+                      raw_invoice_month(), order_by=order_by)
 
 
 def ingest_landing(spark: SparkSession, wh: Warehouse, landing_dir: str, multi_line: bool = True,
@@ -139,28 +172,24 @@ def ingest_landing(spark: SparkSession, wh: Warehouse, landing_dir: str, multi_l
 def stage_layer(spark: SparkSession, wh: Warehouse, full: bool = False) -> list[str] | None:
     """Type RAW into the staged tables.
 
-    Staged invoices are stored by month like RAW. The staged table records
-    which RAW version each month came from, so only months that a load
-    changed since are read and staged again; ``full``, or a RAW table without
-    months, stages all. Returns the months staged (None: all of them).
+    Staged invoices are stored by month like RAW. RAW notes the months that
+    loads have written since it was last staged, so only these are read and
+    staged again; ``full``, or a first staging, stages all. Returns the months staged (None: all of them).
     """
     replace_table(spark, stage_organizations(read_table(spark, wh.raw_organizations, RAW_ORGANIZATIONS)), wh.stg_organizations)
-    raw, staged = versions.current(spark, wh.raw_invoices), versions.current(spark, wh.stg_invoices)
-    month = F.trunc("CREATED_DATE", "month")
-    if full or raw is None or raw.partition is None or staged is None or staged.partition is None:
-        df = stage_invoices(read_table(spark, wh.raw_invoices, RAW_INVOICES)).withColumn(STAGED_MONTH, month)
-        replace_table(spark, df, wh.stg_invoices, STAGED_MONTH_FIELD, ["CREATED_DATE", "INVOICE_ID"],
-                      source=raw.files if raw else None)
-        return None
-    changed = sorted(k for k in raw.files.keys() | staged.source.keys() if raw.files.get(k) != staged.source.get(k))
-    if changed:
-        rows = versions.read_version(spark, wh.raw_invoices, raw)
-        rows = rows.where(versions.partition_filter(F.col(RAW_INVOICES_PARTITION), changed)).drop(RAW_INVOICES_PARTITION)
-        df = stage_invoices(rows).withColumn(STAGED_MONTH, month)
-        df = df.repartitionByRange(STAGED_MONTH, "CREATED_DATE", "INVOICE_ID").sortWithinPartitions(
-            STAGED_MONTH, "CREATED_DATE", "INVOICE_ID")
-        versions.replace_partitions(spark, df, wh.stg_invoices, changed, source=raw.files)
-    return changed
+    changed = versions.properties(spark, wh.raw_invoices).get(UNSTAGED, ALL)
+    full = full or changed == ALL or not table_exists(spark, wh.stg_invoices)
+    months = [m for m in changed.split(",") if m]
+    rows = read_partitioned(spark, wh.raw_invoices, RAW_INVOICES)
+    if not full:
+        rows = rows.where(versions.partition_filter(F.col(RAW_INVOICES_PARTITION), months))
+    staged = stage_invoices(rows.drop(RAW_INVOICES_PARTITION)).withColumn(STAGED_MONTH, F.trunc("CREATED_DATE", "month"))
+    if full:
+        replace_table(spark, staged, wh.stg_invoices, ["CREATED_DATE", "INVOICE_ID"])
+    elif months:
+        versions.replace_partitions(spark, cluster(staged, ["CREATED_DATE", "INVOICE_ID"], STAGED_MONTH), wh.stg_invoices, months)
+    versions.set_properties(spark, wh.raw_invoices, {UNSTAGED: ""})
+    return None if full else months
 
 
 def build(spark: SparkSession, wh: Warehouse, full_refresh: bool = False, run_tests: bool = True,
@@ -174,7 +203,8 @@ def build(spark: SparkSession, wh: Warehouse, full_refresh: bool = False, run_te
     fact from all invoices (dropping rows a merge would have kept) and the
     mart after it, and skips the checks, like a refresh run.
 
-    The checks are evaluated before this returns. With ``on_failure='raise'``
+    The checks are evaluated before this returns; those that test single rows
+    were counted as the layers were written. With ``on_failure='raise'``
     a failing check raises :class:`ChecksFailed`, so nothing that comes after
     the build is reached; ``'report'`` leaves the verdict to the caller.
     ``store_failures=True`` also writes each check's failing rows below the
@@ -182,14 +212,18 @@ def build(spark: SparkSession, wh: Warehouse, full_refresh: bool = False, run_te
     """
     if on_failure not in ("raise", "report"):
         raise ValueError("on_failure must be 'raise' or 'report'")
+    settle(spark, wh)
     stage_layer(spark, wh, full_refresh)
     replace_table(spark, dim_organizations(read_table(spark, wh.stg_organizations, STG_ORGANIZATIONS)), wh.dim_organizations)
-    stg_inv = read_partitioned(spark, wh.stg_invoices, STG_INVOICES, STAGED_MONTH_FIELD)
+    stg_inv = read_partitioned(spark, wh.stg_invoices, STG_INVOICES)
     delta = refresh_fact(spark, wh, stg_inv, full_refresh, lookback_days)
     refresh_mart(spark, wh, delta, lookback_days)
+    for t in wh.models():
+        persist_comments(spark, t)
     if full_refresh or not run_tests:
         return None
-    summary = run_checks(tables(spark, wh), store_failures=wh.path("audit") if store_failures else None)
+    summary = run_checks(tables(spark, wh), store_failures=wh.path("audit") if store_failures else None,
+                         counted=counted_breaches(spark, wh))
     rows = summary.collect()  # one row per check
     failed = [(r.CHECK_NAME, r.FAILURES) for r in rows if r.STATUS != "pass"]
     if failed and on_failure == "raise":
@@ -200,7 +234,7 @@ def build(spark: SparkSession, wh: Warehouse, full_refresh: bool = False, run_te
 def refresh_downstream(spark: SparkSession, wh: Warehouse) -> None:
     """Rebuild the fact from the staged invoices and everything that reads it
     (the mart), leaving staging and the dimension as they are."""
-    stg_inv = read_partitioned(spark, wh.stg_invoices, STG_INVOICES, STAGED_MONTH_FIELD)
+    stg_inv = read_partitioned(spark, wh.stg_invoices, STG_INVOICES)
     refresh_fact(spark, wh, stg_inv, full_refresh=True)
     refresh_mart(spark, wh)
 
@@ -209,7 +243,7 @@ def daily_run(spark: SparkSession, wh: Warehouse, on_failure: str = "raise", **a
     """Build, check, then the alert messages of the newest day; a failing
     check ends the run before any alert (unless ``on_failure='report'``)."""
     build(spark, wh, on_failure=on_failure)
-    mart = read_partitioned(spark, wh.mart, MART_DAILY_BALANCE, FACT_MONTH_FIELD)
+    mart = read_partitioned(spark, wh.mart, MART_DAILY_BALANCE)
     return alert_messages(alerts(mart, **alert_args))
 
 
@@ -220,13 +254,18 @@ def refresh_fact(spark: SparkSession, wh: Warehouse, stg_inv: DataFrame, full_re
     Returns the staged delta of a merge (``None`` after a rebuild).
     """
     if full_refresh or not table_exists(spark, wh.fact):
+        versions.drop(spark, wh.seeds)
         write_fact(fact_daily_payment(stg_inv, already_upper=True), wh.fact)
         return None
     # The stored target keeps its month column: the high-water mark reads
     # only the newest month.
-    target = read_partitioned(spark, wh.fact, FACT_PAYMENTS, FACT_MONTH_FIELD)
-    delta = fact_daily_payment(stg_inv, target=target, days=lookback_days, already_upper=True)
-    return merge_partitions(spark, delta, wh.fact, FACT_KEY)
+    target = read_partitioned(spark, wh.fact, FACT_PAYMENTS)
+    delta = stage_delta(spark, fact_daily_payment(stg_inv, target=target, days=lookback_days, already_upper=True), wh.fact)
+    since = seeds_since(spark, wh)
+    if since and delta.where(F.col("DATE") < F.lit(since).cast("date")).limit(1).count():
+        versions.drop(spark, wh.seeds)  # an older day changes: they may no longer be the last days
+    merge_partitions(spark, delta, wh.fact, FACT_KEY)
+    return delta
 
 
 def mart_start(mart: DataFrame, delta: DataFrame, lookback_days: int = LOOKBACK_DAYS):
@@ -250,19 +289,23 @@ def refresh_mart(spark: SparkSession, wh: Warehouse, delta: DataFrame | None = N
     from the fact plus one seed row per organization and merged into their
     month partitions. The result equals a full rebuild.
     """
-    model = "mart_daily_org_balance"
     start = None
     if delta is not None and table_exists(spark, wh.mart):
-        start = mart_start(read_partitioned(spark, wh.mart, MART_DAILY_BALANCE, FACT_MONTH_FIELD), delta,
+        start = mart_start(read_partitioned(spark, wh.mart, MART_DAILY_BALANCE), delta,
                            lookback_days)
     if start is None:
         fact = read_table(spark, wh.fact, FACT_PAYMENTS)
-        write_fact(with_comments(mart_daily_balance(fact), model), wh.mart)
+        write_fact(mart_daily_balance(fact), wh.mart)
         return
-    fact = read_partitioned(spark, wh.fact, FACT_PAYMENTS, FACT_MONTH_FIELD)
+    fact = read_partitioned(spark, wh.fact, FACT_PAYMENTS)
     first = F.lit(start).cast("date")
     rows = mart_daily_balance_since(fact, first, refresh_seeds(spark, wh, fact, start))
-    merge_partitions(spark, rows, wh.mart, MART_KEY, model=model)
+    merge_partitions(spark, rows, wh.mart, MART_KEY)
+
+
+def seeds_since(spark: SparkSession, wh: Warehouse) -> str | None:
+    """The day before which the kept seeds are the last days, or None."""
+    return versions.properties(spark, wh.seeds).get(SINCE) if table_exists(spark, wh.seeds) else None
 
 
 def refresh_seeds(spark: SparkSession, wh: Warehouse, fact: DataFrame, start) -> DataFrame:
@@ -270,41 +313,38 @@ def refresh_seeds(spark: SparkSession, wh: Warehouse, fact: DataFrame, start) ->
 
     A run brings the kept rows forward: together with the fact days from the
     kept start to the new one they give the new last days, so a daily run
-    reads the months in between, not the history. A start before the kept one
-    (late rows), a fact that was rebuilt, or no kept table: all older days are read.
+    reads the months in between, not the history. With an earlier start
+    (late rows) or no kept table all older days are read; a fact that
+    is rebuilt or changed before the kept start takes the table away.
     """
-    kept, base = versions.current(spark, wh.seeds), versions.current(spark, wh.fact)
-    first = F.lit(start).cast("date")
-    # the fact versions of months before the kept start; if one was replaced,
-    # a late row may have changed an older day
-    since = kept.note if kept else None
-    month = start.replace(day=1).isoformat()
-    older = {k: v for k, v in base.files.items() if k < (since or "")[:8] + "01" and k != versions.NULL} if since else {}
-    if since and since <= start.isoformat() and all(kept.source.get(k) == v for k, v in older.items()):
-        between = fact.where((F.col(FACT_MONTH_FIELD.name) >= F.lit(since[:8] + "01").cast("date"))
-                             & (F.col(FACT_MONTH_FIELD.name) <= F.lit(month).cast("date"))
+    first, since = F.lit(start).cast("date"), seeds_since(spark, wh)
+    month = F.lit(start.replace(day=1)).cast("date")
+    if since and since <= start.isoformat():
+        between = fact.where((F.col(FACT_PARTITION) >= F.lit(since[:8] + "01").cast("date")) & (F.col(FACT_PARTITION) <= month)
                              & (F.col("DATE") >= F.lit(since).cast("date")))
-        seeds = last_days(between, first, versions.read_version(spark, wh.seeds, kept))
+        seeds = last_days(between, first, read_table(spark, wh.seeds))
     else:
-        seeds = last_days(fact.where(F.col(FACT_MONTH_FIELD.name) <= F.lit(month).cast("date")), first)
-    now = versions.replace(spark, seeds, wh.seeds, source=base.files, note=start.isoformat())
-    return versions.read_version(spark, wh.seeds, now)
+        seeds = last_days(fact.where(F.col(FACT_PARTITION) <= month), first)
+    replace_table(spark, seeds, wh.seeds, values={SINCE: start.isoformat()})
+    return read_table(spark, wh.seeds)
 
 
-def table_paths(wh: Warehouse) -> dict[str, str]:
-    return {
-        "raw_organizations": wh.raw_organizations, "raw_invoices": wh.raw_invoices,
-        "stg_organizations": wh.stg_organizations, "stg_invoices": wh.stg_invoices,
-        "dim_organizations": wh.dim_organizations, "fact_organizations_payment": wh.fact,
-        "mart_daily_org_balance": wh.mart,
-    }
+def counted_breaches(spark: SparkSession, wh: Warehouse) -> dict[str, int]:
+    """Rows that break a single-row check, by check, as counted when the
+    tables were written."""
+    out = {}
+    for t in wh.models():
+        said = versions.counts(spark, t)
+        if said is not None:
+            out |= {rule: sum(said.get(rule, {}).values()) for rule in t.rules}
+    return out
 
 
 def register(spark: SparkSession, wh: Warehouse, database: str | None = None) -> None:
-    """Expose every built table as a view over its newest published state: a
-    temporary one, or, with ``database``, one of that database, with the
-    table's and columns' descriptions."""
-    register_views(spark, {name: path for name, path in table_paths(wh).items() if table_exists(spark, path)}, database)
+    """Expose every built table as a view that follows it: a temporary one,
+    or, with ``database``, one of that database, with the table's and columns'
+    descriptions."""
+    register_views(spark, [t for t in wh.models() if table_exists(spark, t)], database)
 
 
 def tables(spark: SparkSession, wh: Warehouse) -> dict[str, DataFrame]:

@@ -1,10 +1,4 @@
-"""Table and column descriptions, persisted with the data.
-
-Column descriptions travel as Spark field metadata (``comment``), which
-Spark writes into each Parquet footer with the schema, so any reader of the
-files sees them. Table descriptions are attached when a table is registered as
-a view of a database.
-"""
+"""Table and column descriptions, kept in the catalog, and views of the tables."""
 
 from __future__ import annotations
 
@@ -12,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.sources import versions
-from ledgerlens.sources.tables import read_table
+from ledgerlens.sources.versions import Table, quoted, text
 
 # --- fixed values: descriptions of the reference's models ----------------------
 TABLE_DOCS = {
@@ -34,71 +28,73 @@ COLUMN_DOCS = {
 # ------------------------------------------------------------------------------
 
 
-def with_comments(df: DataFrame, model: str) -> DataFrame:
-    """Attach the model's column descriptions as field metadata (no data change)."""
-    docs = COLUMN_DOCS.get(model, {})
-    if not docs:
-        return df
-    return df.select(*[
-        F.col(c).alias(c, metadata={"comment": docs[c]}) if c in docs else F.col(c) for c in df.columns])
-
-
-def column_comments(df: DataFrame) -> dict[str, str]:
-    return {f.name: f.metadata["comment"] for f in df.schema.fields if "comment" in f.metadata}
-
-
-VIEW_PROPERTY = "ledgerlens.path"
-
-
-def _quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
-def _text(value: str) -> str:
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def _version_sql(spark: SparkSession, path: str) -> tuple[str, list[str]]:
-    """SELECT over the published files of a table, and its columns."""
-    now = versions.current(spark, path)
-    if now is None or not now.files:
-        return f"SELECT * FROM parquet.{_quoted(path)}", read_table(spark, path).columns
-    names = now.schema.fieldNames() + ([now.partition.name] if now.partition else [])
-    by_version: dict[str, list[str]] = {}
-    for key, v in now.files.items():
-        by_version.setdefault(v, []).append(key)
-    parts = []
-    for v, keys in sorted(by_version.items()):
-        where = ""
-        if now.partition and len(by_version) > 1:
-            m = _quoted(now.partition.name)
-            dated = ", ".join(f"DATE'{k}'" for k in sorted(keys) if k != versions.NULL)
-            tests = ([f"{m} IN ({dated})"] if dated else []) + ([f"{m} IS NULL"] if versions.NULL in keys else [])
-            where = f" WHERE {' OR '.join(tests)}"
-        cols = ", ".join(_quoted(n) for n in names)
-        parts.append(f"SELECT {cols} FROM parquet.{_quoted(f'{path}/{versions.VERSION}={v}')}{where}")
-    return " UNION ALL ".join(parts), names
-
-
-def register_views(spark: SparkSession, paths: dict[str, str], database: str | None = None) -> None:
-    """Register each table as a view of its newest published state.
-
-    Without ``database`` the views are temporary. In a database they carry the
-    descriptions and are marked as ours; a table or view of the same name that
-    is not marked is left alone and raises.
+def described(spark: SparkSession, name: str) -> dict[str, str]:
+    """The descriptions that the catalog has of a table or view, by column;
+    that of the table itself under ''."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+    out = {}
+    for r in rows:
+        if not r.col_name or r.col_name.startswith("#"):
+            break  # the columns come first
+        if r.comment:
+            out[r.col_name] = r.comment
+    for r in rows:
+        if r.col_name == "Comment" and r.data_type:
+            out[""] = r.data_type
+    return out
+
+
+def persist_comments(spark: SparkSession, t: Table) -> None:
+    """Bring the catalog's descriptions of a table up to date. A table is
+    created with them; this is for one that was made with others, or whose
+    descriptions were changed by hand, and changes only those that differ."""
+    has = described(spark, t.name)
+    if has.get("", "") != t.comment:
+        spark.sql(f"COMMENT ON TABLE {t.name} IS {text(t.comment)}")
+    for f in versions.read(spark, t).schema.fields:
+        if has.get(f.name, "") != t.comments.get(f.name, ""):
+            spark.sql(f"ALTER TABLE {t.name} ALTER COLUMN {quoted(f.name)} COMMENT {text(t.comments.get(f.name, ''))}")
+
+
+VIEW_PROPERTY = "ledgerlens.table"
+
+
+def register_views(spark: SparkSession, tables: list[Table], database: str | None = None) -> None:
+    """Register a view of each table.
+
+    A view names its table, not files, so it shows what later runs build,
+    columns that they add or drop included. Without ``database`` the views are temporary. In a
+    database they have the table's descriptions and are marked as ours; a
+    table or view of the same name that is not marked is left alone and raises.
     """
-    for name, path in paths.items():
+    for t in tables:
         if database is None:
-            df = read_table(spark, path)
-            df.createOrReplaceTempView(_quoted(name))
+            spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {quoted(t.model)} AS SELECT * FROM {t.name}")
             continue
-        full = f"{_quoted(database)}.{_quoted(name)}"
+        full = f"{quoted(database)}.{quoted(t.model)}"
         if spark.catalog.tableExists(full):
             props = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {full}").collect()}
-            if props.get(VIEW_PROPERTY) != path:
-                raise ValueError(f"{database}.{name} exists and is not a view of {path}; it is left as it is")
-        body, names = _version_sql(spark, path)
-        docs = COLUMN_DOCS.get(name, {})
-        cols = ", ".join(_quoted(c) + (f" COMMENT {_text(docs[c])}" if c in docs else "") for c in names)
-        spark.sql(f"CREATE OR REPLACE VIEW {full} ({cols}) COMMENT {_text(TABLE_DOCS.get(name, ''))} "
-                  f"TBLPROPERTIES ({_text(VIEW_PROPERTY)} = {_text(path)}) AS {body}")
+            if props.get(VIEW_PROPERTY) != t.name:
+                raise ValueError(f"{database}.{t.model} exists and is not a view of {t.name}; it is left as it is")
+        spark.sql(f"CREATE OR REPLACE VIEW {full} WITH SCHEMA EVOLUTION COMMENT {text(t.comment)} "
+                  f"TBLPROPERTIES ({text(VIEW_PROPERTY)} = {text(t.name)}) AS SELECT * FROM {t.name}")
+
+
+def catalog_comments(spark: SparkSession, tables: list[Table]) -> DataFrame:
+    """TABLE_NAME, COLUMN_NAME ('' for the table), COMMENT as the catalog has them, and N_VALUES: the
+    rows of the table, or the non-null values of the column. One row for each
+    description."""
+    parts = None
+    for t in tables:
+        has = described(spark, t.name)
+        if not has:
+            continue
+        one = F.count(F.lit(1))
+        sums = versions.read(spark, t).agg(*[(F.count(quoted(c)) if c else one).alias(f"n{i}") for i, c in enumerate(has)])
+        stack = ", ".join(f"{text(c)}, {text(d)}, n{i}" for i, (c, d) in enumerate(has.items()))
+        rows = sums.selectExpr(f"{text(t.model)} AS TABLE_NAME",
+                               f"stack({len(has)}, {stack}) AS (COLUMN_NAME, COMMENT, N_VALUES)")
+        parts = rows if parts is None else parts.unionByName(rows)
+    if parts is None:
+        return spark.createDataFrame([], "TABLE_NAME string, COLUMN_NAME string, COMMENT string, N_VALUES long")
+    return parts

@@ -38,11 +38,14 @@ from ledgerlens.operators.quality import (
     check_unique,
     enforce_contract,
     freshness,
+    row_rules,
     run_checks,
 )
 from ledgerlens.operators.staging import stage_invoices, stage_organizations
-from ledgerlens.plans.build import Warehouse, build, load_raw, refresh_fact, refresh_mart
-from ledgerlens.plans.sinks import merge_partitions, replace_table, stage, write_fact
+from ledgerlens.plans.build import Warehouse, build, load_raw, refresh_fact, refresh_mart, register
+from ledgerlens.plans.docs import catalog_comments
+from ledgerlens.plans.sinks import merge_partitions, replace_table, stage, stage_counted, write_fact
+from ledgerlens.plans.sql_functions import create_alert_function
 from ledgerlens.session import new_scratch
 from ledgerlens.sources.csv import INVOICES_GLOB, read_raw_csv, write_csv
 from ledgerlens.sources.fixtures import raw_invoices, raw_organizations, read_test_table
@@ -274,14 +277,14 @@ def q_upsert_newest(spark, sf):
 
 def q_schema_sync(spark, sf):
     """A stored merge whose delta has a new column and lacks another."""
-    path = new_scratch(spark, "schema_sync") + "/fact"
+    table = Warehouse(new_scratch(spark, "schema_sync")).fact
     s = stg_inv(spark, sf)
     old = fact_daily_payment(s.where(F.col("CREATED_DATE") <= _cutoff())).withColumn("OLD_NOTE", F.lit("old"))
-    write_fact(old, path)
+    write_fact(old, table)
     delta = fact_daily_payment(s.where(F.col("CREATED_DATE") > F.date_sub(_cutoff(), 30)))
     delta = delta.withColumn("N_DIGITS", F.length(F.col("PAYMENT_AMOUNT_USD").cast("bigint").cast("string")))
-    merge_partitions(spark, delta, path, FACT_KEY)
-    out = read_table(spark, path)
+    merge_partitions(spark, delta, table, FACT_KEY)
+    out = read_table(spark, table)
     return out.select(_oid(), "DATE", _m4("PAYMENT_AMOUNT_USD").alias("PAYMENT_AMOUNT_USD"), *out.columns[3:])
 
 
@@ -309,17 +312,22 @@ def q_check_prev_matches_lag(spark, sf):
 
 
 def q_check_summary(spark, sf):
-    # As in a build, the layers are made once and the checks read them back.
-    f = stage(spark, fact(spark, sf), "checked-fact")
-    so = stage(spark, stg_org(spark, sf), "checked-organizations")
-    return run_checks({
-        "raw_organizations": raw_organizations(spark, sf),
-        "raw_invoices": raw_invoices(spark, sf),
-        "stg_organizations": so,
-        "dim_organizations": stage(spark, dim_organizations(so), "checked-dimension"),
-        "fact_organizations_payment": f,
-        "mart_daily_org_balance": stage(spark, mart_daily_balance(f), "checked-mart"),
-    })
+    # As in a build, the layers are made once, the single-row checks are
+    # counted as they are written, and only the others read them back.
+    tables, counted = {}, {}
+
+    def layer(model, df):
+        tables[model], broken = stage_counted(spark, df, f"checked-{model}", row_rules(model))
+        counted.update(broken)
+        return tables[model]
+
+    layer("raw_organizations", raw_organizations(spark, sf))
+    raw = layer("raw_invoices", raw_invoices(spark, sf))
+    so = layer("stg_organizations", stage_organizations(tables["raw_organizations"]))
+    layer("dim_organizations", dim_organizations(so))
+    f = layer("fact_organizations_payment", fact_daily_payment(stage_invoices(raw)))
+    layer("mart_daily_org_balance", mart_daily_balance(f))
+    return run_checks(tables, counted=counted)
 
 
 def q_source_freshness(spark, sf):
@@ -355,12 +363,12 @@ def q_upsert_invoices(spark, sf):
 
 
 def q_upsert_organizations(spark, sf):
+    """Every row that is not in the base updates it, the greatest of a key winning."""
     raw = raw_organizations(spark, sf)
     c = F.col("ORGANIZATION_ID").cast("bigint")
     v = F.col("COUNT_TOTAL_CONTRACTS_ACTIVE").cast("bigint") - c % 50
-    base = raw.where((v == 0) & ((c % 2 == 0) | (c % 3 == 0)))
-    upd = raw.where(v == 1)
-    return org_view(upsert(base, upd, ["ORGANIZATION_ID"]))
+    in_base = (v == 0) & ((c % 2 == 0) | (c % 3 == 0))
+    return org_view(upsert(raw.where(in_base), raw.where(~in_base), ["ORGANIZATION_ID"], order_by=["COUNT_TOTAL_CONTRACTS_ACTIVE"]))
 
 
 def _cutoff() -> Column:
@@ -404,6 +412,60 @@ def q_full_refresh(spark, sf):
     return fact_view(read_table(spark, wh.fact, FACT_PAYMENTS))
 
 
+def q_upsert_months(spark, sf):
+    """Loads into stored RAW invoices, month by month through the key index:
+    rows that change, rows that move to another month, and new ones."""
+    wh = Warehouse(new_scratch(spark, "upsert_months"))
+    raw = raw_invoices(spark, sf)
+    k = _order_key(raw)
+    load_raw(spark, wh, invoices=raw.where(k % 4 != 0))
+    load_raw(spark, wh, invoices=raw.where(k % 4 == 0))
+    load_raw(spark, wh, invoices=raw.where(k % 50 == 7).withColumn("AMOUNT", F.col("AMOUNT") + 1).withColumn(
+        "CREATED_AT", F.when(k % 100 == 7, F.lit("1995-05-05 00:00:00")).otherwise(F.col("CREATED_AT"))))
+    return raw_inv_view(read_table(spark, wh.raw_invoices, RAW_INVOICES))
+
+
+def q_catalog_comments(spark, sf):
+    """The descriptions that the catalog has of a built warehouse."""
+    wh = Warehouse(new_scratch(spark, "catalog_comments"))
+    replace_table(spark, raw_organizations(spark, sf), wh.raw_organizations)
+    load_raw(spark, wh, invoices=raw_invoices(spark, sf))
+    build(spark, wh, run_tests=False)
+    return catalog_comments(spark, wh.models())
+
+
+def q_following_views(spark, sf):
+    """Views registered before a later load and build: they show its rows."""
+    wh = Warehouse(new_scratch(spark, "following_views"))
+    views = wh.fact.database + "_views"
+    raw = raw_invoices(spark, sf)
+    replace_table(spark, raw_organizations(spark, sf), wh.raw_organizations)
+    load_raw(spark, wh, invoices=raw.where(F.col("CREATED_AT") < oracle.INCREMENTAL_CUTOFF))
+    build(spark, wh, run_tests=False)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {views}")
+    register(spark, wh, views)
+    load_raw(spark, wh, invoices=raw.where(~(F.col("CREATED_AT") < oracle.INCREMENTAL_CUTOFF)))
+    build(spark, wh, full_refresh=True)
+    return mart_view(spark.table(f"{views}.mart_daily_org_balance"))
+
+
+def q_alerts_function(spark, sf):
+    """The templated alerts as a SQL table function over the stored mart, with
+    literal, named and bound arguments."""
+    wh = Warehouse(new_scratch(spark, "alerts_function"))
+    write_fact(busy_day(monthly_mart(spark, sf)), wh.mart)
+    f = create_alert_function(spark, wh)
+    calls = [
+        spark.sql(f"SELECT 'literal' AS CALL, * FROM {f}(NULL, 0.25D, 50000D)"),
+        spark.sql(f"SELECT 'default' AS CALL, * FROM {f}()"),
+        spark.sql(f"SELECT 'bound' AS CALL, * FROM {f}(allowlist => :allow, denylist => :deny)",
+                  args={"allow": oracle.SHORT_ALLOW_IDS, "deny": oracle.SHORT_DENY_IDS}),
+    ]
+    out = calls[0].unionAll(calls[1]).unionAll(calls[2])
+    return out.select("CALL", _oid(), "DATE", _m4("DAILY_PAYMENT_AMOUNT").alias("DAILY_PAYMENT_AMOUNT"),
+                      _m4("PREV_DAILY_PAYMENT_AMOUNT").alias("PREV_DAILY_PAYMENT_AMOUNT"), _r6("DOD_CHANGE_PCT").alias("DOD_CHANGE_PCT"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stg_invoices": q_stg_invoices,
     "check_contract": q_check_contract,
@@ -448,4 +510,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "freshness_raw_invoices": q_freshness_raw_invoices,
     "upsert_newest": q_upsert_newest,
     "schema_sync": q_schema_sync,
+    "upsert_months": q_upsert_months,
+    "catalog_comments": q_catalog_comments,
+    "following_views": q_following_views,
+    "alerts_function": q_alerts_function,
 }

@@ -1,45 +1,36 @@
-"""Scans of materialized layers (versioned or plain Parquet folders)."""
+"""Scans of materialized layers: catalog tables or plain Parquet folders."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 from ledgerlens.sources import versions
 from ledgerlens.sources.schemas import FACT_PARTITION
+from ledgerlens.sources.versions import Table
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Scan a table: a versioned one (its newest published state), or a plain
-    Parquet folder written by another tool. A declared schema selects the
-    columns, and may name the partition column too."""
-    version = versions.current(spark, path)
-    if version is not None:
-        df = versions.read_version(spark, path, version)
+def read_table(spark: SparkSession, table: Table | str, schema: T.StructType | None = None) -> DataFrame:
+    """Scan a table of the warehouse, or (a path) a plain Parquet folder. A
+    declared schema selects the columns, and may name the partition column
+    too; without one the partition column is left out."""
+    if isinstance(table, Table):
+        df = versions.read(spark, table)
         if schema is None:
-            return df.drop(version.partition.name) if version.partition else df
+            return df.drop(table.partition.name) if table.partition else df
     else:
-        df = (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
+        df = (spark.read.schema(schema) if schema is not None else spark.read).parquet(table)
     return df if schema is None else df.select(*[F.col(f.name) for f in schema.fields])
 
 
-def read_partitioned(spark: SparkSession, path: str, schema: T.StructType,
-                     partition: T.StructField) -> DataFrame:
-    """Scan keeping the partition column, so filters on it prune directories."""
-    return read_table(spark, path, T.StructType(schema.fields + [partition]))
+def read_partitioned(spark: SparkSession, table: Table, schema: T.StructType) -> DataFrame:
+    """Scan keeping the partition column, so filters on it prune partitions."""
+    return read_table(spark, table, T.StructType(schema.fields + [table.partition]))
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` holds a published table or a plain Parquet folder;
-    version folders that were never published do not count."""
-    if versions.current(spark, path) is not None:
-        return True
-    try:
-        return versions.VERSION not in spark.read.parquet(path).columns
-    except AnalysisException:
-        return False
+def table_exists(spark: SparkSession, table: Table) -> bool:
+    return versions.exists(spark, table)
 
 
 def high_water_mark(df: DataFrame, column: str = "DATE", wrap=None,

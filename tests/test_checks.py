@@ -9,8 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.quality import reference_checks, run_checks
-from ledgerlens.plans.build import Warehouse, build, tables
-from ledgerlens.plans.sinks import write_table
+from ledgerlens.plans.build import Warehouse, build, counted_breaches, load_raw, tables
+from ledgerlens.plans.sinks import replace_table
 from ledgerlens.sources.fixtures import raw_invoices, raw_organizations
 
 SF_SMALL = "/root/testdata/sf0.001"
@@ -19,8 +19,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def built(spark, tmp_path_factory):
     wh = Warehouse(str(tmp_path_factory.mktemp("checks")))
-    write_table(raw_organizations(spark, SF_SMALL), wh.raw_organizations)
-    write_table(raw_invoices(spark, SF_SMALL), wh.raw_invoices)
+    replace_table(spark, raw_organizations(spark, SF_SMALL), wh.raw_organizations)
+    load_raw(spark, wh, invoices=raw_invoices(spark, SF_SMALL))
     summary = {r.CHECK_NAME: r.FAILURES for r in build(spark, wh, full_refresh=False).collect()}
     return tables(spark, wh), summary
 

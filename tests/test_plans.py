@@ -21,8 +21,8 @@ from ledgerlens.operators import (
     top_alerts,
     upsert,
 )
-from ledgerlens.plans.build import Warehouse, build, refresh_fact
-from ledgerlens.plans.sinks import FACT_MONTH_FIELD, write_fact, write_table
+from ledgerlens.plans.build import Warehouse, build, load_raw, refresh_fact
+from ledgerlens.plans.sinks import replace_table, write_fact
 from ledgerlens.sources import versions
 from ledgerlens.sources.fixtures import raw_invoices, raw_organizations
 from ledgerlens.sources.schemas import FACT_PAYMENTS, MART_DAILY_BALANCE, STG_INVOICES, STG_ORGANIZATIONS
@@ -41,8 +41,8 @@ def plan(df) -> str:
 @pytest.fixture(scope="module")
 def wh(spark, tmp_path_factory):
     w = Warehouse(str(tmp_path_factory.mktemp("plans")))
-    write_table(raw_organizations(spark, SF_SMALL), w.raw_organizations)
-    write_table(raw_invoices(spark, SF_SMALL), w.raw_invoices)
+    replace_table(spark, raw_organizations(spark, SF_SMALL), w.raw_organizations)
+    load_raw(spark, w, invoices=raw_invoices(spark, SF_SMALL))
     build(spark, w, run_tests=False)
     return w
 
@@ -59,7 +59,7 @@ def test_fact_combines_before_shuffle_and_prunes_scan(spark, wh):
 
 def test_lookback_is_pushed_and_reads_newest_month_only(spark, wh):
     stg = read_table(spark, wh.stg_invoices, STG_INVOICES)
-    target = read_partitioned(spark, wh.fact, FACT_PAYMENTS, FACT_MONTH_FIELD)
+    target = read_partitioned(spark, wh.fact, FACT_PAYMENTS)
     p = plan(fact_daily_payment(stg, target=target, already_upper=True))
     assert "GreaterThanOrEqual(CREATED_DATE,ScalarSubquery" in p
     # max(DATE) of the target reads one month, found from the partition column.
@@ -69,13 +69,13 @@ def test_lookback_is_pushed_and_reads_newest_month_only(spark, wh):
 
 
 def test_high_water_mark_equals_plain_max(spark, wh):
-    stored = read_partitioned(spark, wh.fact, FACT_PAYMENTS, FACT_MONTH_FIELD)
+    stored = read_partitioned(spark, wh.fact, FACT_PAYMENTS)
     got = stored.select(high_water_mark(stored).alias("m")).first().m
     assert got == stored.agg(F.max("DATE")).first()[0]
 
 
 def test_alert_reads_one_month_without_nested_loops(spark, wh):
-    mart = read_partitioned(spark, wh.mart, MART_DAILY_BALANCE, FACT_MONTH_FIELD)
+    mart = read_partitioned(spark, wh.mart, MART_DAILY_BALANCE)
     p = plan(alerts(mart, min_abs=0.0))
     assert "PartitionFilters: [isnotnull(MONTH" in p and "= Subquery" in p
     assert "EqualTo(DATE,ScalarSubquery" in p
@@ -115,6 +115,10 @@ def test_not_null_checks_share_one_scan(spark, wh):
     assert len(scans) == 2  # one pass for the 3 not-null checks, one for the key uniqueness
 
 
+def folders(spark, t):
+    return {k: versions.folder_of(spark, t, k) for k in versions.keys(spark, t)}
+
+
 def _files(path):
     out = {}
     for d, _, fs in os.walk(path):
@@ -129,20 +133,17 @@ def test_merge_rewrites_only_touched_months(spark, tmp_path):
     stg = stage_invoices(raw_invoices(spark, SF_SMALL))
     wh = Warehouse(str(tmp_path))
     write_fact(fact_daily_payment(stg.where(F.col("CREATED_DATE") <= "1998-06-30")), wh.fact)
-    before = _files(wh.fact)
+    before, files = folders(spark, wh.fact), _files(wh.fact.location)
     refresh_fact(spark, wh, stg)
-    after = _files(wh.fact)
+    after = folders(spark, wh.fact)
     # Window = max(DATE) - 7 days: of the months that existed, only those
-    # overlapping the window are rewritten; later months are new.
-    rewritten = {os.path.dirname(p) for p in before if after.get(p) != before[p]}
-    assert not rewritten                                    # old files stay as they are
-    now = versions.current(spark, wh.fact)
-    first = {os.path.dirname(p).split("/")[0] for p in before}
-    assert len(first) == 1 and len({p.split("/")[1] for p in before}) > 40
-    superseded = {k for k in now.files if f"_version={now.files[k]}" not in first}
-    assert min(superseded) == "1998-06-01" and "1998-05-01" not in superseded
-    read = plan(read_table(spark, wh.fact, FACT_PAYMENTS).where("DATE = date'1998-06-15'"))
-    assert "PartitionFilters" in read and "_version" in read
+    # overlapping the window have new files; later months are new.
+    assert all(_files(wh.fact.location)[p] == t for p, t in files.items())    # old files stay as they are
+    assert len(before) > 40
+    switched = {k for k in after if after[k] != before.get(k)}
+    assert min(switched) == "1998-06-01" and "1998-05-01" in before
+    recent = read_partitioned(spark, wh.fact, FACT_PAYMENTS).where("MONTH >= date'1998-06-01'").inputFiles()
+    assert recent and not {re.search("version-[^/]*", f).group() for f in recent} & {p.split("/")[0] for p in files}
 
 
 def test_hot_organization_with_a_third_of_all_invoices(spark):
@@ -184,38 +185,38 @@ def test_hot_organization_with_a_third_of_all_invoices(spark):
 
 
 def test_raw_month_filter_prunes_partitions(spark, tmp_path):
-    from ledgerlens.plans.build import load_raw
     from ledgerlens.sources.schemas import RAW_INVOICES_PARTITION
     w = Warehouse(str(tmp_path))
     load_raw(spark, w, invoices=raw_invoices(spark, SF_SMALL))
-    base = versions.read_version(spark, w.raw_invoices, versions.current(spark, w.raw_invoices))
+    base = versions.read(spark, w.raw_invoices)
     m = F.col(RAW_INVOICES_PARTITION)
     p = plan(base.where(versions.partition_filter(m, ["1996-03-01", versions.NULL])))
-    assert "PartitionFilters: [((CREATED_MONTH#" in p and "= 1996-03-01) OR isnull(CREATED_MONTH" in p
+    assert re.search(r"PartitionFilters: \[\(\(CREATED_MONTH#\d+ = 1996-03-01\) OR isnull\(CREATED_MONTH", p)
+    some = base.where(versions.partition_filter(m, ["1996-03-01", versions.NULL])).inputFiles()
+    assert {re.search("CREATED_MONTH=([^/]*)", f).group(1) for f in some} == {"1996-03-01", "__HIVE_DEFAULT_PARTITION__"}
     got = base.where(versions.partition_filter(m, ["1996-03-01"])).count()
     assert got == base.where(F.col("CREATED_AT").startswith("1996-03")).count() > 0
 
 
 def test_raw_load_keeps_files_per_month_few(spark, tmp_path):
     """Many input tasks still write about one file for each month."""
-    from ledgerlens.plans.build import load_raw
     w = Warehouse(str(tmp_path))
     load_raw(spark, w, invoices=raw_invoices(spark, SF_SMALL).repartition(16))
-    months = versions.current(spark, w.raw_invoices).files
-    assert len(_files(w.raw_invoices)) <= len(months) + 16
+    months = versions.keys(spark, w.raw_invoices)
+    assert len(_files(w.raw_invoices.location)) == len(months)
 
 
 def test_daily_build_stages_only_changed_months(spark, tmp_path):
-    from ledgerlens.plans.build import load_raw, stage_layer
+    from ledgerlens.plans.build import stage_layer
     w = Warehouse(str(tmp_path))
     raw = raw_invoices(spark, SF_SMALL)
-    write_table(raw_organizations(spark, SF_SMALL), w.raw_organizations)
+    replace_table(spark, raw_organizations(spark, SF_SMALL), w.raw_organizations)
     load_raw(spark, w, invoices=raw)
     assert stage_layer(spark, w) is None
-    before = versions.current(spark, w.stg_invoices).files
+    before = folders(spark, w.stg_invoices)
     load_raw(spark, w, invoices=raw.where(F.col("CREATED_AT").startswith("1996-03")).withColumn("STATUS", F.lit("open")))
     assert stage_layer(spark, w) == ["1996-03-01"]
-    after = versions.current(spark, w.stg_invoices).files
+    after = folders(spark, w.stg_invoices)
     assert {k for k in after if after[k] != before[k]} == {"1996-03-01"} and after.keys() == before.keys()
     assert stage_layer(spark, w) == []
     stg = read_table(spark, w.stg_invoices, STG_INVOICES)
@@ -223,9 +224,8 @@ def test_daily_build_stages_only_changed_months(spark, tmp_path):
 
 
 def test_lookback_lists_only_recent_staged_months(spark, wh):
-    from ledgerlens.plans.build import STAGED_MONTH_FIELD
-    stg = read_partitioned(spark, wh.stg_invoices, STG_INVOICES, STAGED_MONTH_FIELD)
-    target = read_partitioned(spark, wh.fact, FACT_PAYMENTS, FACT_MONTH_FIELD)
+    stg = read_partitioned(spark, wh.stg_invoices, STG_INVOICES)
+    target = read_partitioned(spark, wh.fact, FACT_PAYMENTS)
     p = plan(fact_daily_payment(stg, target=target, already_upper=True))
     assert re.search(r"PartitionFilters: \[isnotnull\(CREATED_MONTH#\d+\), .*CREATED_MONTH#\d+ >= ", p)
 
@@ -234,11 +234,11 @@ def test_seeds_read_months_since_the_kept_start(spark, tmp_path):
     """A daily restatement finds previous days from the kept seeds and the
     months since; the result equals the one from the whole history."""
     import datetime as dt
-    from ledgerlens.plans.build import refresh_seeds
+    from ledgerlens.plans.build import refresh_seeds, seeds_since
     w = Warehouse(str(tmp_path))
     stg = stage_invoices(raw_invoices(spark, SF_SMALL))
     write_fact(fact_daily_payment(stg), w.fact)
-    fact = read_partitioned(spark, w.fact, FACT_PAYMENTS, FACT_MONTH_FIELD)
+    fact = read_partitioned(spark, w.fact, FACT_PAYMENTS)
 
     def want(day):
         return {(int(r.ORGANIZATION_ID), r.DATE) for r in fact.where(F.col("DATE") < F.lit(day)).groupBy(
@@ -247,9 +247,10 @@ def test_seeds_read_months_since_the_kept_start(spark, tmp_path):
     for day in (dt.date(1996, 5, 10), dt.date(1996, 7, 3), dt.date(1995, 2, 2)):   # first, later, earlier start
         got = refresh_seeds(spark, w, fact, day)
         assert {(int(r.ORGANIZATION_ID), r.DATE) for r in got.collect()} == want(day)
-    assert versions.current(spark, w.seeds).note == "1995-02-02"
-    write_fact(fact_daily_payment(stg.where("INVOICE_ID <> 'x'")), w.fact)          # rebuilt: seeds start over
-    fact = read_partitioned(spark, w.fact, FACT_PAYMENTS, FACT_MONTH_FIELD)
+    assert seeds_since(spark, w) == "1995-02-02"
+    refresh_fact(spark, w, stg, full_refresh=True)                                  # rebuilt: seeds start over
+    assert seeds_since(spark, w) is None
+    fact = read_partitioned(spark, w.fact, FACT_PAYMENTS)
     got = refresh_seeds(spark, w, fact, dt.date(1996, 8, 1))
     assert {(int(r.ORGANIZATION_ID), r.DATE) for r in got.collect()} == want(dt.date(1996, 8, 1))
 

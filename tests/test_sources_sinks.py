@@ -16,7 +16,7 @@ from ledgerlens.plans.build import (
     refresh_mart,
     tables,
 )
-from ledgerlens.plans.sinks import write_fact
+from ledgerlens.plans.sinks import replace_table, write_fact
 from ledgerlens.sources.csv import INVOICES_GLOB, read_raw_csv
 from ledgerlens.sources.fixtures import raw_invoices, raw_organizations
 from ledgerlens.sources.schemas import FACT_PAYMENTS, MART_DAILY_BALANCE, RAW_INVOICES, RAW_ORGANIZATIONS
@@ -107,7 +107,7 @@ def test_build_stale_key_survives_incremental_not_full_refresh(spark, tmp_dir):
     wh = Warehouse(tmp_dir)
     raw = raw_invoices(spark, SF_SMALL)
     load_raw(spark, wh, organizations=None, invoices=raw)
-    raw_organizations(spark, SF_SMALL).write.parquet(wh.raw_organizations)
+    replace_table(spark, raw_organizations(spark, SF_SMALL), wh.raw_organizations)
     summary = {r.CHECK_NAME: r.FAILURES for r in build(spark, wh).collect()}
     assert len(summary) == 16
     assert summary["not_null_fact_organizations_payment_date"] == 13
@@ -149,95 +149,16 @@ def test_ingest_landing_upserts(spark, tmp_dir):
     assert read_table(spark, wh.raw_organizations, RAW_ORGANIZATIONS).count() == 1
 
 
-def test_comments_persist_and_views_register(spark, tmp_dir):
-    from ledgerlens.plans.build import register
-    from ledgerlens.plans.docs import column_comments
-    wh = Warehouse(tmp_dir)
-    raw_organizations(spark, SF_SMALL).write.parquet(wh.raw_organizations)
-    raw_invoices(spark, SF_SMALL).write.parquet(wh.raw_invoices)
-    build(spark, wh, run_tests=False)
-    docs = column_comments(spark.read.parquet(wh.mart))
-    assert docs["DOD_CHANGE_PCT"].startswith("Percent change vs previous available day")
-    register(spark, wh)                                    # temporary views
-    rows = read_table(spark, wh.mart, MART_DAILY_BALANCE).count()
-    assert spark.table("mart_daily_org_balance").count() == rows
-    assert {t.name for t in spark.catalog.listTables() if t.isTemporary} >= {"mart_daily_org_balance", "stg_invoices"}
-    spark.sql("CREATE DATABASE IF NOT EXISTS reg_test")
-    register(spark, wh, "reg_test")
-    register(spark, wh, "reg_test")                        # our own views are replaced
-    assert spark.table("reg_test.mart_daily_org_balance").count() == rows
-    desc = {t.name: t.description for t in spark.catalog.listTables("reg_test") if not t.isTemporary}
-    assert desc["dim_organizations"] == "Organization dimension with key dates and metadata."
-    cols = {c.name: c.description for c in spark.catalog.listColumns("reg_test.mart_daily_org_balance")}
-    assert cols["DAILY_PAYMENT_AMOUNT"] == "USD payment amount for the day"
-    for t in spark.catalog.listTables():
-        if t.isTemporary:
-            spark.catalog.dropTempView(t.name)
-
-
-def test_register_leaves_foreign_tables_alone(spark, tmp_dir):
-    from ledgerlens.plans.build import register
-    wh = Warehouse(os.path.join(tmp_dir, "wh"))
-    raw_organizations(spark, SF_SMALL).write.parquet(wh.raw_organizations)
-    spark.sql("CREATE DATABASE IF NOT EXISTS foreign_test")
-    spark.createDataFrame([(1,)], "x int").write.option("path", os.path.join(tmp_dir, "foreign")).saveAsTable(
-        "foreign_test.raw_organizations")
-    with pytest.raises(ValueError, match="left as it is"):
-        register(spark, wh, "foreign_test")
-    assert spark.table("foreign_test.raw_organizations").columns == ["x"]
-
-
-class Lost(RuntimeError):
-    """A driver that goes away."""
-
-
-def test_interrupted_rebuild_is_never_read(spark, tmp_dir, monkeypatch):
-    """A rebuild lost after its files were written but before they were
-    published leaves the last complete table; one lost in the middle of the
-    first build leaves no table."""
-    from ledgerlens.sources import versions
-    from ledgerlens.sources.tables import table_exists
-    wh = Warehouse(tmp_dir)
-    raw = raw_invoices(spark, SF_SMALL)
-    stg = stage_invoices(raw)
-
-    def lost(*a, **k):
-        raise Lost()
-
-    with monkeypatch.context() as m:
-        m.setattr(versions, "publish", lost)
-        with pytest.raises(Lost):
-            write_fact(fact_daily_payment(stg), wh.fact)
-        assert os.path.isdir(wh.fact) and not table_exists(spark, wh.fact)
-        with pytest.raises(Lost):
-            load_raw(spark, wh, invoices=raw)
-        assert not table_exists(spark, wh.raw_invoices)
-    load_raw(spark, wh, invoices=raw)
-    raw_organizations(spark, SF_SMALL).write.parquet(wh.raw_organizations)
-    build(spark, wh, run_tests=False)
-    n = read_table(spark, wh.fact, FACT_PAYMENTS).count()
-    with monkeypatch.context() as m:
-        m.setattr(versions, "publish", lost)
-        with pytest.raises(Lost):
-            build(spark, wh, full_refresh=True)
-        assert read_table(spark, wh.fact, FACT_PAYMENTS).count() == n
-    # files of an unpublished version may even be half gone
-    lone = [d for d in os.listdir(wh.stg_organizations) if d.startswith("_version=")]
-    assert len(lone) == 2
-    build(spark, wh, run_tests=False)
-    assert _fact_rows(read_table(spark, wh.fact, FACT_PAYMENTS)) == _fact_rows(fact_daily_payment(stg))
-
-
 def test_failing_checks_gate_the_alerts(spark, tmp_dir):
     from ledgerlens.plans.build import ChecksFailed, daily_run
     wh = Warehouse(tmp_dir)
     load_raw(spark, wh, invoices=raw_invoices(spark, SF_SMALL).where("CREATED_AT <> 'n/a'"))
     orgs = raw_organizations(spark, SF_SMALL).dropDuplicates(["ORGANIZATION_ID"]).withColumn(
         "LEGAL_ENTITY_COUNTRY_CODE", F.lit("de"))
-    orgs.write.parquet(wh.raw_organizations)
+    replace_table(spark, orgs, wh.raw_organizations)
     assert "MESSAGE_LINE" in daily_run(spark, wh, min_abs=0.0).columns
     bad = orgs.withColumn("ORGANIZATION_ID", F.lit(None).cast("decimal(38,0)")).limit(1)
-    orgs.unionByName(bad).write.mode("overwrite").parquet(wh.raw_organizations)
+    replace_table(spark, orgs.unionByName(bad), wh.raw_organizations)
     with pytest.raises(ChecksFailed) as e:
         daily_run(spark, wh)
     assert ("not_null_raw_organizations_organization_id", 1) in e.value.failures
@@ -245,30 +166,38 @@ def test_failing_checks_gate_the_alerts(spark, tmp_dir):
     assert summary["not_null_raw_organizations_organization_id"] == "fail"
 
 
+def folders(spark, t):
+    """Partition value -> where the catalog has its files."""
+    return {k: versions.folder_of(spark, t, k) for k in versions.keys(spark, t)}
+
+
 def test_fact_and_downstream_refresh_leaves_staging_alone(spark, tmp_dir):
     from ledgerlens.plans.build import refresh_downstream
-    from ledgerlens.sources import versions
     wh = Warehouse(tmp_dir)
     load_raw(spark, wh, invoices=raw_invoices(spark, SF_SMALL))
-    raw_organizations(spark, SF_SMALL).write.parquet(wh.raw_organizations)
+    replace_table(spark, raw_organizations(spark, SF_SMALL), wh.raw_organizations)
     build(spark, wh, run_tests=False)
-    seq = {p: versions.current(spark, p).seq for p in (wh.stg_invoices, wh.dim_organizations, wh.fact, wh.mart)}
+    before = [folders(spark, t) for t in (wh.stg_invoices, wh.dim_organizations, wh.fact, wh.mart)]
     refresh_downstream(spark, wh)
-    now = {p: versions.current(spark, p).seq for p in seq}
-    assert [now[p] - seq[p] for p in seq] == [0, 0, 1, 1]
+    after = [folders(spark, t) for t in (wh.stg_invoices, wh.dim_organizations, wh.fact, wh.mart)]
+    assert after[:2] == before[:2]
+    for old, new in zip(before[2:], after[2:]):
+        assert old.keys() == new.keys() and not set(old.values()) & set(new.values())
 
 
 def test_stored_merge_syncs_added_and_dropped_columns(spark, tmp_dir):
     from ledgerlens.plans.sinks import merge_partitions
-    path = os.path.join(tmp_dir, "t")
-    old = spark.sql("select cast(1 as decimal(38,0)) ORGANIZATION_ID, date'2024-01-01' DATE, 1 A, 2 B union all "
-                    "select 2, date'2024-02-01', 3, 4")
-    write_fact(old, path)
-    merge_partitions(spark, spark.sql("select cast(2 as decimal(38,0)) ORGANIZATION_ID, date'2024-02-01' DATE, 5 A, 'n' C"),
-                     path, ["ORGANIZATION_ID", "DATE"])
-    got = read_table(spark, path)
-    assert got.columns == ["ORGANIZATION_ID", "DATE", "A", "C"]
+    t = Warehouse(tmp_dir).fact
+    old = spark.sql("select cast(1 as decimal(38,0)) ORGANIZATION_ID, date'2024-01-01' DATE, 1 A, 2 B, 1.5 PAYMENT_AMOUNT_USD union all "
+                    "select 2, date'2024-02-01', 3, 4, 2.5")
+    write_fact(old, t)
+    before = folders(spark, t)
+    merge_partitions(spark, spark.sql("select cast(2 as decimal(38,0)) ORGANIZATION_ID, date'2024-02-01' DATE, 5 A, 'n' C, 3.5 PAYMENT_AMOUNT_USD"),
+                     t, ["ORGANIZATION_ID", "DATE"])
+    got = read_table(spark, t)
+    assert got.columns == ["ORGANIZATION_ID", "DATE", "A", "C", "PAYMENT_AMOUNT_USD"]
     assert sorted((int(r[0]), r.A, r.C) for r in got.collect()) == [(1, 1, None), (2, 5, "n")]
+    assert folders(spark, t)["2024-01-01"] == before["2024-01-01"]
 
 
 def _raw_rows(df):
@@ -290,8 +219,8 @@ def test_raw_invoice_upsert_rewrites_only_involved_months(spark, tmp_dir):
     wh = Warehouse(tmp_dir)
     raw = raw_invoices(spark, SF_SMALL)
     load_raw(spark, wh, invoices=raw)
-    before = versions.current(spark, wh.raw_invoices).files
-    files = _month_files(wh.raw_invoices)
+    before = folders(spark, wh.raw_invoices)
+    files = _month_files(wh.raw_invoices.location)
     assert len(before) > 40      # stored by month of CREATED_AT
     k = F.substring("INVOICE_ID", 4, 32).cast("bigint")
     in_month = raw.where(F.col("CREATED_AT").startswith("1996-03"))
@@ -306,9 +235,9 @@ def test_raw_invoice_upsert_rewrites_only_involved_months(spark, tmp_dir):
     load_raw(spark, wh, invoices=upd)
     got = read_table(spark, wh.raw_invoices, RAW_INVOICES)
     assert _raw_rows(got) == want
-    after = versions.current(spark, wh.raw_invoices).files
+    after = folders(spark, wh.raw_invoices)
     assert {k for k in after if after[k] != before.get(k)} == {"1996-03-01", "1998-07-01"}
-    assert all(_month_files(wh.raw_invoices)[p] == t for p, t in files.items())
+    assert all(_month_files(wh.raw_invoices.location)[p] == t for p, t in files.items())
 
     # An update that moves every invoice out of a month: the month drops out,
     # the others but the receiving one keep their files.
@@ -317,7 +246,7 @@ def test_raw_invoice_upsert_rewrites_only_involved_months(spark, tmp_dir):
     want2 = _raw_rows(upsert(cur, upd2, ["INVOICE_ID", "TRANSACTION_ID"], null_as=""))
     load_raw(spark, wh, invoices=upd2)
     assert _raw_rows(read_table(spark, wh.raw_invoices, RAW_INVOICES)) == want2
-    last = versions.current(spark, wh.raw_invoices).files
+    last = folders(spark, wh.raw_invoices)
     assert after.keys() - last.keys() == {"1996-03-01"}
     assert {k for k in last if last[k] != after[k]} == {"1996-04-01"}
 
