@@ -3,15 +3,17 @@ dictionary encoding, small row groups and page indexes.
 
 :func:`encode` turns texts into token ids with a public tokenizer file.
 :func:`write_token_files` orders documents by id across files and writes
-one row per document: ``doc_id``, ``ids`` (list of int32), ``n_tokens`` and
-``seq``, its place (file number, row).
+one row per document: ``doc_id``, ``ids`` (list of int32), ``n_tokens``,
+``at`` (ids before it in its file) and ``seq``, its place (file number, row).
 :func:`read_token_files` reads them back with each document's start offset
-in the whole stream; reading only ``doc_id``/``n_tokens`` touches no token
+in the whole stream: ``at`` and the ids of the files before, one number a
+file. Reading only ``doc_id``/``n_tokens`` touches no token
 page, and a filter on ``doc_id`` skips row groups and pages by statistics.
 
 Defined cases: a null or empty text is the end id alone; a null doc_id
 sorts first; rows that share a doc_id are ordered by their ids; further
-columns of the input are not stored. An empty table gives an empty result.
+columns of the input (named like a stored one or not) are not stored. A text of any length is one row, encoded
+whole in memory that grows with that text. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import Splitter, per_worker, slices
+from ledgerlens.llm.common import Splitter, per_worker, slices, stored
 from ledgerlens.session import new_scratch
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -80,19 +82,23 @@ class _Words:
 
 
 def encode(df: DataFrame, tokenizer: str = TOKENIZER, end_id: int | None = END_ID) -> DataFrame:
-    """(doc_id, ids array<int>, n_tokens long) of every whole ``text``."""
+    """(doc_id, ids array<int>, n_tokens long, at long) of every whole ``text``;
+    ``at`` counts the ids that the task has made before."""
     end = b"" if end_id is None else np.uint32(end_id).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = per_worker(f"token words {tokenizer}", lambda: _Words(tokenizer))
+        made = 0
         for b in slices(batches, "text"):
             blobs = [(enc.encode(t) if t else b"") + end for t in b.column("text").to_pylist()]
             n = np.fromiter((len(x) // 4 for x in blobs), np.int64, len(blobs))
             off = np.concatenate(([0], np.cumsum(n))).astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(off), pa.array(np.frombuffer(b"".join(blobs), "<i4")))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), ids, pa.array(n)], ["doc_id", "ids", "n_tokens"])
+            at = made + np.cumsum(n) - n
+            made += int(n.sum())
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), ids, pa.array(n), pa.array(at)], ["doc_id", "ids", "n_tokens", "at"])
 
-    return df.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>, n_tokens long")
+    return df.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>, n_tokens long, at long")
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str = TOKENIZER) -> None:
@@ -109,27 +115,26 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str = TOKENIZER) ->
         .parquet(path))
 
 
-FILE_SCHEMA = "doc_id long, ids array<int>, n_tokens long, seq long"
+FILE_SCHEMA = "doc_id long, ids array<int>, n_tokens long, at long, seq long"
+#: Files whose start offsets are broadcast (16 bytes each); of more, they are joined by a shuffle.
+BROADCAST_FILES = 1 << 20
 
 
-def _starts(files: DataFrame) -> DataFrame:
-    """(seq, start): ids of all documents before each row, from two sums over
-    ``n_tokens``: one total per file (as many rows as files) and a running
-    sum inside each file."""
-    n = files.select("seq", "n_tokens", F.shiftright("seq", 33).alias("part"))
-    totals = n.groupBy("part").agg(F.sum("n_tokens").alias("t"))
-    before = totals.select(F.col("part").alias("p"), (F.sum("t").over(Window.orderBy("part")) - F.col("t")).alias("before"))
-    inside = Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
-    placed = n.withColumn("inside", F.sum("n_tokens").over(inside) - F.col("n_tokens"))
-    return placed.join(before, placed["part"] == before["p"]).select(
-        "seq", (F.col("before") + F.col("inside")).alias("start"))
+def with_starts(files: DataFrame, rows: DataFrame) -> DataFrame:
+    """``rows`` with ``start``: ``at`` and the ids of all files before. Each
+    file's total is read from ``n_tokens`` alone; there are as many totals as files."""
+    part = F.shiftright("seq", 33)
+    totals = stored(files.groupBy(part.alias("part")).agg(F.sum("n_tokens").alias("t")), "token-totals")
+    before = totals.select("part", (F.sum("t").over(Window.orderBy("part")) - F.col("t")).alias("before"))
+    few = F.broadcast if totals.count() <= BROADCAST_FILES else lambda x: x
+    return rows.join(few(before), part == F.col("part")).withColumn("start", F.col("before") + F.col("at"))
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, ids, n_tokens, start): ``start`` counts the ids of all
     documents before it."""
     files = spark.read.schema(FILE_SCHEMA).parquet(path)
-    return files.join(_starts(files), "seq").select("doc_id", "ids", "n_tokens", "start")
+    return with_starts(files, files).select("doc_id", "ids", "n_tokens", "start")
 
 
 def _ids_crc32(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,8 +143,8 @@ def _ids_crc32(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         off = np.asarray(col.offsets)
         flat = np.asarray(col.values).astype("<u4", copy=False)
         crc = [zlib.crc32(flat[s:e]) for s, e in zip(off[:-1], off[1:], strict=True)]
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("n_tokens"), b.column("seq"), pa.array(crc, pa.int64())],
-                                         ["doc_id", "n_tokens", "seq", "ids_crc32"])
+        yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("doc_id", "n_tokens", "at", "seq")), pa.array(crc, pa.int64())],
+                                         ["doc_id", "n_tokens", "at", "seq", "ids_crc32"])
 
 
 def op8_token_files(docs: DataFrame) -> DataFrame:
@@ -155,5 +160,5 @@ def digest(spark: SparkSession, path: str) -> DataFrame:
     from the files. Ids are digested where they are read; only figures are
     summed and joined."""
     files = spark.read.schema(FILE_SCHEMA).parquet(path)
-    rows = files.mapInArrow(_ids_crc32, "doc_id long, n_tokens long, seq long, ids_crc32 long")
-    return rows.join(_starts(files), "seq").select("doc_id", "start", "n_tokens", "ids_crc32")
+    rows = files.mapInArrow(_ids_crc32, "doc_id long, n_tokens long, at long, seq long, ids_crc32 long")
+    return with_starts(files, rows).select("doc_id", "start", "n_tokens", "ids_crc32")
