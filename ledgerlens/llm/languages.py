@@ -16,7 +16,9 @@ Defined cases: a text that is null or has no letter is ``und`` with score 0;
 letters of scripts that no learned language uses give no evidence, and a
 text of only such ones gets the commonest language; without labelled rows
 all is ``und``; a null doc_id counts as held out; repeated rows are predicted
-alike; an empty table gives an empty result; further columns are ignored.
+alike; equal scores go to the language that sorts first; an empty table gives an
+empty result; further columns are ignored. A text of any length is read whole; one longer
+than a piece is a piece of its own, so memory grows with the longest text.
 """
 
 from __future__ import annotations
@@ -33,6 +35,10 @@ from ledgerlens.llm.common import U, mix, slices
 
 BUCKETS = 1 << 16
 TRAIN_ROWS = 20_000
+#: Values of the hash that draws the sample: far more than a table has rows.
+HASHES = 1 << 48
+#: Word positions whose back-pointers the Viterbi pass holds at a time.
+HELD_STEPS = 1 << 14
 #: Cost of a change of language between two words, in nats.
 SWITCH = 8.0
 #: Least share of a language's letters for a script to count as its own.
@@ -59,9 +65,9 @@ class _Letters:
     """Words of texts as arrays: trigram buckets of letters, word bounds."""
 
     def __init__(self):
-        top = RANGES[-1][0]
-        self.alpha = np.fromiter((chr(i).isalpha() for i in range(top)), bool, top)
-        self.lower = np.fromiter((ord(c) if len(c := chr(i).lower()) == 1 else i for i in range(top)), np.uint32, top)
+        top = RANGES[-1][0]  # no code point from here on is a letter; one entry stands for all of them
+        self.alpha = np.fromiter((i < top and chr(i).isalpha() for i in range(top + 1)), bool, top + 1)
+        self.lower = np.fromiter((ord(c) if len(c := chr(i).lower()) == 1 else i for i in range(top + 1)), np.uint32, top + 1)
         self.edges = np.array([x for x, _ in RANGES])
         self.scripts = np.array([SCRIPTS.index(n) for _, n in RANGES])
         self.top = top
@@ -73,7 +79,7 @@ class _Letters:
         points = np.frombuffer("\n".join([t or "" for t in texts] + [""]).encode("utf-32-le"), "<u4")
         size = np.fromiter((len(t or "") + 1 for t in texts), np.int64, len(texts))
         begin = np.concatenate(([0], np.cumsum(size)))
-        points = np.minimum(points, self.top - 1)
+        points = np.minimum(points, self.top)
         alpha = self.alpha[points]
         low = np.where(alpha, self.lower[points], 0).astype(U)
         at = np.flatnonzero(alpha)
@@ -114,12 +120,17 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          ["lang", "at", "n"])
 
 
+def sample_bound(n: int, train_rows: int) -> int:
+    """Of the hash values below HASHES, how many put one of ``n`` rows into a
+    sample of about ``train_rows``; never none."""
+    return max(1, HASHES * min(train_rows, n) // max(n, 1))
+
+
 def fit(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
     """A model from about ``train_rows`` rows of ``docs`` (doc_id, text, lang)
     that are labelled and not held out."""
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    n = rows.count()
-    share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, train_rows / max(n, 1)))
+    share = F.pmod(F.xxhash64("doc_id"), F.lit(HASHES)) < sample_bound(rows.count(), train_rows)
     counts = rows.where(share).select("text", "lang").mapInArrow(_counts, "lang string, at long, n long")
     table = counts.groupBy("lang", "at").agg(F.sum("n").alias("n")).toArrow()
     langs = sorted(set(table.column("lang").to_pylist()))
@@ -135,27 +146,43 @@ def fit(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
 def viterbi(scores: np.ndarray, begin: np.ndarray, size: np.ndarray, prior: np.ndarray, switch: float = SWITCH) -> np.ndarray:
     """The best language of every word. ``scores`` is languages x words; text
     i has the ``size[i]`` words from ``begin[i]`` on. All texts advance
-    together, longest first, word by word."""
+    together, longest first, word by word. Back-pointers are held for
+    :data:`HELD_STEPS` positions; of earlier ones, the values at the start of
+    each such run, from which its back-pointers are made again."""
     label = np.zeros(scores.shape[1], np.int16)
     order = np.argsort(-size, kind="stable")
     begin, size = begin[order], size[order]
-    active = np.searchsorted(-size, -np.arange(1, (size[0] if len(size) else 0) + 1), side="right")
-    value, steps = np.repeat(prior[:, None], len(size), 1), []  # the first word changes from nothing
-    for t, k in enumerate(active.tolist()):
-        v = value[:, :k]
-        best = v.argmax(0)
-        change = v[best, np.arange(k)] - switch
-        stay = (v >= change) | (t == 0)
-        value = np.where(stay, v, change) + scores[:, begin[:k] + t]
-        steps.append((stay, best))
-        if t + 1 < len(active) and active[t + 1] < k or t + 1 == len(active):
-            done = np.arange(active[t + 1] if t + 1 < len(active) else 0, k)
-            label[begin[done] + t] = value[:, done].argmax(0)
-    for t in range(len(active) - 1, 0, -1):
-        stay, best = steps[t]
-        k = active[t]
-        now = label[begin[:k] + t]
-        label[begin[:k] + t - 1] = np.where(stay[now, np.arange(k)], now, best)
+    active = np.searchsorted(-size, -np.arange(1, (size[0] if len(size) else 0) + 1), side="right").tolist()
+
+    def advance(value: np.ndarray, low: int, high: int, finish: bool) -> tuple[np.ndarray, list]:
+        steps = []
+        for t in range(low, high):
+            k = active[t]
+            v = value[:, :k]
+            best = v.argmax(0)
+            change = v[best, np.arange(k)] - switch
+            stay = (v >= change) | (t == 0)  # the first word changes from nothing
+            value = np.where(stay, v, change) + scores[:, begin[:k] + t]
+            steps.append((stay, best.astype(np.int16)))
+            after = active[t + 1] if t + 1 < len(active) else 0
+            if finish and after < k:
+                done = np.arange(after, k)
+                label[begin[done] + t] = value[:, done].argmax(0)
+        return value, steps
+
+    value, steps, starts = np.repeat(prior[:, None], len(size), 1), [], []
+    for low in range(0, len(active), HELD_STEPS):
+        starts.append(value)
+        value, steps = advance(value, low, min(low + HELD_STEPS, len(active)), True)
+    for run in range(len(starts) - 1, -1, -1):
+        low = run * HELD_STEPS
+        if run + 1 < len(starts):
+            _, steps = advance(starts[run], low, low + HELD_STEPS, False)
+        for t in range(low + len(steps) - 1, max(low, 1) - 1, -1):
+            stay, best = steps[t - low]
+            k = active[t]
+            now = label[begin[:k] + t]
+            label[begin[:k] + t - 1] = np.where(stay[now, np.arange(k)], now, best)
     return label
 
 

@@ -34,6 +34,8 @@ from ledgerlens.llm.common import stored, unpacked, whole_row, word_count, words
 
 SEED = 20240
 BLOCK_ROWS = 32
+#: Block draws of a plan at most (the sampler takes fewer than 10^9); blocks of more rows keep below it.
+MOST_DRAWS = 500_000_000
 SHARDS = 16
 CAP = 3.0
 #: Places of the permuted order whose words are summed together first.
@@ -128,8 +130,9 @@ def make_plan(sized: DataFrame, weights: Callable[[int], Sequence[float]] = cycl
     sizes = [r["size"] for r in stats]
     goal = targets(sizes, weights(len(stats)), share * sum(sizes), cap)
     plan = []
+    per_block = max(BLOCK_ROWS, ceil((cap + 1) * sum(r["rows"] for r in stats) / MOST_DRAWS))
     for i, r in enumerate(stats):
-        n = ceil(r["rows"] / BLOCK_ROWS)
+        n = ceil(r["rows"] / per_block)
         want = round(goal[i])
         passes = int(want // sizes[i]) if sizes[i] else 0
         rest = int(want - passes * sizes[i])
