@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,17 +25,21 @@ def settled(stg: DataFrame, status_col: str = "STATUS", already_upper: bool = Fa
     return stg.where(c.isin(*SETTLED_STATUSES))
 
 
-def lookback_start(target: DataFrame | None, days: int = LOOKBACK_DAYS, date_col: str = "DATE",
+def lookback_start(target: DataFrame | _dt.date | None, days: int = LOOKBACK_DAYS, date_col: str = "DATE",
                    first_of_month: bool = False) -> Column:
     """First day to recompute: ``max(target.DATE) - days``, or 1900-01-01;
     with ``first_of_month`` the first day of its month.
 
-    A scalar subquery: Catalyst evaluates it once and the comparison reaches
-    the scan of the source as a pushed filter.
+    ``target`` may also be the newest day itself; then the start is a literal.
+    Otherwise it is a scalar subquery: Catalyst evaluates it once and the
+    comparison reaches the scan of the source as a pushed filter.
     """
     floor = F.lit(LOOKBACK_FLOOR).cast("date")
     if target is None:
         return floor
+    if isinstance(target, _dt.date):
+        day = target - _dt.timedelta(days=days)
+        return F.lit(day.replace(day=1) if first_of_month else day)
     # The whole start date is computed inside the subquery, so the source
     # filter is a bare ``CREATED_DATE >= ScalarSubquery`` that Parquet takes
     # as a pushed filter (row-group skipping on date-clustered files). On a
@@ -45,7 +51,7 @@ def lookback_start(target: DataFrame | None, days: int = LOOKBACK_DAYS, date_col
     return high_water_mark(target, date_col, wrap=start)
 
 
-def lookback(stg: DataFrame, target: DataFrame | None, days: int = LOOKBACK_DAYS,
+def lookback(stg: DataFrame, target: DataFrame | _dt.date | None, days: int = LOOKBACK_DAYS,
              created_col: str = "CREATED_DATE") -> DataFrame:
     """Rows on or after ``lookback_start``; null dates never pass (null >= x).
 
@@ -66,11 +72,11 @@ def usd_rows(stg: DataFrame) -> DataFrame:
     )
 
 
-def fact_daily_payment(stg: DataFrame, target: DataFrame | None = None,
+def fact_daily_payment(stg: DataFrame, target: DataFrame | _dt.date | None = None,
                        days: int = LOOKBACK_DAYS, already_upper: bool = False) -> DataFrame:
     """Sum of USD per (ORGANIZATION_ID, DATE) over settled invoices.
 
-    With ``target`` (an existing fact) only invoices created on or after
+    With ``target`` (an existing fact, or its newest day) only invoices created on or after
     ``max(target.DATE) - days`` are read: the delta of an incremental run.
     The aggregation is partial + final (map-side combine), so a hot
     organization or day is reduced inside each task before the shuffle.

@@ -14,6 +14,7 @@ root folder (see :mod:`ledgerlens.sources.versions`):
 
 from __future__ import annotations
 
+import datetime as _dt
 import hashlib
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlens.functions import LOOKBACK_DAYS, lenient_timestamp
+from ledgerlens.functions import LOOKBACK_DAYS, LOOKBACK_FLOOR, lenient_timestamp
 from ledgerlens.operators.alerts import alert_messages, alerts
 from ledgerlens.operators.dims import dim_organizations
 from ledgerlens.operators.facts import STAGED_MONTH, fact_daily_payment
@@ -50,7 +51,7 @@ from ledgerlens.sources.schemas import (
     STG_INVOICES,
     STG_ORGANIZATIONS,
 )
-from ledgerlens.sources.tables import high_water_mark, read_partitioned, read_table, table_exists
+from ledgerlens.sources.tables import read_partitioned, read_table, stored_max, table_exists
 from ledgerlens.sources.versions import Table
 
 FACT_MONTH_FIELD = T.StructField(FACT_PARTITION, T.DateType())
@@ -244,7 +245,7 @@ def daily_run(spark: SparkSession, wh: Warehouse, on_failure: str = "raise", **a
     check ends the run before any alert (unless ``on_failure='report'``)."""
     build(spark, wh, on_failure=on_failure)
     mart = read_partitioned(spark, wh.mart, MART_DAILY_BALANCE)
-    return alert_messages(alerts(mart, **alert_args))
+    return alert_messages(alerts(mart, **{"alert_date": stored_max(spark, wh.mart), **alert_args}))
 
 
 def refresh_fact(spark: SparkSession, wh: Warehouse, stg_inv: DataFrame, full_refresh: bool = False,
@@ -257,10 +258,10 @@ def refresh_fact(spark: SparkSession, wh: Warehouse, stg_inv: DataFrame, full_re
         versions.drop(spark, wh.seeds)
         write_fact(fact_daily_payment(stg_inv, already_upper=True), wh.fact)
         return None
-    # The stored target keeps its month column: the high-water mark reads
-    # only the newest month.
-    target = read_partitioned(spark, wh.fact, FACT_PAYMENTS)
-    delta = stage_delta(spark, fact_daily_payment(stg_inv, target=target, days=lookback_days, already_upper=True), wh.fact)
+    # The newest day comes from footers; as a literal it prunes the staged
+    # months and row groups when the scan is planned. Without any, all is new.
+    newest = stored_max(spark, wh.fact) or _dt.date.fromisoformat(LOOKBACK_FLOOR) + _dt.timedelta(days=lookback_days)
+    delta = stage_delta(spark, fact_daily_payment(stg_inv, target=newest, days=lookback_days, already_upper=True), wh.fact)
     since = seeds_since(spark, wh)
     if since and delta.where(F.col("DATE") < F.lit(since).cast("date")).limit(1).count():
         versions.drop(spark, wh.seeds)  # an older day changes: they may no longer be the last days
@@ -268,16 +269,16 @@ def refresh_fact(spark: SparkSession, wh: Warehouse, stg_inv: DataFrame, full_re
     return delta
 
 
-def mart_start(mart: DataFrame, delta: DataFrame, lookback_days: int = LOOKBACK_DAYS):
-    """First mart day to recompute after a fact merge, as a date (or None).
+def mart_start(newest: _dt.date | None, delta: DataFrame, lookback_days: int = LOOKBACK_DAYS) -> _dt.date | None:
+    """First mart day to recompute after a fact merge (or None).
 
     The earlier of the first day the delta changed and the mart's own newest
     day minus the lookback: a run that stopped after merging the fact but
-    before the mart is caught up by the next run. Two scalars; each reads
-    only the delta or the newest mart month.
+    before the mart is caught up by the next run.
     """
-    hwm = high_water_mark(mart, "DATE", wrap=lambda mx: F.date_sub(mx, lookback_days))
-    return delta.agg(F.least(F.min("DATE"), hwm).alias("START")).first().START
+    first = delta.agg(F.min("DATE")).first()[0]
+    since = newest - _dt.timedelta(days=lookback_days) if newest else None
+    return min((d for d in (first, since) if d), default=None)
 
 
 def refresh_mart(spark: SparkSession, wh: Warehouse, delta: DataFrame | None = None,
@@ -291,8 +292,7 @@ def refresh_mart(spark: SparkSession, wh: Warehouse, delta: DataFrame | None = N
     """
     start = None
     if delta is not None and table_exists(spark, wh.mart):
-        start = mart_start(read_partitioned(spark, wh.mart, MART_DAILY_BALANCE), delta,
-                           lookback_days)
+        start = mart_start(stored_max(spark, wh.mart), delta, lookback_days)
     if start is None:
         fact = read_table(spark, wh.fact, FACT_PAYMENTS)
         write_fact(mart_daily_balance(fact), wh.mart)

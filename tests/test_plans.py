@@ -74,6 +74,35 @@ def test_high_water_mark_equals_plain_max(spark, wh):
     assert got == stored.agg(F.max("DATE")).first()[0]
 
 
+def test_newest_day_comes_from_footers(spark, wh):
+    from pyspark.sql import types as T
+    from ledgerlens.sources.tables import footer_max, stored_max
+    newest = max(k for k in versions.keys(spark, wh.fact) if k != versions.NULL)
+    p = plan(footer_max(spark, versions.folder_of(spark, wh.fact, newest), T.StructField("DATE", T.DateType())))
+    assert "PushedAggregation: [MAX(DATE)]" in p
+    assert "parquet" in spark.conf.get("spark.sql.sources.useV1SourceList")      # only that scan is another kind
+    day = stored_max(spark, wh.fact)
+    assert day == read_table(spark, wh.fact).agg(F.max("DATE")).first()[0]
+    stg = read_partitioned(spark, wh.stg_invoices, STG_INVOICES)
+    p = plan(fact_daily_payment(stg, target=day, already_upper=True))
+    assert re.search(r"PartitionFilters: \[isnotnull\(CREATED_MONTH#\d+\), \(CREATED_MONTH#\d+ >= \d{4}-\d\d-01\)\]", p)
+    assert "Subquery" not in p and "GreaterThanOrEqual(CREATED_DATE," in p
+    by_subquery = fact_daily_payment(stg, target=read_partitioned(spark, wh.fact, FACT_PAYMENTS), already_upper=True)
+    by_literal = fact_daily_payment(stg, target=day, already_upper=True)
+    assert by_subquery.exceptAll(by_literal).count() == by_literal.exceptAll(by_subquery).count() == 0 < by_literal.count()
+
+
+def test_newest_day_of_an_empty_or_undated_table(spark, tmp_path):
+    from ledgerlens.sources.tables import stored_max
+    w = Warehouse(str(tmp_path))
+    none = spark.createDataFrame([], FACT_PAYMENTS)
+    write_fact(none, w.fact)
+    assert stored_max(spark, w.fact) is None
+    assert refresh_fact(spark, w, stage_invoices(raw_invoices(spark, SF_SMALL))).count() > 0   # all of them are new
+    write_fact(spark.sql("select cast(1 as decimal(38,0)) ORGANIZATION_ID, cast(null as date) DATE, cast(1 as decimal(38,8)) PAYMENT_AMOUNT_USD"), w.fact)
+    assert stored_max(spark, w.fact) is None
+
+
 def test_alert_reads_one_month_without_nested_loops(spark, wh):
     mart = read_partitioned(spark, wh.mart, MART_DAILY_BALANCE)
     p = plan(alerts(mart, min_abs=0.0))
