@@ -1,7 +1,7 @@
 """SentencePiece BPE by backtracking, exact to the library's result.
 
 A piece is the right one at a place if it does not merge across its border
-with the piece before it. :meth:`PieceBpe.encode_chunk` finds with an
+with the piece before it. :meth:`PieceBpe.pieces` finds with an
 Aho-Corasick automaton the longest piece that starts at each place, tries it
 and then its shorter prefixes that are pieces, and asks
 :meth:`PieceBpe.compatible` whether the pair stays two pieces, which merges
@@ -30,6 +30,7 @@ from __future__ import annotations
 import codecs
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 from itertools import groupby
 
@@ -44,7 +45,7 @@ from ledgerlens.llm.common import per_worker, slices, whole_row
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 SPACE = "▁"
 #: Chunks and piece pairs that a Python worker remembers (chunks: two generations).
-MEMO = 200_000
+MEMO = 400_000
 #: Longer chunks are encoded each time, so the memory of chunks stays small.
 MEMO_CHARS = 64
 #: The library is asked for these when a model is loaded, to see that it is of the kind that this module knows.
@@ -86,20 +87,24 @@ class PieceBpe:
         if len(self.byte_id) < 256 or any(SPACE in p.lstrip(SPACE) for p in self.ids):
             raise ValueError(f"{path}: needs byte fallback and spaces only at the start of pieces")
 
-        self.automaton = ahocorasick.Automaton()
-        joined = set()
-        for piece in self.ids:
-            if len(piece) > 1:
-                self.automaton.add_word(piece, piece)
-                joined.update(piece)
-        self.automaton.make_automaton()
-        kept = "".join(map(re.escape, sorted(joined - {SPACE})))
+        joined = set("".join(p for p in self.ids if len(p) > 1)) - {SPACE}
+        kept = "".join(map(re.escape, sorted(joined)))
         # a word with the spaces before it | spaces | characters that never join
-        self.chunks = re.compile(f"{SPACE}*[{kept}]+|{SPACE}+|[^{kept}{SPACE}]+").findall
-        self.never_joins = re.compile(f"[^{kept}{SPACE}]").match
+        self.chunks = re.compile(f" *[{kept}]+| +|[^{kept} ]+").findall
+        self.never_joins = re.compile(f"[^{kept} ]").match
         self._halves: dict[str, tuple[str, str] | None] = {}
-        self._shorter: dict[str, str | None] = {}
         self._pairs: dict[tuple[str, str], bool] = {}
+        self.automaton = ahocorasick.Automaton()
+        made = [p for p in sorted(self.ids, key=len) if len(p) > 1 and self.halves(p)]
+        #: The longest proper prefix of a piece that can be a piece of an encoding (a single character always can).
+        self.shorter: dict[str, str] = {}
+        for piece in made:
+            self.automaton.add_word(piece, (len(piece) - 1, piece))
+            n = len(piece) - 1
+            while n > 1 and piece[:n] not in self.shorter:
+                n -= 1
+            self.shorter[piece] = piece[:n]
+        self.automaton.make_automaton()
         for probe in PROBES:
             if self.encode(probe) != model.encode(probe) or self.decode(self.encode(probe)) != model.decode(model.encode(probe)):
                 raise ValueError(f"{path}: not a model of the kind that this module encodes")
@@ -126,18 +131,6 @@ class PieceBpe:
             raise ValueError(f"piece {piece!r} is merged from a piece of lower score")
         return a, b
 
-    def shorter(self, piece: str) -> str | None:
-        """The longest proper prefix of ``piece`` that can be a piece of an
-        encoding (a single character always can)."""
-        if piece not in self._shorter:
-            found = None
-            for n in range(len(piece) - 1, 0, -1):
-                if n == 1 or (piece[:n] in self.score and self.halves(piece[:n])):
-                    found = piece[:n]
-                    break
-            self._shorter[piece] = found
-        return self._shorter[piece]
-
     def compatible(self, left: str, right: str) -> bool:
         """Whether ``left`` then ``right`` stay two pieces when their
         characters are merged."""
@@ -175,51 +168,51 @@ class PieceBpe:
     # --- encoding --------------------------------------------------------------------
     def pieces(self, chunk: str) -> list[str]:
         """The pieces of a chunk, characters that are no piece included."""
-        if chunk in self.score and (len(chunk) == 1 or self.halves(chunk)):
-            return [chunk]
-        n = len(chunk)
+        if chunk in self.shorter or len(chunk) < 2:
+            return [chunk] if chunk else []
+        n, shorter, pairs, compatible = len(chunk), self.shorter.get, self._pairs.get, self.compatible
         longest = list(chunk)
-        for end, piece in self.automaton.iter(chunk):
-            longest[end + 1 - len(piece)] = piece  # later ends are longer
-        failed = bytearray(n + 8 >> 3)
-        out: list[str] = []
-        at, piece = 0, self._usable(longest[0])
-        while True:
+        for end, (back, piece) in self.automaton.iter(chunk):
+            longest[end - back] = piece  # later ends are longer
+        failed, any_failed = bytearray(n + 8 >> 3), False
+        at, piece, left, out = 0, longest[0], None, []
+        while at < n:
             while piece is not None:
                 end = at + len(piece)
-                if not failed[end >> 3] >> (end & 7) & 1 and (not out or self.compatible(out[-1], piece)):
-                    break
-                piece = self.shorter(piece)
+                if not (any_failed and failed[end >> 3] >> (end & 7) & 1):
+                    stays = left is None or pairs((left, piece))
+                    if stays is None:
+                        stays = compatible(left, piece)
+                    if stays:
+                        break
+                piece = shorter(piece)
             if piece is None:
                 failed[at >> 3] |= 1 << (at & 7)
+                any_failed = True
                 piece = out.pop()
                 at -= len(piece)
-                piece = self.shorter(piece)
-                continue
-            out.append(piece)
-            at += len(piece)
-            if at == n:
-                return out
-            piece = self._usable(longest[at])
-
-    def _usable(self, piece: str) -> str | None:
-        return piece if len(piece) == 1 or self.halves(piece) else self.shorter(piece)
+                piece, left = shorter(piece), out[-1] if out else None
+            else:
+                out.append(piece)
+                left, at = piece, end
+                piece = longest[at] if at < n else None
+        return out
 
     def encode_chunk(self, chunk: str) -> list[int]:
-        ids = self.ids
-        found = chunk if self.never_joins(chunk) else self.pieces(chunk)
+        """The ids of a chunk, whose spaces are still spaces."""
+        found = chunk if self.never_joins(chunk) else self.pieces(chunk.replace(" ", SPACE))
+        try:
+            return [self.ids[p] for p in found]
+        except KeyError:
+            pass
         out = []
         for p in found:
-            i = ids.get(p)
-            if i is None:
-                out += [self.byte_id[b] for b in p.encode("utf-8")]
-            else:
-                out.append(i)
+            out += [self.ids[p]] if p in self.ids else [self.byte_id[b] for b in p.encode("utf-8")]
         return out
 
     def normalized(self, text: str) -> str:
-        """What is encoded: a space before the text, spaces made visible."""
-        return SPACE + text.replace(" ", SPACE) if text else ""
+        """What is encoded: a space before the text; U+2581 is a space."""
+        return " " + text.replace(SPACE, " ") if text else ""
 
     def encode(self, text: str) -> list[int]:
         return [i for c in self.chunks(self.normalized(text)) for i in self.encode_chunk(c)]
@@ -255,7 +248,7 @@ class _Texts:
             known = self.old.pop(c, None)
             if known is None:
                 ids = bpe.encode_chunk(c)
-                known = (",".join(map(str, ids)).encode(), tuple(ids))
+                known = (str(ids)[1:-1].replace(" ", "").encode(), array("i", ids).tobytes())
             (long if len(c) > MEMO_CHARS else new)[c] = known
         if long:
             parts = [new[c] if c in new else long[c] for c in found]
@@ -263,10 +256,8 @@ class _Texts:
             parts = [new[c] for c in found]
         if len(new) > MEMO:
             self.old, self.new = new, {}
-        ids: list[int] = []
-        for _, p in parts:
-            ids += p
-        return b",".join([d for d, _ in parts]), ids
+        decimal, ids = zip(*parts)
+        return b",".join(decimal), array("i", b"".join(ids)).tolist()
 
 
 def encode_decode(df: DataFrame, model: str = MODEL, text_col: str = "text", with_ids: bool = False) -> DataFrame:

@@ -47,7 +47,7 @@ def test_random_texts(bpe, library):
 def test_chunks_change_nothing(bpe, library):
     """A whole text as one chunk has the same pieces: cutting is only cheaper."""
     text = "when the text is   not cut, backtracking runs over all of it " * 5
-    whole = bpe.pieces(bpe.normalized(text))
+    whole = bpe.pieces(bpe.normalized(text).replace(" ", pieces.SPACE))
     assert [bpe.ids[p] for p in whole] == library.encode(text)
 
 
