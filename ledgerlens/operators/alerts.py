@@ -29,7 +29,8 @@ MESSAGE_LINE_CAP = 50            # alert lines per posted message
 BLOCK_HEADER = ":rotating_light: *Balance Change Alert*"
 BLOCK_ORG, BLOCK_DATE = "• Org: `", "• Date: "
 BLOCK_TODAY, BLOCK_PREVIOUS, BLOCK_CHANGE = "• Today's Amount: ", "• Previous Day: ", "• DoD Change: *"
-LINE_ORG, LINE_TODAY, LINE_PREVIOUS = "• org `", ") | today=", " prev="
+BLOCK_DELTA, BLOCK_END = "* (Δ=", ")"
+LINE_ORG, LINE_DELTA, LINE_PCT, LINE_TODAY, LINE_PREVIOUS = "• org `", "` | Δ=", " (", ") | today=", " prev="
 DIGEST_HEADER = "*Daily Balance alerts* for `"
 DIGEST_CLEAR = ":white_check_mark: No Daily Balance alerts for "
 TABLE_HEADER = "ORGANIZATION_ID\tDATE\tDAILY_PAYMENT_AMOUNT\tPREV_DAILY_PAYMENT_AMOUNT\tPCT_CHANGE\tABS_CHANGE"
@@ -131,7 +132,7 @@ def alert_messages(alert_rows: DataFrame) -> DataFrame:
     day = F.date_format("DATE", "yyyy-MM-dd")
     prev = F.coalesce(F.col("PREV_DAILY_PAYMENT_AMOUNT"), F.lit(0))
     line = F.concat(
-        F.lit(LINE_ORG), org, F.lit("` | Δ="), money_text("ABS_CHANGE"), F.lit(" ("), pct, F.lit(LINE_TODAY),
+        F.lit(LINE_ORG), org, F.lit(LINE_DELTA), money_text("ABS_CHANGE"), F.lit(LINE_PCT), pct, F.lit(LINE_TODAY),
         money_text("DAILY_PAYMENT_AMOUNT"), F.lit(LINE_PREVIOUS), money_text(prev))
     block = F.concat_ws(
         "\n",
@@ -140,7 +141,7 @@ def alert_messages(alert_rows: DataFrame) -> DataFrame:
         F.concat(F.lit(BLOCK_DATE), day),
         F.concat(F.lit(BLOCK_TODAY), plain_text("DAILY_PAYMENT_AMOUNT")),
         F.concat(F.lit(BLOCK_PREVIOUS), plain_text("PREV_DAILY_PAYMENT_AMOUNT")),
-        F.concat(F.lit(BLOCK_CHANGE), pct, F.lit("* (Δ="), money_text("ABS_CHANGE"), F.lit(")")))
+        F.concat(F.lit(BLOCK_CHANGE), pct, F.lit(BLOCK_DELTA), money_text("ABS_CHANGE"), F.lit(BLOCK_END)))
     table = F.concat_ws(
         "\t", org, day, money_text("DAILY_PAYMENT_AMOUNT", grouped=False), money_text(prev, grouped=False), pct,
         money_text("ABS_CHANGE", grouped=False))

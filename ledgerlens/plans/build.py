@@ -82,7 +82,7 @@ class Warehouse:
     def table(self, layer: str, model: str, partition: T.StructField | None = None) -> Table:
         database = self.database or "ledgerlens_" + hashlib.sha256(self.root.rstrip("/").encode()).hexdigest()[:16]
         return Table(database, model, self.path(f"{layer}/{model}"), partition, TABLE_DOCS.get(model, ""),
-                     COLUMN_DOCS.get(model, {}), row_rules(model))
+                     COLUMN_DOCS.get(model, {}), row_rules(model), self.root)
 
     @property
     def raw_organizations(self) -> Table:

@@ -442,7 +442,7 @@ def q_following_views(spark, sf):
     replace_table(spark, raw_organizations(spark, sf), wh.raw_organizations)
     load_raw(spark, wh, invoices=raw.where(F.col("CREATED_AT") < oracle.INCREMENTAL_CUTOFF))
     build(spark, wh, run_tests=False)
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {views}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {views} LOCATION '{wh.path('views')}'")
     register(spark, wh, views)
     load_raw(spark, wh, invoices=raw.where(~(F.col("CREATED_AT") < oracle.INCREMENTAL_CUTOFF)))
     build(spark, wh, full_refresh=True)

@@ -57,6 +57,7 @@ class Table:
     comment: str = ""
     comments: Mapping[str, str] = field(default_factory=dict, hash=False)
     rules: Mapping[str, str] = field(default_factory=dict, hash=False)  # name -> SQL test of a row that breaks it
+    home: str = ""  # where the database is made, if it is not there
 
     @property
     def name(self) -> str:
@@ -196,7 +197,7 @@ def _partition_folder(t: Table, folder: str, key: str) -> str:
 
 def _swap(spark: SparkSession, t: Table, schema: T.StructType, parts: Mapping[str, str], values: Mapping[str, str]) -> None:
     """Make ``parts`` (partition value -> folder) the table's content."""
-    _run(spark, f"CREATE DATABASE IF NOT EXISTS {quoted(t.database)}")
+    _run(spark, f"CREATE DATABASE IF NOT EXISTS {quoted(t.database)}" + (f" LOCATION {text(t.home)}" if t.home else ""))
     settle(spark, t)
     for suffix in ("__next", "__old"):
         _run(spark, f"DROP TABLE IF EXISTS {t.beside(suffix)}")

@@ -169,7 +169,7 @@ def test_views_follow_their_tables(spark, tmp_path):
     replace_table(spark, raw_organizations(spark, SF_SMALL), wh.raw_organizations)
     load_raw(spark, wh, invoices=raw.where("CREATED_AT < '1996'"))
     build(spark, wh, run_tests=False)
-    spark.sql("CREATE DATABASE IF NOT EXISTS reg_test")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS reg_test LOCATION '{tmp_path}/views'")
     register(spark, wh)
     register(spark, wh, "reg_test")
     register(spark, wh, "reg_test")                        # our own views are replaced
@@ -193,7 +193,7 @@ def test_views_follow_their_tables(spark, tmp_path):
 
 
 def test_register_leaves_foreign_tables_alone(spark, built, tmp_path):
-    spark.sql("CREATE DATABASE IF NOT EXISTS foreign_test")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS foreign_test LOCATION '{tmp_path}/db'")
     spark.createDataFrame([(1,)], "x int").write.option("path", str(tmp_path / "foreign")).saveAsTable(
         "foreign_test.raw_organizations")
     with pytest.raises(ValueError, match="left as it is"):
