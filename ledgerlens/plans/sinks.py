@@ -28,6 +28,8 @@ from ledgerlens.sources.versions import Table
 
 #: Table property of a RAW table: months written since it was last staged.
 UNSTAGED, ALL = "ledgerlens.unstaged", "all"
+#: Table property: all its rows came through loads that kept the key index. A rebuild by other means loses it.
+INDEXED = {"ledgerlens.indexed": "true"}
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] | None = None,
@@ -163,11 +165,13 @@ def upsert_months(spark: SparkSession, updates: DataFrame, table: Table, index:
     if not versions.exists(spark, table):
         versions.drop(spark, index)
         key_index.build(spark, upd_keys, index)
-        replace_table(spark, upd, table, [keys[0]], {UNSTAGED: ALL})
+        replace_table(spark, upd, table, [keys[0]], {UNSTAGED: ALL, **INDEXED})
         return versions.keys(spark, table)
     base = versions.read(spark, table)
-    if not versions.exists(spark, index) or key_index.is_scattered(spark, index):
+    covered = INDEXED.items() <= versions.properties(spark, table).items()
+    if not covered or not versions.exists(spark, index) or key_index.is_scattered(spark, index):
         key_index.build(spark, base.select(*key_columns(base, keys, null_as, "K"), F.col(m).alias("MONTH")), index)
+        versions.set_properties(spark, table, INDEXED)
     receiving = _months(upd, m)
     known = key_index.lookup(spark, index, upd_keys)
     named = sorted(set(_months(known, "MONTH")) - set(receiving))

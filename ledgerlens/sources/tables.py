@@ -33,17 +33,19 @@ def table_exists(spark: SparkSession, table: Table) -> bool:
     return versions.exists(spark, table)
 
 
-def footer_max(spark: SparkSession, folder: str, field: T.StructField) -> DataFrame:
-    """One row, ``max(field)`` of the Parquet files of ``folder``, answered from
+def footer_max(spark: SparkSession, folder: str, column: str) -> DataFrame:
+    """One row, ``max(column)`` of the Parquet files of ``folder``, answered from
     their footers: the aggregate is pushed into the scan, no page is read.
 
     Only Spark's newer file readers can do that, so the scan runs in a session
-    of its own that uses them for Parquet; nothing else of the caller's changes.
+    of its own that uses them for Parquet; nothing else of the caller's
+    changes. Those readers find a column's statistics by its place in the
+    schema of the read, so that is the files' own (which one write made).
     """
     footers = spark.newSession()
     footers.conf.set("spark.sql.sources.useV1SourceList", "")
     footers.conf.set("spark.sql.parquet.aggregatePushdown", "true")
-    return footers.read.schema(T.StructType([field])).parquet(folder).agg(F.max(field.name).alias(field.name))
+    return footers.read.parquet(folder).agg(F.max(column).alias(column))
 
 
 def stored_max(spark: SparkSession, table: Table, column: str = "DATE"):
@@ -52,8 +54,7 @@ def stored_max(spark: SparkSession, table: Table, column: str = "DATE"):
     dated = [k for k in versions.keys(spark, table) if k != versions.NULL]
     if not dated:
         return None
-    field = T.StructField(column, versions.read(spark, table).schema[column].dataType)
-    return footer_max(spark, versions.folder_of(spark, table, max(dated)), field).first()[0]
+    return footer_max(spark, versions.folder_of(spark, table, max(dated)), column).first()[0]
 
 
 def high_water_mark(df: DataFrame, column: str = "DATE", wrap=None,

@@ -279,6 +279,18 @@ def test_loads_through_the_index_equal_a_plain_upsert(spark, tmp_path, monkeypat
     assert "2005-01-01" not in versions.keys(spark, wh.raw_invoices)
 
 
+def test_a_table_rebuilt_by_other_means_is_indexed_anew(spark, tmp_path):
+    from ledgerlens.plans.build import raw_invoice_month
+    wh = Warehouse(str(tmp_path))
+    raw = raw_invoices(spark, SF_SMALL)
+    load_raw(spark, wh, invoices=raw.where("CREATED_AT < '1994'"))
+    replace_table(spark, raw.withColumn("CREATED_MONTH", raw_invoice_month()), wh.raw_invoices, ["INVOICE_ID"])
+    moved = raw.where("INVOICE_ID like 'INV%3'").withColumn("CREATED_AT", F.lit("2005-01-01 00:00:00"))
+    load_raw(spark, wh, invoices=moved)
+    got = read_table(spark, wh.raw_invoices, RAW_INVOICES)
+    assert got.count() == raw.count() and got.where("CREATED_AT = '2005-01-01 00:00:00'").count() == moved.count()
+
+
 def test_a_load_that_was_lost_is_loaded_by_the_next_run(spark, tmp_path, monkeypatch):
     wh = Warehouse(str(tmp_path))
     raw = raw_invoices(spark, SF_SMALL)

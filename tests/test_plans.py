@@ -75,10 +75,9 @@ def test_high_water_mark_equals_plain_max(spark, wh):
 
 
 def test_newest_day_comes_from_footers(spark, wh):
-    from pyspark.sql import types as T
     from ledgerlens.sources.tables import footer_max, stored_max
     newest = max(k for k in versions.keys(spark, wh.fact) if k != versions.NULL)
-    p = plan(footer_max(spark, versions.folder_of(spark, wh.fact, newest), T.StructField("DATE", T.DateType())))
+    p = plan(footer_max(spark, versions.folder_of(spark, wh.fact, newest), "DATE"))
     assert "PushedAggregation: [MAX(DATE)]" in p
     assert "parquet" in spark.conf.get("spark.sql.sources.useV1SourceList")      # only that scan is another kind
     day = stored_max(spark, wh.fact)
