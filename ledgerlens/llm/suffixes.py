@@ -11,13 +11,18 @@ What is indexed: windows whose anchor (see :mod:`ledgerlens.llm.anchors`) occurs
 a second time. Consecutive windows of one anchor form a segment; segments
 are dealt out to tasks by anchor, where equal strings meet, and a task
 builds its family over the batches it reads. Equal segments are indexed
-once. A text with copies is removed whole (if it has a full string) without
+once. Where a passage that very many texts share begins and ends, each text's segment is another;
+so the windows of an anchor that more than :data:`HOT_TEXTS` texts have are dealt
+out one by one, by 128 bits of their hash, and counted, those of a task's piece first:
+no task holds a hot anchor. A text with copies is removed whole (if it has a full string) without
 being indexed for itself; it is only something for others to match.
 
 Defined cases: a null text counts as empty; a text shorter than a match
 loses nothing; copies and repeated rows remove each other; null doc_ids are
 documents like others; an empty table gives an empty result; further columns
-are ignored. Kept bytes may cut a code point: as text, its rest is dropped.
+are ignored. Kept bytes may cut a code point: as text, its rest is dropped. A
+text longer than a task's piece is a piece of its own, read whole. Ties cannot
+arise: all places of an equal string are removed.
 """
 
 from __future__ import annotations
@@ -30,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.anchors import PIECE, classes, representatives, runs, shared_anchors, with_class
-from ledgerlens.llm.common import GOLD, U, mix, slices, stored, unpacked, utf8, whole_row, window_min
+from ledgerlens.llm.common import GOLD, U, byte_table, mix, powers, slices, stored, unpacked, utf8, whole_row, window_min
 
 LENGTH = 200
 #: Bytes of the grams whose hashes serve as anchors (a multiple of 8).
@@ -38,6 +43,8 @@ GRAM = 64
 #: Suffixes sorted at a time, and bytes of text for each task of the index.
 BATCH = 20_000
 TASK_BYTES = 1 << 20
+#: Texts with an anchor beyond which it is hot, and hot anchors broadcast (8 MB at most; the most frequent ones).
+HOT_TEXTS, HOT_ANCHORS = 2048, 1 << 20
 
 
 def byte_grams(data: np.ndarray, size: int = GRAM) -> np.ndarray:
@@ -114,8 +121,77 @@ class SuffixFamily:
         self.levels.append((keys, ids))
 
 
-def _segments(length: int):
-    """Candidate windows of each text, cut where the anchor changes."""
+def window_hashes(data: np.ndarray, length: int, seed: int) -> np.ndarray:
+    """A 64-bit hash of every window of ``length`` bytes: a polynomial of the
+    bytes' table values, read off prefix sums and then scrambled."""
+    n = len(data)
+    base = (int(mix(np.array([seed + 91], U))[0]) | 5) & ~2
+    prefix = np.zeros(n + 1, U)
+    np.cumsum(byte_table(seed)[data] * powers(base, n), out=prefix[1:])
+    at = powers(pow(base, -1, 1 << 64), n - length + 1)
+    return mix((prefix[length:] - prefix[:n - length + 1]) * at + U(seed))
+
+
+HOT = "h1 long, h2 long, n long, cls long, low long, high long"
+
+
+def _hot_windows(length: int, hot):
+    """The windows of hot anchors, by hash. Of a piece of texts, a window met
+    once is a row with its place; one met again is a row with its number, and
+    its places (without a hash) are known to be repeated."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        anchors = hot.value
+        for b in slices(batches, "text", PIECE):
+            data, off = utf8(b.column("text"))
+            grams = byte_grams(np.ascontiguousarray(data))
+            shared, copies, own = b.column("shared"), b.column("copies").to_pylist(), b.column("cls").to_pylist()
+            found = [[], [], [], []]  # hashes, row, place
+            for i in range(b.num_rows):
+                if off[i + 1] - off[i] < length:
+                    continue
+                mine = shared[i].values.to_numpy().view(U)
+                mine = mine[np.isin(mine, anchors)]
+                if len(mine):
+                    at = np.flatnonzero(np.isin(window_min(grams[off[i]:off[i + 1] - GRAM + 1], length - GRAM + 1), mine))
+                    text = data[off[i]:off[i + 1]]
+                    for col, v in zip(found, (*(window_hashes(text, length, k)[at] for k in (1, 2)), np.full(len(at), i), at), strict=True):
+                        col.append(v)
+            if not found[0]:
+                continue
+            h1, h2, row, at = map(np.concatenate, found)
+            order = np.lexsort((h2, h1))
+            new = np.concatenate(([True], (h1[order][1:] != h1[order][:-1]) | (h2[order][1:] != h2[order][:-1])))
+            group = np.empty(len(order), np.int64)
+            group[order] = np.cumsum(new) - 1
+            n = np.bincount(group)
+            first = order[new]
+            need, cls = np.array([c < 2 for c in copies]), np.array(own)
+            once = n == 1
+            known = (n[group] > 1) & need[row]                       # places of windows met again: as runs
+            low = np.flatnonzero(known & np.concatenate(([True], ~known[:-1] | (row[1:] != row[:-1]) | (at[1:] != at[:-1] + 1))))
+            high = np.flatnonzero(known & np.concatenate((~known[1:] | (row[1:] != row[:-1]) | (at[1:] != at[:-1] + 1), [True])))
+            owner = once & need[row[first]]
+            k = len(low)
+            place = pa.array(np.concatenate((at[first], at[low])), mask=np.concatenate((~owner, np.zeros(k, bool))))
+            yield pa.RecordBatch.from_arrays([
+                *(pa.concat_arrays([pa.array(h[first].view(np.int64)), pa.nulls(k, pa.int64())]) for h in (h1, h2)),
+                pa.concat_arrays([pa.array(n), pa.nulls(k, pa.int64())]), pa.array(cls[np.concatenate((row[first], row[low]))]),
+                place, pa.array(np.concatenate((at[first] + 1, at[high] + 1)))], ["h1", "h2", "n", "cls", "low", "high"])
+    return run
+
+
+def _hot_matches(reps: DataFrame, hot, length: int) -> DataFrame:
+    """(cls, low, high) of the repeated windows of hot anchors. A window's
+    number is a partial and a final sum; of a hot one there is a row a piece."""
+    rows = stored(reps.select("text", "cls", "shared", "copies").mapInArrow(_hot_windows(length, hot), HOT), "hot-windows")
+    twice = rows.where("h1 is not null").groupBy("h1", "h2").agg(F.sum("n").alias("times")).where("times > 1").select("h1", "h2")
+    single = rows.where("h1 is not null and low is not null").join(twice, ["h1", "h2"], "left_semi")
+    return single.select("cls", "low", "high").unionAll(rows.where("h1 is null").select("cls", "low", "high"))
+
+
+def _segments(length: int, hot):
+    """Candidate windows of each text, cut where the anchor changes, without
+    those of hot anchors."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text", PIECE):
             data, off = utf8(b.column("text"))
@@ -127,7 +203,8 @@ def _segments(length: int):
                 if off[i + 1] - off[i] < length:
                     continue
                 least = window_min(grams[off[i]:off[i + 1] - GRAM + 1], length - GRAM + 1)
-                hit = np.isin(least, shared[i].values.to_numpy().view(U))
+                mine = shared[i].values.to_numpy().view(U)
+                hit = np.isin(least, mine[~np.isin(mine, hot.value)])
                 edge = np.flatnonzero(least[1:] != least[:-1]) + 1
                 starts, ends = np.concatenate(([0], edge)), np.concatenate((edge, [len(least)]))
                 wanted = hit[starts]
@@ -226,10 +303,15 @@ def repeated_spans(rows: DataFrame, per_class: DataFrame, length: int = LENGTH)
     reps = stored(representatives(rows, per_class, shared, ["copies"]), "suffix-texts")
     total = reps.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // TASK_BYTES)
+    often = reps.select(F.explode("shared").alias("anchor")).groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
+    often = often.where(F.col("n") > HOT_TEXTS).orderBy(F.desc("n"), "anchor").limit(HOT_ANCHORS).toArrow()
+    hot = rows.sparkSession.sparkContext.broadcast(np.sort(often.column("anchor").to_numpy().view(U)))
     segments = reps.select("text", "cls", "shared", "copies").mapInArrow(
-        _segments(length), "anchor long, cls long, at long, need boolean, string binary")
+        _segments(length, hot), "anchor long, cls long, at long, need boolean, string binary")
     found = segments.repartition(parts, "anchor").select("cls", "at", "need", "string").mapInArrow(
         _matches(length), "cls long, low long, high long")
+    if len(often):
+        found = found.unionAll(_hot_matches(reps, hot, length))
     found = found.groupBy("cls").agg(F.collect_list(F.struct("low", "high")).alias("found"))  # bounded by the text
     return (reps.where("copies < 2").select("cls", "cls2", "text").join(found, "cls")
             .mapInArrow(_removed(length), "cls long, cls2 long, spans array<struct<start:long,end:long>>, kept binary, kept_text string"))
