@@ -11,7 +11,9 @@ undoing merges along their border.
 
 Each match of the split pattern is encoded separately. Defined cases: a null
 text counts as empty (no ids, hash of the empty string); strings of special
-tokens are ordinary text; repeated rows and further columns are kept.
+tokens are ordinary text; repeated rows and further columns are kept (columns
+named like a result give way); an empty table gives an empty result. A text
+of any length is encoded whole; words longer than :data:`MEMO_CHARS` are not remembered.
 """
 
 from __future__ import annotations

@@ -15,7 +15,8 @@ by as many first ones (or all) of the next document.
 Defined cases: a null text counts as empty; two empty texts are alike (1),
 an empty and another one are not (0); rows that share a doc_id follow each
 other in text order; a single document is its own next one; an empty table
-gives an empty result; further columns are ignored.
+gives an empty result; further columns are ignored. A text of any length is
+hashed whole, in arrays of its own size.
 """
 
 from __future__ import annotations

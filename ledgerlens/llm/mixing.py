@@ -18,7 +18,9 @@ row from hashes, so a source with a third of all rows is no hot group.
 Defined cases: a null text has size 0; null is a source of its own; a source
 without words has target 0 and nothing is taken; repeated rows share a
 place, and if the rest ends there, its words are shared among them; an empty
-table gives an empty result; further columns are kept by :func:`mix`.
+table gives an empty result; further columns are kept by :func:`mix`, but for
+those named ``shard``, ``epoch`` or ``words``, which give way. A text of any length is one row of a
+block; if the rest ends in it, its first words are taken.
 """
 
 from __future__ import annotations

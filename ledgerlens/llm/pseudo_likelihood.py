@@ -22,7 +22,8 @@ parameters are of fixed size (a few 100 KB).
 
 Defined cases: a null text or one without words has 0 tokens, sum 0 and a
 null mean; an empty table gives an empty result; repeated rows are scored
-alike; a null doc_id is kept; further columns are ignored.
+alike; a null doc_id is kept; further columns are ignored; words of equal count are ordered by their hash. A
+text longer than a block is a block of its own, read in one piece.
 """
 
 from __future__ import annotations

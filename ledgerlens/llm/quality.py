@@ -7,7 +7,10 @@ that order as one ``OR`` chain, which stops at the first rule that rejects.
 The order changes the cost only, never the verdict.
 
 Defined cases: a null or empty text has no words (all figures 0) and fails
-``few_words``; repeated rows are judged alike; extra columns are kept.
+``few_words``; repeated rows are judged alike; extra columns are kept, those
+named like a figure give way. Rules of equal worth keep their given order. A text of any length
+is one row, whose words and windows are arrays of that row. An empty table
+gives an empty result.
 """
 
 from __future__ import annotations

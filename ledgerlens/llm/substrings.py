@@ -15,7 +15,8 @@ text has its windows hashed.
 Defined cases: a null or empty text has no words and loses none; a text of
 fewer words than a window loses none; a null doc_id counts as larger than
 every other, and rows with the same doc_id (or null) do not remove from each
-other; an empty table gives an empty result; further columns are ignored.
+other; an empty table gives an empty result; further columns are ignored. A
+text longer than a task's piece is a piece of its own, read whole.
 """
 
 from __future__ import annotations
