@@ -92,6 +92,12 @@ def per_worker(key: str, make: Callable[[], object]):
     return state[key]
 
 
+def forget_other_operators() -> None:
+    """Free what operators before have left in this Python worker, which Spark
+    reuses: a task that needs much memory itself begins with this."""
+    sys.modules.get("ledgerlens_worker_state", types.ModuleType("none")).__dict__.clear()
+
+
 class Splitter:
     """The matches of ``public_tokenizers.PATTERN`` in a text.
 

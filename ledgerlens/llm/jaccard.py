@@ -10,10 +10,14 @@ that), and what is left is verified on the whole sets.
 
 Only links between different sets matter, and only components are asked
 for, so pairs inside a component already found are not looked at: documents
-with equal sets are one node; each token first pairs its documents with one
-of them (a star), and, when those links have been joined up, all remaining
-pairs of a token's documents from different components are tried. No bucket
-is capped, and every link between components is found.
+with equal sets are one node; in rounds, each token pairs its documents with one
+of them (a star, each round around another), and the links found are joined up.
+A family of copies of which not every two are similar is one component after
+a few rounds, each of at most a pair a document. When :data:`IDLE_ROUNDS`
+rounds running have found few links (one in :data:`USEFUL` pairs), or after
+:data:`STAR_ROUNDS` rounds, the pairs of a token's documents that are still in different components are tried,
+all of them. No bucket is capped, and every link between
+components is found. A task passes on only a spanning forest of its links.
 
 Frequent tokens are those that some task meets repeatedly; their counts are
 summed over all documents and the :data:`FREQUENT` highest are broadcast (16
@@ -23,7 +27,8 @@ Defined cases: a text without words (null or empty) has an empty set and is
 linked with nothing; with fewer words than a shingle, the whole sequence is
 its one token; a null doc_id is in no component (null); rows that share a
 doc_id are one node; an empty table gives an empty result; further columns
-are ignored.
+are ignored. A text longer than a task's piece is a piece of its own, read
+whole. Ties: a component is named by its smallest doc_id.
 """
 
 from __future__ import annotations
@@ -36,7 +41,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.anchors import PIECE
-from ledgerlens.llm.common import U, among, gram_hashes, mix, release, slices, stored, unpacked, utf8, whole_row, word_hashes
+from ledgerlens.llm.common import U, among, forget_other_operators, gram_hashes, mix, release, slices, stored, unpacked, utf8, whole_row, word_hashes
 from ledgerlens.llm.components import components
 from ledgerlens.llm.substrings import spaced
 
@@ -47,9 +52,10 @@ NUM, DEN = 4, 5
 FREQUENT = 1 << 20
 #: Times one task must meet a token, and all tasks, to call it frequent.
 LOCAL, GLOBAL = 2, 2
-STAR_ROUNDS = 1
+#: Rounds of stars at most; a round is useful if one of so many pairs is a link; rounds running without use that end them.
+STAR_ROUNDS, USEFUL, IDLE_ROUNDS = 10, 16, 2
 #: Tokens whose documents a task groups at a time.
-HELD = 5 << 19
+HELD = 5 << 17
 ORDERS = (0x5851F42D4C957F2D, 0x14057B7EF767814F)
 
 
@@ -80,6 +86,7 @@ def set_hash(s: np.ndarray) -> tuple[int, int]:
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     """Small record batches with the sets of their texts."""
+    forget_other_operators()
     for b in slices(batches, "text", PIECE):
         yield b, shingle_sets(b.column("text"))
 
@@ -183,17 +190,34 @@ def _share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The similar pairs, without those whose ends the task has already joined."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        top = x
+        while parent.setdefault(top, top) != top:
+            top = parent[top]
+        while parent[x] != top:
+            parent[x], x = top, parent[x]
+        return top
+
     for b in batches:
         ok = np.zeros(b.num_rows, bool)
-        for i, (p, q) in enumerate(zip(b.column("x").to_pylist(), b.column("y").to_pylist(), strict=True)):
+        ends = zip(b.column("a").to_pylist(), b.column("b").to_pylist(), strict=True)
+        for i, ((left, right), p, q) in enumerate(zip(ends, b.column("x").to_pylist(), b.column("y").to_pylist(), strict=True)):
+            if root(left) == root(right):
+                continue
             x, y = np.frombuffer(p, U), np.frombuffer(q, U)
             both = len(np.intersect1d(x, y, assume_unique=True))
-            ok[i] = DEN * both >= NUM * (len(x) + len(y) - both)
+            if DEN * both >= NUM * (len(x) + len(y) - both):
+                ok[i] = True
+                parent[root(left)] = root(right)
         yield b.select(["a", "b"]).filter(pa.array(ok))
 
 
-def _verified(pairs: DataFrame, text: DataFrame) -> DataFrame:
-    """The pairs (a, b) that pass the further orders and are similar, stored.
+def _verified(pairs: DataFrame, text: DataFrame) -> tuple[DataFrame, int]:
+    """Of the pairs (a, b) that pass the further orders and are similar enough
+    to join up all their components, stored; and the number of pairs looked at.
 
     Only the texts of documents in a pair are turned into sets, only the sets
     of documents in a pair that passed the further orders are joined to it.
@@ -208,13 +232,14 @@ def _verified(pairs: DataFrame, text: DataFrame) -> DataFrame:
         return stored(pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct(), "jaccard-ends")
 
     pairs = stored(pairs, "jaccard-pairs")
+    looked_at = pairs.count()
     sets = stored(among(text, "doc_id", ends(pairs)).mapInArrow(
         _signatures, "doc long, tokens binary, p1 binary, p2 binary"), "jaccard-sets")
     near = stored(joined(pairs, sets, {"p1": "p1", "p2": "p2"}, {"p1": "q1", "p2": "q2"}, _share), "jaccard-pairs")
     whole = among(sets.select("doc", "tokens"), "doc", ends(near))
     links = stored(joined(near, whole, {"tokens": "x"}, {"tokens": "y"}, _similar).distinct(), "jaccard-links")
     release(pairs, sets, near)
-    return links
+    return links, looked_at
 
 
 def _may_reach(n: str, pos: str, other_n: str, other_pos: str):
@@ -224,10 +249,12 @@ def _may_reach(n: str, pos: str, other_n: str, other_pos: str):
     return (NUM + DEN) * common >= NUM * (F.col(n) + F.col(other_n))
 
 
-def _star(tokens: DataFrame) -> DataFrame:
-    """For each document, of the hubs (a token's smallest document) in other
-    components the one it shares most tokens with."""
-    hub = tokens.groupBy("token").agg(F.min(F.struct("doc", "n", "pos", "component")).alias("h"))
+def _star(tokens: DataFrame, step: int) -> DataFrame:
+    """For each document, of the hubs in other components the one it shares
+    most tokens with. A token's hub is its smallest document, later one that a
+    hash of the round picks."""
+    order = F.col("doc") if not step else F.xxhash64("doc", F.lit(step))
+    hub = tokens.groupBy("token").agg(F.min(F.struct(order.alias("o"), "doc", "n", "pos", "component")).alias("h"))
     met = tokens.join(hub, "token").where((F.col("component") != F.col("h.component")) & _may_reach("n", "pos", "h.n", "h.pos"))
     shared = met.groupBy("doc", F.col("h.doc").alias("hub")).agg(F.count(F.lit(1)).alias("k"))
     return shared.groupBy("doc").agg(F.max_by("hub", F.struct("k", "hub")).alias("hub")).select(
@@ -274,14 +301,16 @@ def near_components(docs: DataFrame) -> DataFrame:
     total = F.sum("w").over(Window.partitionBy("token", salt))
     tokens = stored(found.withColumn("total", total).where("w = 0 or total > 1").select(
         "token", "doc", "n", "pos", F.col("doc").alias("component")), "jaccard-tokens")
-    links = None
-    for step in range(STAR_ROUNDS + 1):
-        new = _verified(_star(tokens) if step < STAR_ROUNDS else _across(tokens), text)
+    links, idle, step, last = None, 0, 0, False
+    while not last:
+        last = idle == IDLE_ROUNDS or step == STAR_ROUNDS
+        new, looked_at = _verified(_across(tokens) if last else _star(tokens, step), text)
         links = new if links is None else links.unionByName(new)
-        if step < STAR_ROUNDS:
+        step, idle = step + 1, idle + 1 if USEFUL * new.count() < looked_at else 0
+        if not last:
             still = _open(tokens.drop("component"), components(links))
             release(tokens)
-            tokens = still
+            tokens, last = still, still.isEmpty()
     # the documents of a set, and the sets under one doc_id, are one component
     copies = members.where("doc_id <> first").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
     group = components(links.unionByName(copies))

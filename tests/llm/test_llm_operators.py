@@ -7,13 +7,14 @@ import re
 import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import (
-    bpe, fingerprints, jaccard, languages, mixing, pseudo_likelihood, quality, substrings, suffixes, token_files)
+    bpe, fingerprints, jaccard, languages, mixing, pieces, pseudo_likelihood, quality, substrings, suffixes, token_files)
 from ledgerlens.llm.queries import QUERIES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -101,6 +102,33 @@ def test_targets_cap_and_reshare():
     assert mixing.targets([], [], 0) == []
 
 
+def independent_targets(sizes, weights, total, cap=3):
+    """Water filling by bisection: the level at which capped shares add up."""
+    low, high = 0.0, 2.0 * total + 1
+    for _ in range(200):
+        mid = (low + high) / 2
+        low, high = (mid, high) if sum(min(cap * s, mid * w) for s, w in zip(sizes, weights)) < total else (low, mid)
+    return [min(cap * s, high * w) for s, w in zip(sizes, weights)]
+
+
+def test_targets_against_an_independent_version():
+    rng = np.random.default_rng(6)
+    for _ in range(60):
+        n = int(rng.integers(1, 12))
+        sizes = [int(x) for x in rng.integers(1, 10 ** int(rng.integers(1, 7)), n)]
+        weights = mixing.cycled_weights(n)
+        assert np.allclose(mixing.targets(sizes, weights, sum(sizes)), independent_targets(sizes, weights, sum(sizes)), rtol=1e-9)
+
+
+def test_more_rows_than_draws_make_larger_blocks(docs, monkeypatch):
+    before = mixing.op1_mixing_sources(docs).agg(F.sum("taken")).first()[0]
+    monkeypatch.setattr(mixing, "MOST_DRAWS", 12)
+    sized = mixing._narrow(docs)
+    plan = mixing.make_plan(sized)
+    assert sum(p[4] * p[3] + p[7] + 1 for p in plan) <= 12 + 2 * len(plan)
+    assert mixing.op1_mixing_sources(docs).agg(F.sum("taken")).first()[0] == pytest.approx(before, abs=2 * len(plan))
+
+
 def test_splitting_tree_is_exact_and_disjoint():
     quotas = [7, 0, 10_000, 333]
     dealt = mixing.split_quotas(quotas, 13)
@@ -226,6 +254,44 @@ def test_language_spans_of_a_mixed_text(spark):
     assert out[2].lang_pred == out[3].lang_pred == "und" and out[4].lang_pred in ("en", "de", "ru")
 
 
+@pytest.mark.parametrize("held", [1, 2, 3, 7])
+def test_viterbi_in_runs_equals_viterbi_at_once(monkeypatch, held):
+    rng = np.random.default_rng(held)
+    size = rng.integers(0, 20, 9)
+    begin = np.cumsum(size) - size
+    scores, prior = rng.normal(0, 2, (3, size.sum())), np.log([0.5, 0.3, 0.2])
+    whole = languages.viterbi(scores, begin, size, prior, 1.0)
+    monkeypatch.setattr(languages, "HELD_STEPS", held)
+    assert languages.viterbi(scores, begin, size, prior, 1.0).tolist() == whole.tolist()
+
+
+def test_a_sample_is_never_empty():
+    assert languages.sample_bound(100, 20_000) == languages.HASHES and languages.sample_bound(0, 10) >= 1
+    for n in (10 ** 6, 10 ** 10, 10 ** 13, 10 ** 15):
+        bound = languages.sample_bound(n, 20_000)
+        assert bound >= 1 and (n > 10 ** 12 or abs(bound * n / languages.HASHES - 20_000) < 2_000)
+
+
+def test_code_points_above_the_letters(spark):
+    """Tag characters and variation selectors are no letters, wherever they stand."""
+    rows = [(i, "plain words of one language here", "en") for i in range(40)] + [(i, "слова другого языка здесь", "ru") for i in range(40, 80)]
+    model = languages.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    odd = ["\U000E0067\U000E0062\U000E007F", "\U000E0100 \U000E01EF", "\U000323B0\U000F0000\U0010FFFF", "🏴\U000E0067\U000E007F"]
+    probe = [(i, t) for i, t in enumerate(odd)] + [(10, "words"), (11, "words \U000E0067\U000E007F\U00033FFF")]
+    got = {r.doc_id: (r.lang_pred, r.score) for r in languages.predict(
+        spark.createDataFrame(probe, "doc_id long, text string"), model).collect()}
+    assert [got[i] for i in range(4)] == [("und", 0.0)] * 4 and got[10] == got[11] == ("en", 1.0)
+
+
+def test_one_long_text(spark, monkeypatch):
+    monkeypatch.setattr(languages, "HELD_STEPS", 1000)
+    rows = [(i, "plain words of one language here", "en") for i in range(40)] + [(i, "слова другого языка здесь", "ru") for i in range(40, 80)]
+    model = languages.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    text = "plain words here " * 9000 + "слова языка здесь " * 4000
+    made = languages.predict(spark.createDataFrame([(1, text)], "doc_id long, text string"), model, spans=True).first()
+    assert made.lang_pred == "en" and [x.lang for x in made.spans] == ["en", "ru"] and made.spans[1].start == text.index("слова")
+
+
 def test_viterbi_matches_brute_force():
     rng = np.random.default_rng(4)
     for n in (1, 2, 6):
@@ -242,7 +308,9 @@ def test_viterbi_matches_brute_force():
 
 
 # --- op5 -----------------------------------------------------------------------------
-def test_suffix_array_dedup(docs):
+@pytest.mark.parametrize("hot_texts", [2048, 3, 0], ids=["none_hot", "some_hot", "all_hot"])
+def test_suffix_array_dedup(docs, monkeypatch, hot_texts):
+    monkeypatch.setattr(suffixes, "HOT_TEXTS", hot_texts)
     raw = [(d, t.encode()) for d, t in texts_by_id()]
     seen = Counter(b[i:i + 200] for _, b in raw for i in range(len(b) - 199))
     expected, left = [], []
@@ -299,9 +367,15 @@ def test_quality_features(docs):
     same([(r.doc_id,) for r in kept.select("doc_id").collect()], [(e[0],) for e in expected if e[-1]])
 
 
-def test_cascade_orders_by_rejection_per_cost(docs):
-    order = quality.plan_cascade(docs, quality.BASE + quality.EXTRA)
-    assert {r.name for r in order} == {r.name for r in quality.BASE + quality.EXTRA}
+@pytest.mark.parametrize("costs, expected", [
+    ((1.0, 1.0, 100.0), ["some", "all", "none"]), ((1.0, 1.0, 1.0), ["all", "some", "none"]), ((9.0, 1000.0, 1.0), ["all", "some", "none"])])
+def test_cascade_orders_by_rejection_per_cost(docs, monkeypatch, costs, expected):
+    rules = (quality.Rule("none", lambda: F.lit(False)), quality.Rule("some", lambda: F.col("_n") < 60),
+             quality.Rule("all", lambda: F.lit(True)))
+    ticks = iter([t for c in costs for t in (0.0, c)])
+    monkeypatch.setattr(quality, "time", SimpleNamespace(perf_counter=lambda: next(ticks)))
+    assert [r.name for r in quality.plan_cascade(docs, rules)] == expected
+    assert [r.name for r in quality.plan_cascade(docs.limit(0), rules)] == ["none", "some", "all"]
 
 
 # --- op7 -----------------------------------------------------------------------------
@@ -373,7 +447,6 @@ def test_token_files(docs, spark, tmp_dir):
     from tokenizers import Tokenizer
 
     tk = Tokenizer.from_file(token_files.TOKENIZER)
-    tk.encode_special_tokens = True
     rows = sorted(texts_by_id(), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
     expected, start = [], 0
     for d, t in rows:
@@ -387,6 +460,48 @@ def test_token_files(docs, spark, tmp_dir):
     same([(r.doc_id, r.start, r.n_tokens, zlib.crc32(np.array(r.ids, "<u4").tobytes())) for r in back], expected)
 
 
+def test_layout_of_token_files_allows_selective_reads(spark, tmp_dir, monkeypatch):
+    import os
+
+    import pyarrow.parquet as pq
+
+    monkeypatch.setattr(token_files, "ROW_GROUP_BYTES", 64 << 10)
+    monkeypatch.setattr(token_files, "PAGE_BYTES", 4 << 10)
+    rng = np.random.default_rng(3)
+    docs = spark.createDataFrame([(i, prose(rng, 60)) for i in range(3000)], "doc_id long, text string")
+    path = f"{tmp_dir}/tokens"
+    token_files.write_token_files(docs, path)
+    files = sorted(f for f in os.listdir(path) if f.endswith(".parquet"))
+    last = -1
+    groups = 0
+    for f in files:
+        meta = pq.ParquetFile(os.path.join(path, f)).metadata
+        groups += meta.num_row_groups
+        for g in range(meta.num_row_groups):
+            group = meta.row_group(g)
+            cols = {group.column(c).path_in_schema: group.column(c) for c in range(group.num_columns)}
+            ids = cols[next(c for c in cols if c.startswith("ids"))]
+            assert ids.has_dictionary_page and ids.has_offset_index       # dictionary pages, pages that can be sought
+            assert cols["doc_id"].has_column_index
+            assert group.total_byte_size < 4 * (64 << 10)                 # controlled row groups
+            low, high = cols["doc_id"].statistics.min, cols["doc_id"].statistics.max
+            assert low > last and high >= low                             # ascending, disjoint: statistics skip row groups
+            last = high
+    assert groups > 4
+    table = spark.read.schema(token_files.FILE_SCHEMA).parquet(path)
+    narrow = table.select("doc_id", "n_tokens").where("doc_id = 77")._jdf.queryExecution().toString()
+    assert "ReadSchema: struct<doc_id:bigint,n_tokens:bigint>" in narrow and "EqualTo(doc_id,77)" in narrow
+    assert table.where("doc_id = 77").select("n_tokens").first()[0] == len(table.where("doc_id = 77").first().ids)
+
+
+def test_starts_without_broadcast(docs, spark, tmp_dir, monkeypatch):
+    path = f"{tmp_dir}/tokens"
+    token_files.write_token_files(docs, path)
+    few = [tuple(r) for r in token_files.digest(spark, path).collect()]
+    monkeypatch.setattr(token_files, "BROADCAST_FILES", 0)
+    same([tuple(r) for r in token_files.digest(spark, path).collect()], few)
+
+
 def test_added_tokens_of_the_file_keep_their_ids(spark):
     from tokenizers import Tokenizer
 
@@ -455,7 +570,8 @@ def test_substring_dedup(docs):
 # --- all -----------------------------------------------------------------------------
 OPERATORS = [mixing.op1_mixing_sources, bpe.op2_byte_level_bpe, jaccard.op3_ngram_jaccard_join, languages.op4_language_id,
              suffixes.op5_suffix_array_dedup, quality.op6_quality_rules, pseudo_likelihood.op7_lm_scoring,
-             token_files.op8_token_files, fingerprints.op9_document_fingerprints, substrings.op10_substring_dedup]
+             token_files.op8_token_files, fingerprints.op9_document_fingerprints, substrings.op10_substring_dedup,
+             pieces.op11_sentencepiece]
 
 
 @pytest.mark.parametrize("op", OPERATORS, ids=lambda f: f.__name__)
@@ -465,4 +581,52 @@ def test_empty_table(empty, op):
 
 
 def test_all_operators_are_registered():
-    assert set(QUERIES) == {f.__name__ for f in OPERATORS}
+    assert set(QUERIES) == {f.__name__ for f in OPERATORS} | {"op12_centroid_clustering", "op13_source_divergence"}
+
+
+def borderline_copies(n, most, seed=2):
+    """Copies of one text with some words changed, of which not every two are
+    similar to each other."""
+    rng = np.random.default_rng(seed)
+    base = prose(rng, 260).split()
+    out = []
+    for i in range(n):
+        w = list(base)
+        for at in rng.choice(len(w), int(rng.integers(2, most + 1)), replace=False):
+            w[at] = f"x{i}y{at}"
+        out.append((i, " ".join(w)))
+    return out
+
+
+def test_pairs_of_borderline_copies_grow_with_the_group(spark, monkeypatch):
+    """Nearly all are in one component, but about half of the pairs are not
+    links: pairs looked at and links kept grow with the group, not its square."""
+    formed, kept, real = [], [], jaccard._verified
+
+    def counted(pairs, text):
+        links, n = real(pairs, text)
+        formed[-1] += n
+        kept[-1] += links.count()
+        return links, n
+
+    monkeypatch.setattr(jaccard, "_verified", counted)
+    for n in (100, 300):
+        formed.append(0)
+        kept.append(0)
+        rows = borderline_copies(n, 3)
+        sets = [(d, shingles(t)) for d, t in rows]
+        root = brute_components(sets)
+        links = sum(100 * len(x & y) >= 80 * len(x | y) for (_, x), (_, y) in combinations(sets, 2))
+        got = jaccard.near_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+        same(got.collect(), [(d, len(s), root(d)) for d, s in sets])
+        assert 8 * n < links < n * (n - 1) / 2
+    assert formed[1] <= 4 * formed[0] and kept[1] <= 4 * kept[0] and kept[1] < 4 * 300
+
+
+def test_a_family_whose_first_hub_is_unlike_the_others(spark):
+    """The smallest doc_id is similar to few: later rounds take other hubs."""
+    rows = borderline_copies(60, 3) + [(-1, borderline_copies(1, 12, seed=2)[0][1] + " tail of others " * 12)]
+    sets = [(d, shingles(t)) for d, t in rows]
+    root = brute_components(sets)
+    got = jaccard.near_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(2))
+    same(got.collect(), [(d, len(s), root(d)) for d, s in sets])

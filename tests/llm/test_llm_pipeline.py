@@ -58,16 +58,39 @@ def test_columns_between_stages(spark):
         assert stage(spark, docs, "").columns == COLUMNS
 
 
+def test_further_columns_go_through_every_stage(spark):
+    """Columns named like those that operators use inside."""
+    extra = ["token", "doc", "n", "key", "_row", "_text", "component", "cls", "block", "id", "kept", "n_words"]
+    rows = [(*r[:5], *[f"{c}{i}" for c in extra]) for i, r in enumerate(ROWS)]
+    docs = spark.createDataFrame(rows, SCHEMA + "".join(f", `{c}` string" for c in extra)).repartition(3)
+    known = {tuple(r[5:]) for r in rows}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, "")
+        assert [c for c in out.columns if c in docs.columns] == docs.columns
+        got = {tuple(r) for r in out.select(*[F.col(f"`{c}`") for c in extra]).collect()}
+        assert got and got <= known, name
+
+
 def test_quality_stage(steps):
     rows, _ = steps
     same(rows[1], [r for r in rows[0] if accepted(r[1] or "")])
 
 
 def test_near_duplicate_stage(steps):
+    """Of each group of similar rows one row stays, of its smallest doc_id
+    (null ids last); rows, not ids, are grouped."""
     rows, _ = steps
-    sets = [(r[0], shingles(r[1])) for r in rows[1]]
-    root = brute_components(sets)
-    same(rows[2], [r for r in rows[1] if r[0] is None or root(r[0]) == r[0]])
+    root = brute_components([(i, shingles(r[1])) for i, r in enumerate(rows[1])])
+    groups = defaultdict(list)
+    for i, r in enumerate(rows[1]):
+        groups[root(i)].append(r)
+    kept = Counter(rows[2])
+    assert sum(kept.values()) == len(groups) < len(rows[1])
+    for group in groups.values():
+        least = min(group, key=lambda r: (r[0] is None, r[0] or 0))[0]
+        one = next(r for r in group if r[0] == least and kept[r])
+        kept[one] -= 1
+    assert not +kept
 
 
 def test_near_duplicates_leave_one_row_of_each_group(spark):

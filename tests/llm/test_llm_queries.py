@@ -1,4 +1,4 @@
-"""The registered queries against their DuckDB SQL on the sf0.001 documents."""
+"""The registered queries against their DuckDB SQL on the sf0.001 documents and embeddings."""
 
 import duckdb
 import pytest
@@ -12,7 +12,8 @@ from ledgerlens.llm.queries import ORACLE_SQL, QUERIES
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_matches_oracle(spark, name):
     con = duckdb.connect()
-    con.execute(f"create view documents as select * from read_parquet('{SF_SMALL}/documents.parquet')")
+    for t in ("documents", "embeddings"):
+        con.execute(f"create view {t} as select * from read_parquet('{SF_SMALL}/{t}.parquet')")
     cur = con.execute(ORACLE_SQL[name])
     cols = sorted(c[0] for c in cur.description)
     at = [[c[0] for c in cur.description].index(c) for c in cols]
