@@ -31,3 +31,18 @@ def components(links: DataFrame) -> DataFrame:
         if done:
             release(both)
             return labels.withColumnRenamed("label", "component")
+
+
+def joined_up(found: DataFrame | None, links: DataFrame) -> DataFrame:
+    """The components (node, component) of ``found`` after the further ``links``,
+    stored. Only the new links between different components go through the
+    rounds, with a node for each component."""
+    if found is None:
+        return components(links)
+    ends = links.join(found.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left").join(
+        found.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left")
+    moved = components(ends.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).where("a <> b"))
+    moved = moved.select(F.col("node").alias("was"), F.col("component").alias("now"))
+    old = found.join(moved, found["component"] == moved["was"], "left").select("node", F.coalesce("now", "component").alias("component"))
+    new = moved.join(found.select("node"), F.col("was") == F.col("node"), "left_anti")
+    return stored(old.unionAll(new), "components")

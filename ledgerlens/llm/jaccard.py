@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.llm.anchors import PIECE
 from ledgerlens.llm.common import U, among, forget_other_operators, gram_hashes, mix, release, slices, stored, unpacked, utf8, whole_row, word_hashes
-from ledgerlens.llm.components import components
+from ledgerlens.llm.components import joined_up
 from ledgerlens.llm.substrings import spaced
 
 SHINGLE = 5
@@ -301,19 +301,24 @@ def near_components(docs: DataFrame) -> DataFrame:
     total = F.sum("w").over(Window.partitionBy("token", salt))
     tokens = stored(found.withColumn("total", total).where("w = 0 or total > 1").select(
         "token", "doc", "n", "pos", F.col("doc").alias("component")), "jaccard-tokens")
-    links, idle, step, last = None, 0, 0, False
+    group, idle, step, last = None, 0, 0, False
     while not last:
         last = idle == IDLE_ROUNDS or step == STAR_ROUNDS
         new, looked_at = _verified(_across(tokens) if last else _star(tokens, step), text)
-        links = new if links is None else links.unionByName(new)
+        group = joined_up(group, new)
         step, idle = step + 1, idle + 1 if USEFUL * new.count() < looked_at else 0
         if not last:
-            still = _open(tokens.drop("component"), components(links))
+            still = _open(tokens.drop("component"), group)
             release(tokens)
             tokens, last = still, still.isEmpty()
     # the documents of a set, and the sets under one doc_id, are one component
-    copies = members.where("doc_id <> first").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
-    group = components(links.unionByName(copies))
+    of = members.groupBy("doc_id").agg(F.count(F.lit(1)).alias("sets"), F.min("first").alias("first"))
+    several = members.join(of.where("sets > 1").select("doc_id"), "doc_id").where("doc_id <> first")
+    group = joined_up(group, several.select(F.col("doc_id").alias("a"), F.col("first").alias("b")))
+    # a copy with one set has no link of its own: it goes where its first goes
+    copies = of.where("sets = 1 and doc_id <> first").join(group, F.col("first") == F.col("node"), "left").select(
+        F.col("doc_id").alias("node"), F.coalesce("component", "first").alias("component"))
+    group = group.unionByName(copies)
     release(tokens)
     return every.select("doc_id", F.col("n").alias("n_shingles")).join(group, every["doc_id"] == group["node"], "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
