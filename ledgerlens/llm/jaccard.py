@@ -15,8 +15,9 @@ of them (a star, each round around another), and the links found are joined up.
 A family of copies of which not every two are similar is one component after
 a few rounds, each of at most a pair a document. When :data:`IDLE_ROUNDS`
 rounds running have found few links (one in :data:`USEFUL` pairs), or after
-:data:`STAR_ROUNDS` rounds, the pairs of a token's documents that are still in different components are tried,
-all of them. No bucket is capped, and every link between
+:data:`STAR_ROUNDS` rounds, the pairs of a token's documents that are still in different components are tried:
+all of them, but of a family (:data:`FAMILY` documents or more that share tokens) only those whose differences
+from the family's middle have enough in common. No bucket is capped, and every link between
 components is found. A task passes on only a spanning forest of its links.
 
 Frequent tokens are those that some task meets repeatedly; their counts are
@@ -56,6 +57,8 @@ LOCAL, GLOBAL = 2, 2
 STAR_ROUNDS, USEFUL, IDLE_ROUNDS = 10, 16, 2
 #: Tokens whose documents a task groups at a time.
 HELD = 5 << 17
+#: Documents of a family at least: fewer are paired by their common tokens.
+FAMILY = 64
 ORDERS = (0x5851F42D4C957F2D, 0x14057B7EF767814F)
 
 
@@ -261,12 +264,116 @@ def _star(tokens: DataFrame, step: int) -> DataFrame:
         F.col("doc").alias("a"), F.col("hub").alias("b"))
 
 
-def _across(tokens: DataFrame) -> DataFrame:
-    """All pairs of a token's documents in different components (a pair that
-    passes the test of places does so at its first common token)."""
-    x = tokens.select("token", F.col("doc").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("component").alias("ca"))
-    y = tokens.select("token", F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("component").alias("cb"))
-    return x.join(y, "token").where((F.col("ca") < F.col("cb")) & _may_reach("na", "pa", "nb", "pb")).select("a", "b").distinct()
+def _sides(rows: DataFrame, key: list[str], **names: str) -> tuple[DataFrame, DataFrame]:
+    """``rows`` twice, the columns in ``names`` with their new name and a or b after it."""
+    return tuple(rows.select(*key, F.col("doc").alias(s), *[F.col(c).alias(to + s) for c, to in names.items()]) for s in "ab")
+
+
+def _across(tokens: DataFrame, text: DataFrame, frequent) -> DataFrame:
+    """The pairs of documents in different components that may be similar:
+    those of a token (a pair that passes the test of places does so at its first
+    common token), and inside a family those of :func:`_within`."""
+    family = _families(tokens)
+    rows = tokens.join(family, "doc", "left")
+    x, y = _sides(rows, ["token"], n="n", pos="p", component="c", family="f")
+    apart = x.join(y, "token").where((F.col("ca") < F.col("cb")) & _may_reach("na", "pa", "nb", "pb")
+                                     & ~F.coalesce(F.col("fa") == F.col("fb"), F.lit(False))).select("a", "b")
+    if family.isEmpty():
+        return apart.distinct()
+    members = stored(rows.where("family is not null").select("doc", "family", "component").distinct(), "jaccard-family")
+    return apart.union(_within(members, text, frequent)).distinct()
+
+
+def _families(tokens: DataFrame) -> DataFrame:
+    """(doc, family) of documents that share tokens with many others, stored:
+    each takes the token most documents have, then what most documents with
+    that token have taken. Any grouping gives the same links."""
+    many = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= FAMILY)
+    taken = stored(tokens.join(many, "token").groupBy("doc").agg(F.max_by("token", F.struct("k", "token")).alias("taken")), "jaccard-taken")
+    heads = taken.select(F.col("taken").alias("token")).distinct()
+    votes = tokens.select("token", "doc").join(heads, "token").join(taken, "doc").groupBy("token", "taken").agg(F.count(F.lit(1)).alias("k"))
+    head = votes.groupBy("token").agg(F.max_by("taken", F.struct("k", "taken")).alias("family"))
+    family = stored(taken.join(head, F.col("taken") == F.col("token")).select("doc", "family"), "jaccard-families")
+    large = family.groupBy("family").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= FAMILY)
+    return stored(family.join(large.select("family"), "family").select("doc", "family"), "jaccard-families")
+
+
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The whole set of each document, ascending."""
+    for b, sets in _pieces(batches):
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([s.tobytes() for s in sets], pa.binary())], ["doc", "tokens"])
+
+
+def _family_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(family, token, k): sets of the batch that hold a token."""
+    for b in batches:
+        of: dict[int, list[np.ndarray]] = {}
+        for f, t in zip(b.column("family").to_pylist(), b.column("tokens").to_pylist(), strict=True):
+            of.setdefault(f, []).append(np.frombuffer(t, U))
+        for f, held in of.items():
+            token, k = np.unique(np.concatenate(held), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(token), f)), pa.array(token.view(np.int64)), pa.array(k)],
+                                             ["family", "token", "k"])
+
+
+def _differences(frequent):
+    """What a set and its family's middle do not share, rare elements first."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common, counts = frequent.value
+        for b in batches:
+            n, out = [], []
+            for t, middle, without in zip(*(b.column(c).to_pylist() for c in ("tokens", "middle", "without")), strict=True):
+                s, middle, without = np.frombuffer(t, U), np.array(middle, np.int64).view(U), np.array(without, np.int64)
+                here, gone = np.setdiff1d(s, middle, assume_unique=True), ~np.isin(middle, s)
+                rare = np.zeros(len(here), np.int64)
+                if len(common):
+                    at = np.minimum(np.searchsorted(common, here), len(common) - 1)
+                    rare = np.where(common[at] == here, counts[at], 0)
+                every, rare = np.concatenate((here, middle[gone])), np.concatenate((rare, without[gone]))
+                n.append(len(s))
+                out.append(every[np.lexsort((every, rare))].view(np.int64))
+            off = np.concatenate(([0], np.cumsum([len(x) for x in out]))).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [*(b.column(c) for c in ("doc", "family", "component")), pa.array(n, pa.int64()),
+                 pa.ListArray.from_arrays(pa.array(off), pa.array(np.concatenate([np.empty(0, np.int64), *out])))],
+                ["doc", "family", "component", "n", "diff"])
+    return run
+
+
+def _within(family: DataFrame, text: DataFrame, frequent) -> DataFrame:
+    """Pairs (a, b) of one family, among them all similar ones that are not joined up.
+
+    A family's middle is the tokens that more than half of its sets have. Let x
+    be the size of the difference between a set of n tokens and the middle, and
+    e = (NUM + DEN) x - (DEN - NUM) n. Two sets are similar if and only if
+    2 (NUM + DEN) times what their differences share is at least the sum of
+    their e. If that sum is not positive, they are, and both are also similar
+    to the set of smallest e: a star finds those. Otherwise their differences
+    share a token, early enough for as many to follow.
+    """
+    sets = stored(among(text, "doc_id", family.select("doc").distinct()).mapInArrow(_sets, "doc long, tokens binary")
+                  .where(F.length("tokens") > 0).join(family, "doc"), "jaccard-family-sets")
+    size = sets.groupBy("family").agg(F.count(F.lit(1)).alias("sets"))
+    met = sets.select("family", "tokens").mapInArrow(_family_counts, "family long, token long, k long").groupBy("family", "token").agg(
+        F.sum("k").alias("k")).join(size, "family").where("2 * k > sets")
+    middle = met.groupBy("family").agg(F.sort_array(F.collect_list(F.struct("token", (F.col("sets") - F.col("k")).alias("without")))).alias("m"))
+    pairs = sets.join(middle, "family", "left").select(
+        "doc", "family", "component", "tokens", F.coalesce("m.token", F.array().cast("array<long>")).alias("middle"),
+        F.coalesce("m.without", F.array().cast("array<long>")).alias("without"))
+    diff = stored(pairs.mapInArrow(_differences(frequent), "doc long, family long, component long, n long, diff array<long>").select(
+        "*", F.size("diff").cast("long").alias("x")).withColumn("e", (NUM + DEN) * F.col("x") - (DEN - NUM) * F.col("n")), "jaccard-differences")
+    hub = diff.groupBy("family").agg(F.min(F.struct("e", "doc", "component")).alias("h"))
+    rows = diff.join(hub, "family")
+    star = rows.where((F.col("e") + F.col("h.e") <= 0) & (F.col("component") != F.col("h.component"))).select(
+        F.col("doc").alias("a"), F.col("h.doc").alias("b"))
+    least = F.greatest(F.lit(1), F.ceil((F.col("e") + F.col("h.e")) / (2 * (NUM + DEN))))  # shared at least, with any other
+    early = rows.withColumn("most", (F.col("x") - least + 1).cast("int")).where("most > 0").select(
+        "doc", "family", "component", "x", "e", F.posexplode(F.slice("diff", F.lit(1), F.col("most"))).alias("pos", "token"))
+    x, y = _sides(early, ["family", "token"], component="c", x="x", e="e", pos="p")
+    both = F.col("ea") + F.col("eb")
+    shared = F.least(F.col("xa") - F.col("pa"), F.col("xb") - F.col("pb"))
+    return star.union(x.join(y, ["family", "token"]).where(
+        (F.col("ca") < F.col("cb")) & (both > 0) & (2 * (NUM + DEN) * shared >= both)).select("a", "b"))
 
 
 def _open(tokens: DataFrame, found: DataFrame) -> DataFrame:
@@ -304,7 +411,7 @@ def near_components(docs: DataFrame) -> DataFrame:
     group, idle, step, last = None, 0, 0, False
     while not last:
         last = idle == IDLE_ROUNDS or step == STAR_ROUNDS
-        new, looked_at = _verified(_across(tokens) if last else _star(tokens, step), text)
+        new, looked_at = _verified(_across(tokens, text, frequent) if last else _star(tokens, step), text)
         group = joined_up(group, new)
         step, idle = step + 1, idle + 1 if USEFUL * new.count() < looked_at else 0
         if not last:

@@ -630,3 +630,58 @@ def test_a_family_whose_first_hub_is_unlike_the_others(spark):
     root = brute_components(sets)
     got = jaccard.near_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(2))
     same(got.collect(), [(d, len(s), root(d)) for d, s in sets])
+
+
+def unlike_copies(n, seed=4):
+    """Copies of one text with four words changed; only every tenth is similar
+    to another, the one before it, which changes three of the same places."""
+    rng = np.random.default_rng(seed)
+    base = prose(rng, 260).split()
+    out, at = [], None
+    for i in range(n):
+        new = rng.choice(len(base), 4, replace=False)
+        at = np.append(at[:3], new[3]) if i % 10 == 9 else new
+        out.append((i, " ".join(f"x{i}y{k}" if k in at else w for k, w in enumerate(base))))
+    return out
+
+
+def test_unlinked_copies_are_not_paired_with_their_whole_family(spark, monkeypatch):
+    """Every two share prefix tokens and pass the test of places, few are links:
+    the pairs of the last step come from what differs from the family's middle."""
+    formed, real = [], jaccard._verified
+
+    def counted(pairs, text):
+        links, n = real(pairs, text)
+        formed.append(n)
+        return links, n
+
+    monkeypatch.setattr(jaccard, "_verified", counted)
+    rows = unlike_copies(200)
+    sets = [(d, shingles(t)) for d, t in rows]
+    root = brute_components(sets)
+    got = jaccard.near_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    same(got.collect(), [(d, len(s), root(d)) for d, s in sets])
+    assert 20 <= len(rows) - len({root(d) for d, _ in sets}) < 150
+    assert formed[-1] < len(rows) * (len(rows) - 1) / 2 / 3
+
+
+def test_families_with_several_sets_a_document(spark, monkeypatch):
+    """Rows that share a doc_id, null texts and texts like the middle itself;
+    without star rounds, so that the last step finds every link."""
+    monkeypatch.setattr(jaccard, "FAMILY", 4)
+    monkeypatch.setattr(jaccard, "STAR_ROUNDS", 0)
+    rows = borderline_copies(60, 6) + unlike_copies(60) + [(3, None), (5, None), (7, borderline_copies(90, 6)[80][1]), (200, "a b"), (201, None)]
+    sets = [(d, shingles(t or "")) for d, t in rows]
+    want = {}
+
+    def root(d):
+        while want.setdefault(d, d) != d:
+            d = want[d]
+        return d
+
+    for (a, x), (b, y) in combinations(sets, 2):
+        if a != b and x and y and 100 * len(x & y) >= 80 * len(x | y) and root(a) != root(b):
+            low, high = sorted((root(a), root(b)))
+            want[high] = low
+    got = jaccard.near_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    same(got.collect(), [(d, len(s), root(d)) for d, s in sets])
