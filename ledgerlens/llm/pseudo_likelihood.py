@@ -53,6 +53,10 @@ BLOCK = 32 << 20
 A = 0.5
 #: Ids: the words, the classes, and one for the places outside a text.
 VOCABULARY = WORDS + CLASSES + 1
+#: Values whose exponentials are summed as they are.
+LARGE = 60
+#: Places of an id's embedding among all embeddings.
+CELLS = np.arange(VOCABULARY * WIDTH).reshape(VOCABULARY, WIDTH)
 SHAPES = [(VOCABULARY, WIDTH), (2 * SIDE * WIDTH, HIDDEN), (HIDDEN,), (HIDDEN, VOCABULARY), (VOCABULARY,)]
 
 
@@ -79,33 +83,39 @@ def _hidden(p: list[np.ndarray], context: np.ndarray) -> tuple[np.ndarray, np.nd
     return x, np.tanh(x @ p[1] + p[2])
 
 
-def log_probability(p: list[np.ndarray], context: np.ndarray, token: np.ndarray) -> np.ndarray:
-    """Log-probability of each token given the ids on both its sides."""
-    _, h = _hidden(p, context)
+def _weights(p: list[np.ndarray], h: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(exponentials of all ids' values, their sum, the logarithm of the own
+    id's) for each token, which only count in proportion. Values are
+    made smaller by their maximum where the parameters allow large ones: a
+    hidden unit is at most 1, which bounds them."""
     z = h @ p[3]
     z += p[4]
-    z -= z.max(1, keepdims=True)
+    if np.abs(p[3]).sum(0).max() + np.abs(p[4]).max() > LARGE:
+        z -= z.max(1, keepdims=True)
     own = z[np.arange(len(token)), token]
-    return own - np.log(np.exp(z, out=z).sum(1))
+    np.exp(z, out=z)
+    return z, z @ np.ones(z.shape[1], z.dtype), own
+
+
+def log_probability(p: list[np.ndarray], context: np.ndarray, token: np.ndarray) -> np.ndarray:
+    """Log-probability of each token given the ids on both its sides."""
+    _, total, own = _weights(p, _hidden(p, context)[1], token)
+    return own - np.log(total)
 
 
 def step(p: list[np.ndarray], context: np.ndarray, token: np.ndarray, rate: float) -> None:
-    """One gradient step on the mean loss of a batch, in place."""
+    """One gradient step on the mean loss of a batch, in place. The weights are
+    not divided by their sums; what is multiplied with them is."""
     x, h = _hidden(p, context)
-    z = h @ p[3]
-    z += p[4]
-    z -= z.max(1, keepdims=True)
-    np.exp(z, out=z)
-    z *= 1 / z.sum(1, keepdims=True)
-    z[np.arange(len(token)), token] -= 1
-    by = np.float32(rate / len(token))
+    z, total, _ = _weights(p, h, token)
+    z[np.arange(len(token)), token] -= total
+    by, share = np.float32(rate / len(token)), (1 / total)[:, None]
     dh = z @ p[3].T
-    dh *= 1 - h * h
+    dh *= (1 - h * h) * share
     dx = dh @ p[1].T
-    for value, grad in ((p[3], h.T @ z), (p[4], z.sum(0)), (p[1], x.T @ dh), (p[2], dh.sum(0))):
+    for value, grad in ((p[3], (h * share).T @ z), (p[4], share[:, 0] @ z), (p[1], x.T @ dh), (p[2], dh.sum(0))):
         value -= by * grad
-    cell = context[:, :, None] * WIDTH + np.arange(WIDTH)
-    np.subtract.at(p[0].reshape(-1), cell.ravel(), (by * dx).ravel())
+    np.subtract.at(p[0].reshape(-1), CELLS[context.ravel()].ravel(), (by * dx).ravel())
 
 
 def hash_class(h: np.ndarray) -> np.ndarray:

@@ -685,3 +685,21 @@ def test_families_with_several_sets_a_document(spark, monkeypatch):
             want[high] = low
     got = jaccard.near_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
     same(got.collect(), [(d, len(s), root(d)) for d, s in sets])
+
+
+def test_large_parameters_keep_the_log_probability_finite():
+    """Values beyond the range of the exponential are made smaller first; sums
+    of exponentials, not divided rows, give the same gradient as a plain softmax."""
+    p = pseudo_likelihood.start_parameters()
+    p[4][:] = 0
+    p[4][7] = 500
+    context, token = np.zeros((2, 4), np.int64), np.array([7, 8])
+    got = pseudo_likelihood.log_probability(p, context, token)
+    assert np.isfinite(got).all() and abs(got[0]) < 1e-3 and -501 < got[1] < -499
+    p = pseudo_likelihood.start_parameters()
+    z = (pseudo_likelihood._hidden(p, context)[1] @ p[3] + p[4]).astype(np.float64)
+    soft = np.exp(z) / np.exp(z).sum(1, keepdims=True)
+    soft[[0, 1], token] -= 1
+    want = p[4] - 0.5 / 2 * soft.sum(0)
+    pseudo_likelihood.step(p, context, token, 0.5)
+    np.testing.assert_allclose(p[4], want, atol=1e-6)
