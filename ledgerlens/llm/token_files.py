@@ -40,6 +40,18 @@ ROW_GROUP_BYTES = 8 << 20
 PAGE_BYTES = 128 << 10
 
 
+class _Recent(dict):
+    """Words' ids, made when first asked for."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self[word] = self.make(word)
+        return ids
+
+
 class _Words:
     """ids of a word as little-endian bytes, remembered for recent words.
 
@@ -61,23 +73,21 @@ class _Words:
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in shown]
         self.table = {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
-        self.new, self.old = {}, {}
+        self.new, self.old = _Recent(self._ids), {}
 
     def _ids(self, word: str) -> bytes:
+        known = self.old.pop(word, None)
+        if known is not None:
+            return known
         shown = word.encode("utf-8").decode("latin-1").translate(self.table)
         return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
 
     def encode(self, text: str) -> bytes:
         if any(t in text for t in self.added):
             return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-        found = self.find(text)
-        new = self.new
-        for w in set(found).difference(new):
-            known = self.old.pop(w, None)
-            new[w] = self._ids(w) if known is None else known
-        out = b"".join([new[w] for w in found])
-        if len(new) > MEMO:
-            self.old, self.new = new, {}
+        out = b"".join(map(self.new.__getitem__, self.find(text)))
+        if len(self.new) > MEMO:
+            self.old, self.new = self.new, _Recent(self._ids)
         return out
 
 

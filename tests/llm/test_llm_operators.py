@@ -703,3 +703,14 @@ def test_large_parameters_keep_the_log_probability_finite():
     want = p[4] - 0.5 / 2 * soft.sum(0)
     pseudo_likelihood.step(p, context, token, 0.5)
     np.testing.assert_allclose(p[4], want, atol=1e-6)
+
+
+def test_words_forgotten_and_met_again_keep_their_ids(monkeypatch):
+    monkeypatch.setattr(token_files, "MEMO", 3)
+    words, made, real = token_files._Words(token_files.TOKENIZER), [], token_files.array
+    monkeypatch.setattr(token_files, "array", lambda kind, ids: made.append(1) or real(kind, ids))
+    texts = ["one two three four", "four five one", "six  seven\n eight", "one two three four", ""] * 2
+    for t in texts:
+        ids = np.frombuffer(words.encode(t), "<u4").tolist()
+        assert ids == words.tokenizer.encode(t, add_special_tokens=False).ids
+    assert type(words.new) is token_files._Recent and len(made) > 8
